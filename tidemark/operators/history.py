@@ -12,7 +12,7 @@ from datetime import datetime
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -334,19 +334,28 @@ def merge_histories(existing: DataFrame, new: DataFrame, keys: Sequence[str]) ->
     )
 
 
-def snapshot_times(snapshots: DataFrame, ts_col: str) -> list[datetime]:
-    """The distinct snapshot times in order; one short list, its length is checked."""
-    rows = snapshots.select(F.col(ts_col).cast("timestamp")).distinct().limit(MAX_SNAPSHOTS + 1).collect()
+def snapshot_times(snapshots: DataFrame, ts_col: str) -> list[int]:
+    """The distinct snapshot times as microseconds, in order; the list's length is checked."""
+    instant = F.unix_micros(F.col(ts_col).cast("timestamp")).alias("us")
+    rows = snapshots.select(instant).dropna().distinct().limit(MAX_SNAPSHOTS + 1).collect()
     if len(rows) > MAX_SNAPSHOTS:
         raise ValueError(f"more than {MAX_SNAPSHOTS} snapshots in {ts_col!r}")
-    return sorted(r[0] for r in rows if r[0] is not None)
+    return sorted(r["us"] for r in rows)
+
+
+def _calendar(spark: SparkSession, instants: Sequence[int]) -> DataFrame:
+    """Time, number and following time of every snapshot."""
+    rows = [(us, i, following) for i, (us, following) in enumerate(zip(instants, [*instants[1:], None]))]
+    return spark.createDataFrame(rows, "__us bigint, __i int, __next_us bigint").select(
+        "__us", "__i", F.timestamp_micros("__us").alias("__t"), F.timestamp_micros("__next_us").alias("__next")
+    )
 
 
 def replay(
     snapshots: DataFrame,
     keys: Sequence[str],
     ts_col: str,
-    times: Sequence[datetime] | None = None,
+    times: Sequence[datetime | str] | None = None,
     tracking: Sequence[str] | None = None,
     exclude: Sequence[str] = (),
     processed_time: Column | datetime | str | None = None,
@@ -355,43 +364,48 @@ def replay(
 
     All windows share one partitioning and ordering: one shuffle and one sort.  A key has
     at most one row per snapshot, so a window group is no longer than the list of times.
+    Pass the times if they are known, such as from the landing folders; an empty snapshot
+    is only seen that way, and the pass over the time column is saved.
     """
-    times = snapshot_times(snapshots, ts_col) if times is None else sorted(times)
-    if len(times) > MAX_SNAPSHOTS:
-        raise ValueError(f"more than {MAX_SNAPSHOTS} snapshots")
     spark = snapshots.sparkSession
-    calendar = spark.createDataFrame(
-        [(t, i, times[i + 1] if i + 1 < len(times) else None) for i, t in enumerate(times)],
-        "__t timestamp, __i int, __next timestamp",
-    )
+    if times is not None:
+        given = spark.createDataFrame([(str(t),) for t in times], "t string")
+        instants = snapshot_times(given, "t")
+    else:
+        instants = snapshot_times(snapshots, ts_col)
     data = [c for c in snapshots.columns if c != ts_col]
     compared = comparison_columns(data, keys, tracking, exclude)
-    # At most MAX_SNAPSHOTS rows of three fields.
+    # At most MAX_SNAPSHOTS rows of four fields are broadcast.
     placed = row_hash(snapshots, compared).join(
-        F.broadcast(calendar), F.col(ts_col).cast("timestamp") == F.col("__t"), "inner"
+        F.broadcast(_calendar(spark, instants)),
+        F.unix_micros(F.col(ts_col).cast("timestamp")) == F.col("__us"),
+        "inner",
     )
 
-    in_order = Window.partitionBy(*keys).orderBy("__i")
-    before_i, before_hash = F.lag("__i").over(in_order), F.lag(HASH).over(in_order)
-    after_i = F.lead("__i").over(in_order)
+    # Rows without a key stand alone; their own buckets keep them out of one huge group.
+    no_key = _any_null(keys)
+    placed = placed.withColumn("__bucket", _bucket_for_null_keys(keys, [*data, "__i"]))
+    in_order = Window.partitionBy(*keys, "__bucket").orderBy("__i")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before_i, after_i = F.lag("__i").over(in_order), F.lead("__i").over(in_order)
     marked = (
-        placed.filter(~_any_null(keys))
-        .withColumns(
+        placed.withColumns(
             {
-                "__appears": before_i.isNull() | (before_i != F.col("__i") - 1),
-                "__before": before_hash,
-                "__last_seen": after_i.isNull() | (after_i != F.col("__i") + 1),
+                "__appears": no_key | before_i.isNull() | (before_i != F.col("__i") - 1),
+                "__before": F.lag(HASH).over(in_order),
+                "__last_seen": no_key | after_i.isNull() | (after_i != F.col("__i") + 1),
             }
         )
         .withColumn("__starts", F.col("__appears") | (F.col("__before") != F.col(HASH)))
-        .withColumn("__starts_so_far", F.count_if("__starts").over(in_order))
+        .withColumn("__starts_so_far", F.count_if("__starts").over(so_far))
         # Only the first row of a version and the last row before a gap matter from here on.
         .filter(F.col("__starts") | F.col("__last_seen"))
     )
-    appeared_at = F.max(F.when(F.col("__appears"), F.col("__starts_so_far"))).over(in_order)
+    appeared_at = F.max(F.when(F.col("__appears"), F.col("__starts_so_far"))).over(so_far)
     next_starts = F.lead("__starts").over(in_order)
     next_end = F.lead(F.when(F.col("__starts"), F.col("__t")).otherwise(F.col("__next"))).over(in_order)
-    versions = (
+    closed = F.col(TO).isNotNull()
+    return (
         marked.withColumns(
             {
                 VERSION: (F.col("__starts_so_far") - appeared_at + 1).cast("int"),
@@ -400,24 +414,19 @@ def replay(
             }
         )
         .filter("__starts")
-        .select(*data, HASH, "__t", TO, VERSION, "__gone")
-    )
-    keyless = placed.filter(_any_null(keys)).select(
-        *data, HASH, "__t", F.col("__next").alias(TO), F.lit(1).alias(VERSION), F.lit(True).alias("__gone")
-    )
-    closed = F.col(TO).isNotNull()
-    return versions.unionByName(keyless).select(
-        *data,
-        F.col("__t").alias(FROM),
-        F.col(TO),
-        (~closed).alias(CURRENT),
-        F.when(closed & F.col("__gone"), DELETE)
-        .when(F.col(VERSION) == 1, INSERT)
-        .otherwise(UPDATE)
-        .alias(OPERATION),
-        _now(processed_time).alias(PROCESSED),
-        F.col(HASH),
-        F.col(VERSION),
+        .select(
+            *data,
+            F.col("__t").alias(FROM),
+            F.col(TO),
+            (~closed).alias(CURRENT),
+            F.when(closed & F.col("__gone"), DELETE)
+            .when(F.col(VERSION) == 1, INSERT)
+            .otherwise(UPDATE)
+            .alias(OPERATION),
+            _now(processed_time).alias(PROCESSED),
+            F.col(HASH),
+            F.col(VERSION),
+        )
     )
 
 

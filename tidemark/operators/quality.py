@@ -15,9 +15,12 @@ from ..contracts import load_yaml
 
 ERRORS = "_errors"
 WARNINGS = "_warnings"
+KEY_REPEATED = "pk_unique"
 FUNCTIONS = ("is_not_null", "sql_expression")
 CRITICALITIES = ("error", "warn")
 
+_FINDINGS_TYPE = "array<struct<name:string,message:string>>"
+
 
 @dataclass(frozen=True)
 class Check:
@@ -111,12 +114,13 @@ def _any(checks: Iterable[Check]) -> Column:
     return reduce(or_, [c.fails() for c in checks], F.lit(False))
 
 
+def _finding(name: str, message: str) -> Column:
+    return F.struct(F.lit(name).alias("name"), F.lit(message).alias("message"))
+
+
 def _findings(checks: Sequence[Check]) -> Column:
-    rows = [
-        F.when(c.fails(), F.struct(F.lit(c.name).alias("name"), F.lit(c.message()).alias("message"))) for c in checks
-    ]
-    empty = F.array().cast("array<struct<name:string,message:string>>")
-    return F.array_compact(F.array(*rows)) if rows else empty
+    rows = [F.when(c.fails(), _finding(c.name, c.message())) for c in checks]
+    return F.array_compact(F.array(*rows)) if rows else F.array().cast(_FINDINGS_TYPE)
 
 
 def annotate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
@@ -129,6 +133,12 @@ def annotate(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     )
 
 
+def annotate_with(df: DataFrame, name: str, columns: Sequence[str]) -> DataFrame:
+    """Add one given error to every row."""
+    found = F.array(_finding(name, f"{', '.join(columns)} must be unique")).cast(_FINDINGS_TYPE)
+    return df.withColumns({ERRORS: found, WARNINGS: F.array().cast(_FINDINGS_TYPE)})
+
+
 def split(
     df: DataFrame, checks: Sequence[Check], quarantine_warnings: bool = False
 ) -> tuple[DataFrame, DataFrame]:
@@ -177,13 +187,15 @@ def pk_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def split_unique(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
-    """(rows whose key is unique, rows sharing a key).
+    """(rows whose key is unique, rows sharing a key); rows without a key share nothing.
 
     The rows stay on the left of a semi/anti join: if one key is hot, adaptive execution
     splits its partition, and if no key repeats, the join disappears at run time.
     """
-    repeated = pk_violations(df, keys).select(*[F.col(k).alias(f"__repeated_{i}") for i, k in enumerate(keys)])
-    same = [F.col(k).eqNullSafe(F.col(f"__repeated_{i}")) for i, k in enumerate(keys)]
+    repeated = pk_violations(df.dropna(subset=list(keys)), keys).select(
+        *[F.col(k).alias(f"__repeated_{i}") for i, k in enumerate(keys)]
+    )
+    same = [F.col(k) == F.col(f"__repeated_{i}") for i, k in enumerate(keys)]
     return df.join(repeated, same, "left_anti"), df.join(repeated, same, "left_semi")
 
 

@@ -71,6 +71,7 @@ def job_prepare_silver(spark: SparkSession, contract: TableContract, layers: Lay
 class SilverRun:
     n_total: int
     n_quarantined: int
+    keys_unique: bool
     gen: int | None
 
 
@@ -86,18 +87,25 @@ def job_silver(
 
     The counts come from one scan of the checked columns.  Bronze is a written table, so
     each side of the split reads it with its own filter and nothing has to be cached.
+    Rows that share a key would multiply in the history's join, and a hot key would end
+    in one task; a pass over the key columns looks for them, and only if there are any,
+    they are set aside.
     """
     bronze = spark.read.parquet(layers.bronze)
     counts = quality.row_counts(bronze, checks).first()
     valid, rejected = quality.split(bronze, checks)
-    save_quarantine(rejected, layers.quarantine, counts["n_quarantined"])
+    keys = contract.primary_keys()
+    keys_unique = not contract.tracked or quality.pk_violations(valid.dropna(subset=keys), keys).isEmpty()
+    if not keys_unique:
+        valid, repeated = quality.split_unique(valid, keys)
+        rejected = rejected.unionByName(quality.annotate_with(repeated, quality.KEY_REPEATED, keys))
+    save_quarantine(rejected, layers.quarantine, None if not keys_unique else counts["n_quarantined"])
     gen = None
     if contract.tracked:
-        store = HistoryStore(spark, layers.silver)
-        gen = store.merge(valid, contract.primary_keys(), ts, processed_time=processed_time)
+        gen = HistoryStore(spark, layers.silver).merge(valid, keys, ts, processed_time=processed_time)
     else:
         save_table(valid, layers.silver)
-    return SilverRun(counts["n_total"], counts["n_quarantined"], gen)
+    return SilverRun(counts["n_total"], counts["n_quarantined"], keys_unique, gen)
 
 
 @dataclass(frozen=True)

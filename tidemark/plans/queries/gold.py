@@ -23,7 +23,7 @@ ORDER_METRICS = MetricView(
         "segment": "c_mktsegment",
         "status": "o_orderstatus",
         "priority": "o_orderpriority",
-        "order_year": "year(o_orderdate)",
+        "order_year": "CAST(year(o_orderdate) AS BIGINT)",
     },
     measures={
         "order_count": "COUNT(o_orderkey)",
