@@ -1,0 +1,163 @@
+"""Faceted search, filter states, metrics, gold."""
+
+import pytest
+from conftest import rows
+from pyspark.sql import functions as F
+
+from tidemark.operators import explore as e
+from tidemark.operators import filter_state as fs
+from tidemark.operators import gold as g
+from tidemark.operators.metrics import MetricView, Parameter, param_query, period_compare, time_series
+
+
+@pytest.fixture
+def cars(spark):
+    data = [
+        ("AB12", "Audi", "A4", "red", 1600, 5, "20100501"),
+        ("CD34", "Audi", "A3", "blue", 900, 8, "20150101"),
+        ("EF56", "BMW", " ", None, 3000, 4, "19991231"),
+        ("GH78", "BMW", "M3", "Niet geregistreerd", 8000, 2, "bad"),
+        ("IJ90", None, "X", "", None, 7, "20200101"),
+    ]
+    return spark.createDataFrame(data, "plate string, make string, model string, color string, cc int, seats int, day string")
+
+
+DEFAULTS = {"cc": [500, 8000], "seats": [1, 7]}
+
+
+@pytest.mark.parametrize(
+    "spec,plates",
+    [
+        (e.FilterSpec(), ["AB12", "CD34", "EF56", "GH78", "IJ90"]),
+        (e.FilterSpec(equals={"make": "Audi"}), ["AB12", "CD34"]),
+        (e.FilterSpec(equals={"make": None}, in_lists={"color": []}), ["AB12", "CD34", "EF56", "GH78", "IJ90"]),
+        (e.FilterSpec(in_lists={"color": ["red", "blue"], "model": ["A3"]}), ["CD34"]),
+        (e.FilterSpec(ranges={"cc": [500, 8000]}, defaults=DEFAULTS), ["AB12", "CD34", "EF56", "GH78", "IJ90"]),
+        (e.FilterSpec(ranges={"cc": [900, 3000]}, defaults=DEFAULTS), ["AB12", "CD34", "EF56"]),
+        (e.FilterSpec(ranges={"seats": [5, 7]}, defaults=DEFAULTS, open_top={"seats": 7}), ["AB12", "CD34", "IJ90"]),
+        (e.FilterSpec(ranges={"seats": [4, 5]}, defaults=DEFAULTS, open_top={"seats": 7}), ["AB12", "EF56"]),
+        (e.FilterSpec(years={"day": [2000, 2020]}), ["AB12", "CD34", "IJ90"]),
+    ],
+)
+def test_filter_spec(cars, spec, plates):
+    assert [r[0] for r in rows(e.facet_filter(cars, spec), "plate")] == plates
+
+
+def test_options(cars):
+    assert [tuple(r) for r in e.facet_options(cars, ["make", "color"]).collect()] == [
+        ("color", "blue"), ("color", "red"), ("make", "Audi"), ("make", "BMW")
+    ]
+    assert [r[0] for r in e.sorted_options(cars, "make").collect()] == ["Audi", "BMW"]
+    assert [tuple(r) for r in e.dependent_options(cars, "make", "model").collect()] == [
+        ("Audi", "A3"), ("Audi", "A4"), ("BMW", "M3")
+    ]
+    assert e.dependent_options(cars, "make", "model", "BMW").count() == 1
+
+
+def test_page_lookup_and_random(cars, spark):
+    page = e.search_page(cars, e.FilterSpec(equals={"make": "Audi"}), ["plate"], n=1).collect()
+    assert [(r["plate"], r["n_matches"]) for r in page] == [("AB12", 2)]
+    assert rows(e.key_lookup(cars, "plate", " ef-5 6"), "plate") == [("EF56",)]
+    wanted = spark.createDataFrame([("ab-12",), ("AB 12",), ("zz",)], "typed string")
+    assert rows(e.key_lookup(cars, "plate", wanted), "plate") == [("AB12",)]
+    once = rows(e.random_rows(cars, 2, 7, ["plate"]))
+    assert once == rows(e.random_rows(cars.repartition(3), 2, 7, ["plate"])) and len(once) == 2
+    draws = {tuple(rows(e.random_rows(cars, 1, seed, ["plate"]), "plate")) for seed in range(20)}
+    assert len(draws) > 1
+
+
+def state(**values):
+    return {**dict.fromkeys([*fs.LIST_FIELDS, *fs.RANGE_FIELDS]), **values}
+
+
+def states(spark, **columns):
+    return spark.createDataFrame([columns], ", ".join(f"{c}: {fs.STATE_TYPE}" for c in columns))
+
+
+def test_active_filter_count(spark):
+    none = {k: v for k, v in fs.RANGE_DEFAULTS.items()}
+    assert fs.active_filter_count(states(spark, state=state(**none, brands=[]))).first()["n_active"] == 0
+    some = state(brands=["Audi"], models=["A4", "A3"], seats=[2, 7], year_range=[2000, 2021], engine_range=[500, 8000])
+    assert fs.active_filter_count(states(spark, state=some)).first()["n_active"] == 4
+
+
+def test_filter_diff(spark):
+    old = state(brands=["Audi", "BMW"], models=[], colors=["red"], seats=[1, 7], engine_range=[500, 8000], year_range=[2000, 2020])
+    new = state(
+        brands=["BMW", "Audi"],
+        models=["a", "b", "c", "d"],
+        vehicle_types=["car", "bus"],
+        colors=[],
+        seats=[2, 7],
+        engine_range=[500, 3000],
+    )
+    assert fs.filter_diff(states(spark, current=old, suggested=new)).first()["changes"] == [
+        "Models: 4 items selected",
+        "Vehicle Types: car, bus",
+        "Engine Size: 500-3000",
+        "Number of Seats: 2-7+",
+    ]
+
+
+@pytest.mark.parametrize(
+    "reply,message,brands,seats",
+    [
+        ('{"message": "ok", "filters": {"brands": ["Audi"], "seats": [2, 5]}}', "ok", ["Audi"], [2, 5]),
+        ('Sure!\n{"message": "ok", "filters": {"brands": null}}\nBye', "ok", ["BMW"], [1, 7]),
+        ('{"filters": {}}', "I can help you find cars.", ["BMW"], [1, 7]),
+        ("no json at all", "no json at all", ["BMW"], [1, 7]),
+        ('{"message": broken}', '{"message": broken}', ["BMW"], [1, 7]),
+        ("} backwards {", "} backwards {", ["BMW"], [1, 7]),
+    ],
+)
+def test_parse_reply(spark, reply, message, brands, seats):
+    df = states(spark, current=state(brands=["BMW"], seats=[1, 7])).withColumn("reply", F.lit(reply))
+    out = fs.parse_reply(df).first()
+    assert (out["message"], out["filters"]["brands"], out["filters"]["seats"]) == (message, brands, seats)
+
+
+def test_gold(spark):
+    data = [("A", "Audi", "Nee", True), ("B", "Audi", "Ja", True), ("C", "BMW", None, True), ("D", "Audi", "Nee", False)]
+    df = spark.createDataFrame(data, "plate string, make string, export string, __is_current boolean")
+    assert rows(g.business_filter(df, {"export": "Nee"}), "plate") == [("A",)]
+    assert rows(g.business_filter(df, {"export": "Nee"}, current_only=False), "plate") == [("A",), ("D",)]
+    assert rows(g.dedup_first(df, ["make"], ["plate"]), "plate") == [("A",), ("C",)]
+    lookup = spark.createDataFrame([("Audi", "DE")], "name string, land string")
+    assert rows(g.enrich_lookup(df, lookup, {"make": "name"}), "plate", "land") == [
+        ("A", "DE"), ("B", "DE"), ("C", None), ("D", "DE")
+    ]
+
+
+def test_metric_view(spark, cars):
+    view = MetricView({"make": "make"}, {"n": "COUNT(plate)", "models": "COUNT(DISTINCT model)"}, source="cars_view")
+    assert rows(view.query(cars, ["make"], ["n"])) == [(None, 1), ("Audi", 2), ("BMW", 2)]
+    assert tuple(view.query(cars, where="cc > 1000").first()) == (3, 3)
+    cars.createOrReplaceTempView("cars_view")
+    assert tuple(view.query(spark, measures=["n"]).first()) == (5,)
+    with pytest.raises(KeyError):
+        view.query(cars, ["nope"])
+    text = "source: s\ncomment: |\n  About cars\ndimensions:\n  - {name: make, expr: make, comment: Brand}\nmeasures:\n  - {name: n, expr: COUNT(1)}\n"
+    parsed = MetricView.from_yaml(text)
+    assert (parsed.source, parsed.comment, parsed.comments) == ("s", "About cars", {"make": "Brand"})
+
+
+def test_series_and_parameters(spark):
+    df = spark.createDataFrame([("2024-01-31", 1), ("2024-02-01", 2), ("2024-04-30", 3)], "d string, v int").withColumn(
+        "d", F.to_timestamp("d")
+    )
+    assert [r["v"] for r in time_series(df, "d", "quarter", {"v": "SUM(v)"}).orderBy("period").collect()] == [3, 3]
+    compared = period_compare(df, "d", "MONTH", "SUM(v)", name="v").orderBy("period").collect()
+    assert [(r["v"], r["previous_v"], r["change"], r["ratio"]) for r in compared] == [
+        (1, None, None, None), (2, 1, 1, 2.0), (3, 2, 1, 1.5)
+    ]
+    with pytest.raises(ValueError):
+        time_series(df, "d", "fortnight", {"v": "SUM(v)"})
+    declared = [Parameter("since", "DATETIME", "2024-02-01T00:00:00"), Parameter("top", "INTEGER", "9")]
+    sql = "SELECT count(*) AS n FROM {df} WHERE d >= :since AND v <= :top"
+    assert param_query(spark, sql, declared, tables={"df": df}).first()["n"] == 2
+    assert param_query(spark, sql, declared, {"top": "2"}, {"df": df}).first()["n"] == 1
+    # Values are bound, never pasted into the text.
+    quoted = [Parameter("name", "STRING")]
+    assert param_query(spark, "SELECT :name AS x", quoted, {"name": "'; DROP"}).first()["x"] == "'; DROP"
+    with pytest.raises(ValueError):
+        param_query(spark, sql, declared, {"other": 1}, {"df": df})
