@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame
@@ -181,6 +181,11 @@ def row_counts(df: DataFrame, checks: Sequence[Check], quarantine_warnings: bool
     )
 
 
+def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows whose key is complete."""
+    return df.filter(reduce(and_, [F.col(k).isNotNull() for k in keys]))
+
+
 def pk_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that occur more than once.  Counting is partial before the shuffle, so hot keys are cheap."""
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
@@ -192,10 +197,12 @@ def split_unique(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFra
     The rows stay on the left of a semi/anti join: if one key is hot, adaptive execution
     splits its partition, and if no key repeats, the join disappears at run time.
     """
-    repeated = pk_violations(df.dropna(subset=list(keys)), keys).select(
+    repeated = pk_violations(with_keys(df, keys), keys).select(
         *[F.col(k).alias(f"__repeated_{i}") for i, k in enumerate(keys)]
     )
-    same = [F.col(k) == F.col(f"__repeated_{i}") for i, k in enumerate(keys)]
+    # The null-safe comparison gives the right side a shuffle of its own, without which a
+    # hot partition of the left could not be split.
+    same = [F.col(k).eqNullSafe(F.col(f"__repeated_{i}")) for i, k in enumerate(keys)]
     return df.join(repeated, same, "left_anti"), df.join(repeated, same, "left_semi")
 
 
@@ -208,7 +215,6 @@ def fk_orphans(
     """
     parent_cols = list(parent_cols or child_cols)
     wanted = parent.select(*[F.col(p).alias(f"__parent_{i}") for i, p in enumerate(parent_cols)])
-    complete = child.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in child_cols]))
-    return complete.join(
+    return with_keys(child, child_cols).join(
         wanted, [F.col(c) == F.col(f"__parent_{i}") for i, c in enumerate(child_cols)], "left_anti"
     )

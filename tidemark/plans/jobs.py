@@ -95,7 +95,7 @@ def job_silver(
     counts = quality.row_counts(bronze, checks).first()
     valid, rejected = quality.split(bronze, checks)
     keys = contract.primary_keys()
-    keys_unique = not contract.tracked or quality.pk_violations(valid.dropna(subset=keys), keys).isEmpty()
+    keys_unique = not contract.tracked or quality.pk_violations(quality.with_keys(valid, keys), keys).isEmpty()
     if not keys_unique:
         valid, repeated = quality.split_unique(valid, keys)
         rejected = rejected.unionByName(quality.annotate_with(repeated, quality.KEY_REPEATED, keys))
