@@ -66,7 +66,7 @@ def test_tolerant_int(spark):
 
 def test_tolerant_date(spark):
     cases = {"20240229": "2024-02-29", "20230229": None, "20231399": None, "2023139": None, "2023-01-15": None,
-             "202301011": None, "abc": None, None: None}
+             "202301011": None, "abc": None, "00000101": None, "2024 1 1": None, None: None}
     df = spark.createDataFrame([(k,) for k in cases], "c string").select("c", tolerant_date(F.col("c")).alias("d"))
     assert {r["c"]: r["d"] and str(r["d"]) for r in df.collect()} == cases
     assert str(spark.range(20240131, 20240132).select(tolerant_date(F.col("id"))).first()[0]) == "2024-01-31"

@@ -39,28 +39,18 @@ def as_number(column: Column) -> Column:
     return F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double"))
 
 
-def _whole(number: Column) -> Column:
-    """Digits of a double without fraction; doubles beyond bigint keep all their digits."""
-    number = F.when(number == 0, F.lit(0.0)).otherwise(number)
-    return F.when(F.abs(number) < 9e15, number.try_cast("bigint").cast("string")).otherwise(
-        number.try_cast("decimal(38,0)").cast("string")
-    )
-
-
-def _truncated(number: Column) -> Column:
-    return number - number % 1
+def _digits(number: Column) -> Column:
+    """A double's whole part as text; beyond bigint a decimal keeps all digits."""
+    whole = number.try_cast("bigint").cast("string")
+    return F.coalesce(whole, (number - number % 1).try_cast("decimal(38,0)").cast("string"))
 
 
 def _engine_size(number: Column) -> Column:
-    cc = _truncated(number)
-    litres = cc / 1000
+    cc = number.try_cast("bigint")
     # format_number rounds the binary value half-even, as printf does.
-    one_decimal = F.call_function("format_number", litres, F.lit("0.0"))
-    return (
-        F.when(cc < 1000, F.concat(_whole(cc), F.lit("cc")))
-        .when(litres == _truncated(litres), F.concat(_whole(litres), F.lit("L")))
-        .otherwise(F.concat(one_decimal, F.lit("L")))
-    )
+    one_decimal = F.call_function("format_number", cc / 1000, F.lit("0.0"))
+    litres = F.when(cc % 1000 == 0, F.call_function("div", cc, F.lit(1000)).cast("string")).otherwise(one_decimal)
+    return F.when(cc < 1000, F.concat(cc.cast("string"), F.lit("cc"))).otherwise(F.concat(litres, F.lit("L")))
 
 
 def format_value(column: Column, kind: str = "number") -> Column:
@@ -78,7 +68,7 @@ def format_value(column: Column, kind: str = "number") -> Column:
     if kind == "cc":
         shown = _engine_size(number)
     elif kind == "number":
-        shown = _whole(F.rint(number))
+        shown = _digits(F.rint(number))
     else:
-        shown = F.concat(_whole(_truncated(number)), F.lit(UNIT_SUFFIX[kind]))
+        shown = F.concat(_digits(number), F.lit(UNIT_SUFFIX[kind]))
     return F.coalesce(shown, text)

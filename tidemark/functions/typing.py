@@ -10,24 +10,28 @@ from pyspark.sql import types as T
 
 # Compact date format of the extracts.
 COMPACT_DATE = "yyyyMMdd"
-COMPACT_DATE_PATTERN = r"^\d{8}$"
+COMPACT_DATE_PATTERN = r"^(?!0000)\d{8}$"
 
 
 def tolerant_int(column: Column, dtype: str = "int") -> Column:
     """Text to an integer type: a plain fraction is cut off, anything else unreadable is NULL."""
     text = F.trim(column.cast("string"))
-    whole = F.when(text.rlike(r"^[+-]?\d+\.\d*$"), F.regexp_replace(text, r"\.\d*$", ""))
-    return F.when(text.rlike(r"^[+-]?\.\d*$"), F.lit(0).cast(dtype)).otherwise(
-        F.coalesce(whole, text).try_cast(dtype)
+    without_fraction = F.regexp_replace(text, r"\.\d*$", "")
+    return F.coalesce(
+        text.try_cast(dtype),
+        F.when(text.rlike(r"^[+-]?\d+\.\d*$"), without_fraction.try_cast(dtype)),
+        F.when(text.rlike(r"^[+-]?\.\d*$"), F.lit(0).cast(dtype)),
     )
 
 
 def tolerant_date(column: Column, fmt: str = COMPACT_DATE) -> Column:
     """Text or a number such as 20240131 to a date."""
     text = column.cast("string")
-    if fmt == COMPACT_DATE:
-        text = F.when(text.rlike(COMPACT_DATE_PATTERN), text)
-    return F.try_to_date(text, fmt)
+    if fmt != COMPACT_DATE:
+        return F.try_to_date(text, fmt)
+    # The cast from ISO text is several times cheaper than parsing by a pattern.
+    iso = F.concat_ws("-", F.substring(text, 1, 4), F.substring(text, 5, 2), F.substring(text, 7, 2))
+    return F.when(text.rlike(COMPACT_DATE_PATTERN), iso.try_cast("date"))
 
 
 def tolerant_cast(column: Column, source: T.DataType, target: T.DataType) -> Column:

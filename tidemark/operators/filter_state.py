@@ -88,23 +88,17 @@ def parse_reply(replies: DataFrame, reply: str = "reply", current: str = "curren
     is itself the message and changes nothing.
     """
     text = F.nullif(F.regexp_extract(F.trim(F.col(reply)), r"(?s)\{.*\}", 0), F.lit(""))
-    readable = F.try_parse_json(text).isNotNull()
-    parsed = F.from_json(text, f"message string, filters {STATE_TYPE}")
+    # NULL unless the text is readable; one column, so that it is parsed once per row.
+    parsed = F.when(F.try_parse_json(text).isNotNull(), F.from_json(text, f"message string, filters {STATE_TYPE}"))
     merged = [
-        F.when(readable, F.coalesce(F.col(f"__parsed.filters.{name}"), F.col(f"{current}.{name}")))
-        .otherwise(F.col(f"{current}.{name}"))
-        .alias(name)
+        F.coalesce(F.col(f"__parsed.filters.{name}"), F.col(f"{current}.{name}")).alias(name)
         for name in (*LIST_FIELDS, *RANGE_FIELDS)
     ]
+    message = F.when(F.col("__parsed").isNull(), F.col(reply)).otherwise(
+        F.coalesce(F.col("__parsed.message"), F.lit(DEFAULT_MESSAGE))
+    )
     return (
         replies.withColumn("__parsed", parsed)
-        .withColumns(
-            {
-                "message": F.when(
-                    readable, F.coalesce(F.col("__parsed.message"), F.lit(DEFAULT_MESSAGE))
-                ).otherwise(F.col(reply)),
-                "filters": F.struct(*merged),
-            }
-        )
+        .withColumns({"message": message, "filters": F.struct(*merged)})
         .drop("__parsed")
     )

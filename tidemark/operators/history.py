@@ -63,34 +63,35 @@ def _bucket_for_null_keys(keys: Sequence[str], columns: Sequence[str]) -> Column
     return F.when(_any_null(keys), stable_bucket([F.col(c) for c in columns], _NULL_KEY_BUCKETS)).otherwise(0)
 
 
+def _side(df: DataFrame, prefix: str, keys: Sequence[str], hashed: Sequence[str]) -> DataFrame:
+    return df.select(
+        *[F.col(c).alias(f"{prefix}{c}") for c in df.columns],
+        row_hash_of([F.col(c) for c in hashed]).alias(f"{prefix}hash"),
+        _bucket_for_null_keys(keys, df.columns).alias(f"{prefix}bucket"),
+        F.lit(True).alias(f"{prefix}here"),
+    )
+
+
 def _full_join(old: DataFrame, new: DataFrame, keys: Sequence[str], hashed: Sequence[str]) -> DataFrame:
-    """One row per key with the structs ``old`` and ``new``, either NULL when absent."""
-
-    def packed(df: DataFrame, side: str) -> DataFrame:
-        return df.select(
-            F.struct("*").alias(side),
-            row_hash_of([F.col(c) for c in hashed]).alias(f"{side}_hash"),
-            _bucket_for_null_keys(keys, df.columns).alias(f"{side}_bucket"),
-            *[F.col(k).alias(f"{side}_key_{i}") for i, k in enumerate(keys)],
-        )
+    """One row per key, with ``old_`` and ``new_`` columns side by side.
 
-    same_key = [F.col(f"old_key_{i}") == F.col(f"new_key_{i}") for i in range(len(keys))]
-    return packed(old, "old").join(
-        packed(new, "new"), [*same_key, F.col("old_bucket") == F.col("new_bucket")], "full_outer"
-    )
+    Plain columns, not structs, so that columns nobody asks for are pruned on both sides.
+    """
+    same = [F.col(f"old_{c}") == F.col(f"new_{c}") for c in (*keys, "bucket")]
+    return _side(old, "old_", keys, hashed).join(_side(new, "new_", keys, hashed), same, "full_outer")
 
 
 def _status(compared: Sequence[str], compare: str) -> Column:
     if compare == "hash":
         differs = F.col("old_hash") != F.col("new_hash")
     elif compare == "columns":
-        same = [F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in compared]
+        same = [F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}")) for c in compared]
         differs = ~reduce(and_, same, F.lit(True))
     else:
         raise ValueError(f"compare by 'hash' or 'columns', not {compare!r}")
     return (
-        F.when(F.col("old").isNull(), INSERT)
-        .when(F.col("new").isNull(), DELETE)
+        F.when(F.col("old_here").isNull(), INSERT)
+        .when(F.col("new_here").isNull(), DELETE)
         .when(differs, UPDATE)
         .otherwise(NO_CHANGE)
     )
@@ -113,13 +114,13 @@ def detect_changes(
         return row_hash(new, compared).withColumn(OPERATION, F.lit(INSERT))
     shown = new.columns if all_columns else [*keys, *compared]
     old = _completed(old, _types(new)).select(*shown)
-    gone = F.col("new").isNull()
+    gone = F.col("new_here").isNull()
     return (
         _full_join(old, new.select(*shown), keys, compared)
         .withColumn(OPERATION, _status(compared, compare))
         .filter(F.col(OPERATION) != NO_CHANGE)
         .select(
-            *[F.when(gone, F.col(f"old.{c}")).otherwise(F.col(f"new.{c}")).alias(c) for c in shown],
+            *[F.when(gone, F.col(f"old_{c}")).otherwise(F.col(f"new_{c}")).alias(c) for c in shown],
             F.col(OPERATION),
             F.coalesce("new_hash", "old_hash").alias(HASH),
         )
@@ -209,54 +210,42 @@ def next_versions(
 ) -> DataFrame:
     """What becomes of the open rows when ``new`` arrives: unchanged, closed and added rows.
 
-    A single full outer join detects, classifies and numbers.  Each joined row then emits
+    A single full outer join detects, classifies and numbers.  Each joined row then becomes
     one or two history rows, so neither side is read or shuffled twice.
     """
     compared = comparison_columns(new, keys, tracking, exclude)
     old_types = {c: t for c, t in _types(open_rows).items() if c not in META}
     target = {**old_types, **{c: t for c, t in _types(new).items() if c not in old_types}}
-    data = list(target)
     old, new = _completed(open_rows, target), _completed(new, target)
 
-    status, at, now = F.col("__status"), as_timestamp(ts), _now(processed_time)
-    stays = status == NO_CHANGE
-
-    def history_row(side: str, meta: dict[str, Column]) -> Column:
-        fields = [F.col(f"{side}.{c}").cast(target[c]).alias(c) for c in data]
-        kinds = {name: ddl for name, (ddl, _) in HISTORY_COLUMNS.items()}
-        return F.struct(*fields, *[meta[m].cast(kinds[m]).alias(m) for m in META])
-
-    kept = history_row(
-        "old",
-        {
-            FROM: F.col(f"old.{FROM}"),
-            TO: F.when(stays, F.col(f"old.{TO}")).otherwise(at),
-            CURRENT: stays,
-            OPERATION: F.when(status == DELETE, DELETE).otherwise(F.col(f"old.{OPERATION}")),
-            PROCESSED: F.when(stays, F.col(f"old.{PROCESSED}")).otherwise(now),
-            HASH: F.col(f"old.{HASH}"),
-            VERSION: F.col(f"old.{VERSION}"),
-        },
-    )
-    added = history_row(
-        "new",
-        {
-            FROM: at,
-            TO: _no_time(),
-            CURRENT: F.lit(True),
-            OPERATION: status,
-            PROCESSED: now,
-            HASH: F.col("new_hash"),
-            VERSION: F.coalesce(F.col(f"old.{VERSION}"), F.lit(0)) + 1,
-        },
-    )
-    emitted = (
-        F.when(status == UPDATE, F.array(kept, added)).when(status == INSERT, F.array(added)).otherwise(F.array(kept))
+    status, added, at, now = F.col("__status"), F.col("__added"), as_timestamp(ts), _now(processed_time)
+    stays, closes = status == NO_CHANGE, ~added & (status != NO_CHANGE)
+    rows = (
+        F.when(status == UPDATE, F.array(F.lit(False), F.lit(True)))
+        .when(status == INSERT, F.array(F.lit(True)))
+        .otherwise(F.array(F.lit(False)))
     )
+
+    def pick(new_value: Column, old_value: Column) -> Column:
+        return F.when(added, new_value).otherwise(old_value)
+
+    meta = {
+        FROM: pick(at, F.col(f"old_{FROM}")),
+        TO: F.when(closes, at).when(~added, F.col(f"old_{TO}")),
+        CURRENT: added | stays,
+        OPERATION: pick(status, F.when(status == DELETE, DELETE).otherwise(F.col(f"old_{OPERATION}"))),
+        PROCESSED: F.when(~added & stays, F.col(f"old_{PROCESSED}")).otherwise(now),
+        HASH: pick(F.col("new_hash"), F.col(f"old_{HASH}")),
+        VERSION: pick(F.coalesce(F.col(f"old_{VERSION}"), F.lit(0)) + 1, F.col(f"old_{VERSION}")),
+    }
     return (
         _full_join(old, new, keys, compared)
         .withColumn("__status", _status(compared, compare))
-        .select(F.inline(emitted))
+        .withColumn("__added", F.explode(rows))
+        .select(
+            *[pick(F.col(f"new_{c}").cast(t), F.col(f"old_{c}")).alias(c) for c, t in target.items()],
+            *[meta[m].cast(ddl).alias(m) for m, (ddl, _) in HISTORY_COLUMNS.items()],
+        )
     )
 
 
@@ -274,7 +263,11 @@ def apply_snapshot(
     processed_time: Column | datetime | str | None = None,
     compare: str = "hash",
 ) -> DataFrame:
-    """The full history after ``new``; closed rows pass by without a shuffle."""
+    """The full history after ``new``; closed rows pass by without a shuffle.
+
+    The history is read for its open and for its closed rows, so between snapshots keep it
+    in a table (``HistoryStore``, ``scratch.stored``); for many snapshots at once see ``replay``.
+    """
     if history is None:
         return initial_load(new, keys, ts, tracking, exclude, processed_time)
     versions = next_versions(

@@ -202,7 +202,7 @@ def _states(spark: SparkSession, sf_dir: str) -> DataFrame:
         ints(2000, F.lit(2020)).alias("year_range"),
     )
     events = table(spark, sf_dir, "events").select("event_id", "event_type", _number().alias("k"))
-    return events.select("event_id", current.alias("current"), suggested.alias("suggested"))
+    return events.select("event_id", "event_type", "k", current.alias("current"), suggested.alias("suggested"))
 
 
 _EVENTS = "e AS (SELECT event_id, event_type, CAST(json_extract(props, '$.k') AS INT) AS k FROM events)"
@@ -255,8 +255,7 @@ def _filter_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM e""",
 )
 def _parse_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select("event_id", "event_type", _number().cast("string").alias("n"))
-    kind, n = F.col("event_type"), F.col("n")
+    kind, n = F.col("event_type"), F.col("k").cast("string")
     reply = (
         F.when(kind == "click", F.concat(F.lit("Nothing to set for "), n))
         .when(kind == "error", F.concat(F.lit('{"message": "cut off '), n))
@@ -265,15 +264,13 @@ def _parse_reply(spark: SparkSession, sf_dir: str) -> DataFrame:
             kind == "view",
             F.concat(
                 F.lit('Sure:\n{"message": "Found {some} cars", "filters": {"brands": null, "seats": [2, 3], "year_range": ['),
-                (n.cast("int") + 1990).cast("string"),
+                (F.col("k") + 1990).cast("string"),
                 F.lit(", 2020]}}\nAnything else?"),
             ),
         )
         .otherwise(F.concat(F.lit('{"filters": {"brands": ["Brand#'), n, F.lit('", "other"], "seats": [1, 3]}}')))
     )
-    states = _states(spark, sf_dir).select("event_id", "current")
-    replies = events.select("event_id", reply.alias("reply")).join(states, "event_id")
-    return fs.parse_reply(replies).select(
+    return fs.parse_reply(_states(spark, sf_dir).withColumn("reply", reply)).select(
         "event_id",
         "message",
         F.array_join("filters.brands", ",").alias("brands"),

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...operators import history as h
-from ...scratch import new_folder
+from ...scratch import new_folder, stored
 from ...sinks.history_store import HistoryStore
 from ...sinks.tables import save_table
 from ...sources.files import scan_parquet
@@ -30,9 +30,11 @@ from .snapshots import (
 
 
 def history_after(spark: SparkSession, sf_dir: str, dumps: str) -> DataFrame:
-    """Apply the dumps in turn."""
+    """Apply the dumps in turn; a history that took a join is stored before the next one."""
     history = None
-    for s in dumps:
+    for n, s in enumerate(dumps):
+        if n > 1:
+            history = stored(history, "history")
         history = h.apply_snapshot(history, snapshot(spark, sf_dir, s), KEYS, TIMES[s])
     return history
 

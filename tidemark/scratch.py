@@ -10,7 +10,7 @@ import tempfile
 import uuid
 from functools import lru_cache
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 @lru_cache(maxsize=None)
@@ -31,3 +31,14 @@ def shared_dir(spark: SparkSession) -> str:
 def new_folder(spark: SparkSession, label: str) -> str:
     """A fresh, not yet existing folder below the shared one.  The caller owns it."""
     return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The same rows from a table in the shared folder, with the lineage cut.
+
+    The table outlives lost executors, and whatever reads it twice computes nothing twice.
+    """
+    spark = df.sparkSession
+    path = new_folder(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
