@@ -142,9 +142,13 @@ def load_yaml(source: str | Path):
 
 
 def contracts_from_yaml(source: str | Path) -> list[TableContract]:
+    return contracts_from_entries(load_yaml(source))
+
+
+def contracts_from_entries(entries: Iterable[dict]) -> list[TableContract]:
     """One entry per table; a column is ``[input, output, type, pk|fk=table]``, the last two optional."""
     out = []
-    for entry in load_yaml(source):
+    for entry in entries:
         columns = []
         for input_col, output_col, *rest in entry["columns"]:
             column = ColumnContract(input_col, output_col, rest[0] if rest else "string")
@@ -154,6 +158,13 @@ def contracts_from_yaml(source: str | Path) -> list[TableContract]:
             elif role.startswith("fk="):
                 column = replace(column, fk=ForeignKey(role[3:], output_col))
             columns.append(column)
-        out.append(TableContract(entry["name"], tuple(columns), entry.get("tracked", False),
-                                 entry.get("description", ""), entry.get("url")))
+        out.append(
+            TableContract(
+                entry["name"],
+                tuple(columns),
+                entry.get("tracked", False),
+                entry.get("description", ""),
+                entry.get("url"),
+            )
+        )
     return out

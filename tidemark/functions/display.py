@@ -12,7 +12,7 @@ UNKNOWN = "Unknown"
 NOT_REGISTERED = "Niet geregistreerd"
 UNIT_SUFFIX = {"kg": "kg", "mm": "mm", "kmh": "km/h", "kw": "kW", "gkm": "g/km", "count": ""}
 DISPLAY_DATE = "MMMM dd, yyyy"
-KINDS = ("text", "date", "cc", *UNIT_SUFFIX, "number")
+KINDS = ("text", "date", "year", "cc", *UNIT_SUFFIX, "number")
 
 _NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
@@ -54,16 +54,19 @@ def _engine_size(number: Column) -> Column:
 
 
 def format_value(column: Column, kind: str = "number") -> Column:
-    """Show a value by its kind; text that cannot be read as that kind stays as it is."""
+    """Show a value by its kind; text that cannot be read as that kind stays as it is.
+
+    Only the year of an unreadable date is left out.
+    """
     if kind not in KINDS:
         raise ValueError(f"unknown kind {kind!r}; known: {', '.join(KINDS)}")
     text = column.cast("string")
     if kind == "text":
         return text
-    if kind == "date":
-        compact = tolerant_date(text)
+    if kind in ("date", "year"):
         iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(text, 1, 10).try_cast("date"))
-        return F.coalesce(F.date_format(F.coalesce(compact, iso), DISPLAY_DATE), text)
+        day = F.coalesce(tolerant_date(text), iso)
+        return F.year(day).cast("string") if kind == "year" else F.coalesce(F.date_format(day, DISPLAY_DATE), text)
     number = as_number(column)
     if kind == "cc":
         shown = _engine_size(number)

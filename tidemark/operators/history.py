@@ -72,12 +72,17 @@ def _side(df: DataFrame, prefix: str, keys: Sequence[str], hashed: Sequence[str]
     )
 
 
-def _full_join(old: DataFrame, new: DataFrame, keys: Sequence[str], hashed: Sequence[str]) -> DataFrame:
+def _full_join(
+    old: DataFrame, new: DataFrame, keys: Sequence[str], hashed: Sequence[str], complete_keys: bool = False
+) -> DataFrame:
     """One row per key, with ``old_`` and ``new_`` columns side by side.
 
     Plain columns, not structs, so that columns nobody asks for are pruned on both sides.
+    When no key is NULL, the keys alone decide the partitioning, which a bucketed table
+    may already have.
     """
-    same = [F.col(f"old_{c}") == F.col(f"new_{c}") for c in (*keys, "bucket")]
+    matched = keys if complete_keys else [*keys, "bucket"]
+    same = [F.col(f"old_{c}") == F.col(f"new_{c}") for c in matched]
     return _side(old, "old_", keys, hashed).join(_side(new, "new_", keys, hashed), same, "full_outer")
 
 
@@ -207,6 +212,7 @@ def next_versions(
     exclude: Sequence[str] = (),
     processed_time: Column | datetime | str | None = None,
     compare: str = "hash",
+    complete_keys: bool = False,
 ) -> DataFrame:
     """What becomes of the open rows when ``new`` arrives: unchanged, closed and added rows.
 
@@ -239,7 +245,7 @@ def next_versions(
         VERSION: pick(F.coalesce(F.col(f"old_{VERSION}"), F.lit(0)) + 1, F.col(f"old_{VERSION}")),
     }
     return (
-        _full_join(old, new, keys, compared)
+        _full_join(old, new, keys, compared, complete_keys)
         .withColumn("__status", _status(compared, compare))
         .withColumn("__added", F.explode(rows))
         .select(

@@ -42,7 +42,10 @@ class MetricView:
 
     @classmethod
     def from_yaml(cls, source: str | Path) -> "MetricView":
-        d = load_yaml(source)
+        return cls.from_values(load_yaml(source))
+
+    @classmethod
+    def from_values(cls, d: Mapping) -> "MetricView":
         both = [*d.get("dimensions", []), *d["measures"]]
         return cls(
             dimensions={e["name"]: str(e["expr"]) for e in d.get("dimensions", [])},

@@ -82,6 +82,7 @@ def job_silver(
     layers: Layers,
     ts: datetime | str,
     processed_time: datetime | str | None = None,
+    buckets: int | None = None,
 ) -> SilverRun:
     """Quality split, then history for tracked tables, or plain overwrite.
 
@@ -102,7 +103,8 @@ def job_silver(
     save_quarantine(rejected, layers.quarantine, None if not keys_unique else counts["n_quarantined"])
     gen = None
     if contract.tracked:
-        gen = HistoryStore(spark, layers.silver).merge(valid, keys, ts, processed_time=processed_time)
+        store = HistoryStore(spark, layers.silver, buckets)
+        gen = store.merge(valid, keys, ts, processed_time=processed_time)
     else:
         save_table(valid, layers.silver)
     return SilverRun(counts["n_total"], counts["n_quarantined"], keys_unique, gen)
@@ -138,10 +140,11 @@ def job_all_layers(
     ts: datetime | str,
     folder: str | None = None,
     processed_time: datetime | str | None = None,
+    buckets: int | None = None,
 ) -> SilverRun:
     job_bronze(spark, contract, landing, layers, folder)
     job_prepare_silver(spark, contract, layers)
-    run = job_silver(spark, contract, checks, layers, ts, processed_time)
+    run = job_silver(spark, contract, checks, layers, ts, processed_time, buckets)
     job_gold(spark, spec, layers)
     return run
 

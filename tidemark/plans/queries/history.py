@@ -130,6 +130,14 @@ def _scd2_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(store.read_all())
 
 
+@query("scd2_merge_bucketed", f"WITH {ISLAND_SQL} SELECT {HISTORY_SQL} FROM hist_c")
+def _scd2_merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = HistoryStore(spark, new_folder(spark, "history"), buckets=8)
+    for s in "abc":
+        store.merge(snapshot(spark, sf_dir, s), KEYS, TIMES[s])
+    return plain(store.read_all())
+
+
 @query(
     "scd2_process",
     f"""

@@ -5,14 +5,20 @@ A run writes ``rows/gen=N`` once, partitioned by ``__is_current``, and then adds
 all runs up to it, by partition pruning.  No path is read and overwritten in one job, closed
 rows are never rewritten, and a run that died before its commit line is invisible: the
 next try overwrites it.  One writer at a time.
+
+With ``buckets`` set, runs are written as Spark bucketed tables over the same folders.  The
+open rows then join the next snapshot where they are, and only the snapshot is shuffled.
 """
 
 from __future__ import annotations
 
+import hashlib
+import uuid
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,48 +27,69 @@ from ..functions.typing import as_timestamp
 from ..operators import history as h
 from .tables import existing_schema
 
-_COMMIT = "gen int, at timestamp"
+_COMMIT = "gen int, at timestamp, buckets int, keys array<string>"
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 class HistoryStore:
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
         self.spark = spark
         self.path = path.rstrip("/")
+        self.buckets = buckets
 
-    def last_commit(self) -> Row | None:
-        """Number and time of the last complete run."""
+    # --- commits -----------------------------------------------------------------------
+
+    def _commits(self) -> DataFrame | None:
         try:
-            commits = self.spark.read.schema(_COMMIT).parquet(f"{self.path}/commits")
+            return self.spark.read.schema(_COMMIT).parquet(f"{self.path}/commits")
         except AnalysisException as error:
             if error.getCondition() == "PATH_NOT_FOUND":
                 return None
             raise
-        last = commits.agg(F.max(F.struct("gen", "at")).alias("last")).first()["last"]
-        return last
+
+    def last_commit(self) -> Row | None:
+        """The last complete run: its number, time and bucketing."""
+        commits = self._commits()
+        return None if commits is None else commits.orderBy(F.desc("gen")).first()
 
     def has_commit(self, ts: datetime | str) -> bool:
         """Whether the snapshot of that time is already in the history."""
-        if self.last_commit() is None:
-            return False
-        commits = self.spark.read.schema(_COMMIT).parquet(f"{self.path}/commits")
-        return not commits.filter(F.col("at") == as_timestamp(ts)).isEmpty()
+        commits = self._commits()
+        return commits is not None and not commits.filter(F.col("at") == as_timestamp(ts)).isEmpty()
 
     def exists(self) -> bool:
         return self.last_commit() is not None
 
+    def _add_commit(self, gen: int, at: Column, keys: Sequence[str]) -> None:
+        line = self.spark.range(1).select(
+            F.lit(gen).alias("gen"),
+            at.alias("at"),
+            F.lit(self.buckets or 0).alias("buckets"),
+            F.array(*[F.lit(k) for k in keys]).cast("array<string>").alias("keys"),
+        )
+        line.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+
+    # --- reading -----------------------------------------------------------------------
+
+    def _data_fields(self, last: Row) -> list[T.StructField]:
+        # Columns are only ever added, so the last run knows them all, unless it was empty.
+        newest = existing_schema(self.spark, f"{self.path}/rows/gen={last['gen']}")
+        known = newest or existing_schema(self.spark, f"{self.path}/rows")
+        return [f for f in known.fields if f.name not in ("gen", h.CURRENT)]
+
     def _read(self, last: Row | None, open_only: bool) -> DataFrame:
         if last is None:
             raise LookupError(f"no history at {self.path}")
-        # Columns are only ever added, so the last run knows them all.
-        newest = existing_schema(self.spark, f"{self.path}/rows/gen={last['gen']}")
-        columns = [f for f in (newest or existing_schema(self.spark, f"{self.path}/rows")).fields
-                   if f.name not in ("gen", h.CURRENT)]
-        layout = T.StructType(columns).add("gen", T.IntegerType()).add(h.CURRENT, T.StringType())
+        fields = self._data_fields(last)
+        layout = T.StructType([*fields]).add("gen", T.IntegerType()).add(h.CURRENT, T.StringType())
         rows = self.spark.read.schema(layout).parquet(f"{self.path}/rows")
         is_open = (F.col("gen") == last["gen"]) & (F.col(h.CURRENT) == "true")
         is_closed = (F.col("gen") <= last["gen"]) & (F.col(h.CURRENT) == "false")
         wanted = rows.filter(is_open if open_only else is_open | is_closed)
-        data = [c for c in rows.columns if c not in (*h.META, "gen")]
+        data = [f.name for f in fields if f.name not in h.META]
         return wanted.withColumn(h.CURRENT, F.col(h.CURRENT).cast("boolean")).select(*data, *h.META)
 
     def read_open(self) -> DataFrame:
@@ -74,10 +101,52 @@ class HistoryStore:
     def current_records(self) -> DataFrame:
         return self.read_open().drop(*h.META)
 
-    def _commit(self, rows: DataFrame, gen: int, ts) -> None:
-        rows.write.mode("overwrite").partitionBy(h.CURRENT).parquet(f"{self.path}/rows/gen={gen}")
-        line = self.spark.range(1).select(F.lit(gen).alias("gen"), as_timestamp(ts).alias("at"))
-        line.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+    def schema(self) -> T.StructType:
+        return self.read_all().schema
+
+    def _declare(
+        self,
+        name: str,
+        fields: list[T.StructField],
+        keys: Sequence[str],
+        buckets: int,
+        folder: str,
+        partitioned: bool,
+    ) -> None:
+        """A bucketed external table over a folder; dropping it leaves the files."""
+        columns = ", ".join(f"{_quoted(f.name)} {f.dataType.simpleString()}" for f in fields)
+        clustered = ", ".join(_quoted(k) for k in keys)
+        by = f"PARTITIONED BY ({h.CURRENT})" if partitioned else ""
+        location = folder.replace("'", "\\'")
+        self.spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {by} "
+            f"CLUSTERED BY ({clustered}) INTO {buckets} BUCKETS LOCATION '{location}'"
+        )
+
+    def _read_open_bucketed(self, last: Row) -> DataFrame:
+        folder = f"{self.path}/rows/gen={last['gen']}/{h.CURRENT}=true"
+        fields = self._data_fields(last)
+        name = "tidemark_open_" + hashlib.md5(folder.encode()).hexdigest()
+        self._declare(name, fields, last["keys"], last["buckets"], folder, partitioned=False)
+        data = [f.name for f in fields if f.name not in h.META]
+        return self.spark.read.table(name).withColumn(h.CURRENT, F.lit(True)).select(*data, *h.META)
+
+    # --- writing -----------------------------------------------------------------------
+
+    def _commit(self, rows: DataFrame, gen: int, ts: datetime | str, keys: Sequence[str]) -> None:
+        folder = f"{self.path}/rows/gen={gen}"
+        if self.buckets:
+            last_column = [f for f in rows.schema if f.name == h.CURRENT]
+            fields = [f for f in rows.schema if f.name != h.CURRENT] + last_column
+            name = f"tidemark_write_{uuid.uuid4().hex}"
+            self._declare(name, fields, keys, self.buckets, folder, partitioned=True)
+            try:
+                rows.select(*[f.name for f in fields]).write.insertInto(name, overwrite=True)
+            finally:
+                self.spark.sql(f"DROP TABLE {name}")
+        else:
+            rows.write.mode("overwrite").partitionBy(h.CURRENT).parquet(folder)
+        self._add_commit(gen, as_timestamp(ts), keys)
 
     def create(self, contract: TableContract) -> bool:
         """An empty typed history, unless there is one."""
@@ -91,23 +160,33 @@ class HistoryStore:
         line.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         return True
 
+    def next_rows(self, last: Row, new: DataFrame, keys: list[str], ts: datetime | str, **options) -> DataFrame:
+        """Rows of the run after ``last``."""
+        if not self.buckets:
+            return h.next_versions(self._read(last, open_only=True), new, keys, ts, **options)
+        # Rows without a key would all meet in one bucket; they belong in quarantine.
+        missing = F.raise_error(F.lit(f"a bucketed history needs complete keys: {', '.join(keys)}"))
+        new = new.withColumns({k: F.coalesce(F.col(k), missing.cast(new.schema[k].dataType)) for k in keys})
+        same_layout = last["buckets"] == self.buckets and last["keys"] == list(keys)
+        old = self._read_open_bucketed(last) if same_layout else self._read(last, open_only=True)
+        return h.next_versions(old, new, keys, ts, complete_keys=True, **options)
+
     def merge(self, new: DataFrame, keys: list[str], ts: datetime | str, **options) -> int:
         """Apply a snapshot and return the run's number."""
         last = self.last_commit()
         if last is None:
             rows, gen = h.initial_load(new, keys, ts, **options), 1
+            if self.buckets:
+                # One task per bucket, so that each bucket becomes one file.
+                rows = rows.repartition(self.buckets, *keys)
         else:
-            open_rows = self._read(last, open_only=True)
-            rows, gen = h.next_versions(open_rows, new, keys, ts, **options), last["gen"] + 1
-        self._commit(rows, gen, ts)
+            rows, gen = self.next_rows(last, new, keys, ts, **options), last["gen"] + 1
+        self._commit(rows, gen, ts, keys)
         return gen
 
-    def append(self, history: DataFrame, ts: datetime | str) -> int:
+    def append(self, history: DataFrame, ts: datetime | str, keys: Sequence[str] = ()) -> int:
         """Take over a history built elsewhere, such as a back-fill, as the first run."""
         if self.exists():
             raise ValueError(f"{self.path} already holds a history")
-        self._commit(history, 1, ts)
+        self._commit(history, 1, ts, keys)
         return 1
-
-    def schema(self) -> T.StructType:
-        return self.read_all().schema
