@@ -293,3 +293,20 @@ def test_history_sizes_on_whole_orders(spark):
         ("UPDATE", True): 3369,
     }
     assert h.invariant_violations(history, ["o_orderkey"]).isEmpty()
+
+
+def test_thousand_rows_within_the_time_limits(spark):
+    """First load within 30 s, an update of a tenth of the rows within 45 s, results included."""
+    import time
+
+    brands, models = ["Audi", "BMW", "Citroen", "Dacia", "Fiat"], ["A", "B", "C", "D", "E"]
+    schema = "plate string, make string, model string, year int"
+    first = [(f"K{i:05d}", brands[i % 5], models[i // 5 % 5], 2020 + i % 5) for i in range(1000)]
+    second = [(k, "Ford" if i < 100 else make, model, year) for i, (k, make, model, year) in enumerate(first)]
+    start = time.perf_counter()
+    history = h.apply_snapshot(None, frame(spark, first, schema), ["plate"], T1)
+    assert history.count() == 1000
+    loaded = time.perf_counter()
+    history = h.apply_snapshot(history, frame(spark, second, schema), ["plate"], T2)
+    assert history.count() == 1100 and history.filter(h.CURRENT).count() == 1000
+    assert loaded - start < 30 and time.perf_counter() - loaded < 45

@@ -2,7 +2,7 @@
 
 A run writes ``rows/gen=N`` once, partitioned by ``__is_current``, and then adds a line to
 ``commits``.  Readers take the open rows of the last committed run and the closed rows of
-all runs up to it, by partition pruning.  No path is read and overwritten in one job, closed
+all runs up to it, and list no other folders.  No path is read and overwritten in one job, closed
 rows are never rewritten, and a run that died before its commit line is invisible: the
 next try overwrites it.  One writer at a time.
 
@@ -80,17 +80,32 @@ class HistoryStore:
         known = newest or existing_schema(self.spark, f"{self.path}/rows")
         return [f for f in known.fields if f.name not in ("gen", h.CURRENT)]
 
+    def _rows_in(self, folders: str, layout: T.StructType) -> DataFrame:
+        """Rows below ``rows`` in the given folders; a run without such rows has no folder."""
+        reader = self.spark.read.schema(layout).option("basePath", f"{self.path}/rows")
+        try:
+            return reader.parquet(f"{self.path}/rows/{folders}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], layout)
+
     def _read(self, last: Row | None, open_only: bool) -> DataFrame:
+        """Open rows of the last run and closed rows up to it; other open rows are not even listed."""
         if last is None:
             raise LookupError(f"no history at {self.path}")
         fields = self._data_fields(last)
         layout = T.StructType([*fields]).add("gen", T.IntegerType()).add(h.CURRENT, T.StringType())
-        rows = self.spark.read.schema(layout).parquet(f"{self.path}/rows")
-        is_open = (F.col("gen") == last["gen"]) & (F.col(h.CURRENT) == "true")
-        is_closed = (F.col("gen") <= last["gen"]) & (F.col(h.CURRENT) == "false")
-        wanted = rows.filter(is_open if open_only else is_open | is_closed)
         data = [f.name for f in fields if f.name not in h.META]
-        return wanted.withColumn(h.CURRENT, F.col(h.CURRENT).cast("boolean")).select(*data, *h.META)
+
+        def shaped(rows: DataFrame, flag: bool) -> DataFrame:
+            return rows.withColumn(h.CURRENT, F.lit(flag)).select(*data, *h.META)
+
+        open_rows = shaped(self._rows_in(f"gen={last['gen']}/{h.CURRENT}=true", layout), True)
+        if open_only:
+            return open_rows
+        closed = self._rows_in(f"gen=*/{h.CURRENT}=false", layout).filter(F.col("gen") <= last["gen"])
+        return open_rows.unionByName(shaped(closed, False))
 
     def read_open(self) -> DataFrame:
         return self._read(self.last_commit(), open_only=True)
