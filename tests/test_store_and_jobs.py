@@ -159,12 +159,25 @@ def test_store_takes_new_columns_and_empty_snapshots(spark, tmp_path):
         HistoryStore(spark, f"{tmp_path}/none").read_all()
 
 
+def test_store_gives_up_superseded_open_rows(spark, tmp_path):
+    kept, lean = HistoryStore(spark, f"{tmp_path}/kept"), HistoryStore(spark, f"{tmp_path}/lean", keep=2)
+    for i in range(5):
+        new = cars(spark, [("A", str(i)), ("B", "b"), (f"C{i}", "c")])
+        for store in (kept, lean):
+            store.merge(new, ["plate"], f"2024-0{i + 1}-01", processed_time=T1)
+    assert rows(lean.read_all()) == rows(kept.read_all())
+    held = [spark.read.parquet(f"{lean.path}/rows/gen={g}/{h.CURRENT}=true").count() for g in range(1, 6)]
+    assert held == [0, 0, 0, 3, 3]
+    with pytest.raises(ValueError):
+        HistoryStore(spark, lean.path, keep=1)
+
+
 def test_backfill_then_merge(spark, tmp_path):
     stacked = cars(spark, [("A", "a"), ("B", "b")]).withColumn("ts", F.lit(T1).cast("timestamp")).unionByName(
         cars(spark, [("A", "x")]).withColumn("ts", F.lit(T2).cast("timestamp"))
     )
     store = HistoryStore(spark, f"{tmp_path}/store")
-    store.append(h.replay(stacked, ["plate"], "ts"), T2)
+    store.append(h.replay(stacked, ["plate"], "ts"), T2, ["plate"])
     store.merge(cars(spark, [("A", "x"), ("B", "b")]), ["plate"], T3)
     assert rows(store.read_all(), "plate", h.OPERATION, h.CURRENT, h.VERSION) == [
         ("A", "INSERT", False, 1),
@@ -173,7 +186,7 @@ def test_backfill_then_merge(spark, tmp_path):
         ("B", "INSERT", True, 1),
     ]
     with pytest.raises(ValueError):
-        store.append(store.read_all(), T3)
+        store.append(store.read_all(), T3, ["plate"])
 
 
 CHECKS = [quality.is_not_null("plate"), quality.in_list("code", ["00", "07"])]
@@ -224,10 +237,11 @@ def test_fk_report(spark):
 
 
 def test_stream_restarts_and_refuses_late_folders(spark, tmp_path):
-    base, store = str(tmp_path / "landing"), HistoryStore(spark, str(tmp_path / "store"))
+    base, layers = str(tmp_path / "landing"), jobs.Layers(str(tmp_path), "cars")
+    store = HistoryStore(spark, layers.silver)
 
-    def run():
-        start_history_stream(spark, CARS, base, store, str(tmp_path / "ckpt"), CHECKS).awaitTermination()
+    def run(checkpoint="ckpt"):
+        start_history_stream(spark, CARS, base, layers, str(tmp_path / checkpoint), CHECKS).awaitTermination()
 
     land(base, "2024-01-01T9-0", ["A,Audi,4,00", "B,BMW,4,99"])
     land(base, "2024-01-01T10-0", ["A,Alfa,4,00", "C,Citroen,4,07"])
@@ -241,8 +255,9 @@ def test_stream_restarts_and_refuses_late_folders(spark, tmp_path):
         ("C", "Citroen", "INSERT", 1),
     ]
     # Without its checkpoint, the stream meets the same folders again and skips them.
-    start_history_stream(spark, CARS, base, store, str(tmp_path / "other"), CHECKS).awaitTermination()
+    run("other")
     assert store.last_commit()["gen"] == 3
+    assert rows(scan_parquet(spark, f"{layers.quarantine}/2024-01-01T9-0"), "plate") == [("B",)]
     land(base, "2024-02-01T0-0", ["A,Audi,4,00"])
     with pytest.raises(StreamingQueryException, match="older than the history"):
         run()

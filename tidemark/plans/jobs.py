@@ -83,6 +83,7 @@ def job_silver(
     ts: datetime | str,
     processed_time: datetime | str | None = None,
     buckets: int | None = None,
+    quarantine: str | None = None,
 ) -> SilverRun:
     """Quality split, then history for tracked tables, or plain overwrite.
 
@@ -100,7 +101,8 @@ def job_silver(
     if not keys_unique:
         valid, repeated = quality.split_unique(valid, keys)
         rejected = rejected.unionByName(quality.annotate_with(repeated, quality.KEY_REPEATED, keys))
-    save_quarantine(rejected, layers.quarantine, None if not keys_unique else counts["n_quarantined"])
+    n_rejected = counts["n_quarantined"] if keys_unique else None
+    save_quarantine(rejected, quarantine or layers.quarantine, n_rejected)
     gen = None
     if contract.tracked:
         store = HistoryStore(spark, layers.silver, buckets)

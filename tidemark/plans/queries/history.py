@@ -11,7 +11,7 @@ from ...sinks.history_store import HistoryStore
 from ...sinks.tables import save_table
 from ...sources.files import scan_parquet
 from ...streaming.history_stream import start_history_stream
-from ..jobs import compare_snapshots
+from ..jobs import Layers, compare_snapshots
 from .registry import query
 from .snapshots import (
     DATA_SQL,
@@ -162,7 +162,7 @@ def _current_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("full_history", f"WITH {STEP_SQL} SELECT {HISTORY_SQL} FROM hist_b")
 def _full_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = HistoryStore(spark, new_folder(spark, "history"))
-    store.append(history_after(spark, sf_dir, "ab"), TIMES["b"])
+    store.append(history_after(spark, sf_dir, "ab"), TIMES["b"], KEYS)
     return plain(store.read_all())
 
 
@@ -269,9 +269,9 @@ def _scd2_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "stream")
     landing = write_landing(spark, sf_dir, f"{folder}/landing")
-    store = HistoryStore(spark, f"{folder}/history")
-    start_history_stream(spark, ORDERS, landing, store, f"{folder}/checkpoint").awaitTermination()
-    return plain(store.read_all())
+    layers = Layers(folder, ORDERS.name)
+    start_history_stream(spark, ORDERS, landing, layers, f"{folder}/checkpoint").awaitTermination()
+    return plain(HistoryStore(spark, layers.silver).read_all())
 
 
 @query(

@@ -35,10 +35,15 @@ def _quoted(name: str) -> str:
 
 
 class HistoryStore:
-    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
+    """``keep`` runs keep their open rows, all by default; at least two, for readers at work."""
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, keep: int | None = None):
+        if keep is not None and keep < 2:
+            raise ValueError("keep the open rows of at least two runs")
         self.spark = spark
         self.path = path.rstrip("/")
         self.buckets = buckets
+        self.keep = keep
 
     # --- commits -----------------------------------------------------------------------
 
@@ -148,9 +153,14 @@ class HistoryStore:
 
     # --- writing -----------------------------------------------------------------------
 
-    def _commit(self, rows: DataFrame, gen: int, ts: datetime | str, keys: Sequence[str]) -> None:
+    def _commit(
+        self, rows: DataFrame, gen: int, ts: datetime | str, keys: Sequence[str], in_buckets: bool = False
+    ) -> None:
         folder = f"{self.path}/rows/gen={gen}"
         if self.buckets:
+            if not in_buckets:
+                # One task per bucket, so that each bucket becomes one file.
+                rows = rows.repartition(self.buckets, *keys)
             last_column = [f for f in rows.schema if f.name == h.CURRENT]
             fields = [f for f in rows.schema if f.name != h.CURRENT] + last_column
             name = f"tidemark_write_{uuid.uuid4().hex}"
@@ -162,6 +172,15 @@ class HistoryStore:
         else:
             rows.write.mode("overwrite").partitionBy(h.CURRENT).parquet(folder)
         self._add_commit(gen, as_timestamp(ts), keys)
+        if self.keep is not None and gen > self.keep:
+            self._empty_open_rows(gen - self.keep)
+
+    def _empty_open_rows(self, gen: int) -> None:
+        """Give up open rows that later runs hold; every closed row stays."""
+        folder = f"{self.path}/rows/gen={gen}/{h.CURRENT}=true"
+        schema = existing_schema(self.spark, folder)
+        if schema is not None:
+            self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(folder)
 
     def create(self, contract: TableContract) -> bool:
         """An empty typed history, unless there is one."""
@@ -175,6 +194,9 @@ class HistoryStore:
         line.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
         return True
 
+    def _same_layout(self, last: Row, keys: list[str]) -> bool:
+        return bool(self.buckets) and last["buckets"] == self.buckets and last["keys"] == list(keys)
+
     def next_rows(self, last: Row, new: DataFrame, keys: list[str], ts: datetime | str, **options) -> DataFrame:
         """Rows of the run after ``last``."""
         if not self.buckets:
@@ -182,24 +204,21 @@ class HistoryStore:
         # Rows without a key would all meet in one bucket; they belong in quarantine.
         missing = F.raise_error(F.lit(f"a bucketed history needs complete keys: {', '.join(keys)}"))
         new = new.withColumns({k: F.coalesce(F.col(k), missing.cast(new.schema[k].dataType)) for k in keys})
-        same_layout = last["buckets"] == self.buckets and last["keys"] == list(keys)
-        old = self._read_open_bucketed(last) if same_layout else self._read(last, open_only=True)
+        old = self._read_open_bucketed(last) if self._same_layout(last, keys) else self._read(last, open_only=True)
         return h.next_versions(old, new, keys, ts, complete_keys=True, **options)
 
     def merge(self, new: DataFrame, keys: list[str], ts: datetime | str, **options) -> int:
         """Apply a snapshot and return the run's number."""
         last = self.last_commit()
         if last is None:
-            rows, gen = h.initial_load(new, keys, ts, **options), 1
-            if self.buckets:
-                # One task per bucket, so that each bucket becomes one file.
-                rows = rows.repartition(self.buckets, *keys)
-        else:
-            rows, gen = self.next_rows(last, new, keys, ts, **options), last["gen"] + 1
-        self._commit(rows, gen, ts, keys)
+            self._commit(h.initial_load(new, keys, ts, **options), 1, ts, keys)
+            return 1
+        gen = last["gen"] + 1
+        rows = self.next_rows(last, new, keys, ts, **options)
+        self._commit(rows, gen, ts, keys, in_buckets=self._same_layout(last, keys))
         return gen
 
-    def append(self, history: DataFrame, ts: datetime | str, keys: Sequence[str] = ()) -> int:
+    def append(self, history: DataFrame, ts: datetime | str, keys: Sequence[str]) -> int:
         """Take over a history built elsewhere, such as a back-fill, as the first run."""
         if self.exists():
             raise ValueError(f"{self.path} already holds a history")

@@ -10,9 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..contracts import TableContract
 from ..operators import quality
-from ..operators.typing import transform_bronze
+from ..plans.jobs import Layers, job_bronze, job_silver
 from ..sinks.history_store import HistoryStore
-from ..sources.files import scan_csv
 from ..sources.landing import SNAPSHOT_TS, folder_time
 
 _FILE = "path string, modificationTime timestamp, length bigint, content binary"
@@ -22,38 +21,41 @@ def start_history_stream(
     spark: SparkSession,
     contract: TableContract,
     landing: str,
-    store: HistoryStore,
+    layers: Layers,
     checkpoint: str,
     checks: Sequence[quality.Check] = (),
     processed_time: str | None = None,
+    buckets: int | None = None,
 ) -> StreamingQuery:
-    """Apply every landing folder that is not in the history yet, in time order, then stop.
+    """Take every landing folder that is not in the history yet, in time order, then stop.
 
-    The stream follows file names only; a folder is then read as a whole by a batch job,
-    because half a dump would look like deletions.  A dump must therefore land complete,
-    by renaming its folder into place.  A batch that is tried again after a failure skips
-    the folders already committed.  A folder older than the history is an error: rebuild
-    with ``history.replay``.
+    The stream follows file names only; a folder is then taken as a whole by the bronze and
+    silver jobs, because half a dump would look like deletions.  A dump must therefore land
+    complete, by renaming its folder into place.  A batch that is tried again after a failure
+    skips the folders already committed.  Rejected rows are kept per folder.  A folder older
+    than the history is an error: rebuild with ``history.replay``.
     """
     files = spark.readStream.format("binaryFile").schema(_FILE).load(f"{landing}/*/{contract.name}.csv")
-    table_path = F.regexp_extract("path", rf"^(.*/{contract.name}\.csv)(/.*)?$", 1)
-    landed = files.select(table_path.alias("table_path")).withColumn(SNAPSHOT_TS, folder_time(F.col("table_path")))
+    folder = F.regexp_extract("path", rf"/([^/]+)/{contract.name}\.csv(/.*)?$", 1)
+    landed = files.select(folder.alias("folder"), folder_time(F.col("path")).alias(SNAPSHOT_TS))
 
-    def apply_folders(batch: DataFrame, _: int) -> None:
+    def take_folders(batch: DataFrame, _: int) -> None:
+        session = batch.sparkSession
+        store = HistoryStore(session, layers.silver, buckets)
         folders = batch.filter(F.col(SNAPSHOT_TS).isNotNull()).distinct().orderBy(SNAPSHOT_TS)
-        for folder in folders.collect():  # one row per dump
-            ts = folder[SNAPSHOT_TS]
+        for name, ts in folders.collect():  # one row per dump
             if store.has_commit(ts):
                 continue
             last = store.last_commit()
             if last is not None and last["at"] is not None and ts < last["at"]:
-                raise ValueError(f"{folder['table_path']} is older than the history")
-            typed = transform_bronze(scan_csv(batch.sparkSession, folder["table_path"]), contract)
-            valid, _rejected = quality.split(typed, checks)
-            store.merge(valid, contract.primary_keys(), ts, processed_time=processed_time)
+                raise ValueError(f"{name} is older than the history")
+            job_bronze(session, contract, landing, layers, name)
+            job_silver(
+                session, contract, checks, layers, ts, processed_time, buckets, f"{layers.quarantine}/{name}"
+            )
 
     return (
-        landed.writeStream.foreachBatch(apply_folders)
+        landed.writeStream.foreachBatch(take_folders)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
