@@ -54,6 +54,15 @@ def test_summary_and_counts(cars):
     assert tuple(q.row_counts(cars, CHECKS).first()) == (5, 3, 2)
 
 
+def test_key_audit(cars, spark):
+    assert tuple(q.key_audit(cars, CHECKS, ["plate"]).first()) == (5, 3, 2, 1)
+    # A repeated key counts only with its valid rows, and a missing key not at all.
+    twice = cars.unionByName(cars)
+    assert tuple(q.key_audit(twice, CHECKS, ["plate"]).first()) == (10, 6, 4, 2)
+    assert tuple(q.key_audit(twice.filter("plate IS NULL"), [], ["plate"]).first()) == (2, 0, 2, 0)
+    assert tuple(q.key_audit(cars.limit(0), CHECKS, ["plate"]).first()) == (0, 0, 0, 0)
+
+
 def test_literals_are_escaped(spark):
     df = spark.createDataFrame([("d'Or",), ("back\\slash",), ("x",)], "make string")
     valid, _ = q.split(df, [q.in_list("make", ["d'Or", "back\\slash"])])

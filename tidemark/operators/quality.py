@@ -181,6 +181,22 @@ def row_counts(df: DataFrame, checks: Sequence[Check], quarantine_warnings: bool
     )
 
 
+def key_audit(df: DataFrame, checks: Sequence[Check], keys: Sequence[str]) -> DataFrame:
+    """``row_counts`` plus the most valid rows that share a complete key, from one scan.
+
+    Rows are counted per key before the shuffle, so a hot key arrives as a few numbers.
+    """
+    failed = _any(c for c in checks if c.criticality == "error")
+    complete = reduce(and_, [F.col(k).isNotNull() for k in keys])
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("__rows"), F.count_if(failed).alias("__failed"))
+    return per_key.agg(
+        F.coalesce(F.sum("__rows"), F.lit(0)).alias("n_total"),
+        F.coalesce(F.sum("__failed"), F.lit(0)).alias("n_quarantined"),
+        F.coalesce(F.sum(F.col("__rows") - F.col("__failed")), F.lit(0)).alias("n_valid"),
+        F.coalesce(F.max(F.when(complete, F.col("__rows") - F.col("__failed"))), F.lit(0)).alias("most_per_key"),
+    )
+
+
 def with_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows whose key is complete."""
     return df.filter(reduce(and_, [F.col(k).isNotNull() for k in keys]))

@@ -87,17 +87,20 @@ def job_silver(
 ) -> SilverRun:
     """Quality split, then history for tracked tables, or plain overwrite.
 
-    The counts come from one scan of the checked columns.  Bronze is a written table, so
-    each side of the split reads it with its own filter and nothing has to be cached.
-    Rows that share a key would multiply in the history's join, and a hot key would end
-    in one task; a pass over the key columns looks for them, and only if there are any,
-    they are set aside.
+    The counts come from one scan of the checked and key columns.  Bronze is a written
+    table, so each side of the split reads it with its own filter and nothing has to be
+    cached.  Rows that share a key would multiply in the history's join, and a hot key
+    would end in one task; the same scan tells whether there are any, and only then they
+    are set aside.
     """
     bronze = spark.read.parquet(layers.bronze)
-    counts = quality.row_counts(bronze, checks).first()
     valid, rejected = quality.split(bronze, checks)
     keys = contract.primary_keys()
-    keys_unique = not contract.tracked or quality.pk_violations(quality.with_keys(valid, keys), keys).isEmpty()
+    if contract.tracked:
+        counts = quality.key_audit(bronze, checks, keys).first()
+        keys_unique = counts["most_per_key"] <= 1
+    else:
+        counts, keys_unique = quality.row_counts(bronze, checks).first(), True
     if not keys_unique:
         valid, repeated = quality.split_unique(valid, keys)
         rejected = rejected.unionByName(quality.annotate_with(repeated, quality.KEY_REPEATED, keys))

@@ -155,6 +155,21 @@ def _row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.row_counts(_lines(spark, sf_dir), q.load_checks(CHECKS_YAML))
 
 
+@query(
+    "dq_key_audit",
+    f"""
+    WITH {_LINES},
+    per_key AS (
+      SELECT l_orderkey, l_linenumber, count(*) AS n, count(*) FILTER (WHERE no_date OR bad_status) AS bad
+      FROM checked GROUP BY 1, 2)
+    SELECT CAST(sum(n) AS BIGINT) AS n_total, CAST(sum(bad) AS BIGINT) AS n_quarantined,
+           CAST(sum(n - bad) AS BIGINT) AS n_valid, max(n - bad) AS most_per_key
+    FROM per_key""",
+)
+def _dq_key_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return q.key_audit(_lines(spark, sf_dir), q.load_checks(CHECKS_YAML), ["l_orderkey", "l_linenumber"])
+
+
 @query(
     "dq_enum",
     "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM')",
