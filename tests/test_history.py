@@ -310,3 +310,27 @@ def test_thousand_rows_within_the_time_limits(spark):
     history = h.apply_snapshot(history, frame(spark, second, schema), ["plate"], T2)
     assert history.count() == 1100 and history.filter(h.CURRENT).count() == 1000
     assert loaded - start < 30 and time.perf_counter() - loaded < 45
+
+
+def test_one_car_over_the_years(spark):
+    """Owner, color and inspection date change at different times; mileage is not tracked."""
+    schema = "plate string, owner string, color string, inspected string, mileage int"
+    years = [
+        ("2020-01-15", ("XY99ZZ", "Ann", "white", "2021-01-15", 10)),
+        ("2020-07-01", ("XY99ZZ", "Ann", "white", "2021-01-15", 9_000)),
+        ("2021-06-10", ("XY99ZZ", "Bob", "white", "2021-01-15", 20_000)),
+        ("2022-01-20", ("XY99ZZ", "Bob", "black", "2023-01-20", 35_000)),
+        ("2023-08-05", ("XY99ZZ", "Garage", "black", "2023-01-20", 60_000)),
+    ]
+    steps = [(ts, [row]) for ts, row in years] + [("2024-01-01", [])]
+    history = apply_all(spark, steps, schema=schema, tracking=["owner", "color", "inspected"])
+    shown = history.select(
+        h.VERSION, "owner", "color", "mileage", F.to_date(h.FROM).cast("string"), F.to_date(h.TO).cast("string"), h.OPERATION
+    )
+    assert rows(shown) == [
+        (1, "Ann", "white", 10, "2020-01-15", "2021-06-10", "INSERT"),
+        (2, "Bob", "white", 20_000, "2021-06-10", "2022-01-20", "UPDATE"),
+        (3, "Bob", "black", 35_000, "2022-01-20", "2023-08-05", "UPDATE"),
+        (4, "Garage", "black", 60_000, "2023-08-05", "2024-01-01", "DELETE"),
+    ]
+    assert h.current_records(history).isEmpty()

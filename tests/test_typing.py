@@ -134,6 +134,8 @@ def test_contract_keys_schema_and_lookup(spark):
         find_contract([CARS], "boats")
     with pytest.raises(SchemaMismatch):
         TableContract("twice", (ColumnContract("a", "x"), ColumnContract("b", "x")))
+    with pytest.raises(SchemaMismatch):
+        TableContract("keyless", (ColumnContract("a", "x"),), tracked=True)
 
 
 def test_empty_table_and_comments(spark):

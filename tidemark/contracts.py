@@ -66,6 +66,8 @@ class TableContract:
         twice = sorted({n for n in names if names.count(n) > 1})
         if twice:
             raise SchemaMismatch(f"{self.name}: columns declared twice: {twice}")
+        if self.tracked and not any(c.pk for c in self.columns):
+            raise SchemaMismatch(f"{self.name}: history needs a primary key")
 
     def schema(self) -> T.StructType:
         return T.StructType([c.field() for c in self.columns])
