@@ -153,12 +153,37 @@ def test_store_takes_new_columns_and_empty_snapshots(spark, tmp_path):
     store.merge(full, ["plate"], T1)
     store.merge(full.withColumn("color", F.lit("red")), ["plate"], T2)
     assert rows(store.read_all(), "plate", "color", h.VERSION) == [("A", None, 1), ("A", "red", 2)]
+    # The next run trusts the stored hashes, which cover the new column by now.
+    both = full.withColumn("color", F.lit("red")).unionByName(
+        spark.createDataFrame([("B", "b", 2, "07", None)], "plate string, make string, seats int, code string, color string")
+    )
+    store.merge(both, ["plate"], "2024-02-10")
+    store.merge(both, ["plate"], "2024-02-20")
+    assert rows(store.read_all(), "plate", h.VERSION) == [("A", 1), ("A", 2), ("B", 1)]
     store.merge(full.limit(0), ["plate"], T3)
-    assert store.read_open().isEmpty() and store.read_all().count() == 2
+    assert store.read_open().isEmpty() and store.read_all().count() == 3
     with pytest.raises(LookupError):
         HistoryStore(spark, f"{tmp_path}/none").read_all()
 
 
+def test_store_hashes_again_when_other_columns_are_compared(spark, tmp_path):
+    store = HistoryStore(spark, f"{tmp_path}/store")
+    wide = spark.createDataFrame([("A", "a", "x"), ("B", "b", "x")], "plate string, make string, note string")
+    store.merge(wide, ["plate"], T1)
+    moved = wide.withColumn("note", F.lit("y"))
+    store.merge(moved, ["plate"], T2, exclude=["note"])
+    store.merge(moved, ["plate"], T3, exclude=["note"])
+    assert store.read_all().count() == 2
+    plans = [
+        store.next_rows(store.last_commit(), moved, ["plate"], "2024-04-01", exclude=e)._jdf.queryExecution()
+        for e in (["note"], [])
+    ]
+    assert [p.optimizedPlan().toString().count("md5") for p in plans] == [1, 2]
+    # The stored row still has its first note, so comparing it again finds a change.
+    store.merge(moved, ["plate"], "2024-04-01")
+    assert rows(store.read_open(), "plate", "note", h.VERSION) == [("A", "y", 2), ("B", "y", 2)]
+
+
 def test_store_gives_up_superseded_open_rows(spark, tmp_path):
     kept, lean = HistoryStore(spark, f"{tmp_path}/kept"), HistoryStore(spark, f"{tmp_path}/lean", keep=2)
     for i in range(5):

@@ -63,17 +63,25 @@ def _bucket_for_null_keys(keys: Sequence[str], columns: Sequence[str]) -> Column
     return F.when(_any_null(keys), stable_bucket([F.col(c) for c in columns], _NULL_KEY_BUCKETS)).otherwise(0)
 
 
-def _side(df: DataFrame, prefix: str, keys: Sequence[str], hashed: Sequence[str]) -> DataFrame:
+def _side(
+    df: DataFrame, prefix: str, keys: Sequence[str], hashed: Sequence[str], stored_hash: bool = False
+) -> DataFrame:
+    row_hash_ = F.col(HASH) if stored_hash else row_hash_of([F.col(c) for c in hashed])
     return df.select(
         *[F.col(c).alias(f"{prefix}{c}") for c in df.columns],
-        row_hash_of([F.col(c) for c in hashed]).alias(f"{prefix}hash"),
+        row_hash_.alias(f"{prefix}hash"),
         _bucket_for_null_keys(keys, df.columns).alias(f"{prefix}bucket"),
         F.lit(True).alias(f"{prefix}here"),
     )
 
 
 def _full_join(
-    old: DataFrame, new: DataFrame, keys: Sequence[str], hashed: Sequence[str], complete_keys: bool = False
+    old: DataFrame,
+    new: DataFrame,
+    keys: Sequence[str],
+    hashed: Sequence[str],
+    complete_keys: bool = False,
+    stored_hash: bool = False,
 ) -> DataFrame:
     """One row per key, with ``old_`` and ``new_`` columns side by side.
 
@@ -83,7 +91,7 @@ def _full_join(
     """
     matched = keys if complete_keys else [*keys, "bucket"]
     same = [F.col(f"old_{c}") == F.col(f"new_{c}") for c in matched]
-    return _side(old, "old_", keys, hashed).join(_side(new, "new_", keys, hashed), same, "full_outer")
+    return _side(old, "old_", keys, hashed, stored_hash).join(_side(new, "new_", keys, hashed), same, "full_outer")
 
 
 def _status(compared: Sequence[str], compare: str) -> Column:
@@ -213,11 +221,16 @@ def next_versions(
     processed_time: Column | datetime | str | None = None,
     compare: str = "hash",
     complete_keys: bool = False,
+    stored_hash: bool = False,
 ) -> DataFrame:
     """What becomes of the open rows when ``new`` arrives: unchanged, closed and added rows.
 
     A single full outer join detects, classifies and numbers.  Each joined row then becomes
     one or two history rows, so neither side is read or shuffled twice.
+
+    ``stored_hash`` trusts the open rows' ``__row_hash`` instead of computing it again.  That
+    holds as long as the same columns are compared; an unchanged row gets the hash over the
+    columns compared now.
     """
     compared = comparison_columns(new, keys, tracking, exclude)
     old_types = {c: t for c, t in _types(open_rows).items() if c not in META}
@@ -241,11 +254,11 @@ def next_versions(
         CURRENT: added | stays,
         OPERATION: pick(status, F.when(status == DELETE, DELETE).otherwise(F.col(f"old_{OPERATION}"))),
         PROCESSED: F.when(~added & stays, F.col(f"old_{PROCESSED}")).otherwise(now),
-        HASH: pick(F.col("new_hash"), F.col(f"old_{HASH}")),
+        HASH: pick(F.col("new_hash"), F.when(stays, F.col("old_hash")).otherwise(F.col(f"old_{HASH}"))),
         VERSION: pick(F.coalesce(F.col(f"old_{VERSION}"), F.lit(0)) + 1, F.col(f"old_{VERSION}")),
     }
     return (
-        _full_join(old, new, keys, compared, complete_keys)
+        _full_join(old, new, keys, compared, complete_keys, stored_hash)
         .withColumn("__status", _status(compared, compare))
         .withColumn("__added", F.explode(rows))
         .select(

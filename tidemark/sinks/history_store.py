@@ -27,7 +27,11 @@ from ..functions.typing import as_timestamp
 from ..operators import history as h
 from .tables import existing_schema
 
-_COMMIT = "gen int, at timestamp, buckets int, keys array<string>"
+_COMMIT = "gen int, at timestamp, buckets int, keys array<string>, hashed array<string>"
+
+
+def _texts(values: Sequence[str]) -> Column:
+    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
 def _quoted(name: str) -> str:
@@ -68,12 +72,13 @@ class HistoryStore:
     def exists(self) -> bool:
         return self.last_commit() is not None
 
-    def _add_commit(self, gen: int, at: Column, keys: Sequence[str]) -> None:
+    def _add_commit(self, gen: int, at: Column, keys: Sequence[str] = (), hashed: Sequence[str] = ()) -> None:
         line = self.spark.range(1).select(
             F.lit(gen).alias("gen"),
             at.alias("at"),
             F.lit(self.buckets or 0).alias("buckets"),
-            F.array(*[F.lit(k) for k in keys]).cast("array<string>").alias("keys"),
+            _texts(keys).alias("keys"),
+            _texts(hashed).alias("hashed"),
         )
         line.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
 
@@ -154,7 +159,13 @@ class HistoryStore:
     # --- writing -----------------------------------------------------------------------
 
     def _commit(
-        self, rows: DataFrame, gen: int, ts: datetime | str, keys: Sequence[str], in_buckets: bool = False
+        self,
+        rows: DataFrame,
+        gen: int,
+        ts: datetime | str,
+        keys: Sequence[str],
+        hashed: Sequence[str] = (),
+        in_buckets: bool = False,
     ) -> None:
         folder = f"{self.path}/rows/gen={gen}"
         if self.buckets:
@@ -171,7 +182,7 @@ class HistoryStore:
                 self.spark.sql(f"DROP TABLE {name}")
         else:
             rows.write.mode("overwrite").partitionBy(h.CURRENT).parquet(folder)
-        self._add_commit(gen, as_timestamp(ts), keys)
+        self._add_commit(gen, as_timestamp(ts), keys, hashed)
         if self.keep is not None and gen > self.keep:
             self._empty_open_rows(gen - self.keep)
 
@@ -190,15 +201,25 @@ class HistoryStore:
         empty = empty_table(self.spark, contract, scd2=True).drop(h.CURRENT)
         for flag in ("true", "false"):
             empty.write.mode("overwrite").parquet(f"{self.path}/rows/gen=0/{h.CURRENT}={flag}")
-        line = self.spark.range(1).select(F.lit(0).alias("gen"), F.lit(None).cast("timestamp").alias("at"))
-        line.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
+        self._add_commit(0, F.lit(None).cast("timestamp"))
         return True
 
     def _same_layout(self, last: Row, keys: list[str]) -> bool:
         return bool(self.buckets) and last["buckets"] == self.buckets and last["keys"] == list(keys)
 
-    def next_rows(self, last: Row, new: DataFrame, keys: list[str], ts: datetime | str, **options) -> DataFrame:
-        """Rows of the run after ``last``."""
+    def next_rows(
+        self,
+        last: Row,
+        new: DataFrame,
+        keys: list[str],
+        ts: datetime | str,
+        tracking: Sequence[str] | None = None,
+        exclude: Sequence[str] = (),
+        **options,
+    ) -> DataFrame:
+        """Rows of the run after ``last``; its hashes are used again if they cover the same columns."""
+        hashed = h.comparison_columns(new, keys, tracking, exclude)
+        options.update(tracking=tracking, exclude=exclude, stored_hash=last["hashed"] == hashed)
         if not self.buckets:
             return h.next_versions(self._read(last, open_only=True), new, keys, ts, **options)
         # Rows without a key would all meet in one bucket; they belong in quarantine.
@@ -207,15 +228,24 @@ class HistoryStore:
         old = self._read_open_bucketed(last) if self._same_layout(last, keys) else self._read(last, open_only=True)
         return h.next_versions(old, new, keys, ts, complete_keys=True, **options)
 
-    def merge(self, new: DataFrame, keys: list[str], ts: datetime | str, **options) -> int:
+    def merge(
+        self,
+        new: DataFrame,
+        keys: list[str],
+        ts: datetime | str,
+        tracking: Sequence[str] | None = None,
+        exclude: Sequence[str] = (),
+        **options,
+    ) -> int:
         """Apply a snapshot and return the run's number."""
         last = self.last_commit()
+        hashed = h.comparison_columns(new, keys, tracking, exclude)
         if last is None:
-            self._commit(h.initial_load(new, keys, ts, **options), 1, ts, keys)
+            self._commit(h.initial_load(new, keys, ts, tracking, exclude, **options), 1, ts, keys, hashed)
             return 1
         gen = last["gen"] + 1
-        rows = self.next_rows(last, new, keys, ts, **options)
-        self._commit(rows, gen, ts, keys, in_buckets=self._same_layout(last, keys))
+        rows = self.next_rows(last, new, keys, ts, tracking, exclude, **options)
+        self._commit(rows, gen, ts, keys, hashed, in_buckets=self._same_layout(last, keys))
         return gen
 
     def append(self, history: DataFrame, ts: datetime | str, keys: Sequence[str]) -> int:
