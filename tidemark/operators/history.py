@@ -375,7 +375,8 @@ def replay(
     """The history of stacked snapshots in one pass, as if each had been applied in turn.
 
     All windows share one partitioning and ordering: one shuffle and one sort.  A key has
-    at most one row per snapshot, so a window group is no longer than the list of times.
+    at most one row per snapshot, so a window group is no longer than the list of times;
+    ``quality.split_unique(snapshots, [*keys, ts_col])`` sets aside what breaks this.
     Pass the times if they are known, such as from the landing folders; an empty snapshot
     is only seen that way, and the pass over the time column is saved.
     """

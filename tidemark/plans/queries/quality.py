@@ -85,7 +85,8 @@ def _dq_sql_expression(spark: SparkSession, sf_dir: str) -> DataFrame:
     check = q.sql_check("status_known", "status IN ('O', 'F')", "status must be O or F")
     _, rejected = q.split(_lines(spark, sf_dir), [check])
     first = F.element_at(q.ERRORS, 1)
-    return rejected.select("l_orderkey", "l_linenumber", "status", F.concat_ws(": ", first["name"], first["message"]).alias("failed"))
+    failed = F.concat_ws(": ", first["name"], first["message"]).alias("failed")
+    return rejected.select("l_orderkey", "l_linenumber", "status", failed)
 
 
 @query(

@@ -148,11 +148,15 @@ class HistoryStore:
             f"CLUSTERED BY ({clustered}) INTO {buckets} BUCKETS LOCATION '{location}'"
         )
 
+    def _open_folder(self, gen: int) -> str:
+        return f"{self.path}/rows/gen={gen}/{h.CURRENT}=true"
+
+    def _open_table(self, last: Row) -> str:
+        return "tidemark_open_" + hashlib.md5(self._open_folder(last["gen"]).encode()).hexdigest()
+
     def _read_open_bucketed(self, last: Row) -> DataFrame:
-        folder = f"{self.path}/rows/gen={last['gen']}/{h.CURRENT}=true"
-        fields = self._data_fields(last)
-        name = "tidemark_open_" + hashlib.md5(folder.encode()).hexdigest()
-        self._declare(name, fields, last["keys"], last["buckets"], folder, partitioned=False)
+        fields, name = self._data_fields(last), self._open_table(last)
+        self._declare(name, fields, last["keys"], last["buckets"], self._open_folder(last["gen"]), partitioned=False)
         data = [f.name for f in fields if f.name not in h.META]
         return self.spark.read.table(name).withColumn(h.CURRENT, F.lit(True)).select(*data, *h.META)
 
@@ -188,7 +192,7 @@ class HistoryStore:
 
     def _empty_open_rows(self, gen: int) -> None:
         """Give up open rows that later runs hold; every closed row stays."""
-        folder = f"{self.path}/rows/gen={gen}/{h.CURRENT}=true"
+        folder = self._open_folder(gen)
         schema = existing_schema(self.spark, folder)
         if schema is not None:
             self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(folder)
@@ -245,7 +249,11 @@ class HistoryStore:
             return 1
         gen = last["gen"] + 1
         rows = self.next_rows(last, new, keys, ts, tracking, exclude, **options)
-        self._commit(rows, gen, ts, keys, hashed, in_buckets=self._same_layout(last, keys))
+        in_buckets = self._same_layout(last, keys)
+        self._commit(rows, gen, ts, keys, hashed, in_buckets)
+        if in_buckets:
+            # The files stay; only the name for reading them in buckets goes.
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._open_table(last)}")
         return gen
 
     def append(self, history: DataFrame, ts: datetime | str, keys: Sequence[str]) -> int:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +34,7 @@ def list_snapshots(spark: SparkSession, base: str, table: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         raise FileNotFoundError(f"no landing folder with {table}.csv in {base}") from error
-    table_path = F.regexp_extract("path", rf"^(.*/{table}\.csv)(/.*)?$", 1)
+    table_path = F.regexp_extract("path", rf"^(.*/{re.escape(table)}\.csv)(/.*)?$", 1)
     return (
         paths.select(table_path.alias("table_path"))
         .withColumn(SNAPSHOT_TS, folder_time(F.col("table_path")))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -36,7 +37,7 @@ def start_history_stream(
     than the history is an error: rebuild with ``history.replay``.
     """
     files = spark.readStream.format("binaryFile").schema(_FILE).load(f"{landing}/*/{contract.name}.csv")
-    folder = F.regexp_extract("path", rf"/([^/]+)/{contract.name}\.csv(/.*)?$", 1)
+    folder = F.regexp_extract("path", rf"/([^/]+)/{re.escape(contract.name)}\.csv(/.*)?$", 1)
     landed = files.select(folder.alias("folder"), folder_time(F.col("path")).alias(SNAPSHOT_TS))
 
     def take_folders(batch: DataFrame, _: int) -> None:
