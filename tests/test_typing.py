@@ -1,5 +1,7 @@
 """Names, casts, contracts."""
 
+from dataclasses import replace
+
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from tidemark.contracts import (
     SchemaMismatch,
     TableContract,
     UnknownTable,
+    apply_comments,
     assert_compatible,
     contracts_from_yaml,
     empty_table,
@@ -148,6 +151,22 @@ def test_empty_table_and_comments(spark):
     assert commented.schema["plate"].metadata["comment"] == "The cars plate"
 
 
+def test_comments_reach_files_and_catalog(spark, tmp_path):
+    described = replace(CARS, description="All the cars' rows")
+    path = str(tmp_path / "cars")
+    with_comments(empty_table(spark, described, scd2=True), described).write.parquet(path)
+    assert spark.read.parquet(path).schema["plate"].metadata["comment"] == "The cars plate"
+    spark.sql(f"CREATE TABLE commented_cars USING parquet LOCATION '{path}'")
+    try:
+        apply_comments(spark, described, "commented_cars", scd2=True)
+        shown = {r["col_name"]: r["comment"] for r in spark.sql("DESCRIBE commented_cars").collect()}
+        assert shown["plate"] == "The cars plate" and shown["__version"].startswith("SCD2: Version")
+        detail = spark.sql("DESCRIBE EXTENDED commented_cars").filter("col_name = 'Comment'").first()
+        assert detail["data_type"] == "All the cars rows"
+    finally:
+        spark.sql("DROP TABLE commented_cars")
+
+
 def test_assert_compatible(spark):
     df = spark.createDataFrame([(1, "a")], "x int, y string")
     assert_compatible(df, df.schema)

@@ -114,6 +114,21 @@ def with_comments(df: DataFrame, contract: TableContract) -> DataFrame:
     return df
 
 
+def comment_statements(contract: TableContract, table: str, scd2: bool = False) -> list[str]:
+    """Statements that put the table's and its columns' descriptions into a catalog."""
+    comments = {c.output_col: c.comment for c in contract.columns if c.comment}
+    if scd2:
+        comments.update({name: comment for name, (_, comment) in HISTORY_COLUMNS.items()})
+    described = contract.description.replace("'", "")
+    out = [f"COMMENT ON TABLE {table} IS '{described}'"] if described else []
+    return out + [f"ALTER TABLE {table} ALTER COLUMN `{c}` COMMENT '{text}'" for c, text in comments.items()]
+
+
+def apply_comments(spark: SparkSession, contract: TableContract, table: str, scd2: bool = False) -> None:
+    for statement in comment_statements(contract, table, scd2):
+        spark.sql(statement)
+
+
 def assert_compatible(df: DataFrame, schema: T.StructType) -> None:
     """Same names, same order, same types.  Nullability is left to the quality checks."""
     have = [(f.name, f.dataType.simpleString()) for f in df.schema]
