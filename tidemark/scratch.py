@@ -1,35 +1,28 @@
 """Shared working folder for tables that have to be written and read again.
 
-A cluster names the folder in ``spark.checkpoint.dir``.  Only a local session,
-where driver and executors share one disk, may fall back to a temporary folder.
+A cluster names the folder in ``spark.checkpoint.dir``.  Where that is unset, the folder lies
+below the warehouse, which every session has and which its executors share.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-@lru_cache(maxsize=None)
-def _local_folder(app_id: str) -> str:
-    return tempfile.mkdtemp(prefix="tidemark-")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder that every executor can reach."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return _local_folder(spark.conf.get("spark.app.id", "local"))
-    raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+    return (configured or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work").rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
-    """A fresh, not yet existing folder below the shared one.  The caller owns it."""
+    """A fresh, not yet existing folder below the shared one.
+
+    A result may still read it when the caller is done, so nothing removes it: clear the shared
+    folder with the application, as for checkpoints.
+    """
     return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
