@@ -4,17 +4,42 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sharding
+from . import decontaminate, edit_embedding, hyperminhash, mixing, nbsvm, sharding, substrings, warc
+from .workers import reach
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return reach(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def op1_edit_embedding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edit_embedding.compare_with_next(_table(spark, sf_dir, "documents"))
 
 
 def op2_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nbsvm.quality(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.near_components(_table(spark, sf_dir, "documents"))
+
+
+def op9_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(_table(spark, sf_dir, "documents"))
+
+
 def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(_table(spark, sf_dir, "documents"))
 
@@ -22,9 +47,15 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_edit_embedding,
         op2_minimax_shards,
+        op4_decontaminate,
+        op6_warc,
+        op7_quality,
+        op8_hyperminhash,
+        op9_substrings,
         op10_mix_sources,
     )
 }
 
-ORACLE_SQL = {"op10_mix_sources": mixing.MIX_SQL.strip()}
+ORACLE_SQL = {"op4_decontaminate": decontaminate.HITS_SQL.strip(), "op10_mix_sources": mixing.MIX_SQL.strip()}

@@ -113,9 +113,7 @@ def minimax_cuts(groups: DataFrame, shards: int) -> tuple[int, list[int]]:
             return low, cuts
 
 
-def shard(
-    rows: DataFrame, key: str, order: str, size: str, shards: int = 16
-) -> DataFrame:
+def shard(rows: DataFrame, key: str, order: str, size: str, shards: int = 16) -> DataFrame:
     """``rows`` with ``shard`` and ``slot`` (gapless from 0 within a shard).
 
     Rows with the same ``key`` are one atomic group.  Groups are ordered by their least ``order``
@@ -125,6 +123,7 @@ def shard(
     """
     least = rows.groupBy(key).agg(F.min(order).alias("__first"), F.max(F.col(order).isNull()).alias("__null"))
     least = least.withColumn("__first", F.when(~F.col("__null"), F.col("__first"))).drop("__null")
+    least = stored(least, "groups")  # written, so that adaptive execution can split the rows of a hot group
     placed = running(rows.join(least, key), ["__first", key, order], size, "shards")
     placed = stored(placed, "shards")
     groups = stored(
