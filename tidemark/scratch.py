@@ -7,6 +7,8 @@ below the warehouse, which every session has and which its executors share.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,12 +28,31 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/tidemark/{label}-{uuid.uuid4().hex}"
 
 
+# The public setting that removes a query's shuffle files when the query has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The same rows from a table in the shared folder, with the lineage cut.
 
-    The table outlives lost executors, and whatever reads it twice computes nothing twice.
+    The table outlives lost executors, and whatever reads it twice computes nothing twice.  Shuffle
+    files behind it go as soon as it is complete; ``df`` itself, if it is used again, is computed anew.
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    df.write.parquet(path)
+    with _shuffles_removed(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
