@@ -163,7 +163,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     clean = clean.agg(F.min("label").alias("label"), F.max("label").alias("most")).filter("label = most")
     clean = stored(clean.select("doc_id", F.col("label").cast("int").alias("label")), "labels")
     docs = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    counted = docs.join(clean, "doc_id").select("label", "text")
+    # By shuffle at any size: labels grow with the corpus.
+    counted = docs.join(clean.hint("merge"), "doc_id").select("label", "text")
     counted = counted.mapInArrow(_count_batches, "feature long, zeros long, ones long")
     counted = counted.groupBy("feature").agg(F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")).toPandas()
     zeros, ones = np.zeros(DIM), np.zeros(DIM)  # at most DIM rows come back
