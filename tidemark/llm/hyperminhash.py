@@ -12,10 +12,10 @@ the whole sequence is one shingle; without words the set is empty and links with
 4. Within a band's bucket every vertex is held against one centre, another one in every band.  The
    estimate from the sketches, corrected for chance collisions, drops pairs that are far off; the
    others are confirmed on their whole sets.  Confirmed links give components.
-5. Buckets that still hold several components go through a second round with other centres, and
-   then each vertex outside the bucket's main component is held against all others of the bucket
-   that it is not connected with.  So no pair that shares a bucket is left undecided, and groups
-   of copies never expand into all pairs.
+5. Buckets that still hold several components are left open.  All vertices outside the main
+   component of such a bucket are held against all vertices of buckets with the same main component,
+   in blocks: a task gets two blocks of texts, counts every intersection, and puts out links only.
+   So no pair that shares a bucket is left undecided, and no row is made for a pair that is none.
 """
 
 from __future__ import annotations
@@ -188,6 +188,39 @@ def _confirmed(threshold: float, width: int):
     return run
 
 
+def _linked_blocks(threshold: float, width: int):
+    """Links of the outer texts of a block with texts of other components, one per outer text and component."""
+    hundredths = round(threshold * 100)
+
+    def run(table: pa.Table) -> pa.Table:
+        vertex, root = np.asarray(table.column("vertex")), np.asarray(table.column("root"))
+        outer = np.asarray(table.column("outer").to_pylist(), bool)
+        sets = shingle_sets([t or b"" for t in table.column("text").cast(pa.binary()).to_pylist()], width)
+        inner = np.flatnonzero(~outer)
+        sizes = np.array([len(sets[i]) for i in inner], np.int64)
+        links: list[tuple[int, int]] = []
+        if len(inner):
+            names, flat = np.unique(np.concatenate([sets[i] for i in inner]), return_inverse=True)
+            begin = np.concatenate(([0], np.cumsum(sizes)))[:-1]
+            for x in np.flatnonzero(outer):
+                at = np.searchsorted(names, sets[x])
+                at = at[at < len(names)]
+                have = np.zeros(len(names), np.int64)
+                have[at[np.isin(names[at], sets[x])]] = 1
+                common = np.add.reduceat(have[flat], begin)
+                near = 100 * common >= hundredths * (len(sets[x]) + sizes - common)
+                near &= root[inner] != root[x]
+                _, first = np.unique(root[inner][near], return_index=True)
+                links += [(int(vertex[x]), int(v)) for v in vertex[inner][near][first]]
+        return pa.table({"a": pa.array([x for x, _ in links], pa.int64()), "b": pa.array([y for _, y in links], pa.int64())})
+
+    return run
+
+
+# Texts of each of the two sides of a block, on average.
+BLOCK = 96
+
+
 class _Finder:
     def __init__(self, docs: DataFrame, threshold: float, width: int) -> None:
         self.threshold, self.width = threshold, width
@@ -203,69 +236,61 @@ class _Finder:
         # A repeated row has the same sketch.
         self.sketch_of = stored(first.groupBy("vertex", *keys).agg(F.first("sketch").alias("sketch")), "sketches")
         rows = self.sketch_of.select("vertex", "sketch").mapInArrow(_band_batches, "bucket long, vertex long")
-        rows = stored(rows, "bands")
         shared = rows.groupBy("bucket").agg(F.min("vertex").alias("l"), F.max("vertex").alias("h"))
-        shared = shared.filter("l < h").select("bucket")
+        shared = stored(shared.filter("l < h").select("bucket"), "buckets")
         self.rows = stored(rows.join(shared, "bucket", "left_semi"), "bands")
         involved = self.rows.select("vertex").distinct()
         texts = docs.select(F.col("doc_id").cast("long").alias("vertex"), "text")
         self.texts = stored(texts.join(involved, "vertex", "left_semi").distinct(), "texts")
 
-    def links(self, pairs: DataFrame) -> DataFrame:
-        """Those of the pairs ``a, b`` that are as similar as asked."""
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    def centred(self) -> DataFrame:
+        """Links of vertices with the centres of their buckets."""
+        turn = F.xxhash64("bucket", "vertex")
+        centre = self.rows.groupBy("bucket").agg(F.min(F.struct(turn.alias("t"), "vertex")).getField("vertex").alias("c"))
+        pairs = self.rows.join(stored(centre, "centres"), "bucket").filter("vertex != c")
+        pairs = pairs.select(F.least("vertex", "c").alias("a"), F.greatest("vertex", "c").alias("b")).distinct()
         sketch_of = self.sketch_of.select("vertex", "sketch")
         for side in "ab":
             other = sketch_of.select(F.col("vertex").alias(side), F.col("sketch").alias(f"sketch_{side}"))
             pairs = pairs.join(other, side)
-        near = pairs.mapInArrow(_estimated(self.threshold), "a long, b long").distinct()
+        near = stored(pairs.mapInArrow(_estimated(self.threshold), "a long, b long").distinct(), "pairs")
         for side in "ba":
             other = self.texts.select(F.col("vertex").alias(side), F.col("text").alias(f"text_{side}"))
             near = near.join(other, side)
         near = near.select("a", "b", "text_a", "text_b")
         return near.mapInArrow(_confirmed(self.threshold, self.width), "a long, b long").distinct()
 
-    def centred(self, rows: DataFrame, seed: int) -> DataFrame:
-        """Each vertex with the centre of each of its buckets, if that is in another component."""
-        turn = F.xxhash64("bucket", "vertex", F.lit(seed))
-        centre = rows.groupBy("bucket").agg(F.min(F.struct(turn.alias("t"), "vertex", "root")).alias("c"))
-        return (
-            rows.join(centre, "bucket")
-            .filter(F.col("root") != F.col("c.root"))
-            .select(F.col("vertex").alias("a"), F.col("c.vertex").alias("b"))
-        )
-
-    def with_roots(self, links: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
-        """Rows of buckets with two components or more, and the roots of linked vertices."""
-        if links is None:
-            return self.rows.withColumn("root", F.col("vertex")), None
-        roots = components(links)
+    def crossing(self, roots: DataFrame) -> DataFrame:
+        """Links between components that share a bucket."""
         rows = self.rows.join(roots, "vertex", "left").withColumn("root", F.coalesce("root", "vertex"))
-        split = rows.groupBy("bucket").agg(F.min("root").alias("l"), F.max("root").alias("h"), F.count(F.lit(1)).alias("n"))
+        sizes = stored(rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")), "sizes")
+        main = sizes.groupBy("bucket").agg(
+            F.max(F.struct("n", "root")).getField("root").alias("main"), F.count(F.lit(1)).alias("parts"), F.sum("n").alias("all")
+        )
         # In a bucket of two, the one pair has been held against each other.
-        split = split.filter("l < h and n > 2").select("bucket")
-        return stored(rows.join(split, "bucket", "left_semi"), "open"), roots
-
-    def rest(self, rows: DataFrame) -> DataFrame:
-        """Vertices outside the main component of a bucket, with all others not connected with them."""
-        sizes = rows.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
-        main = sizes.groupBy("bucket").agg(F.max(F.struct("n", "root")).getField("root").alias("main"))
-        few = rows.join(main, "bucket").filter("root != main")
-        few = few.select("bucket", F.col("vertex").alias("a"), F.col("root").alias("root_a"), "main")
-        many = rows.select("bucket", F.col("vertex").alias("b"), F.col("root").alias("root_b"))
-        # A pair outside the main component comes once.
-        each = (F.col("root_a") != F.col("root_b")) & ((F.col("root_b") == F.col("main")) | (F.col("a") < F.col("b")))
-        return many.join(few, "bucket").filter(each).select("a", "b")
+        main = stored(main.filter("parts > 1 and all > 2").select("bucket", "main"), "open")
+        near = stored(rows.join(main, "bucket").select("main", "vertex", "root").distinct(), "open")
+        outer = F.col("root") != F.col("main")
+        blocks = lambda n: F.greatest(F.lit(1), F.ceil(n / BLOCK)).cast("int")
+        count = near.groupBy("main").agg(
+            blocks(F.sum(F.when(outer, 1).otherwise(0))).alias("n_outer"), blocks(F.count(F.lit(1))).alias("n_inner")
+        )
+        near = near.join(stored(count, "open"), "main")
+        place = lambda n: F.pmod(F.xxhash64("vertex"), F.col(n)).cast("int")
+        every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        columns = ["main", "vertex", "root", "outer", "i", "j"]
+        xs = near.filter(outer).select("*", F.lit(True).alias("outer"), place("n_outer").alias("i"), every("n_inner").alias("j"))
+        ys = near.select("*", F.lit(False).alias("outer"), place("n_inner").alias("j"), every("n_outer").alias("i"))
+        both = stored(xs.select(*columns).unionByName(ys.select(*columns)), "blocks")
+        filled = both.join(self.texts, "vertex").select(*columns, "text")
+        return filled.groupBy("main", "i", "j").applyInArrow(
+            _linked_blocks(self.threshold, self.width), "a long, b long"
+        )
 
     def run(self) -> DataFrame:
-        links, roots = None, None
-        for seed in (1, 2):
-            rows, roots = self.with_roots(links)
-            found = stored(self.links(self.centred(rows, seed)), "links")
-            links = found if links is None else links.unionByName(found)
-        rows, _ = self.with_roots(links)
-        links = links.unionByName(stored(self.links(self.rest(rows)), "links"))
-        return components(links)
+        links = stored(self.centred(), "links")
+        more = stored(self.crossing(components(links)), "links")
+        return components(links.unionByName(more))
 
 
 def near_components(docs: DataFrame, threshold: float = 0.8, width: int = 2) -> DataFrame:
