@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, edit_embedding, hyperminhash, mixing, nbsvm, sharding, substrings, warc
+from . import decontaminate, edit_embedding, hmm, hyperminhash, mixing, nbsvm, records, sharding, substrings, warc
 from .workers import reach
 
 
@@ -20,10 +20,20 @@ def op2_minimax_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(_table(spark, sf_dir, "documents"))
 
 
+def op3_token_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return records.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.hits(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op5_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hmm.score(_table(spark, sf_dir, "documents"))
+
+
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -49,7 +59,9 @@ QUERIES = {
     for f in (
         op1_edit_embedding,
         op2_minimax_shards,
+        op3_token_records,
         op4_decontaminate,
+        op5_hidden_markov,
         op6_warc,
         op7_quality,
         op8_hyperminhash,

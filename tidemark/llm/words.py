@@ -79,6 +79,15 @@ class Words:
         return np.repeat(np.arange(len(self.offsets) - 1), self.counts())
 
 
+def run_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of the bytes of each run; a polynomial, so that one running sum serves all runs."""
+    up, down = _TABLES.get(len(raw) + 1)
+    sums = np.empty(len(raw) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(_BYTE_VALUES[raw] * up[: len(raw)], out=sums[1:])
+    return mix((sums[ends] - sums[starts]) * down[starts])
+
+
 def words_of(texts: list[bytes], lower: bool, hashes: bool = True) -> Words:
     """The words of each text and their 64-bit hashes; equal words have equal hashes everywhere."""
     data = b"\n".join(texts) + b"\n"
@@ -94,11 +103,7 @@ def words_of(texts: list[bytes], lower: bool, hashes: bool = True) -> Words:
     offsets = np.concatenate(([0], np.searchsorted(starts, text_ends, "left")))
     hashed = np.empty(0, np.uint64)
     if hashes:
-        up, down = _TABLES.get(len(raw) + 1)
-        sums = np.empty(len(raw) + 1, np.uint64)
-        sums[0] = 0
-        np.cumsum(_BYTE_VALUES[raw] * up[: len(raw)], out=sums[1:])
-        hashed = mix((sums[ends] - sums[starts]) * down[starts])
+        hashed = run_hashes(raw, starts, ends)
     return Words(raw.tobytes() if lower else data, starts, ends, offsets, hashed)
 
 
