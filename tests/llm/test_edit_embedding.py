@@ -1,0 +1,111 @@
+"""Fingerprints by edit embedding: neighbours, likeness, bands and verified pairs."""
+
+import hashlib
+
+import numpy as np
+import pytest
+
+from tidemark.llm import edit_embedding as ee
+
+
+def text(n, seed):
+    draw = np.random.default_rng(seed)
+    return "".join(draw.choice(list("etaoin shrdlu cmfwyp"), n))
+
+
+def edit(t, n, seed):
+    draw, t = np.random.default_rng(seed), list(t)
+    for _ in range(n):
+        at = draw.integers(len(t))
+        kind = draw.integers(3)
+        if kind == 0:
+            t[at] = "Z"
+        elif kind == 1:
+            t.insert(at, "Y")
+        else:
+            del t[at]
+    return "".join(t)
+
+
+def like(a, b):
+    p = ee.fingerprints([a, b])
+    return float(ee.likeness(p[0], p[1]))
+
+
+def test_likeness_falls_with_edits():
+    mean = [np.mean([like(text(2000, s), edit(text(2000, s), n, s)) for s in range(6)]) for n in (0, 2, 20, 200)]
+    assert mean[0] == 1 and mean[0] > mean[1] > mean[2] > mean[3]
+    assert mean[1] > 0.8 and np.mean([like(text(2000, s), text(2000, s + 50)) for s in range(6)]) < 0.06
+
+
+def test_half_kept_is_half_alike():
+    values = [like(text(3000, s), ee.edited(text(3000, s), text(3000, s + 100))) for s in range(8)]
+    assert 0.4 < np.mean(values) < 0.6
+
+
+def test_a_text_s_fingerprint_does_not_depend_on_its_neighbours():
+    texts = [text(n, n) for n in (1, 7, 8, 9, 500, 1300)] + ["", "é漢😀"]
+    alone = np.concatenate([ee.fingerprints([t]) for t in texts])
+    assert (ee.fingerprints(texts) == alone).all()
+    assert (ee.from_text(ee.as_text(alone)) == alone).all()
+    assert like("", "") == 1.0 and (ee.fingerprints([""]) == 0).all()
+
+
+def expected(rows):
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    out = {}
+    for i, (d, t) in enumerate(rows):
+        t, after = t or "", rows[(i + 1) % len(rows)][1] or ""
+        changed = ee.edited(t, after)
+        a, b, c = ee.fingerprints([t, changed, after])
+        out[d] = (
+            len(t), hashlib.sha256(changed.encode()).hexdigest(), *ee.as_text(np.stack((a, b))), float(ee.likeness(a, b)), float(ee.likeness(a, c))
+        )
+    return out
+
+
+def got(df):
+    names = ["n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+    return {r["doc_id"]: tuple(r[n] for n in names) for r in df.collect()}
+
+
+def test_neighbours_across_partitions(documents, pairs):
+    assert got(ee.compare_with_next(documents.repartition(13))) == expected(pairs)
+
+
+def test_edge_cases(make, empty_docs):
+    rows = [(5, None), (2, ""), (None, "no id"), (9, "long " * 40000), (7, "x"), (-3, "é漢😀!"), (11, "same"), (12, "same")]
+    out = got(ee.compare_with_next(make(rows)))
+    assert out == expected(rows) and out[11][2] == out[12][2] and out[11][5] == 1.0
+    assert ee.compare_with_next(empty_docs).count() == 0
+    assert got(ee.compare_with_next(make([(1, "alone")]))) == expected([(1, "alone")])
+    assert ee.compare_with_next(make([(1, "same"), (1, "same")])).count() == 2
+
+
+def slow_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a):
+        new = [i + 1]
+        for j, y in enumerate(b):
+            new.append(min(row[j] + (x != y), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return row[-1]
+
+
+@pytest.mark.parametrize("seed", range(8))
+def test_edit_distance(seed):
+    draw = np.random.default_rng(seed)
+    a, b = ("".join(draw.choice(list("ab"), draw.integers(0, 14))) for _ in range(2))
+    true = slow_distance(a, b)
+    assert ee.edit_distance(a, b, 20) == true
+    assert ee.edit_distance(a, b, true) == true
+    assert true == 0 or ee.edit_distance(a, b, true - 1) is None
+
+
+def test_near_pairs_are_verified(make, empty_docs):
+    base = text(800, 1)
+    rows = [(1, base), (2, edit(base, 5, 2)), (3, base), (4, edit(base, 8, 3)), (5, text(800, 9)), (6, None), (7, ""), (8, base[:400] + text(400, 4))]
+    found = {(r["a"], r["b"]): r["edits"] for r in ee.near_pairs(make(rows)).collect()}
+    assert {(1, 2), (1, 4)} <= set(found) <= {(1, 2), (1, 4), (2, 4)}
+    assert found[1, 2] == slow_distance(base, rows[1][1])
+    assert ee.near_pairs(empty_docs).count() == 0

@@ -1,0 +1,162 @@
+"""Mixing, sharding and decontamination: brute force, laws, edge cases, plans."""
+
+import zlib
+
+import brute
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tidemark.llm import decontaminate as dec
+from tidemark.llm import mixing, sharding
+
+
+def water_level(sizes, weights, share=1.5, most=2.0):
+    """Targets by resharing the excess until no source is above."""
+    left = dict(enumerate(sizes))
+    budget, target = share * sum(sizes), [0.0] * len(sizes)
+    while left:
+        total = sum(weights[i] for i in left)
+        over = [i for i in left if budget * weights[i] / total >= most * left[i]]
+        if not over:
+            for i in left:
+                target[i] = budget * weights[i] / total
+            break
+        for i in over:
+            target[i] = most * left.pop(i)
+            budget -= target[i]
+    return target
+
+
+@pytest.mark.parametrize("sizes", [[10, 10, 10], [1, 1000, 5, 7, 300, 20], [0, 5, 5], [100], [0, 0], [3, 900, 1, 1, 1, 1, 1]])
+def test_targets(spark, sizes):
+    rows = [(f"s{i:02d}", n) for i, n in enumerate(sizes)]
+    got = mixing.source_rates(spark.createDataFrame(rows, "source string, size long")).orderBy("source").collect()
+    weights = [(3, 1, 2)[i % 3] for i in range(len(sizes))]
+    assert [r["target"] for r in got] == pytest.approx(water_level(sizes, weights))
+    assert all(r["target"] <= 2 * r["source_size"] for r in got)
+    if sum(sizes):
+        assert sum(r["target"] for r in got) == pytest.approx(1.5 * sum(sizes))
+
+
+def test_mix_takes_about_the_target(spark):
+    rows = [(i, " ".join(["w"] * (1 + i % 9)), f"s{i % 5}") for i in range(20000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    taken = mixing.taken(docs)
+    per = taken.groupBy("target").agg(F.sum("taken").alias("t")).collect()
+    assert all(abs(r["t"] - r["target"]) < 0.02 * r["target"] for r in per)
+    assert taken.filter("taken > 2 * size").count() == 0
+    assert taken.orderBy("doc_id").collect() == mixing.taken(docs.repartition(7)).orderBy("doc_id").collect()
+    copies = {r["doc_id"]: r["count"] for r in mixing.mix(docs).groupBy("doc_id").count().collect()}
+    assert copies == {r["doc_id"]: r["taken"] // r["size"] for r in taken.collect() if r["taken"]}
+
+
+def test_mix_edge_cases(make, empty_docs):
+    rows = [(1, None, "b"), (2, "", "b"), (3, "one two", None), (None, "three", "a"), (4, "x " * 70000, "a"), (4, "x " * 70000, "a"), (5, "é É", "é")]
+    out = mixing.taken(make(rows)).collect()
+    assert len(out) == 7 and all(0 <= r["taken"] <= 2 * r["size"] for r in out)
+    assert [r["target"] for r in out if r["source_size"] == 0] == [0.0, 0.0]
+    assert mixing.mix(make(rows)).columns == make(rows).columns
+    assert mixing.taken(empty_docs).count() == 0 and mixing.mix(empty_docs).count() == 0
+
+
+@pytest.mark.parametrize("sizes", [[5, 1, 1, 1, 9, 2, 2, 7], [1] * 40, [100, 1, 1, 1], [3], [1, 50, 1, 50, 1], list(range(1, 60))])
+@pytest.mark.parametrize("shards", [1, 3, 16])
+def test_smallest_capacity(spark, sizes, shards):
+    starts = np.concatenate(([0], np.cumsum(sizes)))[:-1].tolist()
+    groups = spark.createDataFrame(list(zip(starts, sizes)), "start long, size long")
+    capacity, cuts = sharding.minimax_cuts(groups, shards)
+    assert capacity == brute.least_capacity(sizes, shards)
+    assert cuts == sorted(cuts) and len(cuts) == shards - 1
+    total = sum(sizes)
+    assert set(cuts) <= {*starts, total}
+    assert max(b - a for a, b in zip([0, *cuts], [*cuts, total])) <= capacity
+
+
+def test_blocks_are_split_until_exact(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "BLOCKS", 4)
+    monkeypatch.setattr(sharding, "SPLIT_BITS", 1)
+    draw = np.random.default_rng(2)
+    sizes = draw.integers(1, 500, 70).tolist()
+    starts = np.concatenate(([0], np.cumsum(sizes)))[:-1].tolist()
+    groups = spark.createDataFrame(list(zip(starts, sizes)), "start long, size long")
+    assert sharding.minimax_cuts(groups, 5)[0] == brute.least_capacity(sizes, 5)
+
+
+def test_shards_of_documents(documents, pairs):
+    out = sharding.shard_documents(documents).collect()
+    text = dict(pairs)
+    assert sorted(r["doc_id"] for r in out) == sorted(text)
+    first = {}
+    for d, t in sorted(pairs):
+        first.setdefault(t, d)
+    order = sorted({(first[t], t) for t in text.values()})
+    sizes = [sum(len((x or "").encode()) + 1 for x in text.values() if x == t) for _, t in order]
+    loads, slots, shard_of = {}, {}, {}
+    for r in out:
+        t = text[r["doc_id"]]
+        assert r["size"] == len(t.encode()) + 1 and r["text_crc32"] == zlib.crc32(t.encode())
+        assert r["law"] == "bytes" and r["grown_shard"] is None and 0 <= r["shard"] < 16
+        loads[r["shard"]] = loads.get(r["shard"], 0) + r["size"]
+        slots.setdefault(r["shard"], []).append(r["slot"])
+        assert shard_of.setdefault(t, r["shard"]) == r["shard"]
+    assert max(loads.values()) == brute.least_capacity(sizes, 16) or max(loads.values()) <= brute.least_capacity(sizes, 16)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert [shard_of[t] for _, t in order] == sorted(shard_of[t] for _, t in order)
+
+
+def test_shard_edge_cases(make, empty_docs):
+    rows = [(1, None), (2, ""), (3, "a" * 200000), (3, "a" * 200000), (4, "b"), (None, "b"), (5, "b"), (7, "c"), (7, "d")]
+    out = sharding.shard_documents(make(rows)).collect()
+    assert len(out) == len(rows)
+    by_text = {}
+    for r in out:
+        by_text.setdefault(r["text_crc32"], set()).add(r["shard"])
+    assert all(len(s) == 1 for s in by_text.values())
+    slots = {}
+    for r in out:
+        slots.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    assert sharding.shard_documents(empty_docs).count() == 0
+
+
+def contaminated(df):
+    return {r["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in df.collect()}
+
+
+def items_of(spark, items):
+    return spark.createDataFrame(items, "item_id long, text string").withColumn("window", F.lit("clash"))
+
+
+def test_decontamination_agrees_with_every_window(spark, sf_dir, documents, pairs):
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    items = [(r["item_id"], r["text"]) for r in bench.collect()]
+    assert contaminated(dec.hits(documents, bench)) == brute.contamination(pairs, items)
+
+
+def test_decontamination_edge_cases(spark, make, empty_docs):
+    ten = "One two, three four five six seven eight nine TEN"
+    items = [(1, ten), (2, ten + " eleven"), (3, "short item"), (4, "solo"), (5, None), (6, " .,! "), (7, "ÀB été"), (8, "a b c"), (None, "no id"), (1, ten), (10, "x " * 40)]
+    rows = [
+        (1, "pre " + ten.lower().replace(",", " --") + " post"), (2, "one two three four five six seven eight nine"), (3, "a SHORT-item b short item"),
+        (4, "solo"), (5, None), (6, ""), (7, "Àb ÉTÉ été Àb été"), (8, "a b c d a b c a b"), (9, "no id"), (10, ten + " eleven " + ten), (11, "x " * 30000),
+        (12, "x " * 9), (13, ten), (13, "solo"), (None, "short item"),
+    ]
+    out = dec.hits(make(rows), items_of(spark, items)).collect()
+    got = sorted((str(r["doc_id"]), r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"], r["contaminated"]) for r in out)
+    want = []
+    for d, t in rows:
+        want.append((str(d), *brute.contamination([(d, t)], items)[d]))
+    assert got == sorted(want)
+    clean = dec.drop_contaminated(make(rows), items_of(spark, items))
+    assert sorted(r["doc_id"] for r in clean.collect()) == [2, 5, 6, 12] and clean.columns == make(rows).columns
+    assert dec.hits(empty_docs, items_of(spark, items)).count() == 0
+    assert dec.hits(make(rows), items_of(spark, items).limit(0)).filter("contaminated").count() == 0
+    assert dec.hits(make(rows), items_of(spark, items[4:6])).filter("n_hit > 0").count() == 0
+
+
+def test_native_operators_run_no_python(spark, sf_dir, documents):
+    bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    for df in (dec.hits(documents, bench), mixing.taken(documents), mixing.mix(documents)):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert not any(x in plan for x in ("Python", "InArrow", "InPandas", "Cartesian", "NestedLoopJoin"))

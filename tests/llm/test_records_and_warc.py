@@ -1,0 +1,176 @@
+"""Binary token records and WARC archives: exact round trips, damage, edge cases."""
+
+import hashlib
+import struct
+import zlib
+
+import brute
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+from tidemark.llm import records, tokens, warc
+from tidemark.scratch import new_folder
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+TEXTS = [
+    "", " ", "\n", "plain words, here.", "it's we'll 'tis don't!'s 're", "a\n\nb \n c\t\td  e   f ", "x!!y??(z)_w_v", "\nStart", " lead",
+    "no break em 　x", "12 345,6.7e8 v2.0 ²½", "Ünïcödé straße, naïve. Ещё 漢字、かな!", "<|endoftext|> in <|endoftext|>text",
+    "tail  ", "a\r\nb\x0bc\x0cd", "\x1c\x1f odd\x00nul", "'", "''s", "end'", "é combining", "😀 emoji😀\n", "A.\nB,\nC", " line", "x\u0085y",
+]
+
+
+@pytest.fixture(scope="module")
+def plain():
+    return Tokenizer.from_file(PATH)
+
+
+def test_cached_pieces_give_the_librarys_ids(plain, pairs):
+    texts = TEXTS + [t for _, t in pairs] + ["".join(TEXTS), " ".join(TEXTS)]
+    ids, counts = tokens.Encoder(PATH).encode([t.encode() for t in texts])
+    bounds = np.concatenate(([0], np.cumsum(counts)))
+    for i, t in enumerate(texts):
+        assert ids[bounds[i] : bounds[i + 1]].tolist() == plain.encode(t, add_special_tokens=False).ids, t[:80]
+
+
+def test_a_full_memory_starts_anew(plain, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 3)
+    encoder = tokens.Encoder(PATH)
+    for t in ("one two three four", "five six seven", "one five nine ten"):
+        assert encoder.encode([t.encode()])[0].tolist() == plain.encode(t, add_special_tokens=False).ids
+
+
+def slow_crc32c(data: bytes) -> int:
+    state = 0xFFFFFFFF
+    for b in data:
+        state ^= b
+        for _ in range(8):
+            state = state >> 1 ^ (0x82F63B78 if state & 1 else 0)
+    return state ^ 0xFFFFFFFF
+
+
+def test_checksum():
+    assert records.crc32c([b"123456789"])[0] == 0xE3069283  # the published check value
+    draw = np.random.default_rng(1)
+    parts = [draw.bytes(n) for n in (0, 1, 8, 255, 256, 257, 511, 512, 3000, 70001, 0, 5)]
+    assert records.crc32c(parts).tolist() == [slow_crc32c(p) for p in parts]
+    assert records.crc32c([]).tolist() == []
+
+
+def expected(rows, plain):
+    rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    out, start = {}, 0
+    for doc_id, text in rows:
+        ids = plain.encode(text or "", add_special_tokens=False).ids + [2]
+        out[doc_id] = (start, len(ids), zlib.crc32(struct.pack(f"<{len(ids)}I", *ids)))
+        start += len(ids)
+    return out
+
+
+def test_round_trip(documents, pairs, plain):
+    got = records.round_trip(documents, PATH).collect()
+    assert {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in got} == expected(pairs, plain)
+
+
+def test_round_trip_of_edge_cases(make, empty_docs, plain):
+    rows = [(5, None), (2, ""), (None, "no id"), (9, "word " * 60000), (7, "tie"), *[(100 + i, t) for i, t in enumerate(TEXTS)]]
+    got = records.round_trip(make(rows), PATH).collect()
+    assert {r["doc_id"]: (r["start"], r["n_tokens"], r["ids_crc32"]) for r in got} == expected(rows, plain)
+    assert records.round_trip(empty_docs, PATH).count() == 0
+    again = records.round_trip(make([(1, "same"), (1, "same")]), PATH).collect()
+    assert sorted(r["start"] for r in again) == [0, again[0]["n_tokens"]]
+
+
+def test_shuffled_reads_and_damage(spark, make, plain):
+    folder = new_folder(spark, "tokens-test")
+    index = records.write(make([(i, f"text number {i} " * (i + 1)) for i in range(20)]), folder, PATH, 2)
+    some = records.fetch(index.filter("doc_id % 3 = 0").orderBy(F.rand(3)), folder).collect()
+    assert {r["doc_id"]: r["ids"] for r in some} == {
+        i: plain.encode(f"text number {i} " * (i + 1), add_special_tokens=False).ids + [2] for i in range(0, 20, 3)
+    }
+    system, path = warc.file_system(folder)
+    row = index.orderBy(F.desc("offset")).first()
+    with system.open_input_stream(f"{path}/{row['file']}") as stream:
+        data = bytearray(stream.read())
+    frame = bytes(data[row["offset"] : row["offset"] + row["length"]])
+    assert records.parse([frame])[0][0] == row["doc_id"]
+    for at in (0, 9, 15, len(frame) - 1):
+        with pytest.raises(records.Corrupt):
+            records.parse([frame[:at] + bytes([frame[at] ^ 1]) + frame[at + 1 :]])
+
+
+def test_warc_round_trip(spark, sf_dir):
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    rows = [(r["page_id"], r["html"]) for r in pages.collect()]
+    got = warc.round_trip(pages).collect()
+    mine = {r["page_id"]: (r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got}
+    assert mine == brute.warc(rows) and len(got) == len(rows)
+
+
+def pages_of(spark, rows):
+    df = spark.createDataFrame([(p, f"http://x/{p} \n", h) for p, h in rows], "page_id long, url string, html string")
+    return df.withColumn("payload_digest", F.lit("clash")).withColumn("file", F.lit(1))
+
+
+def test_warc_edge_cases(spark):
+    large, edge = "é" * 600, "a" * 999
+    rows = [(1, None), (2, ""), (3, large), (4, large), (9, large), (5, edge), (6, edge), (7, edge + "a"), (8, edge + "a"), (10, "\r\n\r\nWARC/1.1\r\n")]
+    got = warc.round_trip(pages_of(spark, rows)).collect()
+    mine = {r["page_id"]: (r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got}
+    assert mine == brute.warc(rows)
+    twice = warc.round_trip(pages_of(spark, [(1, large), (1, large), (2, large)])).collect()
+    assert sorted((r["page_id"], r["record_type"], r["refers_to"]) for r in twice) == [(1, "revisit", 2), (1, "revisit", 2), (2, "response", None)]
+    assert warc.round_trip(pages_of(spark, [(1, "x")]).limit(0)).count() == 0
+
+
+def sample(n):
+    out = []
+    for i in range(n):
+        payload = f"<p>page {i}</p>".encode() * (i + 1)
+        out.append(warc.record("response", i, f"http://x/{i}", payload, hashlib.sha1(payload).hexdigest(), None))
+    return out
+
+
+@pytest.mark.parametrize("packed", [True, False])
+def test_salvage_skips_what_is_damaged(packed):
+    parts = [warc.member(r) if packed else r for r in sample(8)]
+    offsets = np.concatenate(([0], np.cumsum([len(p) for p in parts])))
+    whole = b"".join(parts)
+
+    def read(data):
+        found = list(warc.salvage(data))
+        gaps = [(g.offset, g.length) for g in found if isinstance(g, warc.Gap)]
+        return [int(r.headers["x-page-id"]) for r in found if isinstance(r, warc.Record)], gaps
+
+    assert read(whole) == (list(range(8)), [])
+    broken = bytearray(whole)
+    broken[offsets[4] - 8] ^= 0xFF  # within the payload, or the gzip checksum
+    ids, gaps = read(bytes(broken))
+    assert ids == [0, 1, 2, 4, 5, 6, 7]
+    assert gaps == [(int(offsets[3]), len(parts[3]))]
+    cut = whole[: offsets[2] + 20] + whole[offsets[4] :]
+    assert read(cut) == ([0, 1, 4, 5, 6, 7], [(int(offsets[2]), 20)])
+    assert read(b"junk" * 5 + whole) == (list(range(8)), [(0, 20)])
+    assert read(whole[:-9])[0] == list(range(7))
+    assert read(whole + b"tail") == (list(range(8)), [(len(whole), 4)])
+    assert read(b"") == ([], []) and read(b"nothing") == ([], [(0, 7)])
+
+
+def test_damaged_archives_through_spark(spark):
+    folder = new_folder(spark, "warc-test")
+    files = warc.write(pages_of(spark, [(i, f"page {i} " * 300) for i in range(12)]), folder)
+    system, path = warc.file_system(folder)
+    name = files.first()["file"]
+    with system.open_input_stream(f"{path}/{name}", compression=None) as stream:
+        data = bytearray(stream.read())
+    data[len(data) // 2] ^= 0xFF
+    with system.open_output_stream(f"{path}/{name}", compression=None) as out:
+        out.write(bytes(data))
+    found = warc.read(files, folder, payloads=True)
+    gaps = found.filter("gap_bytes IS NOT NULL").collect()
+    good = found.filter("gap_bytes IS NULL").collect()
+    assert len(gaps) == 1 and gaps[0]["gap_bytes"] > 0 and gaps[0]["file"] == name
+    assert len(good) == 11
+    assert all(bytes(r["payload"]).decode() == f"page {r['page_id']} " * 300 for r in good)

@@ -30,7 +30,7 @@ from ..scratch import stored
 from .words import mix
 
 WALKS, SLOTS = 4, 32
-BAND = 8  # slots a band; a band keeps to one walk
+BAND = 6  # slots a band; a band keeps to one walk
 SEEN = 8  # characters a slot samples
 CHANCE = 1 / 16
 _FAR = 1 << 40
@@ -301,12 +301,15 @@ def edit_distance(a: str, b: str, most: int) -> int | None:
 
 def _band_rows(batches):
     for batch in batches:
-        rows = from_text(batch.column("fingerprint").to_pylist()).reshape(len(batch), -1, BAND)
+        rows = from_text(batch.column("fingerprint").to_pylist()).reshape(len(batch), WALKS, SLOTS)
+        rows = rows[:, :, : SLOTS // BAND * BAND].reshape(len(batch), -1, BAND)
         weights = np.uint64(16) ** np.arange(BAND, dtype=np.uint64)
         keys = (rows.astype(np.uint64) * weights).sum(axis=2, dtype=np.uint64)
         keys = mix(keys + (np.arange(1, keys.shape[1] + 1, dtype=np.uint64) << np.uint64(40)))
-        ids = np.repeat(np.asarray(batch.column("doc_id")), keys.shape[1])
-        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)], names=["bucket", "doc_id"])
+        ids, sizes = (np.repeat(np.asarray(batch.column(c)), keys.shape[1]) for c in ("doc_id", "n_chars"))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(keys.ravel().view(np.int64)), pa.array(ids), pa.array(sizes)], names=["bucket", "doc_id", "n_chars"]
+        )
 
 
 def _verified(share: float):
@@ -330,14 +333,18 @@ def near_pairs(docs: DataFrame, share: float = 0.2) -> DataFrame:
 
     ``a < b``; ids must be unique and not NULL.  Equal texts are represented by the least id, so
     copies and empty texts do not expand into pairs.  Fingerprints that agree in a band are only
-    candidates; ``edits`` is exact and divided by the longer text's length it is at most ``share``.
+    candidates, and texts whose lengths differ by more than ``share`` are none; ``edits`` is exact, and
+    divided by the longer text's length it is at most ``share``.  The more edits, the likelier a pair
+    shares no band and is not found.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     first = docs.filter("text != ''").groupBy(F.sha2("text", 256).alias("sha")).agg(F.min("doc_id").alias("doc_id"))
     texts = stored(docs.join(first.select("doc_id"), "doc_id", "left_semi"), "texts")
-    rows = stored(fingerprint_table(texts).mapInArrow(_band_rows, "bucket long, doc_id long"), "bands")
-    least = rows.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("most")).filter("a < most")
-    pairs = rows.join(least.select("bucket", "a"), "bucket").filter("a < doc_id")
+    rows = stored(fingerprint_table(texts).mapInArrow(_band_rows, "bucket long, doc_id long, n_chars long"), "bands")
+    least = rows.groupBy("bucket").agg(F.min(F.struct("doc_id", "n_chars")).alias("l"), F.max("doc_id").alias("most"))
+    least = stored(least.filter("l.doc_id < most").select("bucket", F.col("l.doc_id").alias("a"), F.col("l.n_chars").alias("n")), "bands")
+    longer = F.greatest("n", "n_chars")
+    pairs = rows.join(least, "bucket").filter((F.col("a") < F.col("doc_id")) & (F.abs(F.col("n") - F.col("n_chars")) <= longer * share))
     pairs = pairs.select("a", F.col("doc_id").alias("b")).distinct()
     for side in "ab":
         pairs = pairs.join(texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")), side)

@@ -63,11 +63,13 @@ def log_ratios(ones: np.ndarray, zeros: np.ndarray) -> np.ndarray:
     return ratio
 
 
-def fit_hinge(rows: list[np.ndarray], values: list[np.ndarray], signs: np.ndarray, costs: np.ndarray) -> np.ndarray:
+def fit_hinge(
+    rows: list[np.ndarray], values: list[np.ndarray], signs: np.ndarray, costs: np.ndarray, passes: int = PASSES
+) -> np.ndarray:
     """Weights of least hinge loss by dual coordinate descent; every row has length 1."""
     weights, alpha = np.zeros(DIM), np.zeros(len(rows))
     draw = np.random.default_rng(7)
-    for _ in range(PASSES):
+    for _ in range(passes):
         for i in draw.permutation(len(rows)):
             gradient = signs[i] * (weights[rows[i]] @ values[i]) - 1
             new = min(max(alpha[i] - gradient, 0.0), costs[i])

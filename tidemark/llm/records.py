@@ -36,7 +36,7 @@ MASK = 0xA282EAD8
 ROW = 256  # bytes that one look-up row of the checksum takes
 FILE_BYTES = 64 << 20
 READ_BYTES = 8 << 20
-HEAD = struct.Struct("<qBB")
+HEAD = "<qBB"
 
 
 @lru_cache(maxsize=1)
@@ -145,8 +145,8 @@ def parse(frame: list[bytes]) -> list[tuple[int | None, np.ndarray]]:
     for i, (f, d) in enumerate(zip(frame, data)):
         if struct.unpack_from("<I", f, 8)[0] != a[i] or struct.unpack_from("<I", f, len(f) - 4)[0] != b[i]:
             raise Corrupt("a checksum differs")
-        doc_id, known, width = HEAD.unpack_from(d)
-        out.append((doc_id if known else None, np.frombuffer(d, f"<u{width}", offset=HEAD.size)))
+        doc_id, known, width = struct.unpack_from(HEAD, d)
+        out.append((doc_id if known else None, np.frombuffer(d, f"<u{width}", offset=struct.calcsize(HEAD))))
     return out
 
 
@@ -178,7 +178,7 @@ def _writer(folder: str, tokenizer: str, end_id: int):
                 bounds = np.concatenate(([0], np.cumsum(counts)))
                 packed = ids.astype(f"<u{width}")
                 data = [
-                    HEAD.pack(0 if d is None else d, d is not None, width) + packed[a:b].tobytes() + end
+                    struct.pack(HEAD, 0 if d is None else d, d is not None, width) + packed[a:b].tobytes() + end
                     for d, a, b in zip(doc_ids[at:to], bounds[:-1], bounds[1:])
                 ]
                 lines = []

@@ -265,6 +265,7 @@ def remove_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
     # Whole copies of a smaller document, found by the digest of the text.
     texts = stored(known.select("doc_id", F.sha2("text", 256).alias("sha")), "digests")
     least = texts.groupBy("sha").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most")).filter("least < most")
+    least = stored(least, "digests")  # written, so that adaptive execution can split a hot text's rows
     is_copy = F.min(F.col("doc_id") > F.col("least")).alias("is_copy")
     copies = texts.join(least, "sha").groupBy("doc_id").agg(is_copy, F.count(F.lit(1)).alias("n"))
     rows_of = texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))

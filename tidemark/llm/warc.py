@@ -101,6 +101,8 @@ def _parse(data: bytes, start: int, offset: int) -> tuple[Record, int]:
     head = data.find(b"\r\n\r\n", start)
     if head < 0:
         raise Damaged("headers without end")
+    if _VERSION_LINE.search(data, start + 1, head):
+        raise Damaged("another record begins within the headers")
     headers = {}
     for line in data[start:head].split(b"\r\n")[1:]:
         name, colon, value = line.partition(b":")
