@@ -18,7 +18,7 @@ _LOWER[0x41:0x5B] += 32
 _BASE = 0x9E3779B97F4A7C15  # odd, so that it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 # A bound on the bytes handled at once: the working arrays are 8 bytes a byte of text.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
