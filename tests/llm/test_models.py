@@ -56,8 +56,10 @@ def test_dual_coordinate_descent_meets_its_conditions():
     draw = np.random.default_rng(3)
     rows = [np.sort(draw.choice(50, 6, replace=False)) for _ in range(80)]
     signs = np.array([1.0 if (r < 12).any() else -1.0 for r in rows])
+    ratios = np.ones(nbsvm.DIM)
+    scale = nbsvm.scales(rows, ratios)
     values = [np.full(6, 6**-0.5) for _ in rows]
-    w = nbsvm.fit_hinge(rows, values, signs, np.full(80, 5.0), passes=2000)
+    w = nbsvm.fit_hinge(rows, ratios, scale, signs, np.full(80, 5.0), passes=2000)
     margins = np.array([w[r] @ v for r, v in zip(rows, values)])
     assert (np.sign(margins) == signs).mean() > 0.95
 

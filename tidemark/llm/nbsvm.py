@@ -22,7 +22,7 @@ from .words import chunks, mix, words_of
 BITS = 18
 DIM = 1 << BITS
 # Documents of each class that the linear model is fitted on, the first by the hash of their id.
-SAMPLE = 3000
+SAMPLE = 2000
 FOLDS = 3
 SMOOTH = 1.0
 COST = 1.0
@@ -63,18 +63,29 @@ def log_ratios(ones: np.ndarray, zeros: np.ndarray) -> np.ndarray:
     return ratio
 
 
+def scales(rows: list[np.ndarray], ratios: np.ndarray) -> np.ndarray:
+    """What brings each row's ratios to length 1."""
+    return np.array([1 / np.sqrt((ratios[r] ** 2).sum()) for r in rows])
+
+
 def fit_hinge(
-    rows: list[np.ndarray], values: list[np.ndarray], signs: np.ndarray, costs: np.ndarray, passes: int = PASSES
+    rows: list[np.ndarray],
+    ratios: np.ndarray,
+    scale: np.ndarray,
+    signs: np.ndarray,
+    costs: np.ndarray,
+    passes: int = PASSES,
 ) -> np.ndarray:
-    """Weights of least hinge loss by dual coordinate descent; every row has length 1."""
+    """Weights of least hinge loss by dual coordinate descent; row ``i`` is ``ratios[rows[i]] * scale[i]``."""
     weights, alpha = np.zeros(DIM), np.zeros(len(rows))
     draw = np.random.default_rng(7)
     for _ in range(passes):
         for i in draw.permutation(len(rows)):
-            gradient = signs[i] * (weights[rows[i]] @ values[i]) - 1
+            value = ratios[rows[i]] * scale[i]
+            gradient = signs[i] * (weights[rows[i]] @ value) - 1
             new = min(max(alpha[i] - gradient, 0.0), costs[i])
             if new != alpha[i]:
-                weights[rows[i]] += (new - alpha[i]) * signs[i] * values[i]
+                weights[rows[i]] += (new - alpha[i]) * signs[i] * value
                 alpha[i] = new
     return weights
 
@@ -114,7 +125,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, shares:
     if not len(rows) or labels.min() == labels.max():  # one class or none: its share is all there is to know
         zero.offset = 0.0 if not len(rows) else 30.0 * (1 if labels[0] else -1)
         return zero
-    values = [ratios[r] / np.sqrt((ratios[r] ** 2).sum()) for r in rows]
+    scale = scales(rows, ratios)
     signs = np.where(labels == 1, 1.0, -1.0)
     costs = COST * len(rows) / 2 / np.where(labels == 1, (labels == 1).sum(), (labels == 0).sum())
     margins, fold = np.zeros(len(rows)), np.arange(len(rows)) % FOLDS
@@ -122,12 +133,12 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, shares:
         use = np.flatnonzero(fold != k)
         if labels[use].min() == labels[use].max():
             continue
-        w = fit_hinge([rows[i] for i in use], [values[i] for i in use], signs[use], costs[use])
+        w = fit_hinge([rows[i] for i in use], ratios, scale[use], signs[use], costs[use]) * ratios
         for i in np.flatnonzero(fold == k):
-            margins[i] = w[rows[i]] @ values[i]
+            margins[i] = w[rows[i]].sum() * scale[i]
     stands_for = np.where(labels == 1, shares[1], shares[0])
     slope, offset = fit_logistic(margins, (labels == 1).astype(float), stands_for / stands_for.mean())
-    return Model(ratios, fit_hinge(rows, values, signs, costs), slope, offset)
+    return Model(ratios, fit_hinge(rows, ratios, scale, signs, costs), slope, offset)
 
 
 def _texts(batch: pa.RecordBatch) -> list[bytes]:
@@ -176,10 +187,10 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     few = F.broadcast(first[0].unionByName(first[1]))  # 2 * sample ids at most
     rows = docs.join(few, "doc_id").select("doc_id", "label", "text")
     rows = rows.mapInArrow(_feature_batches, "doc_id long, label int, features binary").toPandas()
-    rows["turn"] = mix(rows["doc_id"].to_numpy().astype(np.int64).view(np.uint64))  # a fixed, mixed order
-    rows = rows.sort_values(["turn", "features"])
-    found = [np.frombuffer(f, "<i4").astype(np.int64) for f in rows["features"]]
-    target = rows["label"].to_numpy()
+    turn = mix(rows["doc_id"].to_numpy().astype(np.int64).view(np.uint64))  # a fixed, mixed order
+    order = sorted(range(len(rows)), key=lambda i: (turn[i], rows["features"].iat[i]))
+    target = rows["label"].to_numpy()[order]
+    found = [np.frombuffer(rows["features"].iat[i], "<i4") for i in order]  # the bytes as they came, not copied
     shares = tuple(max(1.0, n) / max(1, int((target == k).sum())) for k, n in ((0, zeros[0]), (1, ones[0])))
     return fit(found, target, log_ratios(ones, zeros), shares)
 
