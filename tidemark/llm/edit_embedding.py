@@ -228,11 +228,8 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     ends = found.filter(F.col("part").isNotNull())
     firsts = ends.filter("is_first").select("part", F.col("text").alias("next_text"))
     # One row a partition from here on, without texts where a window needs one task.
-    parts = ends.filter("is_first").select("part")
-    follow = parts.select("part", F.lead("part").over(Window.orderBy("part")).alias("next_part"))
-    follow = follow.crossJoin(F.broadcast(parts.agg(F.min("part").alias("least")))).select(
-        "part", F.coalesce("next_part", "least").alias("next_part")
-    )
+    following = F.coalesce(F.lead("part").over(Window.orderBy("part")), F.min("part").over(Window.partitionBy()))
+    follow = ends.filter("is_first").select("part").select("part", following.alias("next_part"))
     lasts = ends.filter("not is_first").select("doc_id", "text", "part").join(follow, "part")
     borders = lasts.join(firsts.withColumnRenamed("part", "next_part"), "next_part")
     rest = borders.select("doc_id", "text", "next_text").mapInArrow(_at_borders, _RESULT)

@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, edit_embedding, hmm, hyperminhash, mixing, nbsvm, records, sharding, substrings, warc
+from . import (
+    decontaminate,
+    edit_embedding,
+    hmm,
+    hyperminhash,
+    mixing,
+    nbsvm,
+    oracle,
+    records,
+    sharding,
+    substrings,
+    warc,
+)
 from .workers import reach
 
 
@@ -70,4 +82,10 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL = {"op4_decontaminate": decontaminate.HITS_SQL.strip(), "op10_mix_sources": mixing.MIX_SQL.strip()}
+ORACLE_SQL = {
+    "op4_decontaminate": decontaminate.HITS_SQL.strip(),
+    "op6_warc": oracle.WARC_SQL.strip(),
+    "op8_hyperminhash": oracle.NEAR_SQL.strip(),
+    "op9_substrings": oracle.REPEATS_SQL.strip(),
+    "op10_mix_sources": mixing.MIX_SQL.strip(),
+}
