@@ -8,8 +8,10 @@ from conftest import rows
 from pyspark.sql import functions as F
 
 from tidemark.operators import explore, gold, history as h, quality
-from tidemark.operators.metrics import MetricView
+from tidemark.operators.metrics import MetricView, time_series_periods
+from tidemark.operators.shaping import format_values
 from tidemark.plans.queries.snapshots import KEYS, TIMES, snapshot, stacked
+from tidemark.scratch import stored
 
 
 @contextmanager
@@ -57,10 +59,46 @@ def test_history_step_shuffles_each_side_once(spark, sf_dir):
 
 
 def test_replay_shuffles_and_sorts_once(spark, sf_dir):
-    replayed = h.replay(stacked(spark, sf_dir), KEYS, "snapshot_ts", times=list(TIMES.values()))
-    text = plan(replayed)
-    assert shuffles(replayed) == 1 and len(re.findall(r"\bSort \[", text)) == 1
-    assert text.count("BroadcastHashJoin") == 1
+    for times in (list(TIMES.values()), None):
+        replayed = h.replay(stacked(spark, sf_dir), KEYS, "snapshot_ts", times=times)
+        text = plan(replayed)
+        assert shuffles(replayed) == 1 and len(re.findall(r"\bSort \[", text)) == 1
+        assert text.count("BroadcastHashJoin") == 1
+
+
+def test_history_step_reads_what_it_needs(spark, sf_dir):
+    before = h.initial_load(snapshot(spark, sf_dir, "b"), KEYS, TIMES["b"])
+    before = stored(before, "history")
+    new = stored(snapshot(spark, sf_dir, "c"), "snapshot")
+    step = h.next_versions(before, new, KEYS, TIMES["c"], tracking=["prio"]).select("o_orderkey", h.OPERATION)
+    read = [set(re.findall(r"(\w+):", s)) for s in re.findall(r"ReadSchema: struct<([^>]*)>", plan(step))]
+    assert sorted(map(sorted, read)) == [["__operation", "o_orderkey", "prio"], ["o_orderkey", "prio"]]
+
+
+def test_invariants_scan_a_written_history_few_times(spark, sf_dir):
+    history = stored(h.initial_load(snapshot(spark, sf_dir, "b"), KEYS, TIMES["b"]), "history")
+    with settings(spark, **NO_BROADCAST):
+        text = plan(h.invariant_violations(history, KEYS))
+    assert text.count("FileScan") <= 8 and text.count("SortMergeJoin") <= 2
+
+
+def test_text_years_reach_the_scan(spark, sf_dir):
+    text = F.date_format("o_orderdate", "yyyyMMdd").alias("day")
+    days = stored(orders(spark, sf_dir).select("o_orderkey", text), "days")
+    found = plan(explore.facet_filter(days, explore.FilterSpec(years={"day": [1996, 1998]})))
+    assert "GreaterThanOrEqual(day,19960101)" in found and "LessThanOrEqual(day,19981231)" in found
+
+
+def test_several_granularities_take_one_scan(spark, sf_dir):
+    events = spark.read.parquet(f"{sf_dir}/events.parquet")
+    found = plan(time_series_periods(events, "ts", ["DAY", "MONTH"], {"n": "COUNT(*)"}))
+    assert found.count("FileScan") == 1
+
+
+def test_a_number_is_read_once(spark, sf_dir):
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(F.col("l_returnflag").alias("x"))
+    shown = format_values(lines, {"a": ("x", "mm"), "b": ("x", "number"), "c": ("x", "cc")})
+    assert plan(shown).count("RLIKE") == 1
 
 
 def test_filters_and_columns_reach_the_scan(spark, sf_dir):

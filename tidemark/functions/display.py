@@ -67,7 +67,11 @@ def format_value(column: Column, kind: str = "number") -> Column:
         iso = F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), F.substring(text, 1, 10).try_cast("date"))
         day = F.coalesce(tolerant_date(text), iso)
         return F.year(day).cast("string") if kind == "year" else F.coalesce(F.date_format(day, DISPLAY_DATE), text)
-    number = as_number(column)
+    return format_number_as(as_number(column), text, kind)
+
+
+def format_number_as(number: Column, text: Column, kind: str) -> Column:
+    """A number that has been read from ``text`` already; without a number the text stays."""
     if kind == "cc":
         shown = _engine_size(number)
     elif kind == "number":

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from operator import and_
 
@@ -19,7 +19,10 @@ PAGE_ROWS = 25
 
 @dataclass(frozen=True)
 class FilterSpec:
-    """What a user has chosen.  Anything empty, or a range left at its default, filters nothing."""
+    """What a user has chosen.  Nothing, an empty text or list, or a range left at its default filters nothing.
+
+    Zero and False are choices.
+    """
 
     equals: Mapping[str, object] = field(default_factory=dict)
     in_lists: Mapping[str, Sequence[object]] = field(default_factory=dict)
@@ -31,7 +34,7 @@ class FilterSpec:
     years: Mapping[str, Sequence[int]] = field(default_factory=dict)
 
     def active(self) -> list[Column]:
-        out = [F.col(c) == v for c, v in self.equals.items() if v]
+        out = [F.col(c) == v for c, v in self.equals.items() if v is not None and v != ""]
         out += [F.col(c).isin(list(v)) for c, v in self.in_lists.items() if v]
         for name, chosen in self.ranges.items():
             if not chosen or list(chosen) == list(self.defaults.get(name, ())):
@@ -52,17 +55,28 @@ def year_between(column: Column, first: int, last: int, fmt: str = COMPACT_DATE)
     return F.year(tolerant_date(column, fmt)).between(first, last)
 
 
+def _within_years(column: str, kind: str, first: int, last: int) -> Column:
+    """Over compact text, a range of the text itself, which the scan understands, and the date behind it."""
+    readable = year_between(F.col(column), first, last)
+    if kind != "string" or not 1 <= first <= last <= 9999:
+        return readable
+    return (F.col(column) >= f"{first:04d}0101") & (F.col(column) <= f"{last:04d}1231") & readable
+
+
 def year_range_filter(df: DataFrame, column: str, first: int, last: int) -> DataFrame:
     """Rows by year; over a real date column the range itself reaches the scan."""
     kind = df.schema[column].dataType.typeName()
     if kind in ("date", "timestamp", "timestamp_ntz"):
         start, stop = (F.lit(f"{year:04d}-01-01").cast("date").cast(kind) for year in (first, last + 1))
         return df.filter((F.col(column) >= start) & (F.col(column) < stop))
-    return df.filter(year_between(F.col(column), first, last))
+    return df.filter(_within_years(column, kind, first, last))
 
 
 def facet_filter(df: DataFrame, spec: FilterSpec) -> DataFrame:
-    return df.filter(spec.predicate())
+    for column, years in spec.years.items():
+        if years:
+            df = year_range_filter(df, column, *years)
+    return df.filter(replace(spec, years={}).predicate())
 
 
 def _usable(column: Column, sentinel: str | None) -> Column:

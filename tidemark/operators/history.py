@@ -12,21 +12,19 @@ from datetime import datetime
 from functools import reduce
 from operator import and_, or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import HISTORY_COLUMNS
 from ..functions.hashing import row_hash_of, stable_bucket
 from ..functions.typing import as_timestamp
+from ..scratch import stored
 
 FROM, TO, CURRENT, OPERATION, PROCESSED, HASH, VERSION = HISTORY_COLUMNS
 INSERT, UPDATE, DELETE, NO_CHANGE = "INSERT", "UPDATE", "DELETE", "NO_CHANGE"
 META = list(HISTORY_COLUMNS)
 
-# Snapshots that one back-fill may cover; their times travel to every executor.
-MAX_SNAPSHOTS = 100_000
-
 _NULL_KEY_BUCKETS = 4096
 
 
@@ -59,7 +57,10 @@ def _any_null(keys: Sequence[str]) -> Column:
 
 
 def _bucket_for_null_keys(keys: Sequence[str], columns: Sequence[str]) -> Column:
-    """Zero for complete keys.  Rows without a key match nothing, so they may go anywhere."""
+    """Zero for complete keys.  Rows without a key match nothing, so they may go anywhere.
+
+    ``columns`` only spread them; all of them are read, so give those that are read anyway.
+    """
     return F.when(_any_null(keys), stable_bucket([F.col(c) for c in columns], _NULL_KEY_BUCKETS)).otherwise(0)
 
 
@@ -70,7 +71,7 @@ def _side(
     return df.select(
         *[F.col(c).alias(f"{prefix}{c}") for c in df.columns],
         row_hash_.alias(f"{prefix}hash"),
-        _bucket_for_null_keys(keys, df.columns).alias(f"{prefix}bucket"),
+        _bucket_for_null_keys(keys, [*keys, *hashed]).alias(f"{prefix}bucket"),
         F.lit(True).alias(f"{prefix}here"),
     )
 
@@ -322,45 +323,58 @@ def as_of(history: DataFrame, ts: Column | datetime | str) -> DataFrame:
 
 
 def merge_histories(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Stack two histories; per key only the latest ``__valid_from`` is current.
+    """Stack two histories; per key exactly one row is current, one with the latest ``__valid_from``.
 
-    Ties go to the higher version, then to ``new``.  The latest version of each key comes
-    from a partial aggregate and is joined back, so a key with very many rows is neither
-    sorted nor buffered in one task, as a window over it would be.
+    Ties go to the higher version, then to ``new``, then to the greater values of the other
+    columns; of rows that are equal in everything, one.  Equal rows are counted before the shuffle
+    and put back at the end.  The latest time of a key, and then the best of the few rows that have
+    it, come from aggregates that are joined back, so a key with very many rows is neither sorted
+    nor buffered in one task, as a window over it would be.
     """
     both = existing.withColumn("__side", F.lit(0)).unionByName(
         new.withColumn("__side", F.lit(1)), allowMissingColumns=True
     )
-    tie = stable_bucket([F.col(c) for c in both.columns], 1 << 30)
-    rank = F.struct(F.col(FROM), F.col(VERSION), F.col("__side"), tie.alias("tie"))
-    both = both.withColumn("__rank", rank)
-    latest = both.groupBy(*[F.col(k).alias(f"__latest_{i}") for i, k in enumerate(keys)]).agg(
-        F.max("__rank").alias("__latest_rank")
-    )
+    columns = [c for c in both.columns if c != "__side"]
+    kept = [c for c in columns if c != CURRENT]
+    # What was current before does not matter, so rows that differ in that alone are equal.
+    both = both.groupBy(*kept, "__side").agg(F.count(F.lit(1)).alias("__copies"))
+    by_key = [F.col(k).alias(f"__latest_{i}") for i, k in enumerate(keys)]
     same_key = [F.col(k).eqNullSafe(F.col(f"__latest_{i}")) for i, k in enumerate(keys)]
-    columns = [c for c in both.columns if c not in ("__side", "__rank")]
-    return (
-        both.join(latest, same_key, "inner")
-        .withColumn(CURRENT, F.col("__rank").eqNullSafe(F.col("__latest_rank")))
-        .select(*columns)
+    latest = both.groupBy(*by_key).agg(F.max(FROM).alias("__latest_from"))
+    tied = both.join(latest, [*same_key, F.col(FROM).eqNullSafe(F.col("__latest_from"))], "left_semi")
+    # Maps cannot be compared; their text can.
+    others = [
+        F.col(c).cast("string") if both.schema[c].dataType.typeName() in ("map", "variant") else F.col(c)
+        for c in kept
+        if c not in (*keys, FROM, VERSION)
+    ]
+    rank = F.struct(F.col(VERSION), F.col("__side"), *[c.alias(f"c{i}") for i, c in enumerate(others)])
+    best = tied.groupBy(*by_key).agg(F.max(rank).alias("__best"), F.max(FROM).alias("__best_from"))
+    first = F.col(FROM).eqNullSafe(F.col("__best_from")) & rank.eqNullSafe(F.col("__best"))
+    marks = F.transform(F.sequence(F.lit(1).cast("bigint"), F.col("__copies")), lambda i: first & (i == 1))
+    return both.join(best, same_key, "inner").withColumn(CURRENT, F.explode(marks)).select(*columns)
+
+
+def _calendar(instants: DataFrame) -> DataFrame:
+    """Time and following time of every snapshot, from distinct ``__us``.
+
+    The window runs within calendar years; the last time of a year is followed by the first of the
+    next year that has any, from a frame with one row per year.
+    """
+    placed = instants.withColumn("__year", F.year(F.timestamp_micros("__us")))
+    years = placed.groupBy("__year").agg(F.min("__us").alias("__first"))
+    years = years.select("__year", F.lead("__first").over(Window.orderBy("__year")).alias("__next_year"))
+    following = F.lead("__us").over(Window.partitionBy("__year").orderBy("__us"))
+    placed = placed.withColumn("__following", following).join(years, "__year")
+    return placed.select(
+        F.col("__us").alias("__known_us"),
+        F.timestamp_micros("__us").alias("__t"),
+        F.coalesce("__following", "__next_year").alias("__next_us"),
     )
 
 
-def snapshot_times(snapshots: DataFrame, ts_col: str) -> list[int]:
-    """The distinct snapshot times as microseconds, in order; the list's length is checked."""
-    instant = F.unix_micros(F.col(ts_col).cast("timestamp")).alias("us")
-    rows = snapshots.select(instant).dropna().distinct().limit(MAX_SNAPSHOTS + 1).collect()
-    if len(rows) > MAX_SNAPSHOTS:
-        raise ValueError(f"more than {MAX_SNAPSHOTS} snapshots in {ts_col!r}")
-    return sorted(r["us"] for r in rows)
-
-
-def _calendar(spark: SparkSession, instants: Sequence[int]) -> DataFrame:
-    """Time, number and following time of every snapshot."""
-    rows = [(us, i, following) for i, (us, following) in enumerate(zip(instants, [*instants[1:], None]))]
-    return spark.createDataFrame(rows, "__us bigint, __i int, __next_us bigint").select(
-        "__us", "__i", F.timestamp_micros("__us").alias("__t"), F.timestamp_micros("__next_us").alias("__next")
-    )
+def _fail(message: str, kind: str) -> Column:
+    return F.raise_error(F.lit(message)).cast(kind)
 
 
 def replay(
@@ -374,39 +388,49 @@ def replay(
 ) -> DataFrame:
     """The history of stacked snapshots in one pass, as if each had been applied in turn.
 
-    All windows share one partitioning and ordering: one shuffle and one sort.  A key has
-    at most one row per snapshot, so a window group is no longer than the list of times;
-    ``quality.split_unique(snapshots, [*keys, ts_col])`` sets aside what breaks this.
-    Pass the times if they are known, such as from the landing folders; an empty snapshot
-    is only seen that way, and the pass over the time column is saved.
+    All windows share one partitioning and ordering: one shuffle and one sort.  A key has at most
+    one row per snapshot, so a window group is no longer than the list of times; a repeated key in
+    a snapshot is an error, and ``quality.split_unique(snapshots, [*keys, ts_col])`` sets such rows
+    aside.  Pass the times if they are known, such as from the landing folders; an empty snapshot
+    is only seen that way, and the pass over the time column is saved.  A row whose time is NULL or
+    not among the given ones is an error.
     """
     spark = snapshots.sparkSession
-    if times is not None:
-        given = spark.createDataFrame([(str(t),) for t in times], "t string")
-        instants = snapshot_times(given, "t")
+    instant = F.unix_micros(F.col(ts_col).cast("timestamp"))
+    if times is None:
+        instants = snapshots.select(instant.alias("__us")).dropna().distinct()
     else:
-        instants = snapshot_times(snapshots, ts_col)
+        given = spark.createDataFrame([(str(t),) for t in times], "t string")
+        instants = given.select(F.unix_micros(F.col("t").cast("timestamp")).alias("__us")).distinct()
+    # Written, so that its true size decides how it is joined.
+    calendar = stored(_calendar(instants), "calendar")
     data = [c for c in snapshots.columns if c != ts_col]
     compared = comparison_columns(data, keys, tracking, exclude)
-    # At most MAX_SNAPSHOTS rows of four fields are broadcast.
-    placed = row_hash(snapshots, compared).join(
-        F.broadcast(_calendar(spark, instants)),
-        F.unix_micros(F.col(ts_col).cast("timestamp")) == F.col("__us"),
-        "inner",
+    unknown = _fail(f"a row's {ts_col} is NULL or not one of the snapshots' times", "bigint")
+    placed = (
+        row_hash(snapshots, compared)
+        .withColumn("__us", instant)
+        .join(calendar, F.col("__us") == F.col("__known_us"), "left")
+        .withColumn("__us", F.coalesce("__known_us", unknown))
     )
 
     # Rows without a key stand alone; their own buckets keep them out of one huge group.
     no_key = _any_null(keys)
-    placed = placed.withColumn("__bucket", _bucket_for_null_keys(keys, [*data, "__i"]))
-    in_order = Window.partitionBy(*keys, "__bucket").orderBy("__i")
+    placed = placed.withColumn("__bucket", _bucket_for_null_keys(keys, [*keys, *compared, "__us"]))
+    in_order = Window.partitionBy(*keys, "__bucket").orderBy("__us")
     so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before_i, after_i = F.lag("__i").over(in_order), F.lead("__i").over(in_order)
+    before, after = F.lag("__us").over(in_order), F.lead("__us").over(in_order)
+    repeated = _fail(f"a snapshot repeats a key: {', '.join(keys)}", "boolean")
+    followed = F.lag("__next_us").over(in_order)
     marked = (
         placed.withColumns(
             {
-                "__appears": no_key | before_i.isNull() | (before_i != F.col("__i") - 1),
+                "__appears": F.when(~no_key & (before == F.col("__us")), repeated).otherwise(
+                    no_key | before.isNull() | ~followed.eqNullSafe(F.col("__us"))
+                ),
                 "__before": F.lag(HASH).over(in_order),
-                "__last_seen": no_key | after_i.isNull() | (after_i != F.col("__i") + 1),
+                "__last_seen": no_key | after.isNull() | ~after.eqNullSafe(F.col("__next_us")),
+                "__next": F.timestamp_micros("__next_us"),
             }
         )
         .withColumn("__starts", F.col("__appears") | (F.col("__before") != F.col(HASH)))
@@ -446,32 +470,43 @@ def replay(
 def invariant_violations(history: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Keys that break a history rule, with the rule's name and number of rows.
 
-    The chain rule looks up each version's predecessor by an equality join on key, version
-    and time, so that a key with very many rows spreads over tasks.
+    The rules on single rows and the count of open rows are one aggregate per key.  The chain rule
+    looks up each version's predecessor by an equality join on key, version and time, so that a key
+    with very many rows spreads over tasks.  Overlaps, rows that begin before the one before them
+    has ended, need the rows of a key in order.  A key of a sound history has at most one row per
+    time, so keys with more rows than there are times in all are reported by their count instead
+    (``more_rows_than_times``) and stay out of that window.
+
+    The history is read several times: give a written one (``scratch.stored``).
     """
     facts = history.select(
         *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], FROM, TO, is_open().alias(CURRENT), VERSION
     )
     key_cols = [f"__k{i}" for i in range(len(keys))]
-    many = (
-        facts.filter(CURRENT)
-        .groupBy(*key_cols)
-        .agg(F.count("*").alias("n_rows"))
-        .filter("n_rows > 1")
-        .withColumn("rule", F.lit("one_current_per_key"))
-    )
     row_rule = (
         F.when(F.col(CURRENT) & F.col(TO).isNotNull(), "current_is_open")
         .when(~F.col(CURRENT) & F.col(TO).isNull(), "closed_has_end")
         .when(~F.col(CURRENT) & (F.col(FROM) >= F.col(TO)), "starts_before_end")
         .when(F.col(VERSION).isNull() | (F.col(VERSION) < 1), "version_is_positive")
     )
-    rows = (
+    rules = ["current_is_open", "closed_has_end", "starts_before_end", "version_is_positive"]
+    n_times = facts.agg(F.count_distinct(FROM))
+    per_key = (
         facts.withColumn("rule", row_rule)
-        .filter(F.col("rule").isNotNull())
-        .groupBy(*key_cols, "rule")
-        .agg(F.count("*").alias("n_rows"))
+        .groupBy(*key_cols)
+        .agg(
+            F.count_if(CURRENT).alias("one_current_per_key"),
+            *[F.count_if(F.col("rule") == r).alias(r) for r in rules],
+            F.count(F.lit(1)).alias("more_rows_than_times"),
+        )
+        .withColumn("one_current_per_key", F.when(F.col("one_current_per_key") > 1, F.col("one_current_per_key")))
+        .withColumn(
+            "more_rows_than_times",
+            F.when(F.col("more_rows_than_times") > n_times.scalar(), F.col("more_rows_than_times")),
+        )
     )
+    named = ["one_current_per_key", *rules, "more_rows_than_times"]
+    rows = per_key.unpivot(key_cols, named, "rule", "n_rows").filter("n_rows > 0")
     earlier = facts.select(
         *[F.col(c).alias(f"{c}_e") for c in key_cols],
         (F.col(VERSION) + 1).alias("__follows"),
@@ -492,7 +527,20 @@ def invariant_violations(history: DataFrame, keys: Sequence[str]) -> DataFrame:
         .agg(F.count("*").alias("n_rows"))
         .withColumn("rule", F.lit("follows_previous_version"))
     )
-    found = many.unionByName(rows).unionByName(chain)
+    hot = per_key.filter("more_rows_than_times > 0").select(*[F.col(c).alias(f"{c}_h") for c in key_cols])
+    calm = facts.join(hot, [F.col(c).eqNullSafe(F.col(f"{c}_h")) for c in key_cols], "left_anti")
+    complete = reduce(and_, [F.col(c).isNotNull() for c in key_cols])
+    in_order = Window.partitionBy(*key_cols).orderBy(FROM, F.col(TO).asc_nulls_last(), VERSION)
+    ended = F.lag(F.coalesce(TO, F.lit("9999-12-31").cast("timestamp"))).over(in_order)
+    overlap = (
+        calm.filter(complete)
+        .withColumn("__overlaps", F.col(FROM) < ended)
+        .filter("__overlaps")
+        .groupBy(*key_cols)
+        .agg(F.count("*").alias("n_rows"))
+        .withColumn("rule", F.lit("versions_do_not_overlap"))
+    )
+    found = rows.unionByName(chain).unionByName(overlap)
     return found.select(*[F.col(c).alias(k) for c, k in zip(key_cols, keys)], "rule", "n_rows")
 
 

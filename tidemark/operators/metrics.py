@@ -15,6 +15,8 @@ from ..contracts import load_yaml
 
 # Periods of a time series and types of a query parameter.
 PERIODS = ("DAY", "WEEK", "MONTH", "QUARTER", "YEAR")
+# Days or months from one period to the next.
+PERIOD_STEPS = {"DAY": (1, 0), "WEEK": (7, 0), "MONTH": (0, 1), "QUARTER": (0, 3), "YEAR": (0, 12)}
 PARAMETER_TYPES = {
     "STRING": str,
     "INTEGER": int,
@@ -92,15 +94,38 @@ def time_series(
     return df.groupBy(start, *by).agg(*_aggregates(measures))
 
 
+def time_series_periods(
+    df: DataFrame, ts: str, periods: Sequence[str], measures: Mapping[str, str], by: Sequence[str] = ()
+) -> DataFrame:
+    """Measures for several granularities at once: one scan, one grouping."""
+    unknown = [p for p in periods if p.upper() not in PERIODS]
+    if unknown:
+        raise ValueError(f"unknown periods {unknown}; known: {', '.join(PERIODS)}")
+    starts = [
+        F.struct(
+            F.lit(p.upper()).alias("granularity"), F.date_trunc(p.lower(), F.col(ts)).cast("date").alias("period")
+        )
+        for p in periods
+    ]
+    each = df.withColumn("__start", F.explode(F.array(*starts)))
+    each = each.withColumns({"granularity": F.col("__start.granularity"), "period": F.col("__start.period")})
+    return each.groupBy("granularity", "period", *by).agg(*_aggregates(measures))
+
+
 def period_compare(
     df: DataFrame, ts: str, period: str, measure: str, by: Sequence[str] = (), name: str = "value"
 ) -> DataFrame:
     """A measure next to that of the period before, with difference and ratio.
 
-    The window runs over the grouped series: one row per period, not over the data.
+    The window runs over the grouped series: one row per period, not over the data.  Where the
+    period before has no rows, there is nothing to compare with.
     """
     series = time_series(df, ts, period, {name: measure}, by)
-    before = F.lag(name).over(Window.partitionBy(*by).orderBy("period"))
+    in_order = Window.partitionBy(*by).orderBy("period")
+    last = F.lag("period").over(in_order)
+    days, months = PERIOD_STEPS[period.upper()]
+    following = F.date_add(last, days) if days else F.add_months(last, months)
+    before = F.when(following == F.col("period"), F.lag(name).over(in_order))
     return series.withColumn(f"previous_{name}", before).withColumns(
         {
             "change": F.col(name) - F.col(f"previous_{name}"),

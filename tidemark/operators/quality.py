@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass, field
+from datetime import date, datetime
+from decimal import Decimal
 from functools import reduce
 from operator import and_, or_
 from pathlib import Path
@@ -56,21 +59,39 @@ def sql_check(name: str, expression: str, msg: str = "", criticality: str = "err
 
 
 def _literal(value: object) -> str:
+    """A value as SQL writes it."""
+    if value is None:
+        return "NULL"
+    if isinstance(value, bool):
+        return str(value).upper()
     if isinstance(value, str):
         escaped = value.replace("\\", "\\\\").replace("'", "\\'")
         return f"'{escaped}'"
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'"
+    if isinstance(value, date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, Decimal):
+        return f"{value}BD" if value.is_finite() else f"CAST('{value}' AS DOUBLE)"
+    if isinstance(value, float):
+        return f"{value!r}D" if math.isfinite(value) else f"CAST('{value}' AS DOUBLE)"
     return str(value)
 
 
+def _name(column: str) -> str:
+    """A column's name as SQL writes it; dots lead into structs."""
+    return ".".join("`" + part.strip("`").replace("`", "``") + "`" for part in column.split("."))
+
+
 def in_list(column: str, values: Sequence[object], criticality: str = "error") -> Check:
     listed = ", ".join(_literal(v) for v in values)
-    return sql_check(f"{column}_in_list", f"{column} IN ({listed})", f"{column} must be one of {listed}", criticality)
+    return sql_check(f"{column}_in_list", f"{_name(column)} IN ({listed})", f"{column} must be one of {listed}", criticality)
 
 
 def in_range(column: str, low: object, high: object, criticality: str = "error") -> Check:
     return sql_check(
         f"{column}_in_range",
-        f"{column} IS NULL OR {column} BETWEEN {_literal(low)} AND {_literal(high)}",
+        f"{_name(column)} IS NULL OR {_name(column)} BETWEEN {_literal(low)} AND {_literal(high)}",
         f"{column} must lie between {low} and {high}",
         criticality,
     )
@@ -81,7 +102,7 @@ def cross_column(left: str, operator: str, right: str, criticality: str = "error
         raise ValueError(f"unknown comparison {operator!r}")
     return sql_check(
         f"{left}_vs_{right}",
-        f"{left} IS NULL OR {right} IS NULL OR {left} {operator} {right}",
+        f"{_name(left)} IS NULL OR {_name(right)} IS NULL OR {_name(left)} {operator} {_name(right)}",
         f"{left} must be {operator} {right}",
         criticality,
     )
@@ -89,14 +110,17 @@ def cross_column(left: str, operator: str, right: str, criticality: str = "error
 
 def not_future(column: str, today: str = "current_date()", criticality: str = "error") -> Check:
     return sql_check(
-        f"{column}_not_future", f"{column} IS NULL OR {column} <= {today}", f"{column} lies in the future", criticality
+        f"{column}_not_future",
+        f"{_name(column)} IS NULL OR {_name(column)} <= {today}",
+        f"{column} lies in the future",
+        criticality,
     )
 
 
 def has_length(column: str, length: int, criticality: str = "error") -> Check:
     return sql_check(
         f"{column}_length_valid",
-        f"LENGTH({column}) = {length}",
+        f"LENGTH({_name(column)}) = {length}",
         f"{column} must be exactly {length} characters",
         criticality,
     )
@@ -207,6 +231,18 @@ def pk_violations(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias("n_rows")).filter("n_rows > 1")
 
 
+class RepeatedKey(ValueError):
+    """Rows share a key that has to be unique."""
+
+
+def require_unique(df: DataFrame, keys: Sequence[str]) -> None:
+    """Raise if any complete key occurs twice; ``split_unique`` sets such rows aside."""
+    found = pk_violations(with_keys(df, keys), keys).limit(1).collect()
+    if found:
+        shown = ", ".join(f"{k}={found[0][k]!r}" for k in keys)
+        raise RepeatedKey(f"{found[0]['n_rows']} rows share the key {shown}")
+
+
 def split_unique(df: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """(rows whose key is unique, rows sharing a key); rows without a key share nothing.
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.display import NOT_REGISTERED, UNKNOWN, format_value
+from ..functions.display import NOT_REGISTERED, UNKNOWN, as_number, format_number_as, format_value
 from ..functions.names import title_label
 
 # Joints and fallback texts.
@@ -23,6 +23,23 @@ def display_name(first: Column, second: Column) -> Column:
     )
 
 
+def format_values(df: DataFrame, shown: Mapping[str, tuple[str, str]]) -> DataFrame:
+    """Add display columns: name -> (source column, kind).
+
+    A column is read as a number once, in a projection of its own, however many kinds show it; the
+    projections stay apart because the number is used more than once.
+    """
+    numeric = sorted({c for c, kind in shown.values() if kind not in ("text", "date", "year")})
+    df = df.withColumns({f"__number_{c}": as_number(F.col(c)) for c in numeric}) if numeric else df
+    made = {
+        name: format_number_as(F.col(f"__number_{c}"), F.col(c).cast("string"), kind)
+        if c in numeric and kind not in ("text", "date", "year")
+        else format_value(F.col(c), kind)
+        for name, (c, kind) in shown.items()
+    }
+    return df.withColumns(made).drop(*[f"__number_{c}" for c in numeric])
+
+
 def describe_row(df: DataFrame, parts: Sequence[tuple[str, str, str]], name: str = "description") -> DataFrame:
     """``Label: value • Label: value`` of (label, column, kind); NULL values are left out."""
     texts = [F.concat(F.lit(f"{label}: "), format_value(F.col(column), kind)) for label, column, kind in parts]

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,9 +15,16 @@ from ..operators.history import process
 from ..operators.metrics import MetricView
 from ..operators.typing import transform_bronze
 from ..sinks.history_store import HistoryStore
-from ..sinks.tables import save_current_and_history, save_gold, save_quarantine, save_table
-from ..sources.files import scan_csv, scan_parquet
-from ..sources.landing import latest_snapshot
+from ..sinks.tables import (
+    create_if_missing,
+    declare_table,
+    save_current_and_history,
+    save_gold,
+    save_quarantine,
+    save_table,
+)
+from ..sources.files import scan_parquet, split_csv
+from ..sources.landing import latest_snapshot_path
 
 # Ingestion columns that never count as a change.
 INGESTION_COLUMNS = ("ingestion_timestamp", "_file_name")
@@ -42,6 +49,10 @@ class Layers:
     def quarantine(self) -> str:
         return f"{self.base}/quarantine/{self.table}"
 
+    @property
+    def bad_lines(self) -> str:
+        return f"{self.base}/quarantine/{self.table}_lines"
+
     @property
     def gold(self) -> str:
         return f"{self.base}/gold/{self.table}"
@@ -54,25 +65,44 @@ class Layers:
 def job_bronze(
     spark: SparkSession, contract: TableContract, landing: str, layers: Layers, folder: str | None = None
 ) -> None:
-    """One landing folder, the newest by default, typed and saved."""
+    """One landing folder, the newest by default, typed and saved.
+
+    Lines that do not fit the header go to ``layers.bad_lines`` instead of being cut or padded.
+    """
     if folder is None:
-        raw = latest_snapshot(spark, landing, contract.name)
+        path = latest_snapshot_path(spark, landing, contract.name)
     else:
-        raw = scan_csv(spark, f"{landing}/{folder}/{contract.name}.csv")
+        path = f"{landing}/{folder}/{contract.name}.csv"
+    raw, bad = split_csv(spark, path)
+    save_quarantine(bad, layers.bad_lines)
     save_table(transform_bronze(raw, contract), layers.bronze)
 
 
-def job_prepare_silver(spark: SparkSession, contract: TableContract, layers: Layers) -> bool:
-    """The empty history of a tracked table; untracked tables need no preparation."""
-    return contract.tracked and HistoryStore(spark, layers.silver).create(contract)
+def job_prepare_silver(
+    spark: SparkSession, contract: TableContract, layers: Layers, catalog_table: str | None = None
+) -> bool:
+    """The empty table, or the empty history of a tracked one; tells whether it was created.
+
+    Its columns carry the contract's comments.  With ``catalog_table``, an untracked table is also
+    declared under that name, with the comments of the table and its columns.
+    """
+    if contract.tracked:
+        return HistoryStore(spark, layers.silver).create(contract)
+    created = create_if_missing(spark, contract, layers.silver)
+    if catalog_table is not None:
+        declare_table(spark, contract, layers.silver, catalog_table)
+    return created
 
 
 @dataclass(frozen=True)
 class SilverRun:
+    """``n_orphans``: rows by foreign-key column without a parent, of the parents given."""
+
     n_total: int
     n_quarantined: int
     keys_unique: bool
     gen: int | None
+    n_orphans: Mapping[str, int] = field(default_factory=dict)
 
 
 def job_silver(
@@ -84,9 +114,13 @@ def job_silver(
     processed_time: datetime | str | None = None,
     buckets: int | None = None,
     quarantine: str | None = None,
+    parents: Mapping[str, DataFrame] | None = None,
 ) -> SilverRun:
     """Quality split, then history for tracked tables, or plain overwrite.
 
+    Ingestion columns never count as a change.  Valid rows whose foreign key has no parent, of the
+    parent tables given by name, stay valid and are counted by column.
+
     The counts come from one scan of the checked and key columns.  Bronze is a written
     table, so each side of the split reads it with its own filter and nothing has to be
     cached.  Rows that share a key would multiply in the history's join, and a hot key
@@ -106,13 +140,17 @@ def job_silver(
         rejected = rejected.unionByName(quality.annotate_with(repeated, quality.KEY_REPEATED, keys))
     n_rejected = counts["n_quarantined"] if keys_unique else None
     save_quarantine(rejected, quarantine or layers.quarantine, n_rejected)
+    n_repeated = 0 if keys_unique else repeated.count()
     gen = None
     if contract.tracked:
         store = HistoryStore(spark, layers.silver, buckets)
-        gen = store.merge(valid, keys, ts, processed_time=processed_time)
+        gen = store.merge(
+            valid, keys, ts, exclude=INGESTION_COLUMNS, processed_time=processed_time, keys_unique=True
+        )
     else:
         save_table(valid, layers.silver)
-    return SilverRun(counts["n_total"], counts["n_quarantined"], keys_unique, gen)
+    orphans = {c: rows.count() for c, rows in fk_report(valid, contract, parents or {}).items()}
+    return SilverRun(counts["n_total"], counts["n_quarantined"] + n_repeated, keys_unique, gen, orphans)
 
 
 @dataclass(frozen=True)
@@ -165,11 +203,12 @@ def compare_snapshots(
 ) -> None:
     """Read an earlier history, if any, and a snapshot; write current rows and full history.
 
-    Both outputs read the history written first, so the join runs once.
+    Both outputs read the history written first, so the join runs once.  A repeated key in the
+    snapshot is an error.
     """
-    _, full = process(
-        scan_parquet(spark, new_path), scan_parquet(spark, old_path), keys, ts, exclude=exclude
-    )
+    new = scan_parquet(spark, new_path)
+    quality.require_unique(new, keys)
+    _, full = process(new, scan_parquet(spark, old_path), keys, ts, exclude=exclude)
     save_current_and_history(full, out)
 
 

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ...functions.display import format_key, format_value
-from ...operators.shaping import categorize, describe_row, display_name, row_to_text
+from ...functions.display import format_key
+from ...operators.shaping import categorize, describe_row, display_name, format_values, row_to_text
 from .registry import query, table
 
 _PAIRS = """
@@ -58,17 +58,24 @@ def _format_value(spark: SparkSession, sf_dir: str) -> DataFrame:
     size = F.when(F.col("l_returnflag") == "R", "n/a").otherwise(
         F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit(".5"))
     )
-    return table(spark, sf_dir, "lineitem").select(
+    values = table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
         "l_linenumber",
         "l_partkey",
-        format_value((F.col("l_quantity").cast("bigint") * 75).cast("string"), "cc").alias("engine"),
-        format_value(F.col("l_extendedprice"), "kg").alias("weight"),
-        format_value(F.date_format("l_shipdate", "yyyyMMdd"), "date").alias("shipped"),
-        format_value(size, "mm").alias("width"),
-        format_value(size, "count").alias("doors"),
-        format_value(size, "number").alias("rounded"),
+        (F.col("l_quantity").cast("bigint") * 75).cast("string").alias("cc"),
+        F.col("l_extendedprice").alias("price"),
+        F.date_format("l_shipdate", "yyyyMMdd").alias("day"),
+        size.alias("size"),
     )
+    shown = {
+        "engine": ("cc", "cc"),
+        "weight": ("price", "kg"),
+        "shipped": ("day", "date"),
+        "width": ("size", "mm"),
+        "doors": ("size", "count"),
+        "rounded": ("size", "number"),
+    }
+    return format_values(values, shown).drop("cc", "price", "day", "size")
 
 
 _PARTS = """

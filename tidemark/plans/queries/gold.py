@@ -14,6 +14,7 @@ from ...operators.metrics import (
     param_query,
     period_compare,
     time_series,
+    time_series_periods,
 )
 from .registry import query, table
 
@@ -185,14 +186,8 @@ def _time_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _time_series_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    return union_by_name(
-        *[
-            time_series(events, "ts", p, {"n_users": "COUNT(DISTINCT user_id)"}).select(
-                F.lit(p).alias("granularity"), "period", "n_users"
-            )
-            for p in ("DAY", "WEEK", "MONTH", "QUARTER", "YEAR")
-        ]
-    )
+    periods = ("DAY", "WEEK", "MONTH", "QUARTER", "YEAR")
+    return time_series_periods(events, "ts", periods, {"n_users": "COUNT(DISTINCT user_id)"})
 
 
 @query(
@@ -243,27 +238,26 @@ def _param_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     "period_compare",
     """
     WITH series AS (
-      SELECT event_type, CAST(date_trunc('day', ts) AS DATE) AS period, count(*) AS n FROM events GROUP BY 1, 2)
-    SELECT event_type, period, n, lag(n) OVER k AS previous_n, n - lag(n) OVER k AS change, n / lag(n) OVER k AS ratio
-    FROM series WINDOW k AS (PARTITION BY event_type ORDER BY period)""",
+      SELECT user_id, CAST(date_trunc('day', ts) AS DATE) AS period, count(*) AS n FROM events GROUP BY 1, 2)
+    SELECT s.user_id, s.period, s.n, b.n AS previous_n, s.n - b.n AS change, s.n / b.n AS ratio
+    FROM series s LEFT JOIN series b ON b.user_id = s.user_id AND b.period = s.period - 1""",
 )
 def _period_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # Most users are away on some days, so that many periods follow a gap.
     events = table(spark, sf_dir, "events")
-    return period_compare(events, "ts", "DAY", "COUNT(*)", by=["event_type"], name="n")
+    return period_compare(events, "ts", "DAY", "COUNT(*)", by=["user_id"], name="n")
 
 
 @query(
     "enrich_lookup",
     """
-    SELECT s_suppkey, s_name, s_nationkey, n_name, r_name
-    FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey AND n_regionkey < 3
-                  LEFT JOIN region ON n_regionkey = r_regionkey""",
+    SELECT d.doc_id, d.lang, d.source, l.quality, l.toxic FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""",
 )
 def _enrich_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
-    nation = table(spark, sf_dir, "nation").filter("n_regionkey < 3")
-    located = enrich_lookup(supplier, nation, {"s_nationkey": "n_nationkey"})
-    return enrich_lookup(located, table(spark, sf_dir, "region"), {"n_regionkey": "r_regionkey"}).drop("n_regionkey")
+    # More than half of the documents have no label.
+    documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
+    labels = table(spark, sf_dir, "labels").withColumnRenamed("doc_id", "labelled_id")
+    return enrich_lookup(documents, labels, {"doc_id": "labelled_id"})
 
 
 @query(

@@ -22,6 +22,7 @@ from .snapshots import (
     SNAPSHOT_SQL,
     STEP_SQL,
     TIMES,
+    base,
     plain,
     snapshot,
     stacked,
@@ -39,9 +40,9 @@ def history_after(spark: SparkSession, sf_dir: str, dumps: str) -> DataFrame:
     return history
 
 
-@query("row_hash", f"WITH {SNAPSHOT_SQL} SELECT {DATA_SQL}, h AS __row_hash FROM snap_b")
+@query("row_hash", f"WITH {SNAPSHOT_SQL} SELECT {DATA_SQL}, h AS __row_hash FROM snap_base")
 def _row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = snapshot(spark, sf_dir, "b")
+    df = base(spark, sf_dir)
     return plain(h.row_hash(df, h.comparison_columns(df, KEYS)))
 
 
@@ -50,10 +51,10 @@ def _row_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
     WITH {SNAPSHOT_SQL}
     SELECT o_orderkey, md5(concat_ws('|', coalesce(o_orderstatus, 'NULL'), coalesce(prio, 'NULL'))) AS __row_hash
-    FROM raw_b""",
+    FROM base""",
 )
 def _comparison_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = snapshot(spark, sf_dir, "b")
+    df = base(spark, sf_dir)
     tracked = h.comparison_columns(df, KEYS, tracking=["o_orderkey", "o_orderstatus", "price", "prio"], exclude=["price"])
     return h.row_hash(df, tracked).select("o_orderkey", h.HASH)
 
@@ -70,11 +71,11 @@ def _comparison_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
            CASE WHEN o.o_orderkey IS NULL THEN 'INSERT' WHEN n.o_orderkey IS NULL THEN 'DELETE' ELSE 'UPDATE' END
              AS __operation,
            coalesce(n.h, o.h) AS __row_hash
-    FROM snap_b n FULL JOIN snap_a o ON n.o_orderkey = o.o_orderkey
+    FROM snap_c n FULL JOIN snap_b o ON n.o_orderkey = o.o_orderkey
     WHERE n.h IS DISTINCT FROM o.h""",
 )
 def _detect_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(h.detect_changes(snapshot(spark, sf_dir, "b"), snapshot(spark, sf_dir, "a"), KEYS))
+    return plain(h.detect_changes(snapshot(spark, sf_dir, "c"), snapshot(spark, sf_dir, "b"), KEYS))
 
 
 @query(
@@ -101,20 +102,20 @@ def _detect_changes_by_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH {SNAPSHOT_SQL}
     SELECT {DATA_SQL}, DATE '2000-01-01' AS __valid_from, CAST(NULL AS DATE) AS __valid_to, TRUE AS __is_current,
            'UPDATE' AS __operation, CAST(2 AS INT) AS __version
-    FROM snap_b""",
+    FROM base""",
 )
 def _add_scd2_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(h.add_scd2_columns(snapshot(spark, sf_dir, "b"), TIMES["b"], version=2, operation=h.UPDATE))
+    return plain(h.add_scd2_columns(base(spark, sf_dir), TIMES["b"], version=2, operation=h.UPDATE))
 
 
-@query("scd2_initial_load", f"WITH {STEP_SQL} SELECT {HISTORY_SQL} FROM hist_a")
+@query("scd2_initial_load", f"WITH {SNAPSHOT_SQL} SELECT {HISTORY_SQL} FROM hist_base")
 def _scd2_initial_load(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(h.initial_load(snapshot(spark, sf_dir, "a"), KEYS, TIMES["a"]))
+    return plain(h.initial_load(base(spark, sf_dir), KEYS, TIMES["c"]))
 
 
-@query("scd2_apply", f"WITH {STEP_SQL} SELECT {HISTORY_SQL} FROM hist_b")
+@query("scd2_apply", f"WITH {STEP_SQL} SELECT {HISTORY_SQL} FROM step_2")
 def _scd2_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(history_after(spark, sf_dir, "ab"))
+    return plain(history_after(spark, sf_dir, "bc"))
 
 
 @query("scd2_update_history", f"WITH {ISLAND_SQL} SELECT {HISTORY_SQL} FROM hist_c")
@@ -142,12 +143,14 @@ def _scd2_merge_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
     "scd2_process",
     f"""
     WITH {STEP_SQL}
-    SELECT 'history' AS part, o_orderkey, prio, is_current AS __is_current, operation AS __operation FROM hist_b
-    UNION ALL SELECT 'current', o_orderkey, prio, NULL, NULL FROM hist_b WHERE is_current""",
+    SELECT 'history' AS part, o_orderkey, prio, is_current AS __is_current, operation AS __operation FROM step_2
+    UNION ALL SELECT 'current', o_orderkey, prio, NULL, NULL FROM step_2 WHERE is_current""",
 )
 def _scd2_process(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before = history_after(spark, sf_dir, "a")
-    current, full = h.process(snapshot(spark, sf_dir, "b"), before, KEYS, TIMES["b"])
+    before = history_after(spark, sf_dir, "b")
+    _, full = h.process(snapshot(spark, sf_dir, "c"), before, KEYS, TIMES["c"])
+    full = stored(full, "history")  # two outputs, one join
+    current = h.current_records(full)
     full = full.select(F.lit("history").alias("part"), "o_orderkey", "prio", h.CURRENT, h.OPERATION)
     return full.unionByName(
         current.select(F.lit("current").alias("part"), "o_orderkey", "prio"), allowMissingColumns=True
@@ -159,10 +162,10 @@ def _current_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(h.current_records(history_after(spark, sf_dir, "abc")))
 
 
-@query("full_history", f"WITH {STEP_SQL} SELECT {HISTORY_SQL} FROM hist_b")
+@query("full_history", f"WITH {STEP_SQL} SELECT {HISTORY_SQL} FROM step_2")
 def _full_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = HistoryStore(spark, new_folder(spark, "history"))
-    store.append(history_after(spark, sf_dir, "ab"), TIMES["b"], KEYS)
+    store.append(history_after(spark, sf_dir, "bc"), TIMES["c"], KEYS)
     return plain(store.read_all())
 
 
@@ -172,14 +175,14 @@ def _full_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     WITH {SNAPSHOT_SQL}
     SELECT o_orderkey, prio, 'DELETE' AS __operation, DATE '2000-01-01' AS __valid_from, DATE '2000-01-01' AS __valid_to,
            FALSE AS __is_current, CAST(3 AS INT) AS __version
-    FROM snap_a
+    FROM base
     UNION ALL
-    SELECT o_orderkey, prio, 'UPDATE', DATE '2000-01-01', NULL, TRUE, 1 FROM snap_b""",
+    SELECT o_orderkey, prio, 'UPDATE', DATE '2000-01-01', NULL, TRUE, 1 FROM base""",
 )
 def _create_history_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a, b = (snapshot(spark, sf_dir, s).select("o_orderkey", "prio") for s in "ab")
-    gone = h.create_history_records(a, h.DELETE, TIMES["b"], version=3)
-    return plain(gone.unionByName(h.create_history_records(b, h.UPDATE, TIMES["b"])))
+    rows = base(spark, sf_dir).select("o_orderkey", "prio")
+    gone = h.create_history_records(rows, h.DELETE, TIMES["b"], version=3)
+    return plain(gone.unionByName(h.create_history_records(rows, h.UPDATE, TIMES["b"])))
 
 
 @query(
@@ -187,38 +190,44 @@ def _create_history_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     f"""
     WITH {SNAPSHOT_SQL},
     both_sides AS (
-      SELECT o_orderkey, o_orderstatus, CAST(NULL AS VARCHAR) AS prio, DATE '1998-01-01' AS valid_from, 1 AS version
-      FROM snap_a
-      UNION ALL SELECT o_orderkey, o_orderstatus, prio, DATE '2000-01-01', 2 FROM snap_b)
+      SELECT o_orderkey, o_orderstatus, CAST(NULL AS VARCHAR) AS prio, DATE '2000-01-01' AS valid_from, 1 AS version
+      FROM snap_b
+      UNION ALL SELECT o_orderkey, o_orderstatus, prio, DATE '2002-01-01', 2 FROM snap_c
+      -- rows that are there twice, of which one is current
+      UNION ALL SELECT o_orderkey, o_orderstatus, prio, DATE '2002-01-01', 2 FROM snap_c WHERE prio = '2-HIGH')
     SELECT o_orderkey, o_orderstatus, prio, valid_from AS __valid_from, CAST(NULL AS DATE) AS __valid_to,
            'INSERT' AS __operation, version AS __version,
            row_number() OVER (PARTITION BY o_orderkey ORDER BY valid_from DESC) = 1 AS __is_current
     FROM both_sides""",
 )
 def _merge_histories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    a = snapshot(spark, sf_dir, "a").select("o_orderkey", "o_orderstatus")
-    b = snapshot(spark, sf_dir, "b").select("o_orderkey", "o_orderstatus", "prio")
+    b = snapshot(spark, sf_dir, "b").select("o_orderkey", "o_orderstatus")
+    c = snapshot(spark, sf_dir, "c").select("o_orderkey", "o_orderstatus", "prio")
+    new = c.unionByName(c.filter("prio = '2-HIGH'"))
+    now = TIMES["c"]
     merged = h.merge_histories(
-        h.create_history_records(a, h.INSERT, TIMES["a"], 1), h.create_history_records(b, h.INSERT, TIMES["b"], 2), KEYS
+        h.create_history_records(b, h.INSERT, TIMES["b"], 1, now),
+        h.create_history_records(new, h.INSERT, TIMES["c"], 2, now),
+        KEYS,
     )
     return plain(merged)
 
 
-@query("compare_snapshots", f"WITH {STEP_SQL} SELECT {HISTORY_SQL} FROM hist_b")
+@query("compare_snapshots", f"WITH {STEP_SQL} SELECT {HISTORY_SQL} FROM step_2")
 def _compare_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "compare")
-    history_after(spark, sf_dir, "a").write.parquet(f"{folder}/old")
+    history_after(spark, sf_dir, "b").write.parquet(f"{folder}/old")
     # The file name differs in every dump; it is excluded from the comparison.
-    snapshot(spark, sf_dir, "b").withColumn("_file_name", F.lit("b.csv")).write.parquet(f"{folder}/new")
-    compare_snapshots(spark, f"{folder}/old", f"{folder}/new", KEYS, f"{folder}/out", TIMES["b"])
+    snapshot(spark, sf_dir, "c").withColumn("_file_name", F.lit("c.csv")).write.parquet(f"{folder}/new")
+    compare_snapshots(spark, f"{folder}/old", f"{folder}/new", KEYS, f"{folder}/out", TIMES["c"])
     return plain(scan_parquet(spark, f"{folder}/out/history").drop("_file_name"))
 
 
-@query("overwrite_silver", f"WITH {SNAPSHOT_SQL} SELECT {DATA_SQL} FROM snap_b")
+@query("overwrite_silver", f"WITH {SNAPSHOT_SQL} SELECT {DATA_SQL} FROM base")
 def _overwrite_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "silver")
-    for s in "ab":
-        save_table(snapshot(spark, sf_dir, s), path)
+    for rows in (snapshot(spark, sf_dir, "b"), base(spark, sf_dir)):
+        save_table(rows, path)
     return plain(scan_parquet(spark, path))
 
 
@@ -229,7 +238,11 @@ def _overwrite_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     broken AS (
       SELECT o_orderkey, valid_from, valid_to, version,
              is_current OR prio = '3-MEDIUM' AS is_current
-      FROM hist_b)
+      FROM step_2
+      -- a version that begins before the one before it has ended
+      UNION ALL
+      SELECT o_orderkey, DATE '2001-01-01', DATE '2003-01-01', 1, FALSE FROM step_2
+      WHERE operation = 'DELETE' AND o_orderstatus = 'F')
     SELECT o_orderkey, 'one_current_per_key' AS rule, count(*) AS n_rows
     FROM broken WHERE is_current GROUP BY o_orderkey HAVING count(*) > 1
     UNION ALL
@@ -240,12 +253,27 @@ def _overwrite_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM broken n WHERE n.version > 1 AND NOT EXISTS (
       SELECT 1 FROM broken o
       WHERE o.o_orderkey = n.o_orderkey AND o.version = n.version - 1 AND o.valid_to = n.valid_from)
-    GROUP BY n.o_orderkey""",
+    GROUP BY n.o_orderkey
+    UNION ALL
+    SELECT o_orderkey, 'versions_do_not_overlap', count(*) FROM (
+      SELECT o_orderkey, valid_from,
+             lag(coalesce(valid_to, DATE '9999-12-31')) OVER (
+               PARTITION BY o_orderkey ORDER BY valid_from, valid_to NULLS LAST, version) AS ended
+      FROM broken)
+    WHERE valid_from < ended GROUP BY o_orderkey""",
 )
 def _scd2_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Closed rows of medium priority are marked current, which two rules forbid.
     wrong = h.is_open() | F.coalesce(F.col("prio") == "3-MEDIUM", F.lit(False))
-    broken = history_after(spark, sf_dir, "ab").withColumn(h.CURRENT, wrong)
+    history = history_after(spark, sf_dir, "bc").withColumn(h.CURRENT, wrong)
+    gone = history.filter((F.col(h.OPERATION) == h.DELETE) & (F.col("o_orderstatus") == "F"))
+    early = {
+        h.FROM: F.lit("2001-01-01").cast("timestamp"),
+        h.TO: F.lit("2003-01-01").cast("timestamp"),
+        h.CURRENT: F.lit(False),
+        h.VERSION: F.lit(1),
+    }
+    broken = stored(history.unionByName(gone.withColumns(early)), "history")
     return h.invariant_violations(broken, KEYS)
 
 
@@ -278,19 +306,19 @@ def _scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     "new_keys",
     f"""
     WITH {SNAPSHOT_SQL}
-    SELECT {DATA_SQL} FROM snap_b n WHERE NOT EXISTS (SELECT 1 FROM snap_a o WHERE o.o_orderkey = n.o_orderkey)""",
+    SELECT {DATA_SQL} FROM snap_c n WHERE NOT EXISTS (SELECT 1 FROM snap_b o WHERE o.o_orderkey = n.o_orderkey)""",
 )
 def _new_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(h.new_keys(snapshot(spark, sf_dir, "b"), snapshot(spark, sf_dir, "a"), KEYS))
+    return plain(h.new_keys(snapshot(spark, sf_dir, "c"), snapshot(spark, sf_dir, "b"), KEYS))
 
 
 @query(
     "changed_rows",
     f"""
     WITH {SNAPSHOT_SQL}
-    SELECT {DATA_SQL} FROM snap_b n
-    WHERE NOT EXISTS (SELECT 1 FROM snap_a o WHERE o.o_orderkey = n.o_orderkey AND o.h = n.h)""",
+    SELECT {DATA_SQL} FROM snap_c n
+    WHERE NOT EXISTS (SELECT 1 FROM snap_b o WHERE o.o_orderkey = n.o_orderkey AND o.h = n.h)""",
 )
 def _changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    new, old = snapshot(spark, sf_dir, "b"), snapshot(spark, sf_dir, "a")
+    new, old = snapshot(spark, sf_dir, "c"), snapshot(spark, sf_dir, "b")
     return plain(h.changed_rows(new, h.detect_changes(new, old, KEYS), KEYS))

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ...contracts import ForeignKey, empty_table
 from ...operators import quality
 from ...scratch import new_folder
 from ...sinks.history_store import HistoryStore
+from ...sinks.tables import save_table
 from .. import jobs
 from .gold import MetricView
-from .registry import query
+from .registry import query, table
 from .snapshots import (
     DATA_SQL,
     FOLDERS,
@@ -21,6 +25,8 @@ from .snapshots import (
     STEP_SQL,
     TIMES,
     plain,
+    raw,
+    snapshot,
     write_landing,
 )
 
@@ -46,6 +52,8 @@ GOLD = jobs.GoldSpec(
 # The price check, applied to each dump before the history is built.
 _VALID = "price BETWEEN 2000 AND 499000"
 _VALID_ISLANDS = ISLAND_SQL
+# Rows that come twice in a dump.
+_TWICE = "coalesce(o_orderstatus = 'N' AND prio = '3-MEDIUM', FALSE)"
 for _s in "abc":
     _VALID_ISLANDS = _VALID_ISLANDS.replace(f"AS h FROM raw_{_s})", f"AS h FROM raw_{_s} WHERE {_VALID})")
 
@@ -79,6 +87,10 @@ def _job_prepare_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     landing, layers = _prepared(spark, sf_dir)
     jobs.job_prepare_silver(spark, ORDERS, layers)
     jobs.job_prepare_silver(spark, ORDERS, layers)  # the second time does nothing
+    untracked = replace(ORDERS, name="orders_plain", tracked=False)
+    plain_layers = jobs.Layers(layers.base, untracked.name)
+    jobs.job_prepare_silver(spark, untracked, plain_layers)
+    save_table(empty_table(spark, untracked), plain_layers.silver, mode="append")
     jobs.job_bronze(spark, ORDERS, landing, layers)
     jobs.job_silver(spark, ORDERS, CHECKS, layers, TIMES["c"])
     silver = HistoryStore(spark, layers.silver).read_all()
@@ -88,20 +100,71 @@ def _job_prepare_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "job_silver",
     f"""
-    WITH {STEP_SQL.replace("AS h FROM raw_a)", f"AS h FROM raw_a WHERE {_VALID})")
-                  .replace("AS h FROM raw_b)", f"AS h FROM raw_b WHERE {_VALID})")}
-    SELECT {HISTORY_SQL}, CAST(NULL AS VARCHAR) AS failed FROM hist_b
+    WITH {STEP_SQL.replace("AS h FROM raw_b)", f"AS h FROM raw_b WHERE {_VALID} AND NOT {_TWICE})")
+                  .replace("AS h FROM raw_c)", f"AS h FROM raw_c WHERE {_VALID} AND NOT {_TWICE})")},
+    rejected AS (
+      SELECT *, CASE WHEN {_VALID} THEN 'pk_unique' ELSE 'price_in_range' END AS failed,
+             CASE WHEN {_TWICE} THEN 2 ELSE 1 END AS times
+      FROM raw_c WHERE NOT {_VALID} OR {_TWICE})
+    SELECT {HISTORY_SQL}, CAST(NULL AS VARCHAR) AS failed FROM step_2
+    UNION ALL
+    SELECT {DATA_SQL}, NULL, NULL, NULL, NULL, NULL, NULL, failed FROM rejected, range(2) AS r(i) WHERE i < times
+    UNION ALL
+    SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CAST(count(*) AS INT), 'orders without lines'
+    FROM snap_c WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)
     UNION ALL
-    SELECT {DATA_SQL}, NULL, NULL, NULL, NULL, NULL, NULL, 'price_in_range' FROM raw_b WHERE NOT {_VALID}""",
+    SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CAST(sum(times) AS INT), 'quarantined' FROM rejected""",
 )
 def _job_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    landing, layers = _prepared(spark, sf_dir)
-    for s in "ab":
-        jobs.job_bronze(spark, ORDERS, landing, layers, FOLDERS[s])
-        jobs.job_silver(spark, ORDERS, CHECKS, layers, TIMES[s])
+    folder = new_folder(spark, "job")
+    landing, layers = f"{folder}/landing", jobs.Layers(folder, ORDERS.name)
+    key, *others = ORDERS.columns
+    contract = replace(ORDERS, columns=(replace(key, fk=ForeignKey("lineitem", "l_orderkey")), *others))
+    for s in "bc":
+        # Recent orders of medium priority come twice, and every row names its file.
+        dump = snapshot(spark, sf_dir, s)
+        dump = dump.unionByName(dump.filter("o_orderstatus = 'N' AND prio = '3-MEDIUM'"))
+        dump = raw(dump).withColumn("_file_name", F.lit(f"{s}.csv"))
+        dump.write.option("header", True).csv(f"{landing}/{FOLDERS[s]}/orders.csv")
+        jobs.job_bronze(spark, contract, landing, layers, FOLDERS[s])
+        run = jobs.job_silver(
+            spark, contract, CHECKS, layers, TIMES[s], parents={"lineitem": table(spark, sf_dir, "lineitem")}
+        )
     rejected = spark.read.parquet(layers.quarantine).withColumn("failed", F.array_join("_errors.name", ","))
     silver = HistoryStore(spark, layers.silver).read_all().withColumn("failed", F.lit(None).cast("string"))
-    return plain(silver.unionByName(rejected.drop("_errors", "_warnings"), allowMissingColumns=True))
+    rows = silver.unionByName(rejected.drop("_errors", "_warnings"), allowMissingColumns=True)
+    told = [(run.n_orphans["o_orderkey"], "orders without lines"), (run.n_quarantined, "quarantined")]
+    counts = spark.createDataFrame(told, "__version int, failed string")
+    return plain(rows.unionByName(counts, allowMissingColumns=True)).drop("_file_name")
+
+
+@query(
+    "scd2_guarded",
+    f"""
+    WITH {STEP_SQL.replace("AS h FROM raw_c)", f"AS h FROM raw_c WHERE NOT {_TWICE})")}
+    SELECT {HISTORY_SQL}, CAST(NULL AS VARCHAR) AS refused FROM step_2
+    UNION ALL
+    SELECT NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL, CAST(count(*) * 2 AS INT),
+           'RepeatedKey,ValueError,SchemaMismatch'
+    FROM raw_c WHERE {_TWICE}""",
+)
+def _scd2_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dump with repeated keys is refused; with those rows set aside it is merged."""
+    store = HistoryStore(spark, new_folder(spark, "history"))
+    store.merge(snapshot(spark, sf_dir, "b"), ORDERS.primary_keys(), TIMES["b"])
+    dump = snapshot(spark, sf_dir, "c")
+    dump = dump.unionByName(dump.filter("o_orderstatus = 'N' AND prio = '3-MEDIUM'"))
+    unique, repeated = quality.split_unique(dump, ORDERS.primary_keys())
+    refused = []
+    for rows, ts in ((dump, "c"), (unique, "a"), (unique.withColumn("price", F.col("price").cast("string")), "c")):
+        try:
+            store.merge(rows, ORDERS.primary_keys(), TIMES[ts])
+        except ValueError as error:
+            refused.append(type(error).__name__)
+    store.merge(unique, ORDERS.primary_keys(), TIMES["c"])
+    told = spark.createDataFrame([(repeated.count(), ",".join(refused))], "__version int, refused string")
+    history = store.read_all().withColumn("refused", F.lit(None).cast("string"))
+    return plain(history.unionByName(told, allowMissingColumns=True))
 
 
 @query(

@@ -238,10 +238,9 @@ def _dq_split_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "dq_fk_orphans",
     """
-    SELECT l_orderkey, l_linenumber, l_partkey FROM lineitem
-    WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_orderkey = l_orderkey AND o_orderstatus <> 'P')""",
+    SELECT o_orderkey, o_custkey, o_orderstatus FROM orders
+    WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey)""",
 )
 def _dq_fk_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey")
-    settled = table(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'")
-    return q.fk_orphans(lines, settled, ["l_orderkey"], ["o_orderkey"])
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return q.fk_orphans(orders, table(spark, sf_dir, "lineitem"), ["o_orderkey"], ["l_orderkey"])

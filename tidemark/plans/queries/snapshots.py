@@ -4,7 +4,8 @@ A  1998-01-01  all orders placed so far
 B  2000-01-01  urgent pending orders are on hold and left out; high-priority ones cost 10 more
 C  2002-01-01  the orders on hold are back, the surcharge is gone, finished orders of 1995 are archived
 
-In every dump, orders of the last half year have status N, and orders older than three
+B and C between them hold every order, so steps from one dump to the next go from B to C; what
+works on one table takes ``base``, all orders as they are.  In every dump, orders of the last half year have status N, and orders older than three
 years have lost their priority.
 """
 
@@ -128,26 +129,31 @@ raw_c AS (
   SELECT o_orderkey, CASE WHEN odate >= DATE '2001-07-01' THEN 'N' ELSE o_orderstatus END AS o_orderstatus,
          price, odate, CASE WHEN odate >= DATE '1999-01-01' THEN prio END AS prio
   FROM base WHERE odate < DATE '2002-01-01' AND NOT (o_orderstatus = 'F' AND odate < DATE '1996-01-01')),
+snap_base AS (SELECT *, {_HASH} AS h FROM base),
+hist_base AS (
+  SELECT o_orderkey, o_orderstatus, price, odate, prio, DATE '2002-01-01' AS valid_from, CAST(NULL AS DATE) AS valid_to,
+         TRUE AS is_current, 'INSERT' AS operation, h, 1 AS version
+  FROM snap_base),
 snap_a AS (SELECT *, {_HASH} AS h FROM raw_a),
 snap_b AS (SELECT *, {_HASH} AS h FROM raw_b),
 snap_c AS (SELECT *, {_HASH} AS h FROM raw_c)"""
 
-# History after A, and after A and B, one step at a time.
+# History after B, and after B and C, one step at a time.
 STEP_SQL = f"""{SNAPSHOT_SQL},
-hist_a AS (
-  SELECT o_orderkey, o_orderstatus, price, odate, prio, DATE '1998-01-01' AS valid_from, CAST(NULL AS DATE) AS valid_to,
+step_1 AS (
+  SELECT o_orderkey, o_orderstatus, price, odate, prio, DATE '2000-01-01' AS valid_from, CAST(NULL AS DATE) AS valid_to,
          TRUE AS is_current, 'INSERT' AS operation, h, 1 AS version
-  FROM snap_a),
-hist_b AS (
+  FROM snap_b),
+step_2 AS (
   SELECT o.o_orderkey, o.o_orderstatus, o.price, o.odate, o.prio, o.valid_from,
-         CASE WHEN n.h = o.h THEN NULL ELSE DATE '2000-01-01' END AS valid_to,
+         CASE WHEN n.h = o.h THEN NULL ELSE DATE '2002-01-01' END AS valid_to,
          coalesce(n.h = o.h, FALSE) AS is_current,
          CASE WHEN n.o_orderkey IS NULL THEN 'DELETE' ELSE o.operation END AS operation, o.h, o.version
-  FROM hist_a o LEFT JOIN snap_b n ON n.o_orderkey = o.o_orderkey
+  FROM step_1 o LEFT JOIN snap_c n ON n.o_orderkey = o.o_orderkey
   UNION ALL
-  SELECT n.o_orderkey, n.o_orderstatus, n.price, n.odate, n.prio, DATE '2000-01-01', NULL, TRUE,
+  SELECT n.o_orderkey, n.o_orderstatus, n.price, n.odate, n.prio, DATE '2002-01-01', NULL, TRUE,
          CASE WHEN o.o_orderkey IS NULL THEN 'INSERT' ELSE 'UPDATE' END, n.h, coalesce(o.version, 0) + 1
-  FROM snap_b n LEFT JOIN hist_a o ON n.o_orderkey = o.o_orderkey
+  FROM snap_c n LEFT JOIN step_1 o ON n.o_orderkey = o.o_orderkey
   WHERE o.o_orderkey IS NULL OR o.h <> n.h)"""
 
 # History after A, B and C as islands over the dumps' numbers, not step by step.

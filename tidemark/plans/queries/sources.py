@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ...contracts import ColumnContract, TableContract
 from ...operators import history as h
 from ...operators.gold import transform_gold
 from ...operators.quality import in_list, split
 from ...operators.typing import apply_contract, normalize_columns
 from ...scratch import new_folder
 from ...sinks.history_store import HistoryStore
-from ...sinks.tables import save_current_and_history, save_gold, save_quarantine, save_table
-from ...sources.files import load_limited, scan_csv, scan_parquet, scan_table
+from ...sinks.tables import save_current_and_history, save_gold, save_named_table, save_quarantine, save_table
+from ...sources.files import BAD_LINE, load_limited, scan_parquet, scan_table, split_csv
 from ...sources.landing import SNAPSHOT_TS, all_snapshots, latest_snapshot
 from .registry import query, table
 from .snapshots import (
@@ -24,6 +27,7 @@ from .snapshots import (
     SNAPSHOT_SQL,
     STEP_SQL,
     TIMES,
+    base,
     plain,
     raw,
     snapshot,
@@ -36,13 +40,27 @@ from .snapshots import (
     f"""
     WITH {SNAPSHOT_SQL}
     SELECT CAST(o_orderkey AS VARCHAR) AS order_key, o_orderstatus AS order_status,
-           CAST(price AS VARCHAR) AS total_price, strftime(odate, '%Y%m%d') AS order_date, prio AS order_priority
-    FROM snap_c""",
+           CAST(price AS VARCHAR) AS total_price, strftime(odate, '%Y%m%d') AS order_date, prio AS order_priority,
+           CAST(NULL AS VARCHAR) AS bad_line
+    FROM base
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, line
+    FROM (SELECT o_orderkey || ',F,1.00,19990101,1-URGENT,extra' AS line FROM orders WHERE o_orderstatus = 'P'
+          UNION ALL SELECT o_orderkey || ',F' FROM orders WHERE o_orderstatus = 'O')""",
 )
 def _scan_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "scan_csv")
-    raw(snapshot(spark, sf_dir, "c")).write.option("header", True).csv(path)
-    return normalize_columns(scan_csv(spark, path))
+    raw(base(spark, sf_dir)).write.option("header", True).csv(path)
+    # Every pending order once more with a field too many, every open one with too few.
+    key, status = F.col("o_orderkey").cast("string"), F.col("o_orderstatus")
+    line = F.when(status == "P", F.concat(key, F.lit(",F,1.00,19990101,1-URGENT,extra"))).when(
+        status == "O", F.concat(key, F.lit(",F"))
+    )
+    lines = table(spark, sf_dir, "orders").select(line.alias("line")).filter("line IS NOT NULL")
+    header = spark.range(1).select(F.lit("Order Key,Order Status,Total Price,Order Date,Order Priority").alias("line"))
+    header.unionByName(lines).coalesce(1).write.text(f"{path}-broken")
+    good, bad = split_csv(spark, [path, f"{path}-broken"])
+    shown = normalize_columns(good).withColumn("bad_line", F.lit(None).cast("string"))
+    return shown.unionByName(bad.select(F.col(BAD_LINE).alias("bad_line")), allowMissingColumns=True)
 
 
 @query("scan_table", "SELECT p_partkey, p_name, p_brand, p_type, p_size, p_retailprice FROM part")
@@ -78,10 +96,10 @@ def _all_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(typed).withColumnRenamed(SNAPSHOT_TS, "landed")
 
 
-@query("load_silver", f"WITH {STEP_SQL} SELECT {HISTORY_SQL} FROM hist_a")
+@query("load_silver", f"WITH {SNAPSHOT_SQL} SELECT {HISTORY_SQL} FROM hist_base")
 def _load_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = HistoryStore(spark, new_folder(spark, "history"))
-    store.merge(snapshot(spark, sf_dir, "a"), KEYS, TIMES["a"])
+    store.merge(base(spark, sf_dir), KEYS, TIMES["c"])
     return plain(store.read_all())
 
 
@@ -105,10 +123,33 @@ def _save_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_parquet(spark, path)
 
 
-@query("append_history", f"WITH {STEP_SQL} SELECT {HISTORY_SQL} FROM hist_b WHERE NOT is_current")
+@query(
+    "save_named_table",
+    "SELECT c_custkey, c_name, c_mktsegment, 'c_name,c_mktsegment' AS commented FROM customer",
+)
+def _save_named_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS tidemark_queries LOCATION '{new_folder(spark, 'catalog')}'")
+    name = f"tidemark_queries.customer_{uuid.uuid4().hex}"
+    contract = TableContract(
+        "customer",
+        (
+            ColumnContract("key", "c_custkey", "bigint"),
+            ColumnContract("name", "c_name", description="What it's called"),
+            ColumnContract("segment", "c_mktsegment", description="Market segment"),
+        ),
+        description="Customers",
+    )
+    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    save_named_table(customer.filter("c_custkey < 0"), name, contract=contract)
+    save_named_table(customer, name, mode="append")
+    commented = [c.name for c in spark.catalog.listColumns(name) if c.description]
+    return scan_table(spark, name).withColumn("commented", F.lit(",".join(commented)))
+
+
+@query("append_history", f"WITH {STEP_SQL} SELECT {HISTORY_SQL} FROM step_2 WHERE NOT is_current")
 def _append_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = HistoryStore(spark, new_folder(spark, "history"))
-    for s in "ab":
+    for s in "bc":
         store.merge(snapshot(spark, sf_dir, s), KEYS, TIMES[s])
     return plain(store.read_all().filter(~h.is_open()))
 
@@ -133,14 +174,14 @@ def _save_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     "save_current_and_history",
     f"""
     WITH {STEP_SQL}
-    SELECT 'history' AS part, {DATA_SQL}, is_current AS __is_current, version AS __version FROM hist_b
+    SELECT 'history' AS part, {DATA_SQL}, is_current AS __is_current, version AS __version FROM step_2
     UNION ALL
-    SELECT 'current', {DATA_SQL}, NULL, NULL FROM hist_b WHERE is_current""",
+    SELECT 'current', {DATA_SQL}, NULL, NULL FROM step_2 WHERE is_current""",
 )
 def _save_current_and_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "compared")
-    before = h.initial_load(snapshot(spark, sf_dir, "a"), KEYS, TIMES["a"])
-    save_current_and_history(h.apply_snapshot(before, snapshot(spark, sf_dir, "b"), KEYS, TIMES["b"]), path)
+    before = h.initial_load(snapshot(spark, sf_dir, "b"), KEYS, TIMES["b"])
+    save_current_and_history(h.apply_snapshot(before, snapshot(spark, sf_dir, "c"), KEYS, TIMES["c"]), path)
     kept = ["o_orderkey", "o_orderstatus", "price", "odate", "prio"]
     full = scan_parquet(spark, f"{path}/history").select(F.lit("history").alias("part"), *kept, h.CURRENT, h.VERSION)
     current = scan_parquet(spark, f"{path}/current").select(F.lit("current").alias("part"), *kept)
@@ -151,7 +192,7 @@ def _save_current_and_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     "save_gold",
     f"""
     WITH {SNAPSHOT_SQL},
-    kept AS (SELECT * FROM snap_c WHERE o_orderstatus = 'O')
+    kept AS (SELECT * FROM base WHERE o_orderstatus = 'O')
     SELECT 'main' AS part, o_orderkey, prio, CAST(price AS DOUBLE) AS price FROM kept
     UNION ALL
     SELECT 'dedup', o_orderkey, prio, CAST(price AS DOUBLE) FROM (
@@ -159,7 +200,7 @@ def _save_current_and_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def _save_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "gold")
-    silver = h.initial_load(snapshot(spark, sf_dir, "c"), KEYS, TIMES["c"])
+    silver = h.initial_load(base(spark, sf_dir), KEYS, TIMES["c"])
     columns = ["o_orderkey", "prio", "price"]
     main, dedup = transform_gold(silver, {"o_orderstatus": "O"}, columns, ["prio", "odate"], columns, KEYS)
     save_gold(main, dedup, f"{path}/main", f"{path}/dedup")

@@ -18,7 +18,7 @@ from ...operators.typing import (
     transform_bronze,
 )
 from .registry import query, table
-from .snapshots import DATA_SQL, HISTORY_SQL, KEYS, ORDERS, SNAPSHOT_SQL, STEP_SQL, TIMES, plain, raw, snapshot
+from .snapshots import DATA_SQL, HISTORY_SQL, KEYS, ORDERS, SNAPSHOT_SQL, STEP_SQL, TIMES, base, plain, raw, snapshot
 
 # Raw parts as an extract might spell them: sizes with fractions or units, odd dates.
 PARTS = TableContract(
@@ -109,9 +109,9 @@ def _apply_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_contract(_raw_parts(spark, sf_dir), PARTS)
 
 
-@query("transform_bronze", f"WITH {SNAPSHOT_SQL} SELECT {DATA_SQL} FROM snap_b")
+@query("transform_bronze", f"WITH {SNAPSHOT_SQL} SELECT {DATA_SQL} FROM base")
 def _transform_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(transform_bronze(raw(snapshot(spark, sf_dir, "b")), ORDERS))
+    return plain(transform_bronze(raw(base(spark, sf_dir)), ORDERS))
 
 
 @query(
@@ -143,10 +143,10 @@ def _convert_epoch_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "select_gold",
-    f"WITH {SNAPSHOT_SQL} SELECT o_orderkey, prio, CAST(price AS DOUBLE) AS price FROM snap_b",
+    f"WITH {SNAPSHOT_SQL} SELECT o_orderkey, prio, CAST(price AS DOUBLE) AS price FROM base",
 )
 def _select_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = h.initial_load(snapshot(spark, sf_dir, "b"), KEYS, TIMES["b"])
+    silver = h.initial_load(base(spark, sf_dir), KEYS, TIMES["c"])
     return plain(select_gold(silver, ["o_orderkey", "prio", "price"]))
 
 
@@ -183,12 +183,12 @@ def _contract_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "empty_table",
     f"""
-    WITH {STEP_SQL}
-    SELECT {DATA_SQL}, version AS __version, is_current AS __is_current FROM hist_a""",
+    WITH {SNAPSHOT_SQL}
+    SELECT {DATA_SQL}, version AS __version, is_current AS __is_current FROM hist_base""",
 )
 def _empty_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     empty = empty_table(spark, ORDERS, scd2=True)
-    filled = h.apply_snapshot(empty, snapshot(spark, sf_dir, "a"), KEYS, TIMES["a"])
+    filled = h.apply_snapshot(empty, base(spark, sf_dir), KEYS, TIMES["c"])
     return plain(filled).select("o_orderkey", "o_orderstatus", "price", "odate", "prio", h.VERSION, h.CURRENT)
 
 
@@ -225,31 +225,31 @@ def _filter_key_length(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_key_length(part, 9)
 
 
-@query("filter_current", f"WITH {STEP_SQL} SELECT {HISTORY_SQL} FROM hist_b WHERE is_current")
+@query("filter_current", f"WITH {STEP_SQL} SELECT {HISTORY_SQL} FROM step_2 WHERE is_current")
 def _filter_current(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before = h.initial_load(snapshot(spark, sf_dir, "a"), KEYS, TIMES["a"])
-    return plain(h.filter_current(h.apply_snapshot(before, snapshot(spark, sf_dir, "b"), KEYS, TIMES["b"])))
+    before = h.initial_load(snapshot(spark, sf_dir, "b"), KEYS, TIMES["b"])
+    return plain(h.filter_current(h.apply_snapshot(before, snapshot(spark, sf_dir, "c"), KEYS, TIMES["c"])))
 
 
 @query(
     "gold_business_filter",
     f"""
     WITH {STEP_SQL}
-    SELECT {DATA_SQL} FROM hist_b WHERE is_current AND o_orderstatus = 'O' AND prio = '2-HIGH'""",
+    SELECT {DATA_SQL} FROM step_2 WHERE is_current AND o_orderstatus = 'O' AND prio = '2-HIGH'""",
 )
 def _gold_business_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before = h.initial_load(snapshot(spark, sf_dir, "a"), KEYS, TIMES["a"])
-    full = h.apply_snapshot(before, snapshot(spark, sf_dir, "b"), KEYS, TIMES["b"])
+    before = h.initial_load(snapshot(spark, sf_dir, "b"), KEYS, TIMES["b"])
+    full = h.apply_snapshot(before, snapshot(spark, sf_dir, "c"), KEYS, TIMES["c"])
     return plain(business_filter(full, {"o_orderstatus": "O", "prio": "2-HIGH"}).drop(*h.META))
 
 
 @query(
     "null_checks",
-    f"WITH {SNAPSHOT_SQL} SELECT o_orderkey, prio FROM snap_b WHERE prio IS NULL OR prio <> '5-LOW'",
+    f"WITH {SNAPSHOT_SQL} SELECT o_orderkey, prio FROM base WHERE prio IS NULL OR prio <> '5-LOW'",
 )
 def _null_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     check = sql_check("prio_known", "prio IS NULL OR prio <> '5-LOW'")
-    return split(snapshot(spark, sf_dir, "b").select("o_orderkey", "prio"), [check])[0]
+    return split(base(spark, sf_dir).select("o_orderkey", "prio"), [check])[0]
 
 
 @query(

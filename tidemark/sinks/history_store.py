@@ -22,9 +22,10 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..contracts import TableContract, empty_table
+from ..contracts import SchemaMismatch, TableContract, empty_table
 from ..functions.typing import as_timestamp
 from ..operators import history as h
+from ..operators.quality import require_unique
 from .tables import existing_schema
 
 _COMMIT = "gen int, at timestamp, buckets int, keys array<string>, hashed array<string>"
@@ -39,9 +40,9 @@ def _quoted(name: str) -> str:
 
 
 class HistoryStore:
-    """``keep`` runs keep their open rows, all by default; at least two, for readers at work."""
+    """The last ``keep`` runs keep their open rows: two at least, for readers at work; None keeps all."""
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, keep: int | None = None):
+    def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, keep: int | None = 2):
         if keep is not None and keep < 2:
             raise ValueError("keep the open rows of at least two runs")
         self.spark = spark
@@ -190,11 +191,13 @@ class HistoryStore:
         if self.keep is not None and gen > self.keep:
             self._empty_open_rows(gen - self.keep)
 
-    def _empty_open_rows(self, gen: int) -> None:
-        """Give up open rows that later runs hold; every closed row stays."""
-        folder = self._open_folder(gen)
-        schema = existing_schema(self.spark, folder)
-        if schema is not None:
+    def _empty_open_rows(self, last: int) -> None:
+        """Give up the open rows of all runs up to ``last``, which later runs hold; every closed row stays."""
+        layout = T.StructType().add("gen", T.IntegerType()).add(h.CURRENT, T.StringType())
+        held = self._rows_in(f"gen=*/{h.CURRENT}=true", layout).filter(F.col("gen") <= last)
+        for row in held.select("gen").distinct().toLocalIterator():  # usually the one that has just become old
+            folder = self._open_folder(row["gen"])
+            schema = existing_schema(self.spark, folder)
             self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(folder)
 
     def create(self, contract: TableContract) -> bool:
@@ -239,10 +242,16 @@ class HistoryStore:
         ts: datetime | str,
         tracking: Sequence[str] | None = None,
         exclude: Sequence[str] = (),
+        keys_unique: bool = False,
         **options,
     ) -> int:
-        """Apply a snapshot and return the run's number."""
+        """Apply a snapshot and return the run's number.
+
+        A time before the last run's, a column of another type, and a repeated key are errors.  Keys
+        are counted once, per key before the shuffle; who has done so already passes ``keys_unique``.
+        """
         last = self.last_commit()
+        self._guard(new, keys, ts, last, keys_unique)
         hashed = h.comparison_columns(new, keys, tracking, exclude)
         if last is None:
             self._commit(h.initial_load(new, keys, ts, tracking, exclude, **options), 1, ts, keys, hashed)
@@ -256,6 +265,22 @@ class HistoryStore:
             self.spark.sql(f"DROP TABLE IF EXISTS {self._open_table(last)}")
         return gen
 
+    def _guard(self, new: DataFrame, keys: list[str], ts: datetime | str, last: Row | None, keys_unique: bool) -> None:
+        commits = self._commits()
+        if commits is not None and not commits.filter(F.col("at") > as_timestamp(ts)).isEmpty():
+            raise ValueError(f"a snapshot of {ts} is older than the history at {self.path}")
+        if last is not None:
+            known = {f.name: f.dataType.simpleString() for f in self._data_fields(last)}
+            changed = [
+                f"{f.name} from {known[f.name]} to {f.dataType.simpleString()}"
+                for f in new.schema
+                if f.name in known and f.name not in h.META and known[f.name] != f.dataType.simpleString()
+            ]
+            if changed:
+                raise SchemaMismatch(f"column types changed: {', '.join(changed)}")
+        if not keys_unique:
+            require_unique(new, keys)
+
     def append(self, history: DataFrame, ts: datetime | str, keys: Sequence[str]) -> int:
         """Take over a history built elsewhere, such as a back-fill, as the first run."""
         if self.exists():

@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ..contracts import TableContract, assert_compatible, empty_table
+from ..contracts import TableContract, apply_comments, assert_compatible, empty_table
 from ..operators.history import current_records
 
 
@@ -37,6 +37,33 @@ def save_table(
     df.write.mode(mode).parquet(path)
 
 
+def save_named_table(
+    df: DataFrame,
+    name: str,
+    mode: str = "overwrite",
+    contract: TableContract | None = None,
+    allow_schema_change: bool = False,
+) -> None:
+    """Write a table of the catalog; a schema other than the existing one is rejected.
+
+    With a contract, the table and its columns get the contract's comments.  A table cannot be
+    overwritten by what is read from it.
+    """
+    catalog = df.sparkSession.catalog
+    if catalog.tableExists(name) and not allow_schema_change:
+        assert_compatible(df, df.sparkSession.read.table(name).schema)
+    df.write.format("parquet").mode(mode).saveAsTable(name)
+    if contract is not None:
+        apply_comments(df.sparkSession, contract, name)
+
+
+def declare_table(spark: SparkSession, contract: TableContract, path: str, name: str) -> None:
+    """Give the table at ``path`` a name in the catalog, with its comments; dropping it leaves the files."""
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet")
+        apply_comments(spark, contract, name)
+
+
 def create_if_missing(spark: SparkSession, contract: TableContract, path: str, scd2: bool = False) -> bool:
     """Write an empty typed table unless there is one; tells whether it was created."""
     if existing_schema(spark, path) is not None:

@@ -4,18 +4,77 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def scan_csv(spark: SparkSession, path: str | list[str]) -> DataFrame:
+# Holds a line that does not fit the header.
+BAD_LINE = "_bad_line"
+
+def _text_schema(spark: SparkSession, path: str | list[str]) -> T.StructType:
+    """Every column of the header line as text; only that line is read."""
+    header = spark.read.option("header", True).option("inferSchema", False).csv(path)
+    return T.StructType([T.StructField(c, T.StringType()) for c in header.columns])
+
+
+def _csv(spark: SparkSession, multi_line: bool) -> DataFrameReader:
+    # Without column pruning every line is split in full, whichever columns are used.
+    options = {"header": True, "enforceSchema": False, "columnPruning": False, "multiLine": multi_line}
+    return spark.read.options(**options)
+
+
+def _open_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Lines with an odd number of quotes: a quoted text begins or ends there, but not both."""
+    quotes = F.length(F.regexp_replace("value", r'\\.|[^"]', ""))
+    return spark.read.text(path).filter(quotes % 2 == 1)
+
+
+def scan_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
     """CSV with a header line; every column is text and types come from the contract.
 
-    Without inference the data is read once, and codes keep their leading zeros.  With
-    ``enforceSchema`` off, a file whose header differs fails instead of shifting columns.
+    Without inference codes keep their leading zeros.  A file whose header differs fails instead of
+    shifting columns, and so does a line with fields too many or too few; ``split_csv`` sets such
+    lines aside.  Line breaks within quotes need ``multi_line``, which makes a file one task however
+    large it is; without it they fail too.  The reader itself cannot see them, so the lines are
+    first searched for open quotes, which stops at the first one.
+    """
+    rows = _csv(spark, multi_line).option("mode", "FAILFAST").schema(_text_schema(spark, path)).csv(path)
+    if not multi_line:
+        opened = _open_lines(spark, path).first()
+        if opened is not None:
+            raise ValueError(f"a line opens a quote and does not close it: {opened['value'][:200]}")
+    return rows
+
+
+def split_csv(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(rows, bad lines): as ``scan_csv``, but lines that do not fit come back whole, in ``_bad_line``.
+
+    Only where lines with open quotes are found, the rows that the reader makes of them are taken
+    out again, each as often as it comes.
     """
-    return spark.read.option("header", True).option("enforceSchema", False).csv(path)
+    schema = _text_schema(spark, path)
+    with_line = T.StructType([*schema.fields, T.StructField(BAD_LINE, T.StringType())])
+    read = _csv(spark, multi_line).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", BAD_LINE)
+    rows = read.schema(with_line).csv(path)
+    if not schema.fields:
+        return spark.read.csv(path), spark.createDataFrame([], f"{BAD_LINE} string")
+    # Spark does not read the bad lines' column alone, so the filters look at another one too.
+    first = F.col(f"`{schema.fields[0].name}`")
+    whole = first.isNull() | (F.length(first) >= 0)
+    good = rows.filter(F.col(BAD_LINE).isNull() & whole).drop(BAD_LINE)
+    bad = rows.filter(F.col(BAD_LINE).isNotNull() & whole).select(BAD_LINE)
+    if multi_line:
+        return good, bad
+    opened = _open_lines(spark, path)
+    if opened.isEmpty():
+        return good, bad
+    names = [f"c{i}" for i in range(len(schema.fields))]
+    ddl = ", ".join(f"{n} string" for n in [*names, BAD_LINE])
+    made = opened.select("value", F.from_csv("value", ddl, {"columnNameOfCorruptRecord": BAD_LINE}).alias("r"))
+    made = made.filter(F.col(f"r.{BAD_LINE}").isNull())
+    taken = made.select(*[F.col(f"r.{n}").alias(f.name) for n, f in zip(names, schema.fields)])
+    return good.exceptAll(taken), bad.unionByName(made.select(F.col("value").alias(BAD_LINE)))
 
 
 def scan_table(spark: SparkSession, name: str) -> DataFrame:

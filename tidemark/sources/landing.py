@@ -11,14 +11,14 @@ from pyspark.sql import functions as F
 from .files import scan_csv
 
 # Folder names, hour and minute may lack a leading zero.
-FOLDER_PATTERN = r"/(\d{4}-\d{2}-\d{2})T(\d{1,2})-(\d{1,2})/"
+FOLDER_PATTERN = r"\d{4}-\d{2}-\d{2}T\d{1,2}-\d{1,2}"
 
 SNAPSHOT_TS = "__snapshot_ts"
 
 
-def folder_time(path: Column) -> Column:
-    """The time in a file's folder name, NULL when the folder is named otherwise."""
-    text = F.regexp_replace(F.regexp_extract(path, FOLDER_PATTERN, 0), "/", "")
+def folder_time(path: Column, table: str) -> Column:
+    """The time in the name of the folder directly above the table, NULL when it is named otherwise."""
+    text = F.regexp_extract(path, rf"/({FOLDER_PATTERN})/{re.escape(table)}\.csv(/[^/]*)?$", 1)
     return F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'H-m"))
 
 
@@ -37,7 +37,7 @@ def list_snapshots(spark: SparkSession, base: str, table: str) -> DataFrame:
     table_path = F.regexp_extract("path", rf"^(.*/{re.escape(table)}\.csv)(/.*)?$", 1)
     return (
         paths.select(table_path.alias("table_path"))
-        .withColumn(SNAPSHOT_TS, folder_time(F.col("table_path")))
+        .withColumn(SNAPSHOT_TS, folder_time(F.col("table_path"), table))
         .filter(F.col(SNAPSHOT_TS).isNotNull())
         .distinct()
     )
@@ -64,6 +64,6 @@ def all_snapshots(spark: SparkSession, base: str, table: str) -> DataFrame:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         raise FileNotFoundError(f"no landing folder with {table}.csv in {base}") from error
-    return rows.select("*", folder_time(F.col("_metadata.file_path")).alias(SNAPSHOT_TS)).filter(
+    return rows.select("*", folder_time(F.col("_metadata.file_path"), table).alias(SNAPSHOT_TS)).filter(
         F.col(SNAPSHOT_TS).isNotNull()
     )

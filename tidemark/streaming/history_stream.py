@@ -38,13 +38,13 @@ def start_history_stream(
     """
     files = spark.readStream.format("binaryFile").schema(_FILE).load(f"{landing}/*/{contract.name}.csv")
     folder = F.regexp_extract("path", rf"/([^/]+)/{re.escape(contract.name)}\.csv(/.*)?$", 1)
-    landed = files.select(folder.alias("folder"), folder_time(F.col("path")).alias(SNAPSHOT_TS))
+    landed = files.select(folder.alias("folder"), folder_time(F.col("path"), contract.name).alias(SNAPSHOT_TS))
 
     def take_folders(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
         store = HistoryStore(session, layers.silver, buckets)
         folders = batch.filter(F.col(SNAPSHOT_TS).isNotNull()).distinct().orderBy(SNAPSHOT_TS)
-        for name, ts in folders.collect():  # one row per dump
+        for name, ts in folders.toLocalIterator():  # one row per dump, a partition at a time
             if store.has_commit(ts):
                 continue
             last = store.last_commit()
