@@ -155,6 +155,14 @@ def test_decontamination_edge_cases(spark, make, empty_docs):
     assert dec.hits(make(rows), items_of(spark, items[4:6])).filter("n_hit > 0").count() == 0
 
 
+def test_clean_rows_stay_beside_contaminated_ones_of_the_same_id(spark, make):
+    rows = [(1, "a short item here"), (1, "clean"), (1, None), (None, "short item"), (None, "also clean"), (None, None), (2, "clean"), (2, "short item")]
+    clean = dec.drop_contaminated(make(rows), items_of(spark, [(1, "short item")]))
+    left = {(1, "clean"), (1, None), (None, "also clean"), (None, None), (2, "clean")}
+    got = [tuple(r) for r in clean.select("doc_id", "text").collect()]
+    assert len(got) == len(left) and set(got) == left
+
+
 def test_native_operators_run_no_python(spark, sf_dir, documents):
     bench = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     for df in (dec.hits(documents, bench), mixing.taken(documents), mixing.mix(documents)):

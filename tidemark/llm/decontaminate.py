@@ -105,15 +105,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> tuple[Data
     return candidates.select("doc_id", "text_key", "start", "n", "window").distinct(), of_item
 
 
-def hits(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
-    """Per document ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``.
-
-    ``n_hit`` counts words inside occurrences of windows, ``n_items`` the items with occurring
-    windows; ``items_sha256`` is of their ids, sorted as strings and joined by commas (of nothing if
-    there are none).  NULL text has no words; an item without words has no window, and its id does
-    not count; a NULL item id counts as none.  Repeated documents are judged alike, each row; an
-    empty table of documents gives no rows, an empty benchmark no hits.
-    """
+def _checked(docs: DataFrame, benchmark: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """``doc_id, text_key, n_words, n_hit, windows`` (NULL without a hit) of every row, and ``window, item_id``."""
     docs = docs.select("doc_id", "text")
     candidates, of_item = matches(docs, benchmark, size)
     by_doc = candidates.groupBy("doc_id", "text_key").agg(F.collect_list(F.struct("start", "n", "window")).alias("found"))
@@ -131,11 +124,24 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
         F.when(F.size("true") > 0, F.size(F.array_distinct(covered))).otherwise(0).cast("long").alias("n_hit"),
         F.when(F.size("true") > 0, F.array_distinct(F.transform("true", lambda c: c["window"]))).alias("windows"),
     )
-    checked = stored(checked, "hits")
+    return stored(checked, "hits"), of_item
+
+
+def hits(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
+    """Per document ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated``.
+
+    ``n_hit`` counts words inside occurrences of windows, ``n_items`` the items with occurring
+    windows; ``items_sha256`` is of their ids, sorted as strings and joined by commas (of nothing if
+    there are none).  NULL text has no words; an item without words has no window, and its id does
+    not count; a NULL item id counts as none.  Repeated documents are judged alike, each row; an
+    empty table of documents gives no rows, an empty benchmark no hits.
+    """
+    checked, of_item = _checked(docs, benchmark, size)
     seen = checked.filter("n_hit > 0").select("doc_id", "text_key", F.explode("windows").alias("window")).distinct()
     ids = seen.join(of_item.filter("item_id IS NOT NULL"), "window").groupBy("doc_id", "text_key")
     ids = ids.agg(F.array_sort(F.collect_set("item_id")).alias("ids"))
     ids = ids.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "ids")
+    same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_key") == F.col("k"))
     joined = checked.join(ids, same, "left").withColumn("ids", F.coalesce("ids", F.array().cast("array<string>")))
     return joined.select(
         "doc_id",
@@ -148,9 +154,11 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
-    """The documents without a hit, with all their columns."""
-    found = hits(docs, benchmark, size).filter("contaminated").select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(stored(found, "hits"), F.col("doc_id").eqNullSafe(F.col("__hit")), "left_anti")
+    """The documents without a hit, with all their columns; rows that share an id, or have none, are told by their text."""
+    checked, _ = _checked(docs, benchmark, size)
+    found = checked.filter("n_hit > 0").select(F.col("doc_id").alias("__hit"), F.col("text_key").alias("__key")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("__hit")) & (F.xxhash64("text") == F.col("__key"))
+    return docs.join(stored(found, "hits"), same, "left_anti")
 
 
 WORDS_SQL = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
