@@ -52,6 +52,25 @@ def test_quality_edge_cases(spark, make, empty_docs):
     assert kept.columns == make(rows).columns and kept.filter("doc_id BETWEEN 100 AND 119").count() == 0
 
 
+def test_packed_rows_are_whole_and_bounded():
+    draw = np.random.default_rng(4)
+    sizes = [1, 7, 5000, 8191, 8192, 9000, nbsvm.DIM]
+    some = [np.sort(draw.choice(nbsvm.DIM, n, replace=False)) for n in sizes]
+    kept = [nbsvm.packed(x) for x in some]
+    assert max(map(len, kept)) == nbsvm.DIM // 8
+    assert all((a == b).all() and len(a) == len(b) for a, b in zip(nbsvm.Rows(kept), some))
+    assert [len(x) for x in nbsvm.Rows(kept).pick(np.array([3, 0]))] == [8191, 1]
+
+
+def test_the_model_is_fitted_on_3000_documents_of_each_class(make, spark, monkeypatch):
+    rows = [(i, f"text {i % 97} {i % 89}") for i in range(6100)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(6100)], "doc_id long, label int")
+    seen = []
+    monkeypatch.setattr(nbsvm, "fit", lambda rows, target, *rest: seen.append((len(rows), np.bincount(target).tolist())))
+    nbsvm.train(make(rows), labels)
+    assert seen == [(6000, [3000, 3000])]
+
+
 def test_dual_coordinate_descent_meets_its_conditions():
     draw = np.random.default_rng(3)
     rows = [np.sort(draw.choice(50, 6, replace=False)) for _ in range(80)]

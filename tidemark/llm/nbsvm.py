@@ -22,7 +22,9 @@ from .words import chunks, mix, words_of
 BITS = 18
 DIM = 1 << BITS
 # Documents of each class that the linear model is fitted on, the first by the hash of their id.
-SAMPLE = 2000
+SAMPLE = 3000
+# Tasks that bring the sample to the driver, one after the other.
+SLICES = 32
 FOLDS = 3
 SMOOTH = 1.0
 COST = 1.0
@@ -55,6 +57,37 @@ def features(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
+class Rows:
+    """Feature numbers of many texts, each as 32-bit integers or, where that is shorter, as one bit per feature."""
+
+    def __init__(self, packed: list[bytes]) -> None:
+        self.packed = packed
+
+    def __len__(self) -> int:
+        return len(self.packed)
+
+    def __getitem__(self, i: int) -> np.ndarray:
+        raw = self.packed[i]
+        if len(raw) == DIM // 8:
+            return np.flatnonzero(np.unpackbits(np.frombuffer(raw, np.uint8)))
+        return np.frombuffer(raw, "<i4")  # the bytes as they came, not copied
+
+    def __iter__(self):
+        return (self[i] for i in range(len(self)))
+
+    def pick(self, places: np.ndarray) -> Rows:
+        return Rows([self.packed[i] for i in places])
+
+
+def packed(found: np.ndarray) -> bytes:
+    """``DIM / 8`` bytes at most."""
+    if 4 * len(found) < DIM // 8:
+        return found.astype("<i4").tobytes()
+    bits = np.zeros(DIM, np.uint8)
+    bits[found] = 1
+    return np.packbits(bits).tobytes()
+
+
 def log_ratios(ones: np.ndarray, zeros: np.ndarray) -> np.ndarray:
     """Log ratio of each feature's share in the two classes, from its document counts."""
     p, q = ones + SMOOTH, zeros + SMOOTH
@@ -63,13 +96,13 @@ def log_ratios(ones: np.ndarray, zeros: np.ndarray) -> np.ndarray:
     return ratio
 
 
-def scales(rows: list[np.ndarray], ratios: np.ndarray) -> np.ndarray:
+def scales(rows: Rows | list[np.ndarray], ratios: np.ndarray) -> np.ndarray:
     """What brings each row's ratios to length 1."""
     return np.array([1 / np.sqrt((ratios[r] ** 2).sum()) for r in rows])
 
 
 def fit_hinge(
-    rows: list[np.ndarray],
+    rows: Rows | list[np.ndarray],
     ratios: np.ndarray,
     scale: np.ndarray,
     signs: np.ndarray,
@@ -81,11 +114,12 @@ def fit_hinge(
     draw = np.random.default_rng(7)
     for _ in range(passes):
         for i in draw.permutation(len(rows)):
-            value = ratios[rows[i]] * scale[i]
-            gradient = signs[i] * (weights[rows[i]] @ value) - 1
+            row = rows[i]
+            value = ratios[row] * scale[i]
+            gradient = signs[i] * (weights[row] @ value) - 1
             new = min(max(alpha[i] - gradient, 0.0), costs[i])
             if new != alpha[i]:
-                weights[rows[i]] += (new - alpha[i]) * signs[i] * value
+                weights[row] += (new - alpha[i]) * signs[i] * value
                 alpha[i] = new
     return weights
 
@@ -119,7 +153,7 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.slope * out + self.offset, -500, 500)))
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, shares: tuple[float, float]) -> Model:
+def fit(rows: Rows, labels: np.ndarray, ratios: np.ndarray, shares: tuple[float, float]) -> Model:
     """The model of sampled documents; ``shares``: documents of class 0 and 1 that each of the sample stands for."""
     zero = Model(ratios, np.zeros(DIM), 0.0, 0.0)
     if not len(rows) or labels.min() == labels.max():  # one class or none: its share is all there is to know
@@ -133,7 +167,7 @@ def fit(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray, shares:
         use = np.flatnonzero(fold != k)
         if labels[use].min() == labels[use].max():
             continue
-        w = fit_hinge([rows[i] for i in use], ratios, scale[use], signs[use], costs[use]) * ratios
+        w = fit_hinge(rows.pick(use), ratios, scale[use], signs[use], costs[use]) * ratios
         for i in np.flatnonzero(fold == k):
             margins[i] = w[rows[i]].sum() * scale[i]
     stands_for = np.where(labels == 1, shares[1], shares[0])
@@ -159,7 +193,7 @@ def _count_batches(batches):
 
 def _feature_batches(batches):
     for batch in batches:
-        found = [f.astype("<i4").tobytes() for f in features(_texts(batch))]
+        found = [packed(f) for f in features(_texts(batch))]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("label"), pa.array(found, pa.binary())],
             names=["doc_id", "label", "features"],
@@ -185,12 +219,17 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
     turn = F.xxhash64(F.col("doc_id").cast("string"), F.lit("fit"))
     first = [clean.filter(F.col("label") == k).orderBy(turn, "doc_id").limit(sample) for k in (0, 1)]
     few = F.broadcast(first[0].unionByName(first[1]))  # 2 * sample ids at most
-    rows = docs.join(few, "doc_id").select("doc_id", "label", "text")
-    rows = rows.mapInArrow(_feature_batches, "doc_id long, label int, features binary").toPandas()
-    turn = mix(rows["doc_id"].to_numpy().astype(np.int64).view(np.uint64))  # a fixed, mixed order
-    order = sorted(range(len(rows)), key=lambda i: (turn[i], rows["features"].iat[i]))
-    target = rows["label"].to_numpy()[order]
-    found = [np.frombuffer(rows["features"].iat[i], "<i4") for i in order]  # the bytes as they came, not copied
+    rows = stored(docs.join(few, "doc_id").select("doc_id", "label", "text"), "sample")
+    rows = rows.repartition(SLICES).mapInArrow(_feature_batches, "doc_id long, label int, features binary")
+    # One slice at a time passes through the driver's session, and only its bytes stay.
+    ids, target, found = [], [], []
+    for r in rows.toLocalIterator():
+        ids.append(r["doc_id"])
+        target.append(r["label"])
+        found.append(bytes(r["features"]))
+    turn = mix(np.array(ids, np.int64).view(np.uint64))  # a fixed, mixed order
+    order = sorted(range(len(ids)), key=lambda i: (turn[i], found[i]))
+    target, found = np.array(target, np.int64)[order], Rows([found[i] for i in order])
     shares = tuple(max(1.0, n) / max(1, int((target == k).sum())) for k, n in ((0, zeros[0]), (1, ones[0])))
     return fit(found, target, log_ratios(ones, zeros), shares)
 
