@@ -109,3 +109,23 @@ def test_near_pairs_are_verified(make, empty_docs):
     assert {(1, 2), (1, 4)} <= set(found) <= {(1, 2), (1, 4), (2, 4)}
     assert found[1, 2] == slow_distance(base, rows[1][1])
     assert ee.near_pairs(empty_docs).count() == 0
+
+
+def test_near_pairs_do_not_need_the_least_of_a_bucket(make):
+    template = text(900, 3)
+    rows = [(1, template[:450] + text(450, 40)), (2, template), (3, edit(template, 30, 5)), (4, edit(template, 30, 6)), (5, template)]
+    rows += [(10, "short text of a few"), (11, "short texts of a few"), (12, "sort text of few")]
+    found = {(r["a"], r["b"]): r["edits"] for r in ee.near_pairs(make(rows)).collect()}
+    assert {(2, 3), (2, 4), (3, 4), (10, 11), (10, 12)} <= set(found) and (1, 2) not in found
+    assert found[3, 4] == slow_distance(rows[2][1], rows[3][1])
+    assert {tuple(r) for r in ee.copies(make(rows)).collect()} >= {(2, 2), (5, 2), (10, 10)}
+
+
+def test_near_pairs_recall_at_the_default_share(make):
+    rows = []
+    for k in range(60):
+        base = text(600, 500 + k)
+        rows += [(2 * k, base), (2 * k + 1, edit(base, 118, 900 + k))]
+    found = {(r["a"], r["b"]) for r in ee.near_pairs(make(rows)).collect()}
+    true = {(2 * k, 2 * k + 1) for k in range(60) if ee.edit_distance(rows[2 * k][1], rows[2 * k + 1][1], 120) is not None}
+    assert found <= true and len(true) > 50 and len(found) >= 0.95 * len(true)
