@@ -13,9 +13,11 @@ from . import (
     nbsvm,
     oracle,
     records,
+    runs,
     sharding,
     substrings,
     warc,
+    whitening,
 )
 from .workers import reach
 
@@ -66,6 +68,16 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(_table(spark, sf_dir, "documents"))
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(_table(spark, sf_dir, "embeddings"))
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    edited = docs.select("doc_id", runs.repeat_tail(docs.text, docs.doc_id).alias("text"))
+    return runs.digests(runs.periodic_runs(edited))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -79,6 +91,8 @@ QUERIES = {
         op8_hyperminhash,
         op9_substrings,
         op10_mix_sources,
+        op12_whitening,
+        op13_runs,
     )
 }
 
