@@ -200,6 +200,7 @@ def refine(a: np.ndarray, x: np.ndarray, rounds: int = 12) -> tuple[np.ndarray,
             if size > 4 * tiny:  # else equal as far as can be told: any basis will do
                 shifted = (shifted + shifted.T) / (2 * size)
                 x[:, places] = part @ refine(shifted, np.linalg.eigh(shifted.astype(np.float32))[1])[1]
+    x = x + x @ (one - x.T @ x) / 2  # what rounding over the smallest distances left
     order = np.argsort(-values, kind="stable")
     return values[order] * scale, x[:, order], np.array(steps)
 
