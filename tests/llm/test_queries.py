@@ -20,10 +20,13 @@ COLUMNS = {
     "op8": ["doc_id", "n_shingles", "component_id", "kept"],
     "op9": ["doc_id", "n_words", "n_removed", "kept_sha256"],
     "op10": ["doc_id", "size", "source_size", "target", "taken"],
+    "op11": ["page_id", "url", "text", "n_chars"],
+    "op12": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+    "op13": ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"],
 }
 
 
-def test_all_ten_are_registered():
+def test_all_are_registered():
     assert sorted(n.split("_")[0] for n in queries.QUERIES) == sorted(COLUMNS)
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
@@ -32,8 +35,10 @@ def test_all_ten_are_registered():
 def test_columns_and_rows(spark, sf_dir, name):
     df = entry.queries()[name](spark, sf_dir)
     assert df.columns == COLUMNS[name.split("_")[0]]
-    table = "pages" if name.startswith("op6") else "documents"
-    assert df.count() == spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
+    number = name.split("_")[0]
+    table = {"op6": "pages", "op11": "pages", "op12": "embeddings"}.get(number, "documents")
+    each = 8 if number == "op12" else 1
+    assert df.count() == each * spark.read.parquet(f"{sf_dir}/{table}.parquet").count()
 
 
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))

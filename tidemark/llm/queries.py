@@ -9,6 +9,7 @@ from . import (
     edit_embedding,
     hmm,
     hyperminhash,
+    main_text,
     mixing,
     nbsvm,
     oracle,
@@ -68,6 +69,10 @@ def op10_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(_table(spark, sf_dir, "documents"))
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.report(_table(spark, sf_dir, "embeddings"))
 
@@ -91,6 +96,7 @@ QUERIES = {
         op8_hyperminhash,
         op9_substrings,
         op10_mix_sources,
+        op11_main_text,
         op12_whitening,
         op13_runs,
     )
