@@ -73,10 +73,12 @@ def year_range_filter(df: DataFrame, column: str, first: int, last: int) -> Data
 
 
 def facet_filter(df: DataFrame, spec: FilterSpec) -> DataFrame:
+    """Rows that match; years come last, so that dates are read only where the cheap tests hold."""
+    df = df.filter(replace(spec, years={}).predicate())
     for column, years in spec.years.items():
         if years:
             df = year_range_filter(df, column, *years)
-    return df.filter(replace(spec, years={}).predicate())
+    return df
 
 
 def _usable(column: Column, sentinel: str | None) -> Column:

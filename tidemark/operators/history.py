@@ -329,7 +329,8 @@ def merge_histories(existing: DataFrame, new: DataFrame, keys: Sequence[str]) ->
     columns; of rows that are equal in everything, one.  Equal rows are counted before the shuffle
     and put back at the end.  The latest time of a key, and then the best of the few rows that have
     it, come from aggregates that are joined back, so a key with very many rows is neither sorted
-    nor buffered in one task, as a window over it would be.
+    nor buffered in one task, as a window over it would be.  The counted rows are written first,
+    as three steps read them.
     """
     both = existing.withColumn("__side", F.lit(0)).unionByName(
         new.withColumn("__side", F.lit(1)), allowMissingColumns=True
@@ -337,7 +338,7 @@ def merge_histories(existing: DataFrame, new: DataFrame, keys: Sequence[str]) ->
     columns = [c for c in both.columns if c != "__side"]
     kept = [c for c in columns if c != CURRENT]
     # What was current before does not matter, so rows that differ in that alone are equal.
-    both = both.groupBy(*kept, "__side").agg(F.count(F.lit(1)).alias("__copies"))
+    both = stored(both.groupBy(*kept, "__side").agg(F.count(F.lit(1)).alias("__copies")), "both")
     by_key = [F.col(k).alias(f"__latest_{i}") for i, k in enumerate(keys)]
     same_key = [F.col(k).eqNullSafe(F.col(f"__latest_{i}")) for i, k in enumerate(keys)]
     latest = both.groupBy(*by_key).agg(F.max(FROM).alias("__latest_from"))

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ...operators import history as h
+from ...operators.as_of import facts_as_of
 from ...scratch import new_folder, stored
 from ...sinks.history_store import HistoryStore
 from ...sinks.tables import save_table
 from ...sources.files import scan_parquet
 from ...streaming.history_stream import start_history_stream
 from ..jobs import Layers, compare_snapshots
-from .registry import query
+from .registry import query, table
 from .snapshots import (
     DATA_SQL,
     HISTORY_SQL,
@@ -288,9 +289,59 @@ def _scd2_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(h.as_of(history_after(spark, sf_dir, "abc"), "2001-06-15"))
 
 
+def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", F.col("l_shipdate").cast("date").alias("shipped")
+    )
+
+
+@query(
+    "scd2_as_of_facts",
+    f"""
+    WITH {ISLAND_SQL}
+    SELECT l_orderkey, l_linenumber, l_partkey, CAST(l_shipdate AS DATE) AS shipped, o_orderstatus,
+           CAST(price AS DOUBLE) AS price, prio, version AS __version, valid_from AS __valid_from
+    FROM lineitem LEFT JOIN hist_c
+      ON o_orderkey = l_orderkey AND valid_from <= l_shipdate AND (valid_to IS NULL OR l_shipdate < valid_to)""",
+)
+def _scd2_as_of_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with the version of their order on the day they were shipped."""
+    history = stored(history_after(spark, sf_dir, "abc"), "history")
+    shown = ["o_orderstatus", "price", "prio", h.VERSION, h.FROM]
+    return plain(facts_as_of(_lines(spark, sf_dir), history, {"l_orderkey": "o_orderkey"}, "shipped", shown))
+
+
+@query(
+    "scd2_as_of_facts_blocks",
+    """
+    WITH days AS (
+      SELECT o_custkey, CAST(o_orderdate AS DATE) AS valid_from, max(o_orderkey) AS last_order, count(*) AS n_orders
+      FROM orders GROUP BY 1, 2),
+    versions AS (
+      SELECT *, lead(valid_from) OVER (PARTITION BY o_custkey ORDER BY valid_from) AS valid_to FROM days)
+    SELECT o.o_custkey, l_orderkey, l_linenumber, CAST(l_shipdate AS DATE) AS shipped,
+           v.last_order AS was_last_order, v.n_orders AS was_n_orders
+    FROM lineitem JOIN orders o ON o_orderkey = l_orderkey
+    JOIN versions v ON v.o_custkey = o.o_custkey
+      AND v.valid_from <= l_shipdate AND (v.valid_to IS NULL OR l_shipdate < v.valid_to)""",
+)
+def _scd2_as_of_facts_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each order day of a customer is a version, so customers have many; lines meet them in blocks of four."""
+    orders = table(spark, sf_dir, "orders")
+    day = F.col("o_orderdate").cast("date").cast("timestamp").alias(h.FROM)
+    days = orders.groupBy("o_custkey", day).agg(
+        F.max("o_orderkey").alias("last_order"), F.count(F.lit(1)).alias("n_orders")
+    )
+    following = F.lead(h.FROM).over(Window.partitionBy("o_custkey").orderBy(h.FROM))
+    versions = stored(days.withColumn(h.TO, following), "versions")
+    lines = _lines(spark, sf_dir).join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    lines = lines.select("o_custkey", "l_orderkey", "l_linenumber", "shipped")
+    return facts_as_of(lines, versions, ["o_custkey"], "shipped", prefix="was_", how="inner", block=4)
+
+
 @query("scd2_replay", f"WITH {ISLAND_SQL} SELECT {HISTORY_SQL} FROM hist_c")
 def _scd2_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return plain(h.replay(stacked(spark, sf_dir), KEYS, "snapshot_ts"))
+    return plain(h.replay(stacked(spark, sf_dir), KEYS, "snapshot_ts", times=list(TIMES.values())))
 
 
 @query("scd2_stream", f"WITH {ISLAND_SQL} SELECT {HISTORY_SQL} FROM hist_c")
