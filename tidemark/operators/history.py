@@ -25,6 +25,9 @@ FROM, TO, CURRENT, OPERATION, PROCESSED, HASH, VERSION = HISTORY_COLUMNS
 INSERT, UPDATE, DELETE, NO_CHANGE = "INSERT", "UPDATE", "DELETE", "NO_CHANGE"
 META = list(HISTORY_COLUMNS)
 
+# What the message of a repeated key begins with.
+REPEATED = "REPEATED_KEY"
+
 _NULL_KEY_BUCKETS = 4096
 
 
@@ -83,6 +86,7 @@ def _full_join(
     hashed: Sequence[str],
     complete_keys: bool = False,
     stored_hash: bool = False,
+    keys_unique: bool = False,
 ) -> DataFrame:
     """One row per key, with ``old_`` and ``new_`` columns side by side.
 
@@ -92,7 +96,23 @@ def _full_join(
     """
     matched = keys if complete_keys else [*keys, "bucket"]
     same = [F.col(f"old_{c}") == F.col(f"new_{c}") for c in matched]
-    return _side(old, "old_", keys, hashed, stored_hash).join(_side(new, "new_", keys, hashed), same, "full_outer")
+    right = _side(new, "new_", keys, hashed)
+    if not keys_unique:
+        right = _refuse_repeated(right, [f"new_{k}" for k in keys], [f"new_{c}" for c in matched])
+    return _side(old, "old_", keys, hashed, stored_hash).join(right, same, "full_outer")
+
+
+def _refuse_repeated(df: DataFrame, keys: Sequence[str], partitioned: Sequence[str]) -> DataFrame:
+    """The same rows; the second row of a complete key is an error.
+
+    Rows are numbered within the partitioning and order that the join needs anyway, so there is no
+    further shuffle or sort, and a repeated key is met by its second row, not after all of them.
+    """
+    nth = F.row_number().over(Window.partitionBy(*partitioned).orderBy(*partitioned))
+    shown = F.concat_ws(", ", *[F.concat(F.lit(f"{k.removeprefix('new_')}="), F.col(k).cast("string")) for k in keys])
+    error = F.raise_error(F.concat(F.lit(f"{REPEATED}: rows share the key "), shown)).cast("boolean")
+    alone = F.when((F.col("__nth") == 1) | _any_null(keys), True).otherwise(error)
+    return df.withColumn("__nth", nth).filter(alone).drop("__nth")
 
 
 def _status(compared: Sequence[str], compare: str) -> Column:
@@ -118,10 +138,12 @@ def detect_changes(
     compared: Sequence[str] | None = None,
     compare: str = "hash",
     all_columns: bool = False,
+    keys_unique: bool = False,
 ) -> DataFrame:
     """Keys, compared columns, ``__operation`` and ``__row_hash`` of every changed key.
 
-    Values are the new ones, NULLs included; a deleted key shows its last ones.
+    Values are the new ones, NULLs included; a deleted key shows its last ones.  A key that ``new``
+    repeats is an error; who knows that there is none passes ``keys_unique``.
     """
     compared = comparison_columns(new, keys) if compared is None else list(compared)
     if old is None:
@@ -130,7 +152,7 @@ def detect_changes(
     old = _completed(old, _types(new)).select(*shown)
     gone = F.col("new_here").isNull()
     return (
-        _full_join(old, new.select(*shown), keys, compared)
+        _full_join(old, new.select(*shown), keys, compared, keys_unique=keys_unique)
         .withColumn(OPERATION, _status(compared, compare))
         .filter(F.col(OPERATION) != NO_CHANGE)
         .select(
@@ -223,6 +245,7 @@ def next_versions(
     compare: str = "hash",
     complete_keys: bool = False,
     stored_hash: bool = False,
+    keys_unique: bool = False,
 ) -> DataFrame:
     """What becomes of the open rows when ``new`` arrives: unchanged, closed and added rows.
 
@@ -231,7 +254,8 @@ def next_versions(
 
     ``stored_hash`` trusts the open rows' ``__row_hash`` instead of computing it again.  That
     holds as long as the same columns are compared; an unchanged row gets the hash over the
-    columns compared now.
+    columns compared now.  A key that ``new`` repeats is an error, unless ``keys_unique`` says that
+    there is none.
     """
     compared = comparison_columns(new, keys, tracking, exclude)
     old_types = {c: t for c, t in _types(open_rows).items() if c not in META}
@@ -259,7 +283,7 @@ def next_versions(
         VERSION: pick(F.coalesce(F.col(f"old_{VERSION}"), F.lit(0)) + 1, F.col(f"old_{VERSION}")),
     }
     return (
-        _full_join(old, new, keys, compared, complete_keys, stored_hash)
+        _full_join(old, new, keys, compared, complete_keys, stored_hash, keys_unique)
         .withColumn("__status", _status(compared, compare))
         .withColumn("__added", F.explode(rows))
         .select(
@@ -269,6 +293,18 @@ def next_versions(
     )
 
 
+def fingerprint(keys: Sequence[str], row_hash_: Column, where: Column | None = None) -> dict[str, Column]:
+    """Aggregates that are equal for equal sets of keys and row hashes, in whatever order.
+
+    A count and two sums of independent 64-bit hashes; partial sums travel, never rows.
+    """
+    counted = F.lit(True) if where is None else where
+    mixed = [F.xxhash64(*keys, row_hash_), F.xxhash64(F.lit(7919), row_hash_, *keys)]
+    sums = [F.coalesce(F.sum(F.when(counted, m).cast("decimal(20,0)")), F.lit(0).cast("decimal(30,0)")) for m in mixed]
+    keyless = F.count_if(counted & _any_null(keys)) if keys else F.count_if(counted)
+    return {"n_open": F.count_if(counted), "n_keyless": keyless, "print_1": sums[0].cast("string"), "print_2": sums[1].cast("string")}
+
+
 def is_open() -> Column:
     return F.coalesce(F.col(CURRENT), F.lit(False))
 
@@ -282,16 +318,19 @@ def apply_snapshot(
     exclude: Sequence[str] = (),
     processed_time: Column | datetime | str | None = None,
     compare: str = "hash",
+    keys_unique: bool = False,
 ) -> DataFrame:
     """The full history after ``new``; closed rows pass by without a shuffle.
 
     The history is read for its open and for its closed rows, so between snapshots keep it
     in a table (``HistoryStore``, ``scratch.stored``); for many snapshots at once see ``replay``.
+    A key that ``new`` repeats is an error where there is a history to join; a first load takes the
+    rows as they come.
     """
     if history is None:
         return initial_load(new, keys, ts, tracking, exclude, processed_time)
     versions = next_versions(
-        history.filter(is_open()), new, keys, ts, tracking, exclude, processed_time, compare
+        history.filter(is_open()), new, keys, ts, tracking, exclude, processed_time, compare, keys_unique=keys_unique
     )
     return versions.unionByName(history.filter(~is_open()), allowMissingColumns=True)
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import date, datetime
 from decimal import Decimal
@@ -11,7 +11,7 @@ from functools import reduce
 from operator import and_, or_
 from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..contracts import load_yaml
@@ -175,6 +175,61 @@ def split(
     return df.filter(~failed), annotate(df.filter(failed), checks)
 
 
+# The partition column of a dealt table.
+REJECTED = "__rejected"
+
+
+@dataclass(frozen=True)
+class Split:
+    """Both sides of a dealt table and what was counted while it was written."""
+
+    valid: DataFrame
+    quarantined: DataFrame
+    n_total: int
+    n_quarantined: int
+    n_failed: Mapping[str, int]
+    observed: Mapping[str, object]
+
+
+def save_split(
+    df: DataFrame,
+    checks: Sequence[Check],
+    path: str,
+    quarantine_warnings: bool = False,
+    observe: Mapping[str, Column] | None = None,
+) -> Split:
+    """``split`` in one pass: rows are written once, dealt by verdict, and each side is read back by its folder.
+
+    Totals and failures per check are counted while the rows are written, as are further aggregates
+    given in ``observe``, which may ask for ``__rejected``.  ``df`` should be a table and narrow steps
+    on it: then a task that is tried again is not counted twice.
+    """
+    stopping = [c for c in checks if c.criticality == "error" or quarantine_warnings]
+    counted = Observation()
+    failures = {f"__failed_{i}": F.count_if(c.fails()) for i, c in enumerate(checks)}
+    asked = {f"__asked_{name}": value for name, value in (observe or {}).items()}
+    totals = {"__n": F.count(F.lit(1)), "__n_rejected": F.count_if(REJECTED), **failures, **asked}
+    dealt = df.withColumn(REJECTED, _any(stopping)).observe(counted, *[v.alias(k) for k, v in totals.items()])
+    dealt.write.mode("overwrite").partitionBy(REJECTED).parquet(path)
+    found = counted.get
+    spark = df.sparkSession
+
+    def side(rejected: bool) -> DataFrame:
+        n = found["__n_rejected"] if rejected else found["__n"] - found["__n_rejected"]
+        if not n:  # no rows, no folder
+            return spark.createDataFrame([], df.schema)
+        return spark.read.schema(df.schema).parquet(f"{path}/{REJECTED}={str(rejected).lower()}")
+
+    return Split(
+        side(False),
+        annotate(side(True), checks),
+        found["__n"],
+        found["__n_rejected"],
+        {c.name: found[f"__failed_{i}"] for i, c in enumerate(checks)},
+        {name: found[f"__asked_{name}"] for name in observe or {}},
+    )
+
+
 def warnings(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """Rows that stay valid but have a failed warning."""
     stop = _any(c for c in checks if c.criticality == "error")

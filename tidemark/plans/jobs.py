@@ -6,14 +6,17 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from ..contracts import TableContract
+from ..functions.hashing import row_hash_of
 from ..operators import quality
 from ..operators.gold import transform_gold
-from ..operators.history import process
+from ..operators.history import comparison_columns, fingerprint, process
 from ..operators.metrics import MetricView
 from ..operators.typing import transform_bronze
+from ..scratch import new_folder, stored
 from ..sinks.history_store import HistoryStore
 from ..sinks.tables import (
     create_if_missing,
@@ -23,7 +26,7 @@ from ..sinks.tables import (
     save_quarantine,
     save_table,
 )
-from ..sources.files import scan_parquet, split_csv
+from ..sources.files import BAD_LINE, read_csv, scan_parquet
 from ..sources.landing import latest_snapshot_path
 
 # Ingestion columns that never count as a change.
@@ -67,15 +70,19 @@ def job_bronze(
 ) -> None:
     """One landing folder, the newest by default, typed and saved.
 
-    Lines that do not fit the header go to ``layers.bad_lines`` instead of being cut or padded.
+    Lines that do not fit the header go to ``layers.bad_lines`` instead of being cut or padded.  They
+    are counted while the others are written; only if there are any, the files are read once more.
     """
     if folder is None:
         path = latest_snapshot_path(spark, landing, contract.name)
     else:
         path = f"{landing}/{folder}/{contract.name}.csv"
-    raw, bad = split_csv(spark, path)
-    save_quarantine(bad, layers.bad_lines)
-    save_table(transform_bronze(raw, contract), layers.bronze)
+    counted = Observation()
+    lines = read_csv(spark, path)
+    watched = lines.observe(counted, F.count_if(F.col(BAD_LINE).isNotNull()).alias("n_bad"))
+    good = watched.filter(F.col(BAD_LINE).isNull()).drop(BAD_LINE)
+    save_table(transform_bronze(good, contract), layers.bronze)
+    save_quarantine(lines.filter(F.col(BAD_LINE).isNotNull()).select(BAD_LINE), layers.bad_lines, counted.get["n_bad"])
 
 
 def job_prepare_silver(
@@ -121,36 +128,38 @@ def job_silver(
     Ingestion columns never count as a change.  Valid rows whose foreign key has no parent, of the
     parent tables given by name, stay valid and are counted by column.
 
-    The counts come from one scan of the checked and key columns.  Bronze is a written
-    table, so each side of the split reads it with its own filter and nothing has to be
-    cached.  Rows that share a key would multiply in the history's join, and a hot key
-    would end in one task; the same scan tells whether there are any, and only then they
-    are set aside.
+    Bronze is read once: rows are dealt into valid and rejected ones by one write, which also counts
+    them, and tells whether a tracked table's valid rows are those that its history holds already.
+    Rows that share a key are found by the history's join; only then they are set aside, and
+    the join runs again.
     """
+    folder = new_folder(spark, "dealt")
     bronze = spark.read.parquet(layers.bronze)
-    valid, rejected = quality.split(bronze, checks)
     keys = contract.primary_keys()
+    prints = {}
     if contract.tracked:
-        counts = quality.key_audit(bronze, checks, keys).first()
-        keys_unique = counts["most_per_key"] <= 1
-    else:
-        counts, keys_unique = quality.row_counts(bronze, checks).first(), True
-    if not keys_unique:
-        valid, repeated = quality.split_unique(valid, keys)
-        rejected = rejected.unionByName(quality.annotate_with(repeated, quality.KEY_REPEATED, keys))
-    n_rejected = counts["n_quarantined"] if keys_unique else None
-    save_quarantine(rejected, quarantine or layers.quarantine, n_rejected)
-    n_repeated = 0 if keys_unique else repeated.count()
-    gen = None
+        compared = comparison_columns(bronze, keys, exclude=INGESTION_COLUMNS)
+        prints = fingerprint(keys, row_hash_of([F.col(c) for c in compared]), ~F.col(quality.REJECTED))
+    dealt = quality.save_split(bronze, checks, folder, observe=prints)
+    valid, rejected, n_rejected = dealt.valid, dealt.quarantined, dealt.n_quarantined
+    gen, keys_unique = None, True
     if contract.tracked:
         store = HistoryStore(spark, layers.silver, buckets)
-        gen = store.merge(
-            valid, keys, ts, exclude=INGESTION_COLUMNS, processed_time=processed_time, keys_unique=True
-        )
+        options = {"exclude": INGESTION_COLUMNS, "processed_time": processed_time}
+        try:
+            gen = store.merge(valid, keys, ts, found=dealt.observed, **options)
+        except quality.RepeatedKey:
+            keys_unique = False
+            valid, repeated = quality.split_unique(valid, keys)
+            repeated = stored(repeated, "repeated")
+            rejected = rejected.unionByName(quality.annotate_with(repeated, quality.KEY_REPEATED, keys))
+            n_rejected += repeated.count()
+            gen = store.merge(valid, keys, ts, keys_unique=True, **options)
     else:
         save_table(valid, layers.silver)
+    save_quarantine(rejected, quarantine or layers.quarantine, n_rejected)
     orphans = {c: rows.count() for c, rows in fk_report(valid, contract, parents or {}).items()}
-    return SilverRun(counts["n_total"], counts["n_quarantined"] + n_repeated, keys_unique, gen, orphans)
+    return SilverRun(dealt.n_total, n_rejected, keys_unique, gen, orphans)
 
 
 @dataclass(frozen=True)

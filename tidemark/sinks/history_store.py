@@ -6,6 +6,10 @@ all runs up to it, and list no other folders.  No path is read and overwritten i
 rows are never rewritten, and a run that died before its commit line is invisible: the
 next try overwrites it.  One writer at a time.
 
+Each commit line holds a fingerprint of the open rows, counted while they were written.  A snapshot
+with the same one changes nothing: its commit line refers to the rows of the run before, and no rows
+are read, joined or written.
+
 With ``buckets`` set, runs are written as Spark bucketed tables over the same folders.  The
 open rows then join the next snapshot where they are, and only the snapshot is shuffled.
 """
@@ -13,28 +17,37 @@ open rows then join the next snapshot where they are, and only the snapshot is s
 from __future__ import annotations
 
 import hashlib
+import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import SchemaMismatch, TableContract, empty_table
+from ..functions.hashing import row_hash_of
 from ..functions.typing import as_timestamp
 from ..operators import history as h
-from ..operators.quality import require_unique
+from ..operators.quality import RepeatedKey, require_unique
 from .tables import existing_schema
 
-_COMMIT = "gen int, at timestamp, buckets int, keys array<string>, hashed array<string>"
+_PRINT = "n_open bigint, n_keyless bigint, print_1 string, print_2 string"
+_COMMIT = f"gen int, at timestamp, buckets int, keys array<string>, hashed array<string>, rows_gen int, {_PRINT}"
+_PRINT_NAMES = [c.split()[0] for c in _PRINT.split(", ")]
 
 
 def _texts(values: Sequence[str]) -> Column:
     return F.array(*[F.lit(v) for v in values]).cast("array<string>")
 
 
+def _rows_gen(commit: Row) -> int:
+    """The run whose folder holds the open rows; lines of older stores do not name it."""
+    return commit["gen"] if commit["rows_gen"] is None else commit["rows_gen"]
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
@@ -73,13 +86,25 @@ class HistoryStore:
     def exists(self) -> bool:
         return self.last_commit() is not None
 
-    def _add_commit(self, gen: int, at: Column, keys: Sequence[str] = (), hashed: Sequence[str] = ()) -> None:
+    def _add_commit(
+        self,
+        gen: int,
+        at: Column,
+        keys: Sequence[str] = (),
+        hashed: Sequence[str] = (),
+        rows_gen: int | None = None,
+        found: Mapping[str, object] | None = None,
+    ) -> None:
+        kinds = dict(c.split() for c in _PRINT.split(", "))
+        prints = [F.lit((found or {}).get(n)).cast(kind).alias(n) for n, kind in kinds.items()]
         line = self.spark.range(1).select(
             F.lit(gen).alias("gen"),
             at.alias("at"),
             F.lit(self.buckets or 0).alias("buckets"),
             _texts(keys).alias("keys"),
             _texts(hashed).alias("hashed"),
+            F.lit(gen if rows_gen is None else rows_gen).alias("rows_gen"),
+            *prints,
         )
         line.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
 
@@ -87,7 +112,7 @@ class HistoryStore:
 
     def _data_fields(self, last: Row) -> list[T.StructField]:
         # Columns are only ever added, so the last run knows them all, unless it was empty.
-        newest = existing_schema(self.spark, f"{self.path}/rows/gen={last['gen']}")
+        newest = existing_schema(self.spark, f"{self.path}/rows/gen={_rows_gen(last)}")
         known = newest or existing_schema(self.spark, f"{self.path}/rows")
         return [f for f in known.fields if f.name not in ("gen", h.CURRENT)]
 
@@ -112,7 +137,7 @@ class HistoryStore:
         def shaped(rows: DataFrame, flag: bool) -> DataFrame:
             return rows.withColumn(h.CURRENT, F.lit(flag)).select(*data, *h.META)
 
-        open_rows = shaped(self._rows_in(f"gen={last['gen']}/{h.CURRENT}=true", layout), True)
+        open_rows = shaped(self._rows_in(f"gen={_rows_gen(last)}/{h.CURRENT}=true", layout), True)
         if open_only:
             return open_rows
         closed = self._rows_in(f"gen=*/{h.CURRENT}=false", layout).filter(F.col("gen") <= last["gen"])
@@ -153,11 +178,11 @@ class HistoryStore:
         return f"{self.path}/rows/gen={gen}/{h.CURRENT}=true"
 
     def _open_table(self, last: Row) -> str:
-        return "tidemark_open_" + hashlib.md5(self._open_folder(last["gen"]).encode()).hexdigest()
+        return "tidemark_open_" + hashlib.md5(self._open_folder(_rows_gen(last)).encode()).hexdigest()
 
     def _read_open_bucketed(self, last: Row) -> DataFrame:
         fields, name = self._data_fields(last), self._open_table(last)
-        self._declare(name, fields, last["keys"], last["buckets"], self._open_folder(last["gen"]), partitioned=False)
+        self._declare(name, fields, last["keys"], last["buckets"], self._open_folder(_rows_gen(last)), partitioned=False)
         data = [f.name for f in fields if f.name not in h.META]
         return self.spark.read.table(name).withColumn(h.CURRENT, F.lit(True)).select(*data, *h.META)
 
@@ -173,6 +198,9 @@ class HistoryStore:
         in_buckets: bool = False,
     ) -> None:
         folder = f"{self.path}/rows/gen={gen}"
+        counted = Observation()
+        prints = h.fingerprint(keys, F.col(h.HASH), h.is_open())
+        rows = rows.observe(counted, *[c.alias(n) for n, c in prints.items()])
         if self.buckets:
             if not in_buckets:
                 # One task per bucket, so that each bucket becomes one file.
@@ -187,9 +215,10 @@ class HistoryStore:
                 self.spark.sql(f"DROP TABLE {name}")
         else:
             rows.write.mode("overwrite").partitionBy(h.CURRENT).parquet(folder)
-        self._add_commit(gen, as_timestamp(ts), keys, hashed)
+        self._add_commit(gen, as_timestamp(ts), keys, hashed, found=counted.get)
         if self.keep is not None and gen > self.keep:
-            self._empty_open_rows(gen - self.keep)
+            kept = self._commits().filter(F.col("gen") > gen - self.keep)
+            self._empty_open_rows(kept.agg(F.min(F.coalesce("rows_gen", "gen"))).first()[0] - 1)
 
     def _empty_open_rows(self, last: int) -> None:
         """Give up the open rows of all runs up to ``last``, which later runs hold; every closed row stays."""
@@ -200,6 +229,25 @@ class HistoryStore:
             schema = existing_schema(self.spark, folder)
             self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(folder)
 
+    def _unchanged(self, last: Row, new: DataFrame, keys: list[str], hashed: list[str], found: Mapping | None) -> bool:
+        """Whether the open rows have the snapshot's keys and hashes over the same columns."""
+        if last["print_1"] is None or last["keys"] != list(keys) or last["hashed"] != hashed:
+            return False
+        if found is None:
+            prints = h.fingerprint(keys, row_hash_of([F.col(c) for c in hashed]))
+            found = new.agg(*[c.alias(n) for n, c in prints.items()]).first().asDict()
+        # Rows without a key are replaced by every snapshot.
+        return found["n_keyless"] == 0 and all(found[n] == last[n] for n in _PRINT_NAMES)
+
+    def _commit_unchanged(self, last: Row, gen: int, ts: datetime | str) -> None:
+        folder = f"{self.path}/rows/gen={gen}"
+        for flag in ("true", "false"):  # what a run that died may have left
+            left = existing_schema(self.spark, f"{folder}/{h.CURRENT}={flag}")
+            if left is not None:
+                self.spark.createDataFrame([], left).write.mode("overwrite").parquet(f"{folder}/{h.CURRENT}={flag}")
+        found = {n: last[n] for n in _PRINT_NAMES}
+        self._add_commit(gen, as_timestamp(ts), last["keys"], last["hashed"], _rows_gen(last), found)
+
     def create(self, contract: TableContract) -> bool:
         """An empty typed history, unless there is one."""
         if self.exists():
@@ -227,6 +275,8 @@ class HistoryStore:
         """Rows of the run after ``last``; its hashes are used again if they cover the same columns."""
         hashed = h.comparison_columns(new, keys, tracking, exclude)
         options.update(tracking=tracking, exclude=exclude, stored_hash=last["hashed"] == hashed)
+        if self.buckets and not options.get("keys_unique"):
+            new = new.repartition(self.buckets, *keys)  # the partitioning of the join, for the key guard too
         if not self.buckets:
             return h.next_versions(self._read(last, open_only=True), new, keys, ts, **options)
         # Rows without a key would all meet in one bucket; they belong in quarantine.
@@ -243,29 +293,45 @@ class HistoryStore:
         tracking: Sequence[str] | None = None,
         exclude: Sequence[str] = (),
         keys_unique: bool = False,
+        found: Mapping[str, object] | None = None,
         **options,
     ) -> int:
         """Apply a snapshot and return the run's number.
 
-        A time before the last run's, a column of another type, and a repeated key are errors.  Keys
-        are counted once, per key before the shuffle; who has done so already passes ``keys_unique``.
+        A time before the last run's, a column of another type, and a repeated key are errors.  The
+        first load counts keys, per key before the shuffle; later ones find a repeated key within the
+        join.  Who knows that there is none passes ``keys_unique``.
+
+        A snapshot that changes nothing only adds a commit line.  It is known by ``history.fingerprint``,
+        which takes a scan of keys and compared columns; pass its values as ``found`` where they are known.
         """
         last = self.last_commit()
-        self._guard(new, keys, ts, last, keys_unique)
+        self._guard(new, ts, last)
         hashed = h.comparison_columns(new, keys, tracking, exclude)
         if last is None:
+            if not keys_unique:
+                require_unique(new, keys)
             self._commit(h.initial_load(new, keys, ts, tracking, exclude, **options), 1, ts, keys, hashed)
             return 1
         gen = last["gen"] + 1
-        rows = self.next_rows(last, new, keys, ts, tracking, exclude, **options)
+        if options.get("compare", "hash") == "hash" and self._unchanged(last, new, keys, hashed, found):
+            self._commit_unchanged(last, gen, ts)
+            return gen
+        rows = self.next_rows(last, new, keys, ts, tracking, exclude, keys_unique=keys_unique, **options)
         in_buckets = self._same_layout(last, keys)
-        self._commit(rows, gen, ts, keys, hashed, in_buckets)
+        try:
+            self._commit(rows, gen, ts, keys, hashed, in_buckets)
+        except Exception as error:
+            message = re.search(rf"{h.REPEATED}: ([^\n]*)", str(error))
+            if message is None:
+                raise
+            raise RepeatedKey(message[1]) from error
         if in_buckets:
             # The files stay; only the name for reading them in buckets goes.
             self.spark.sql(f"DROP TABLE IF EXISTS {self._open_table(last)}")
         return gen
 
-    def _guard(self, new: DataFrame, keys: list[str], ts: datetime | str, last: Row | None, keys_unique: bool) -> None:
+    def _guard(self, new: DataFrame, ts: datetime | str, last: Row | None) -> None:
         commits = self._commits()
         if commits is not None and not commits.filter(F.col("at") > as_timestamp(ts)).isEmpty():
             raise ValueError(f"a snapshot of {ts} is older than the history at {self.path}")
@@ -278,8 +344,6 @@ class HistoryStore:
             ]
             if changed:
                 raise SchemaMismatch(f"column types changed: {', '.join(changed)}")
-        if not keys_unique:
-            require_unique(new, keys)
 
     def append(self, history: DataFrame, ts: datetime | str, keys: Sequence[str]) -> int:
         """Take over a history built elsewhere, such as a back-fill, as the first run."""

@@ -59,11 +59,10 @@ def latest_snapshot(spark: SparkSession, base: str, table: str) -> DataFrame:
 def all_snapshots(spark: SparkSession, base: str, table: str) -> DataFrame:
     """Every dump, stacked, with the folder's time in ``__snapshot_ts``."""
     try:
-        rows = scan_csv(spark, f"{base.rstrip('/')}/*/{table}.csv")
+        rows = scan_csv(spark, f"{base.rstrip('/')}/*/{table}.csv", file_column="__file")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         raise FileNotFoundError(f"no landing folder with {table}.csv in {base}") from error
-    return rows.select("*", folder_time(F.col("_metadata.file_path"), table).alias(SNAPSHOT_TS)).filter(
-        F.col(SNAPSHOT_TS).isNotNull()
-    )
+    timed = rows.withColumn(SNAPSHOT_TS, folder_time(F.col("__file"), table)).drop("__file")
+    return timed.filter(F.col(SNAPSHOT_TS).isNotNull())
