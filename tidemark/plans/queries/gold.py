@@ -5,17 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ...contracts import ColumnContract, ForeignKey, TableContract
 from ...operators.gold import dedup_first, enrich_lookup, union_by_name
 from ...operators.metrics import (
+    SKETCH_ERROR,
     MetricView,
     Parameter,
     dash_agg,
+    distinct_cells,
+    distinct_rollup,
     kpi_row,
     param_query,
     period_compare,
     time_series,
     time_series_periods,
 )
+from ...operators.star import Table, enrich_star
+from ...scratch import stored
 from .registry import query, table
 
 ORDER_METRICS = MetricView(
@@ -274,3 +280,119 @@ def _union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
         "s_acctbal AS acctbal", "s_name AS name", "s_nationkey AS nationkey"
     )
     return union_by_name(customer, supplier)
+
+
+def _contract(name: str, columns: dict[str, str], pk: str | None = None, fks: dict[str, ForeignKey] | None = None) -> TableContract:
+    fks = fks or {}
+    return TableContract(
+        name, tuple(ColumnContract(c, c, kind, nullable=c != pk, pk=c == pk, fk=fks.get(c)) for c, kind in columns.items())
+    )
+
+
+# Orders with lines around them, customers behind them, and nations and regions behind these.
+STAR = {
+    "orders": _contract(
+        "orders",
+        {"o_orderkey": "bigint", "o_custkey": "bigint", "o_orderstatus": "string"},
+        "o_orderkey",
+        {"o_custkey": ForeignKey("customer", "c_custkey")},
+    ),
+    "lineitem": _contract(
+        "lineitem",
+        {"l_orderkey": "bigint", "l_linenumber": "int", "l_partkey": "bigint", "l_suppkey": "bigint", "l_quantity": "double"},
+        None,
+        {"l_orderkey": ForeignKey("orders", "o_orderkey")},
+    ),
+    "customer": _contract(
+        "customer",
+        {"c_custkey": "bigint", "c_name": "string", "c_nationkey": "int", "c_mktsegment": "string"},
+        "c_custkey",
+        {"c_nationkey": ForeignKey("nation", "n_nationkey")},
+    ),
+    "nation": _contract(
+        "nation",
+        {"n_nationkey": "int", "n_name": "string", "n_regionkey": "int"},
+        "n_nationkey",
+        {"n_regionkey": ForeignKey("region", "r_regionkey")},
+    ),
+    "region": _contract("region", {"r_regionkey": "int", "r_name": "string"}, "r_regionkey"),
+}
+
+
+@query(
+    "enrich_star",
+    """
+    WITH ranked AS (
+      SELECT *, row_number() OVER (
+        PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS nth
+      FROM lineitem),
+    counted AS (
+      SELECT l_orderkey, count(*) AS n, CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS q FROM lineitem GROUP BY 1)
+    SELECT o_orderkey, o_custkey, o_orderstatus, coalesce(n, 0) AS lineitem_n_rows, q AS lineitem_quantity,
+           l_linenumber AS lineitem_l_linenumber, l_partkey AS lineitem_l_partkey,
+           c_name AS customer_c_name, c_nationkey AS customer_c_nationkey, c_mktsegment AS customer_c_mktsegment,
+           n_name AS nation_n_name, n_regionkey AS nation_n_regionkey, r_name AS region_r_name
+    FROM orders LEFT JOIN ranked r ON r.l_orderkey = o_orderkey AND nth = 1
+    LEFT JOIN counted c ON c.l_orderkey = o_orderkey
+    LEFT JOIN customer ON c_custkey = o_custkey
+    LEFT JOIN nation ON n_nationkey = c_nationkey
+    LEFT JOIN region ON r_regionkey = n_regionkey""",
+)
+def _enrich_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = Table(
+        STAR["lineitem"],
+        table(spark, sf_dir, "lineitem"),
+        order_by=["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"],
+        measures={"quantity": "CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE)"},
+        columns=["l_linenumber", "l_partkey"],
+    )
+    codes = [Table(STAR[n], table(spark, sf_dir, n)) for n in ("customer", "nation", "region")]
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return enrich_star(Table(STAR["orders"], orders), [lines, *codes])
+
+
+@query(
+    "metric_distinct_rollup",
+    """
+    SELECT 'MONTH' AS granularity, CAST(date_trunc('month', l_shipdate) AS DATE) AS period, l_returnflag,
+           count(*) AS n_rows, count(DISTINCT l_partkey) AS unique_parts, count(DISTINCT l_orderkey) AS unique_orders,
+           TRUE AS parts_within, TRUE AS orders_within
+    FROM lineitem GROUP BY 2, 3
+    UNION ALL
+    SELECT 'YEAR', CAST(date_trunc('year', l_shipdate) AS DATE), NULL, count(*), count(DISTINCT l_partkey),
+           count(DISTINCT l_orderkey), TRUE, TRUE
+    FROM lineitem GROUP BY 2
+    UNION ALL
+    SELECT 'ALL', NULL, NULL, count(*), count(DISTINCT l_partkey), count(DISTINCT l_orderkey), TRUE, TRUE FROM lineitem""",
+)
+def _metric_distinct_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day cells with sketches, stored, rolled up to months, years and everything, next to the exact counts."""
+    lines = table(spark, sf_dir, "lineitem")
+    columns = ["l_partkey", "l_orderkey"]
+    cells = stored(distinct_cells(lines, "l_shipdate", columns, ["l_returnflag"]), "cells")
+    exact = {"unique_parts": "count(DISTINCT l_partkey)", "unique_orders": "count(DISTINCT l_orderkey)"}
+
+    def level(label: str, period: str | None, by: list[str]) -> DataFrame:
+        rolled = distinct_rollup(cells, columns, period, by)
+        on = ([] if period is None else ["period"]) + by
+        counted = time_series(lines, "l_shipdate", period, exact, by) if period else kpi_row(lines, exact)
+        if on:
+            both = rolled.join(counted, on)
+        else:  # one row on either side
+            both = rolled.withColumns({name: counted.select(name).scalar() for name in exact})
+        for column in ("period", "l_returnflag"):
+            if column not in both.columns:
+                both = both.withColumn(column, F.lit(None).cast("date" if column == "period" else "string"))
+        within = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.ceil(F.col(b) * SKETCH_ERROR)
+        return both.select(
+            F.lit(label).alias("granularity"),
+            "period",
+            "l_returnflag",
+            "n_rows",
+            *exact,
+            within("approx_l_partkey", "unique_parts").alias("parts_within"),
+            within("approx_l_orderkey", "unique_orders").alias("orders_within"),
+        )
+
+    months, years = level("MONTH", "MONTH", ["l_returnflag"]), level("YEAR", "YEAR", [])
+    return union_by_name(months, years, level("ALL", None, []))
