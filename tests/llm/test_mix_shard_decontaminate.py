@@ -43,7 +43,8 @@ def test_mix_takes_about_the_target(spark):
     rows = [(i, " ".join(["w"] * (1 + i % 9)), f"s{i % 5}") for i in range(20000)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     taken = mixing.taken(docs)
-    per = taken.groupBy("target").agg(F.sum("taken").alias("t")).collect()
+    per = taken.join(docs, "doc_id").groupBy("source", "target").agg(F.sum("taken").alias("t")).collect()
+    assert len(per) == 5
     assert all(abs(r["t"] - r["target"]) < 0.02 * r["target"] for r in per)
     assert taken.filter("taken > 2 * size").count() == 0
     assert taken.orderBy("doc_id").collect() == mixing.taken(docs.repartition(7)).orderBy("doc_id").collect()

@@ -137,7 +137,6 @@ def test_scores_of_documents(documents, pairs):
 
 def test_rare_words_are_counted_by_the_join(documents, pairs, monkeypatch):
     monkeypatch.setattr(hmm, "HEAD", 64)
-    monkeypatch.setattr(hmm, "OWN_CLASS", 16)
     check_base(hmm.score(documents, rounds=1), pairs)
 
 
@@ -158,7 +157,7 @@ def test_forward_sums_over_all_paths(monkeypatch):
     model = hmm.Model(np.array([0.2, 0.3, 0.5]), move / move.sum(1, keepdims=True), emit / emit.sum(0))
     sequences = [np.array([0, 1, 2, 3, 1]), np.array([2]), np.array([3, 3, 0])]
     some = hmm._Batch(sequences)
-    got, _, _ = some.forward(model, False)
+    got, _, _ = some.forward(model)
     import itertools
 
     for s, x in zip(sequences, got):
@@ -170,7 +169,7 @@ def test_forward_sums_over_all_paths(monkeypatch):
             total += p
         assert x == pytest.approx(math.log10(total), rel=1e-12)
     # Expected counts against the same sum over paths.
-    starts, moves, emits, _ = some.expected(model, 4)
+    starts, moves, emits, _, _ = some.expected(model, 4)
     want_moves, want_emits, want_starts = np.zeros((3, 3)), np.zeros((4, 3)), np.zeros(3)
     for s in sequences:
         weights = {}
@@ -189,6 +188,64 @@ def test_forward_sums_over_all_paths(monkeypatch):
     assert np.allclose(starts, want_starts) and np.allclose(moves, want_moves) and np.allclose(emits, want_emits)
 
 
+def random_model(draw, states, classes):
+    emit, move, start = draw.random((classes, states)), draw.random((states, states)), draw.random(states)
+    return hmm.Model(start / start.sum(), move / move.sum(1, keepdims=True), emit / emit.sum(0))
+
+
+def test_a_long_text_is_not_cut(monkeypatch):
+    draw = np.random.default_rng(6)
+    model, s = random_model(draw, hmm.STATES, 40), draw.integers(0, 40, 1000)
+    whole = hmm._Batch([s])
+    want, likelihood = whole.expected(model, 40), whole.forward(model)[0][0]
+    for chunk in (1, 7, 100, 999, 1000):
+        monkeypatch.setattr(hmm, "CHUNK_TOKENS", chunk)
+        assert hmm._long_likelihood(model, s) == pytest.approx(likelihood, rel=1e-12)
+        for a, b in zip(hmm._long_expected(model, s, 40), want):
+            assert np.allclose(a, b, rtol=1e-9, atol=1e-12)
+
+
+def test_scores_are_the_likelihood_of_whole_documents(spark, documents, pairs, monkeypatch):
+    """Every document's score from the fitted model, word by word in plain Python."""
+    kept = []
+    fit = hmm.fit
+
+    def keep(encoded, v, rounds):
+        kept.append((fit(encoded, v, rounds), v))
+        return kept[0][0]
+
+    monkeypatch.setattr(hmm, "fit", keep)
+    monkeypatch.setattr(hmm, "HEAD", 500)
+    got = {r["doc_id"]: r["score"] for r in hmm.score(documents, rounds=2).collect()}
+    (model, _), v = kept[0]
+    counts = {}
+    for d, t in pairs:
+        if not fold(d, 1):
+            for w in tokens_of(t):
+                counts[w] = counts.get(w, 0) + 1
+    own = dict(zip(v.words.tolist(), v.classes.tolist()))
+    classes = {}
+    for w in {w for _, t in pairs for w in tokens_of(t)}:
+        if w is None:
+            classes[w] = (own[int(hmm.END)], 1.0)
+            continue
+        found, shared, _, _ = hmm._distinct([w])
+        if int(found[0]) in own:
+            classes[w] = (own[int(found[0])], 1.0)
+        else:
+            c = int(shared[0])
+            classes[w] = (v.n_own + c, (counts.get(w, 0) + 0.5) / (v.shared_tokens[c] + 0.5 * (v.shared_words[c] + 1)))
+    assert 0 < v.share_without_own < 1
+    for d, t in pairs:
+        state, total = model.start, 0.0
+        for k, w in enumerate(tokens_of(t)):
+            c, p = classes[w]
+            state = (state if k == 0 else state @ model.move) * model.emit[c]
+            total += math.log10(state.sum()) + math.log10(p)
+            state = state / state.sum()
+        assert got[d] == pytest.approx(total, rel=1e-9)
+
+
 def test_likelihood_rises_with_every_round(spark, documents):
     counts = documents.select("text").mapInArrow(hmm._count_batches, "word long, shared int, n long")
     counts = counts.groupBy("word").agg(F.min("shared").alias("shared"), F.sum("n").alias("n")).cache()

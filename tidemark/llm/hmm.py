@@ -1,7 +1,7 @@
 """Hidden Markov language model over the words of documents.
 
-Frequent words are classes of their own; all others share classes by their last three bytes.  A
-document is a path through hidden states; each state draws a class, and a shared class draws one of
+The most frequent words, 131,072 of them, are classes of their own; all others share classes by their
+last three bytes.  A document is a path through hidden states; each state draws a class, and a shared class draws one of
 its words by its smoothed count:
 
     P(text) = sum over paths of  start * transitions * P(class | state)  *  product of P(word | class)
@@ -30,9 +30,8 @@ from .words import as_long, chunks, mix, words_of
 
 STATES = 8
 ROUNDS = 6
-# Words whose counts every task holds; the most frequent of them are classes of their own.
+# Words whose counts and emissions every task holds, each a class of its own.
 HEAD = 1 << 17
-OWN_CLASS = 1 << 13
 SHARED = 1 << 11
 # Tokens whose recursions are held at once.
 CHUNK_TOKENS = 1 << 20
@@ -80,7 +79,7 @@ class Vocabulary:
 
     words: np.ndarray  # sorted hashes
     counts: np.ndarray
-    classes: np.ndarray  # -1 where a head word has no class of its own
+    classes: np.ndarray
     n_own: int
     tokens: int
     distinct: int
@@ -91,6 +90,11 @@ class Vocabulary:
     def n_classes(self) -> int:
         return self.n_own + SHARED
 
+    @property
+    def share_without_own(self) -> float:
+        """The share of training tokens whose word has no emissions of its own."""
+        return float(self.shared_tokens.sum() / max(1, self.tokens))
+
 
 def _threshold(histogram: list[tuple[int, int]], most: int) -> int:
     """The least count from which at most ``most`` words are, by the lower ends of count buckets."""
@@ -111,20 +115,18 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
     low = F.expr("shiftleft(shiftright(n, s), s)")
     buckets = counts.select("n", shift.alias("s")).groupBy(low.alias("low")).agg(F.count(F.lit(1)).alias("words"))
     histogram = [(r["low"], r["words"]) for r in buckets.collect()]
-    head_from, own_from = _threshold(histogram, HEAD), _threshold(histogram, OWN_CLASS)
+    head_from = _threshold(histogram, HEAD)
     head = counts.filter((F.col("n") >= head_from) | (F.col("shared") < 0)).select("word", "n", "shared").toPandas()
     order = np.argsort(head["word"].to_numpy().astype(np.int64).view(np.uint64), kind="stable")
     words = head["word"].to_numpy().astype(np.int64).view(np.uint64)[order]
     n = head["n"].to_numpy().astype(np.int64)[order]
-    own = (n >= own_from) | (head["shared"].to_numpy()[order] < 0)
-    classes = np.full(len(words), -1, np.int32)
-    classes[own] = np.arange(int(own.sum()))
-    rest = counts.filter((F.col("n") < own_from) & (F.col("shared") >= 0)).groupBy("shared")
+    classes = np.arange(len(words), dtype=np.int32)
+    rest = counts.filter((F.col("n") < head_from) & (F.col("shared") >= 0)).groupBy("shared")
     rest = rest.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("words")).toPandas()
     shared_tokens, shared_words = np.zeros(SHARED), np.zeros(SHARED)
     shared_tokens[rest["shared"]], shared_words[rest["shared"]] = rest["n"], rest["words"]
     return Vocabulary(
-        words, n, classes, int(own.sum()), int(totals[0] or 0), int(totals[1]), shared_tokens, shared_words
+        words, n, classes, len(words), int(totals[0] or 0), int(totals[1]), shared_tokens, shared_words
     )
 
 
@@ -149,8 +151,8 @@ def _encode_batches(sent):
                 found, shared, which, offsets = _distinct(texts[a:b])
                 at = np.minimum(np.searchsorted(v.words, found), max(0, len(v.words) - 1))
                 in_head = v.words[at] == found if len(v.words) else np.zeros(len(found), bool)
-                own = np.full(len(found), -1) if not len(v.words) else np.where(in_head, v.classes[at], -1)
-                cls = np.where(own >= 0, own, v.n_own + shared).astype("<u2")
+                own = np.where(in_head, v.classes[at], -1) if len(v.words) else np.full(len(found), -1)
+                cls = np.where(own >= 0, own, v.n_own + shared).astype("<u4")
                 logs = np.where(in_head, log_count[at], 0.0) if len(v.words) else np.zeros(len(found))
                 columns: list[list] = [[] for _ in range(7)]
                 for k in range(b - a):
@@ -163,7 +165,7 @@ def _encode_batches(sent):
                     columns[3].append(float(logs[mine].sum()) + (float(log_count[end_at]) if end_at >= 0 else np.log10(0.5)))
                     columns[4].append(as_long(found[rare]))
                     columns[5].append(n.astype(np.int32))
-                    columns[6].append(np.append(cls[mine], end_class).astype("<u2").tobytes())
+                    columns[6].append(np.append(cls[mine], end_class).astype("<u4").tobytes())
                     rid += 1
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -190,64 +192,130 @@ class Model:
     emit: np.ndarray  # classes x STATES
 
 
-def first_model(overall: np.ndarray) -> Model:
+@dataclass
+class Ground:
+    """Half a token for every class, as in the base score: what all states share, and the rest by counts.
+
+    ``P(class | state) = half + seen * (the state's own distribution)``, so a class that training does not
+    show, or shows elsewhere, has in every state what the base score gives a word never seen.
+    """
+
+    half: float
+    seen: float
+    overall: np.ndarray
+
+    @staticmethod
+    def of(counts: np.ndarray) -> Ground:
+        whole, n = counts.sum() + 0.5 * len(counts), counts.sum()
+        return Ground(0.5 / whole, n / whole, counts / n if n else np.full(len(counts), 1 / len(counts)))
+
+    def emissions(self, own: np.ndarray) -> np.ndarray:
+        """From unnormalised distributions of the states, as columns."""
+        return self.half + self.seen * own / own.sum(axis=0)
+
+    def own_share(self, emit: np.ndarray) -> np.ndarray:
+        """The part of each emission that is the state's own; only that is counted for it."""
+        return (emit - self.half) / emit
+
+
+def first_model(ground: Ground) -> Model:
     """States that differ at random, and stay."""
     draw = np.random.default_rng(11)
-    emit = overall[:, None] * (0.25 + 1.5 * draw.random((len(overall), STATES)))
+    own = ground.overall[:, None] * (0.25 + 1.5 * draw.random((len(ground.overall), STATES)))
     move = np.full((STATES, STATES), 0.1 / (STATES - 1))
     np.fill_diagonal(move, 0.9)
-    return Model(np.full(STATES, 1 / STATES), move, emit / emit.sum(axis=0))
+    return Model(np.full(STATES, 1 / STATES), move, ground.emissions(own))
 
 
 class _Batch:
-    """Sequences of about CHUNK_TOKENS, the longest first, read one step of all at a time."""
+    """Sequences laid out by time: the first tokens of all, then the second ones, the longest sequence first.
+
+    Each step of a recursion then works on a slice, whose rows belong to the first rows of the slice before.
+    """
 
     def __init__(self, sequences: list[np.ndarray]) -> None:
         self.order = sorted(range(len(sequences)), key=lambda i: -len(sequences[i]))
-        self.flat = np.concatenate([sequences[i] for i in self.order]).astype(np.int64)
-        self.sizes = np.array([len(sequences[i]) for i in self.order], np.int64)
-        self.begin = np.concatenate(([0], np.cumsum(self.sizes)))[:-1]
-        # Sequences still running at each step.
-        self.running = np.searchsorted(-self.sizes, -np.arange(self.sizes[0]), "left")
-
-    def forward(self, model: Model, keep: bool):
-        """Log10 likelihoods; if asked, the scaled states and scales by token too."""
-        total = np.zeros(len(self.sizes))
-        alpha = scale = None
-        if keep:
-            alpha, scale = np.empty((len(self.flat), STATES)), np.empty(len(self.flat))
-        state = None
-        for t, n in enumerate(self.running):
-            at = self.begin[:n] + t
-            state = model.emit[self.flat[at]] * (model.start if t == 0 else state[:n] @ model.move)
-            size = state.sum(axis=1)
-            state /= size[:, None]
-            total[:n] += np.log10(size)
-            if keep:
-                alpha[at], scale[at] = state, size
-        out = np.empty(len(total))
-        out[self.order] = total
+        sizes = np.array([len(sequences[i]) for i in self.order], np.int64)
+        running = np.searchsorted(-sizes, -np.arange(sizes[0]), "left")
+        offset = np.concatenate(([0], np.cumsum(running)))
+        owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        place = offset[np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)] + owner
+        self.flat, self.owner = np.empty(len(owner), np.int32), np.empty(len(owner), np.int32)
+        self.flat[place] = np.concatenate([sequences[i] for i in self.order])
+        self.owner[place] = owner
+        self.offset, self.n = offset.tolist(), len(sizes)
+
+    def forward(self, model: Model, before: np.ndarray | None = None):
+        """Log10 likelihoods, and the scaled states and scales by token; ``before`` is the state that a text goes on from."""
+        alpha, scale = np.take(model.emit, self.flat, axis=0), np.empty(len(self.flat))
+        at, ones = self.offset, np.ones(STATES)
+        for t in range(len(at) - 1):
+            a, b = at[t], at[t + 1]
+            now = alpha[a:b]
+            if t:
+                last = at[t - 1]
+                now *= alpha[last : last + b - a] @ model.move
+            else:
+                now *= model.start if before is None else before @ model.move
+            size = now @ ones
+            scale[a:b] = size
+            now /= size[:, None]
+        out = np.empty(self.n)
+        out[self.order] = np.bincount(self.owner, np.log10(scale), self.n)
         return out, alpha, scale
 
-    def expected(self, model: Model, n_classes: int):
-        """Expected starts, moves and emissions, and the log10 likelihood."""
-        total, alpha, scale = self.forward(model, True)
-        moves = np.zeros((STATES, STATES))
-        beta = np.ones((len(self.sizes), STATES))
-        gamma = alpha  # becomes the posterior, step by step from the end
-        for t in range(len(self.running) - 1, -1, -1):
-            n = self.running[t]
-            at = self.begin[:n] + t
-            if t + 1 < len(self.running):
-                m = self.running[t + 1]
-                after = self.begin[:m] + t + 1
-                ahead = model.emit[self.flat[after]] * beta[:m] / scale[after][:, None]
-                moves += alpha[at[:m]].T @ ahead
-                beta[:m] = ahead @ model.move.T
-            gamma[at] = alpha[at] * beta[:n]
+    def expected(self, model: Model, n_classes: int, before: np.ndarray | None = None, after: np.ndarray | None = None):
+        """Expected starts, moves and emissions, the log10 likelihood, and what the text before has to know.
+
+        ``after`` is that of the text that goes on after this one.
+        """
+        total, alpha, scale = self.forward(model, before)
+        ahead = np.take(model.emit, self.flat, axis=0)
+        ahead /= scale[:, None]
+        moves, back = np.zeros((STATES, STATES)), np.ascontiguousarray(model.move.T)
+        beta, at = np.ones((self.n, STATES)), self.offset
+        for t in range(len(at) - 2, -1, -1):
+            a, b = at[t], at[t + 1]
+            if t + 2 < len(at):
+                c = at[t + 2]
+                follows = ahead[b:c]
+                moves += alpha[a : a + c - b].T @ follows
+                np.matmul(follows, back, out=beta[: c - b])
+            elif after is not None:
+                moves += alpha[a:b].T @ after
+                beta = after @ back
+            now = beta[: b - a]
+            ahead[a:b] *= now
+            alpha[a:b] *= now  # becomes the posterior
         moves *= model.move
-        emits = np.stack([np.bincount(self.flat, gamma[:, k], n_classes) for k in range(STATES)], 1)
-        return gamma[self.begin].sum(axis=0), moves, emits, total.sum()
+        emits = np.stack([np.bincount(self.flat, alpha[:, k], n_classes) for k in range(STATES)], 1)
+        starts = alpha[: at[1]].sum(axis=0) if before is None else np.zeros(STATES)
+        return starts, moves, emits, total.sum(), ahead[:1].copy()
+
+
+def _parts(sequence: np.ndarray) -> list[np.ndarray]:
+    return [sequence[a : a + CHUNK_TOKENS] for a in range(0, len(sequence), CHUNK_TOKENS)]
+
+
+def _long_likelihood(model: Model, sequence: np.ndarray) -> float:
+    """Of a text longer than a chunk: the state is carried from part to part."""
+    total, before = 0.0, None
+    for part in _parts(sequence):
+        one, alpha, _ = _Batch([part]).forward(model, before)
+        total, before = total + one[0], alpha[-1:].copy()
+    return total
+
+
+def _long_expected(model: Model, sequence: np.ndarray, n_classes: int):
+    """As ``_Batch.expected``, part by part from the end; only states between parts are kept."""
+    parts, states = _parts(sequence), [None]
+    for part in parts[:-1]:
+        states.append(_Batch([part]).forward(model, states[-1])[1][-1:].copy())
+    sums, after = [0.0, 0.0, 0.0, 0.0], None
+    for part, before in zip(reversed(parts), reversed(states)):
+        *found, after = _Batch([part]).expected(model, n_classes, before, after)
+        sums = [a + b for a, b in zip(sums, found)]
+    return sums
 
 
 def _batches(sequences: list[np.ndarray]):
@@ -263,23 +331,29 @@ def _batches(sequences: list[np.ndarray]):
         yield some, _Batch([sequences[j] for j in some])
 
 
+def _sum_names() -> list[str]:
+    return [f"s{k}" for k in range(STATES)]
+
+
 def _expected_batches(sent):
-    """Cells of the table of expected counts of the partition: starts, moves, emissions, likelihood."""
+    """Expected counts of the partition, one row of sums over states a class; after the classes starts, moves, likelihood."""
 
     def run(batches):
         model, n_classes = sent.value
         starts, moves = np.zeros(STATES), np.zeros((STATES, STATES))
         emits, total = np.zeros((n_classes, STATES)), 0.0
         for batch in batches:
-            whole = [np.frombuffer(c, "<u2") for c in batch.column("classes").to_pylist()]
-            # Only here, a sequence longer than a chunk is taken as several.
-            parts = [s[a : a + CHUNK_TOKENS] for s in whole for a in range(0, len(s), CHUNK_TOKENS)]
-            for _, some in _batches(parts):
-                s, m, e, x = some.expected(model, n_classes)
-                starts, moves, emits, total = starts + s, moves + m, emits + e, total + x
-        cells = np.concatenate((starts, moves.ravel(), [total], emits.ravel()))
-        used = np.flatnonzero(cells)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(cells[used])], names=["cell", "value"])
+            whole = [np.frombuffer(c, "<u4") for c in batch.column("classes").to_pylist()]
+            for s in (s for s in whole if len(s) > CHUNK_TOKENS):
+                a, m, e, x = _long_expected(model, s, n_classes)
+                starts, moves, emits, total = starts + a, moves + m, emits + e, total + x
+            for _, some in _batches([s for s in whole if len(s) <= CHUNK_TOKENS]):
+                a, m, e, x, _ = some.expected(model, n_classes)
+                starts, moves, emits, total = starts + a, moves + m, emits + e, total + x
+        table = np.concatenate((emits, [starts], moves, [np.append(total, np.zeros(STATES - 1))]))
+        used = np.flatnonzero(table.any(axis=1))
+        columns = [pa.array(table[used, k]) for k in range(STATES)]
+        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), *columns], names=["class", *_sum_names()])
 
     return run
 
@@ -288,20 +362,20 @@ def fit(encoded: DataFrame, v: Vocabulary, rounds: int = ROUNDS) -> tuple[Model,
     """Baum-Welch over all rows of ``encoded.classes``; the model and the likelihood before each round."""
     context = encoded.sparkSession.sparkContext
     own = np.zeros(v.n_own)
-    own[v.classes[v.classes >= 0]] = v.counts[v.classes >= 0]
-    overall = np.concatenate((own, v.shared_tokens)) + 0.5
-    overall /= overall.sum()
-    model, likelihoods = first_model(overall), []
+    own[v.classes] = v.counts
+    ground = Ground.of(np.concatenate((own, v.shared_tokens)))
+    model, likelihoods = first_model(ground), []
     for _ in range(rounds if v.tokens else 0):
         sent = context.broadcast((model, v.n_classes))
-        cells = encoded.select("classes").mapInArrow(_expected_batches(sent), "cell long, value double")
-        found = cells.groupBy("cell").agg(F.sum("value").alias("value")).toPandas()
-        table = np.zeros(STATES + STATES * STATES + 1 + v.n_classes * STATES)
-        table[found["cell"]] = found["value"]
-        starts, moves = table[:STATES] + 1.0, table[STATES : STATES + STATES**2].reshape(STATES, STATES) + 1.0
-        likelihoods.append(float(table[STATES + STATES**2]))
-        emits = table[STATES + STATES**2 + 1 :].reshape(-1, STATES) + PRIOR * overall[:, None]
-        model = Model(starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True), emits / emits.sum(axis=0))
+        layout = ", ".join(["class int", *[f"{n} double" for n in _sum_names()]])
+        rows = encoded.select("classes").mapInArrow(_expected_batches(sent), layout)
+        found = rows.groupBy("class").agg(*[F.sum(n).alias(n) for n in _sum_names()]).toPandas()
+        table = np.zeros((v.n_classes + 2 + STATES, STATES))
+        table[found["class"]] = found[_sum_names()]
+        starts, moves = table[v.n_classes] + 1.0, table[v.n_classes + 1 : -1] + 1.0
+        likelihoods.append(float(table[-1, 0]))
+        emits = table[: v.n_classes] * ground.own_share(model.emit) + PRIOR * ground.overall[:, None]
+        model = Model(starts / starts.sum(), moves / moves.sum(axis=1, keepdims=True), ground.emissions(emits))
         sent.destroy()
     return model, likelihoods
 
@@ -312,15 +386,20 @@ def _score_batches(sent):
         # What a shared class' word takes besides its own count.
         spread = np.concatenate((np.zeros(v.n_own), np.log10(v.shared_tokens + 0.5 * (v.shared_words + 1))))
         own_log = np.zeros(v.n_classes)
-        own_log[v.classes[v.classes >= 0]] = np.log10(v.counts[v.classes >= 0] + 0.5)
+        own_log[v.classes] = np.log10(v.counts + 0.5)
+        taken = spread + own_log
         for batch in batches:
-            path, minus = np.zeros(len(batch)), np.zeros(len(batch))
-            for places, some in _batches([np.frombuffer(c, "<u2") for c in batch.column("classes").to_pylist()]):
-                likelihood, _, _ = some.forward(model, False)
-                path[places] = likelihood
-                owner = np.repeat(np.arange(len(some.sizes)), some.sizes)
-                value = np.bincount(owner, spread[some.flat] + own_log[some.flat], len(some.sizes))
-                minus[np.array(places)[some.order]] = value
+            path = np.zeros(len(batch))
+            whole = [np.frombuffer(c, "<u4") for c in batch.column("classes").to_pylist()]
+            for k, s in enumerate(whole):
+                if len(s) > CHUNK_TOKENS:
+                    path[k] = _long_likelihood(model, s)
+            short = [k for k, s in enumerate(whole) if len(s) <= CHUNK_TOKENS]
+            for places, some in _batches([whole[k] for k in short]):
+                path[[short[k] for k in places]] = some.forward(model)[0]
+            owner = np.repeat(np.arange(len(whole)), [len(s) for s in whole])
+            flat = np.concatenate(whole) if whole else np.empty(0, np.uint32)
+            minus = np.bincount(owner, taken[flat], len(whole))
             # Words of own classes are certain, so their counts do not take part.
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in ("rid", "doc_id", "held_out", "n_tokens", "n_known", "known_log")], pa.array(path - minus)],
@@ -347,6 +426,9 @@ def score(docs: DataFrame, rounds: int = ROUNDS) -> DataFrame:
     distinct, of the documents that are not held out; ``n_known`` counts tokens with c > 0.
     ``score`` is the model's log10 probability.  NULL text is empty: its one token is the end.
     NULL ids are not held out.  Without training documents every count is 0 and every state equal.
+    Repeated rows count and come as often as they do; an empty table gives no rows; other columns are
+    left out.  Texts are never cut: those longer than a chunk are read part by part, with the states
+    carried over.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", held_out("doc_id").alias("held_out"))

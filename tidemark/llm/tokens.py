@@ -46,7 +46,16 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.special = [s.encode() for s in added if s]
-        self.known: dict[bytes, np.ndarray] = {}
+        # Bytes of each token: those of a byte-level vocabulary have one character a byte.
+        size = self.tokenizer.get_vocab_size()
+        self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(size)], np.int64)
+        self._forget()
+
+    def _forget(self) -> None:
+        """Known pieces: sorted hashes, and where the ids of each lie in one long row."""
+        self.hashes = np.empty(0, np.uint64)
+        self.begin = self.sizes = np.empty(0, np.int64)
+        self.flat = np.empty(0, np.uint32)
 
     @staticmethod
     def at(path: str) -> Encoder:
@@ -62,8 +71,8 @@ class Encoder:
             return []
         return [i for i, t in enumerate(texts) if _WIDE_WHITE.search(t) or any(s in t for s in self.special)]
 
-    def _pieces(self, texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
-        """All texts in a row, where pieces start, and where texts start."""
+    def _pieces(self, texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray, list[int]]:
+        """All texts in a row, where pieces start, where texts start, and texts that are one piece."""
         data = b"".join(texts)
         raw = np.frombuffer(data, np.uint8)
         bounds = np.concatenate(([0], np.cumsum([len(t) for t in texts], dtype=np.int64)))
@@ -72,37 +81,78 @@ class Encoder:
         cut[1:-1] = white[1:] & ~white[:-1]
         cut[1:-1] |= (letter[:-1] & mark[1:]) | (mark[:-1] & letter[1:])
         cut[2:-1] |= (raw[1:-1] == 0x0A) & ~white[:-2] & letter[2:]
-        for i in self._whole(texts):
+        uncut = self._whole(texts)
+        for i in uncut:
             cut[bounds[i] + 1 : bounds[i + 1]] = False
         cut[bounds] = True
-        return data, np.flatnonzero(cut[:-1]), bounds
+        return data, np.flatnonzero(cut[:-1]), bounds, uncut
+
+    def _encode_each(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in a row, and how many each piece has."""
+        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        ids = []
+        for at in range(0, len(pieces), 2000):
+            ids += [e.ids for e in encode([p.decode() for p in pieces[at : at + 2000]], add_special_tokens=False)]
+        sizes = np.array([len(i) for i in ids], np.int64)
+        return np.array([i for some in ids for i in some], np.uint32), sizes
+
+    def _encode_joined(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_encode_each``, for pieces that begin with white space and end with something else.
+
+        The pattern splits between any two of them, so they are encoded as one text, and the lengths
+        of the tokens tell where each ends.  If they do not, each is encoded by itself.
+        """
+        joined = b"".join(pieces)
+        encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
+        ids = np.array(encode([joined.decode()], add_special_tokens=False)[0].ids, np.uint32)
+        reached = np.cumsum(self.bytes_of[ids])
+        ends = np.cumsum([len(p) for p in pieces], dtype=np.int64)
+        last = np.searchsorted(reached, ends)
+        if not len(reached) or reached[-1] != len(joined) or (reached[last] != ends).any():
+            return self._encode_each(pieces)
+        return ids, np.diff(last + 1, prepend=0)
+
+    def _learn(self, raw: np.ndarray, data: bytes, starts: np.ndarray, ends: np.ndarray, hashes: np.ndarray, alone: np.ndarray) -> None:
+        """Encode pieces that are not known yet; ``alone`` marks those that must not be joined with others."""
+        joins = ~alone & (raw[starts] == 0x20) & ~_WHITE[raw[ends - 1]]
+        order = np.concatenate((np.flatnonzero(joins), np.flatnonzero(~joins)))
+        n_joined = int(joins.sum())
+        pieces = [data[a:b] for a, b in zip(starts[order].tolist(), ends[order].tolist())]
+        found = [self._encode_joined(pieces[at : min(at + 4000, n_joined)]) for at in range(0, n_joined, 4000)]
+        if n_joined < len(pieces):
+            found.append(self._encode_each(pieces[n_joined:]))
+        sizes = np.concatenate([n for _, n in found])
+        begin = np.cumsum(sizes) - sizes + len(self.flat)
+        self.flat = np.concatenate([self.flat, *[ids for ids, _ in found]])
+        new = hashes[order]
+        by_hash = np.argsort(new)
+        place = np.searchsorted(self.hashes, new[by_hash])
+        self.hashes = np.insert(self.hashes, place, new[by_hash])
+        self.begin = np.insert(self.begin, place, begin[by_hash])
+        self.sizes = np.insert(self.sizes, place, sizes[by_hash])
 
     def _encode_chunk(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        data, starts, bounds = self._pieces(texts)
+        data, starts, bounds, uncut = self._pieces(texts)
         if not len(starts):
             return np.empty(0, np.uint32), np.zeros(len(texts), np.int64)
+        raw = np.frombuffer(data, np.uint8)
         ends = np.append(starts[1:], len(data))
-        hashes = run_hashes(np.frombuffer(data, np.uint8), starts, ends)
-        _, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = [data[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
-        known = self.known
-        new = [k for k in keys if k not in known]
-        if new:
-            if len(known) + len(new) > REMEMBERED:
-                new, self.known = keys, {}
-                known = self.known
-            encode = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-            for at in range(0, len(new), 2000):
-                some = new[at : at + 2000]
-                found = encode([k.decode() for k in some], add_special_tokens=False)
-                known.update((k, np.array(e.ids, np.uint32)) for k, e in zip(some, found))
-        parts = [known[k] for k in keys]
-        sizes = np.array([len(p) for p in parts], np.int64)
-        flat = np.concatenate(parts) if parts else np.empty(0, np.uint32)
-        begin = np.concatenate(([0], np.cumsum(sizes)))[:-1]
-        size = sizes[which]
+        found, first, which = np.unique(run_hashes(raw, starts, ends), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.hashes, found)
+        new = np.ones(len(found), bool)
+        inside = at < len(self.hashes)
+        new[inside] = self.hashes[at[inside]] != found[inside]
+        if new.any():
+            if len(self.hashes) + int(new.sum()) > REMEMBERED:
+                self._forget()
+                new[:] = True
+            pick = first[new]
+            alone = np.isin(np.searchsorted(bounds, starts[pick], "right") - 1, uncut)
+            self._learn(raw, data, starts[pick], ends[pick], found[new], alone)
+            at = np.searchsorted(self.hashes, found)
+        begin, size = self.begin[at][which], self.sizes[at][which]
         after = np.cumsum(size)
-        ids = flat[np.repeat(begin[which] - (after - size), size) + np.arange(after[-1])]
+        ids = self.flat[np.repeat(begin - (after - size), size) + np.arange(after[-1])]
         total = np.concatenate(([0], after))
         per_text = np.diff(total[np.searchsorted(starts, bounds)])
         return ids, per_text
