@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import stored
+from .workers import free_name
 
 # Everything in ASCII but digits and letters separates words.
 _SEPARATORS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -154,10 +155,16 @@ def hits(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
-    """The documents without a hit, with all their columns; rows that share an id, or have none, are told by their text."""
+    """The documents without a hit, with all their columns.
+
+    Rows that share an id, or have none, are told by their text; repeated rows stay or go together.  NULL
+    and empty texts stay.  An empty benchmark drops nothing, an empty table gives no rows.  Columns
+    may have any names.
+    """
     checked, _ = _checked(docs, benchmark, size)
-    found = checked.filter("n_hit > 0").select(F.col("doc_id").alias("__hit"), F.col("text_key").alias("__key")).distinct()
-    same = F.col("doc_id").eqNullSafe(F.col("__hit")) & (F.xxhash64("text") == F.col("__key"))
+    hit, key = free_name(docs, "__hit"), free_name(docs, "__key")
+    found = checked.filter("n_hit > 0").select(F.col("doc_id").alias(hit), F.col("text_key").alias(key)).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col(hit)) & (F.xxhash64("text") == F.col(key))
     return docs.join(stored(found, "hits"), same, "left_anti")
 
 

@@ -28,6 +28,7 @@ from pyspark.sql import functions as F
 from ..scratch import stored
 from .components import components
 from .words import as_long, chunks, mix, words_of
+from .workers import free_name
 
 REGISTERS = 256
 ROWS = 6
@@ -314,12 +315,17 @@ def near_components(docs: DataFrame, threshold: float = 0.8, width: int = 2) ->
 
 
 def keep_one(docs: DataFrame, threshold: float = 0.8, width: int = 2) -> DataFrame:
-    """The documents that ``near_components`` keeps, with all their columns; of repeated rows one.
+    """The documents that ``near_components`` keeps, with all their columns.
 
-    Rows with empty text or a NULL id stay.
+    Rows with empty text or a NULL id stay.  Rows that share an id stay or go together; of those that
+    stay, rows with the same id and the same text are one document and one of them stays, different
+    texts all stay.  An empty table gives no rows.  Columns may have any names.
     """
     found = near_components(docs, threshold, width)
-    gone = stored(found.filter(~F.col("kept")).select(F.col("doc_id").alias("__gone")).distinct(), "gone")
-    left = docs.join(gone, F.col("doc_id").cast("long") == F.col("__gone"), "left_anti")
+    gone_id, key = free_name(docs, "__gone"), free_name(docs, "__text")
+    gone = stored(found.filter(~F.col("kept")).select(F.col("doc_id").alias(gone_id)).distinct(), "gone")
+    left = docs.join(gone, F.col("doc_id").cast("long") == F.col(gone_id), "left_anti")
     again = left.filter(F.col("doc_id").isNull())
-    return left.filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"]).unionByName(again)
+    # A digest stands for the text, so that no text takes part in the comparison.
+    named = left.filter(F.col("doc_id").isNotNull()).withColumn(key, F.coalesce(F.sha2("text", 256), F.lit("")))
+    return named.dropDuplicates(["doc_id", key]).drop(key).unionByName(again)

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scratch import stored
+from .workers import free_name
 
 WORD = r"[^\x20\x09-\x0D]+"
 # Rates are broadcast up to this many sources; more are joined by shuffle.
@@ -65,10 +66,11 @@ def with_rates(docs: DataFrame, rates: DataFrame) -> DataFrame:
     The rates are few rows, and are broadcast after a check of their number: a source with a third
     of all rows then needs no shuffle.
     """
-    rates = stored(rates.withColumnRenamed("source", "__source"), "rates")
+    other = free_name(docs, "__source")
+    rates = stored(rates.withColumnRenamed("source", other), "rates")
     if rates.count() <= BROADCAST_SOURCES:
         rates = F.broadcast(rates)
-    return docs.join(rates, F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source")
+    return docs.join(rates, F.col("source").eqNullSafe(F.col(other)), "left").drop(other)
 
 
 def taken(docs: DataFrame, seed: int = 0) -> DataFrame:
@@ -88,12 +90,17 @@ def taken(docs: DataFrame, seed: int = 0) -> DataFrame:
 
 
 def mix(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """The rows of ``docs``, each as many times as the mix takes it, with the same columns."""
-    columns = docs.columns
+    """The rows of ``docs``, each as many times as the mix takes it, with the same columns.
+
+    Repeated ids draw alike, each row; a NULL id draws as an empty one, a NULL source is a source of its
+    own, and texts without words are taken as often as their source's rate says.  An empty table
+    gives no rows.  Columns may have any names.
+    """
+    columns, rate, copy = docs.columns, free_name(docs, "__rate"), free_name(docs, "__copy")
     rates = source_rates(docs.select("source", n_words("text").alias("size")))
-    rated = with_rates(docs, rates.select("source", F.col("rate").alias("__rate")))
-    times = F.array_repeat(F.lit(0), copies(F.col("doc_id"), F.col("__rate"), seed).cast("int"))
-    return rated.select(*[F.col(f"`{c}`") for c in columns], F.explode(times).alias("__copy")).drop("__copy")
+    rated = with_rates(docs, rates.select("source", F.col("rate").alias(rate)))
+    times = F.array_repeat(F.lit(0), copies(F.col("doc_id"), F.col(rate), seed).cast("int"))
+    return rated.select(*[F.col(f"`{c}`") for c in columns], F.explode(times).alias(copy)).drop(copy)
 
 
 # The same rows from another engine.

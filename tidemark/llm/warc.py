@@ -116,14 +116,51 @@ def _parse(data: bytes, start: int, offset: int) -> tuple[Record, int]:
     if data[end : end + 4] != b"\r\n\r\n":
         raise Damaged("record does not end where its length says")
     block = data[body:end]
-    if "warc-block-digest" in headers and _sha1(block) != headers["warc-block-digest"]:
+    if "warc-block-digest" in headers and not _digest_holds(headers["warc-block-digest"], block):
         raise Damaged("block digest differs")
     return Record(offset, headers, block.partition(b"\r\n\r\n")[2]), end + 4
 
 
-def _unpacked(data: bytes, at: int) -> tuple[bytes, int]:
+def _digest_holds(label: str, data: bytes) -> bool:
+    """Whether a digest ``algorithm:value``, in base 32 or hexadecimal, is that of the data; unknown algorithms hold."""
+    name, _, value = label.partition(":")
+    name = name.strip().lower().replace("-", "")
+    if name not in ("md5", "sha1", "sha256", "sha384", "sha512"):
+        return True
+    found = hashlib.new(name, data)
+    packed = base64.b32encode(found.digest()).decode().lower()
+    return value.strip().lower().rstrip("=") in (found.hexdigest(), packed.rstrip("="))
+
+
+def sha1_hex(label: str | None) -> str | None:
+    """The hexadecimal form of a SHA-1 label in base 32 or hexadecimal; None for anything else."""
+    name, _, value = (label or "").partition(":")
+    value = value.strip()
+    if name.strip().lower().replace("-", "") != "sha1":
+        return None
+    if re.fullmatch(r"[0-9a-fA-F]{40}", value):
+        return value.lower()
+    return base64.b32decode(value.upper()).hex() if re.fullmatch(r"[A-Za-z2-7]{32}", value) else None
+
+
+def _records_in(text: bytes, offset: int) -> tuple[list[Record], str]:
+    """Records of an unpacked member in turn, going on at the next version line after damage; and what was damaged."""
+    found, at, reason = [], 0, ""
+    while at < len(text):
+        try:
+            one, at = _parse(text, at, offset)
+            found.append(one)
+        except Damaged as damage:
+            reason = reason or str(damage)
+            match = _VERSION_LINE.search(text, at + 1)
+            at = match.start() if match else len(text)
+    return found, reason
+
+
+def _unpacked(data: bytes, at: int) -> tuple[bytes, int, str]:
+    """What the gzip member at ``at`` unpacks to, where it ends, and what was wrong with it."""
     if data[at : at + 3] != _MEMBER:
-        raise Damaged("no gzip member")
+        return b"", at, "no gzip member"
     unpacker = zlib.decompressobj(31)
     parts, view = [], memoryview(data)
     try:
@@ -132,33 +169,46 @@ def _unpacked(data: bytes, at: int) -> tuple[bytes, int]:
             parts.append(unpacker.decompress(view[at : at + 65536]))
             at += min(65536, len(data) - at)
     except zlib.error as error:
-        raise Damaged(f"gzip: {error}") from None
+        return b"".join(parts), at, f"gzip: {error}"
     if not unpacker.eof:
-        raise Damaged("gzip member without end")
-    return b"".join(parts), at - len(unpacker.unused_data)
+        return b"".join(parts), at, "gzip member without end"
+    return b"".join(parts), at - len(unpacker.unused_data), ""
 
 
-def salvage(data: bytes) -> Iterator[Record | Gap]:
-    """Every record that passes its checks, in order, and every gap of bytes that belongs to none."""
-    packed = data[:2] == _MEMBER[:2] or (not _VERSION_LINE.match(data) and _MEMBER in data)
+def _salvage_packed(data: bytes) -> Iterator[Record | Gap]:
+    at, gap, reason = 0, None, ""
+    while at < len(data):
+        text, after, broken = _unpacked(data, at)
+        found, inside = _records_in(text, at)
+        if found and gap is not None:
+            yield Gap(gap, at - gap, reason)
+            gap = None
+        yield from found
+        if not broken and (found or not text) and not inside:
+            at = after
+            continue
+        if gap is None:
+            gap, reason = at, broken or inside
+        if found and not broken:  # the member's damage ends where it ends
+            yield Gap(gap, after - gap, reason)
+            gap, at = None, after
+            continue
+        following = data.find(_MEMBER, at + 1)
+        at = len(data) if following < 0 else following
+    if gap is not None:
+        yield Gap(gap, len(data) - gap, reason)
+
+
+def _salvage_plain(data: bytes) -> Iterator[Record | Gap]:
     at, gap, reason = 0, None, ""
     while at < len(data):
         try:
-            if packed:
-                text, after = _unpacked(data, at)
-                found, end = _parse(text, 0, at)
-                if end != len(text):
-                    raise Damaged("member holds more than its record")
-            else:
-                found, after = _parse(data, at, at)
+            found, after = _parse(data, at, at)
         except Damaged as damage:
             if gap is None:
                 gap, reason = at, str(damage)
-            following = data.find(_MEMBER, at + 1) if packed else -1
-            if not packed:
-                match = _VERSION_LINE.search(data, at + 1)
-                following = match.start() if match else -1
-            at = len(data) if following < 0 else following
+            match = _VERSION_LINE.search(data, at + 1)
+            at = match.start() if match else len(data)
             continue
         if gap is not None:
             yield Gap(gap, at - gap, reason)
@@ -169,6 +219,16 @@ def salvage(data: bytes) -> Iterator[Record | Gap]:
         yield Gap(gap, len(data) - gap, reason)
 
 
+def salvage(data: bytes) -> Iterator[Record | Gap]:
+    """Every record that passes its checks, in order, and every gap of bytes that belongs to none.
+
+    A gzip member may hold several records, and one that is damaged or cut off still gives those that
+    it unpacks to; the gap is then the whole member.
+    """
+    packed = data[:2] == _MEMBER[:2] or (not _VERSION_LINE.match(data) and _MEMBER in data)
+    return _salvage_packed(data) if packed else _salvage_plain(data)
+
+
 def _writer(folder: str):
     def run(batches):
         system, path = file_system(folder)
@@ -247,7 +307,7 @@ def _reader(folder: str, payloads: bool):
         kind = h.get("warc-type")
         number = lambda key: int(h[key]) if h.get(key, "").lstrip("-").isdigit() else None
         if kind == "revisit":
-            digest, size = base64.b32decode(h["warc-payload-digest"].split(":")[1]).hex(), number("x-payload-length")
+            digest, size = sha1_hex(h.get("warc-payload-digest")), number("x-payload-length")
         else:
             digest, size = hashlib.sha1(item.payload).hexdigest(), len(item.payload)
         kept = item.payload if payloads else None
@@ -292,8 +352,15 @@ def read(files: DataFrame, folder: str, payloads: bool = False) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, revisit_from: int = REVISIT_FROM) -> DataFrame:
-    """Write the pages, read the archives back: ``page_id, payload_bytes, payload_digest, record_type, refers_to``."""
+    """Write the pages, read the archives back: ``page_id, payload_bytes, payload_digest, record_type, refers_to``.
+
+    Every row gives a row.  NULL html is an empty payload; NULL ids and urls are allowed; repeated rows
+    come as often as they do; an empty table gives no rows; payloads of any length are taken whole;
+    other columns are left out.  A file that cannot be read in full is an error, which names the gap.
+    """
     folder = new_folder(pages.sparkSession, "warc")
     files = write(pages, folder, revisit_from)
-    found = read(files, folder).filter(F.col("gap_bytes").isNull())
+    told = F.concat_ws(" ", F.lit("damaged archive"), "file", F.lit("at"), "offset", F.lit("bytes"), "gap_bytes", F.lit(":"), "gap_reason")
+    damaged = F.raise_error(told).cast("boolean")
+    found = read(files, folder).filter(F.when(F.col("gap_bytes").isNull(), True).otherwise(damaged))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

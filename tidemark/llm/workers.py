@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROOT = str(Path(__file__).resolve().parents[2])
 
@@ -20,3 +20,11 @@ def reach(spark: SparkSession) -> SparkSession:
     if ROOT not in have:
         environment["PYTHONPATH"] = os.pathsep.join([ROOT, *have])
     return spark
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, or one like it that no column of the frame has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
