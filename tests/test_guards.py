@@ -174,7 +174,7 @@ def test_overlapping_versions_are_found(spark):
 def test_the_store_refuses_what_would_break_it(spark):
     store = HistoryStore(spark, new_folder(spark, "history"))
     store.merge(frame(spark, [(1, "a")]), ["k"], "2024-01-01")
-    with pytest.raises(q.RepeatedKey, match="2 rows share the key k=1"):
+    with pytest.raises(q.RepeatedKey, match="rows share the key k=1$"):
         store.merge(frame(spark, [(1, "b"), (1, "c")]), ["k"], "2024-02-01")
     with pytest.raises(ValueError, match="older than the history"):
         store.merge(frame(spark, [(1, "b")]), ["k"], "2023-01-01")
@@ -193,7 +193,8 @@ def test_every_superseded_run_is_freed(spark):
     store = HistoryStore(spark, path)
     store.merge(frame(spark, [(1, "a"), (2, "b4")]), ["k"], "2024-01-05")
     held = spark.read.option("basePath", f"{path}/rows").parquet(f"{path}/rows/gen=*/{h.CURRENT}=true")
-    assert rows(held.select("gen").distinct()) == [(4,), (5,)]
+    # The last dump changes nothing, so its run refers to the rows of the one before.
+    assert rows(held.select("gen").distinct()) == [(4,)]
     assert rows(store.read_all(), "k", "v", h.VERSION) == before
 
 

@@ -210,11 +210,10 @@ def test_an_unchanged_snapshot_writes_no_rows(spark, tmp_path, buckets):
     a, b = [(1, "a", 1), (2, "b", None)], [(1, "a", 1), (2, "b", 5), (3, "c", 1)]
     times = [T1, T2, T3, T4, "2024-05-01", "2024-06-01", "2024-07-01", "2024-08-01"]
     for i, data in enumerate([a, a, a, b, b, a, a, b]):
-        before = files(store.path)
         new = things(spark, data).repartition(i + 1)
         assert store.merge(new, ["id"], times[i], processed_time=T1) == i + 1
         if i in (1, 2, 4, 6):
-            assert files(store.path) == before
+            assert not [p for p in files(store.path) if f"/gen={i + 1}/" in p]
         history = h.apply_snapshot(history, new, ["id"], times[i], processed_time=T1)
         history = stored(history, "history")
         assert rows(store.read_all()) == rows(history) and rows(store.read_open()) == rows(history.filter(h.CURRENT))

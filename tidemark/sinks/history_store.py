@@ -216,6 +216,10 @@ class HistoryStore:
         else:
             rows.write.mode("overwrite").partitionBy(h.CURRENT).parquet(folder)
         self._add_commit(gen, as_timestamp(ts), keys, hashed, found=counted.get)
+        self._free_before(gen)
+
+    def _free_before(self, gen: int) -> None:
+        """Give up open rows that none of the last ``keep`` runs up to ``gen`` refers to."""
         if self.keep is not None and gen > self.keep:
             kept = self._commits().filter(F.col("gen") > gen - self.keep)
             self._empty_open_rows(kept.agg(F.min(F.coalesce("rows_gen", "gen"))).first()[0] - 1)
@@ -247,6 +251,7 @@ class HistoryStore:
                 self.spark.createDataFrame([], left).write.mode("overwrite").parquet(f"{folder}/{h.CURRENT}={flag}")
         found = {n: last[n] for n in _PRINT_NAMES}
         self._add_commit(gen, as_timestamp(ts), last["keys"], last["hashed"], _rows_gen(last), found)
+        self._free_before(gen)
 
     def create(self, contract: TableContract) -> bool:
         """An empty typed history, unless there is one."""
@@ -275,13 +280,13 @@ class HistoryStore:
         """Rows of the run after ``last``; its hashes are used again if they cover the same columns."""
         hashed = h.comparison_columns(new, keys, tracking, exclude)
         options.update(tracking=tracking, exclude=exclude, stored_hash=last["hashed"] == hashed)
-        if self.buckets and not options.get("keys_unique"):
-            new = new.repartition(self.buckets, *keys)  # the partitioning of the join, for the key guard too
         if not self.buckets:
             return h.next_versions(self._read(last, open_only=True), new, keys, ts, **options)
         # Rows without a key would all meet in one bucket; they belong in quarantine.
         missing = F.raise_error(F.lit(f"a bucketed history needs complete keys: {', '.join(keys)}"))
         new = new.withColumns({k: F.coalesce(F.col(k), missing.cast(new.schema[k].dataType)) for k in keys})
+        if not options.get("keys_unique"):
+            new = new.repartition(self.buckets, *keys)  # the partitioning of the join, for the key guard too
         old = self._read_open_bucketed(last) if self._same_layout(last, keys) else self._read(last, open_only=True)
         return h.next_versions(old, new, keys, ts, complete_keys=True, **options)
 
@@ -322,7 +327,7 @@ class HistoryStore:
         try:
             self._commit(rows, gen, ts, keys, hashed, in_buckets)
         except Exception as error:
-            message = re.search(rf"{h.REPEATED}: ([^\n]*)", str(error))
+            message = re.search(rf"{h.REPEATED}: (.*?)(?: SQLSTATE|\n|$)", str(error))
             if message is None:
                 raise
             raise RepeatedKey(message[1]) from error
