@@ -5,7 +5,6 @@ from pathlib import Path
 
 import pytest
 from conftest import rows
-from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tidemark.contracts import ColumnContract, SchemaMismatch, TableContract
@@ -17,7 +16,7 @@ from tidemark.sinks.history_store import HistoryStore
 from tidemark.sinks.tables import create_if_missing, save_quarantine, save_table
 from tidemark.sources.files import scan_csv, scan_parquet
 from tidemark.sources.landing import all_snapshots, latest_snapshot, latest_snapshot_path, list_snapshots
-from tidemark.streaming.history_stream import start_history_stream
+from tidemark.streaming.history_stream import late_folders, start_history_stream
 
 T1, T2, T3 = "2024-01-01", "2024-02-01", "2024-03-01"
 
@@ -285,8 +284,12 @@ def test_stream_restarts_and_refuses_late_folders(spark, tmp_path):
     assert store.last_commit()["gen"] == 3
     assert rows(scan_parquet(spark, f"{layers.quarantine}/2024-01-01T9-0"), "plate") == [("B",)]
     land(base, "2024-02-01T0-0", ["A,Audi,4,00"])
-    with pytest.raises(StreamingQueryException, match="older than the history"):
-        run()
+    land(base, "2024-04-01T0-0", ["C,Citroen,4,07"])
+    run()
+    # The late folder is set aside; the one after it is taken.
+    assert store.last_commit()["gen"] == 4 and store.has_commit("2024-04-01")
+    late = spark.read.parquet(f"{late_folders(layers)}/*")
+    assert rows(late) == [("2024-02-01T0-0", "2024-02-01 00:00:00")]
 
 
 @pytest.mark.parametrize("seed", [11])

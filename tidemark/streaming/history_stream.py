@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +18,11 @@ from ..sources.landing import SNAPSHOT_TS, folder_time
 _FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
+def late_folders(layers: Layers) -> str:
+    """Where the stream lists folders that came after a later one; read ``<this>/*``."""
+    return f"{layers.quarantine}_late"
+
+
 def start_history_stream(
     spark: SparkSession,
     contract: TableContract,
@@ -27,14 +32,18 @@ def start_history_stream(
     checks: Sequence[quality.Check] = (),
     processed_time: str | None = None,
     buckets: int | None = None,
+    parents: Mapping[str, DataFrame] | None = None,
 ) -> StreamingQuery:
     """Take every landing folder that is not in the history yet, in time order, then stop.
 
     The stream follows file names only; a folder is then taken as a whole by the bronze and
     silver jobs, because half a dump would look like deletions.  A dump must therefore land
     complete, by renaming its folder into place.  A batch that is tried again after a failure
-    skips the folders already committed.  Rejected rows are kept per folder.  A folder older
-    than the history is an error: rebuild with ``history.replay``.
+    skips the folders already committed.  Rejected rows are kept per folder, and so are the numbers
+    of rows without a parent, of the ``parents`` given, in ``<quarantine>_orphans``.
+
+    A folder older than the history is set aside: its name and time go to ``late_folders``, and later
+    folders are taken as usual.  ``history.replay`` over all folders builds a history that holds it.
     """
     files = spark.readStream.format("binaryFile").schema(_FILE).load(f"{landing}/*/{contract.name}.csv")
     folder = F.regexp_extract("path", rf"/([^/]+)/{re.escape(contract.name)}\.csv(/.*)?$", 1)
@@ -49,11 +58,16 @@ def start_history_stream(
                 continue
             last = store.last_commit()
             if last is not None and last["at"] is not None and ts < last["at"]:
-                raise ValueError(f"{name} is older than the history")
+                line = session.createDataFrame([(name, str(ts))], "folder string, at string")
+                # Each under its own name, so that a batch that is tried again lists it once.
+                line.write.mode("overwrite").parquet(f"{late_folders(layers)}/{name}")
+                continue
             job_bronze(session, contract, landing, layers, name)
-            job_silver(
-                session, contract, checks, layers, ts, processed_time, buckets, f"{layers.quarantine}/{name}"
-            )
+            rejected = f"{layers.quarantine}/{name}"
+            found = job_silver(session, contract, checks, layers, ts, processed_time, buckets, rejected, parents)
+            if found.n_orphans:
+                told = session.createDataFrame(list(found.n_orphans.items()), "column string, n_rows long")
+                told.write.mode("overwrite").parquet(f"{layers.quarantine}_orphans/{name}")
 
     return (
         landed.writeStream.foreachBatch(take_folders)
