@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ...operators import explore as e
 from ...operators import filter_state as fs
+from ...scratch import new_folder
+from ...sinks.tables import save_for_lookup
 from .registry import query, table
 
 PART_FILTER = e.FilterSpec(
@@ -146,6 +150,24 @@ def _key_lookup_single(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.key_lookup(customer, "key", " customer-#0000 00042")
 
 
+@query(
+    "key_lookup_clustered",
+    """
+    SELECT 'N' || o_orderkey AS key, o_orderstatus, o_totalprice FROM orders
+    WHERE EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey AND l_quantity >= 49)""",
+)
+def _key_lookup_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of large lines, looked up by typed-in keys in a table laid out by key."""
+    name = f"tidemark_lookup_{uuid.uuid4().hex}"
+    gold = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("N"), "o_orderkey").alias("key"), "o_orderstatus", "o_totalprice"
+    )
+    save_for_lookup(gold, name, "key", 8, new_folder(spark, "lookup"))
+    large = table(spark, sf_dir, "lineitem").filter("l_quantity >= 49")
+    typed_in = large.select(F.concat(F.lit(" n-"), "l_orderkey", F.lit(" ")).alias("typed_in"))
+    return e.key_lookup(spark.read.table(name), "key", typed_in)
+
+
 @query("limit_rows", "SELECT event_id, user_id, event_type FROM events ORDER BY event_id DESC LIMIT 5000")
 def _limit_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")

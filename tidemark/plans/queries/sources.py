@@ -13,6 +13,7 @@ from ...operators.gold import transform_gold
 from ...operators.quality import in_list, split
 from ...operators.typing import apply_contract, normalize_columns
 from ...scratch import new_folder
+from ...sinks.evolved import read_evolved, save_evolved
 from ...sinks.history_store import HistoryStore
 from ...sinks.tables import save_current_and_history, save_gold, save_named_table, save_quarantine, save_table
 from ...sources.files import BAD_LINE, load_limited, scan_parquet, scan_table, split_csv
@@ -146,6 +147,41 @@ def _save_named_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_table(spark, name).withColumn("commented", F.lit(",".join(commented)))
 
 
+@query(
+    "save_evolved",
+    """
+    SELECT o_orderkey,
+           CASE WHEN o_orderstatus IN ('F', 'O') THEN o_orderstatus END AS o_orderstatus,
+           strftime(CASE o_orderstatus WHEN 'F' THEN CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP)
+                                       WHEN 'O' THEN o_orderdate END, '%Y-%m-%d %H:%M') AS placed,
+           CAST(year(o_orderdate) AS BIGINT) AS placed_year,
+           CASE WHEN o_orderstatus = 'O' THEN o_orderpriority END AS o_orderpriority,
+           CASE WHEN o_orderstatus IN ('F', 'O') THEN NULL ELSE o_totalprice END AS o_totalprice
+    FROM orders""",
+)
+def _save_evolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finished orders first; open ones bring a column and wider types, the rest another column and lack two."""
+    path = new_folder(spark, "evolved")
+    orders = table(spark, sf_dir, "orders")
+    status, placed, year = F.col("o_orderstatus"), F.col("o_orderdate"), F.year("o_orderdate")
+    finished, opened = status.eqNullSafe("F"), status.eqNullSafe("O")
+    save_evolved(
+        orders.filter(finished).select(
+            "o_orderkey", status, placed.cast("date").alias("placed"), year.cast("short").alias("placed_year")
+        ),
+        path,
+    )
+    wide = year.cast("bigint").alias("placed_year")
+    save_evolved(
+        orders.filter(opened).select(
+            "o_orderpriority", wide, placed.cast("timestamp_ntz").alias("placed"), status, "o_orderkey"
+        ),
+        path,
+    )
+    save_evolved(orders.filter(~finished & ~opened).select("o_totalprice", "o_orderkey", year.alias("placed_year")), path)
+    return read_evolved(spark, path).withColumn("placed", F.date_format("placed", "yyyy-MM-dd HH:mm"))
+
+
 @query("append_history", f"WITH {STEP_SQL} SELECT {HISTORY_SQL} FROM step_2 WHERE NOT is_current")
 def _append_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = HistoryStore(spark, new_folder(spark, "history"))

@@ -57,6 +57,21 @@ def save_named_table(
         apply_comments(df.sparkSession, contract, name)
 
 
+def save_for_lookup(df: DataFrame, name: str, key: str, buckets: int, path: str | None = None) -> None:
+    """Write a table of the catalog laid out for look-ups by ``key`` (``explore.key_lookup``).
+
+    Rows go by the key's hash into ``buckets`` files, in key order within each.  A look-up of one key
+    lists and opens its one file alone, and there the row groups whose range and Bloom filter admit the
+    key; a join by the key moves only the other side.  Choose ``buckets`` for files of some hundred MB.
+    The key is to be unique or nearly so: rows of one key share a file, as do those without one.
+    """
+    dealt = df.repartition(buckets, key).sortWithinPartitions(key)
+    writer = dealt.write.format("parquet").mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    # Parquet leaves the filter out where a dictionary holds the column, which serves no unique key.
+    writer = writer.option(f"parquet.bloom.filter.enabled#{key}", "true").option(f"parquet.enable.dictionary#{key}", "false")
+    writer.saveAsTable(name, path=path)
+
+
 def declare_table(spark: SparkSession, contract: TableContract, path: str, name: str) -> None:
     """Give the table at ``path`` a name in the catalog, with its comments; dropping it leaves the files."""
     if not spark.catalog.tableExists(name):
