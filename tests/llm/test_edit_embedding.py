@@ -4,6 +4,7 @@ import hashlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import edit_embedding as ee
 
@@ -82,6 +83,15 @@ def test_edge_cases(make, empty_docs):
     assert ee.compare_with_next(make([(1, "same"), (1, "same")])).count() == 2
 
 
+def test_rows_of_one_id_spread_over_tasks(make, spark):
+    rows = [(7, f"text {i} of an id that many rows have") for i in range(400)] + [(9, "last"), (None, "first")]
+    found = ee.compare_with_next(make(rows).repartition(4))
+    ordered = make(rows).withColumn("h", F.xxhash64("text")).orderBy("doc_id", "h").collect()
+    texts = [r["text"] for r in ordered]
+    changed = [hashlib.sha256(ee.edited(t, u).encode()).hexdigest() for t, u in zip(texts, texts[1:] + texts[:1])]
+    assert sorted(r["edited_sha256"] for r in found.collect()) == sorted(changed)
+
+
 def slow_distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a):
@@ -102,30 +112,73 @@ def test_edit_distance(seed):
     assert true == 0 or ee.edit_distance(a, b, true - 1) is None
 
 
+def true_pairs(rows, share):
+    """Every two different texts within the share, the least id of equal texts standing for them."""
+    first = {}
+    for d, t in sorted(rows, key=lambda r: r[0]):
+        first.setdefault(t or "", d)
+    first.pop("", None)
+    out = {}
+    for a, x in first.items():
+        for b, y in first.items():
+            edits = ee.edit_distance(a, b, int(share * max(len(a), len(b)))) if x < y else None
+            if edits is not None:
+                out[x, y] = edits
+    return out
+
+
 def test_near_pairs_are_verified(make, empty_docs):
     base = text(800, 1)
     rows = [(1, base), (2, edit(base, 5, 2)), (3, base), (4, edit(base, 8, 3)), (5, text(800, 9)), (6, None), (7, ""), (8, base[:400] + text(400, 4))]
+    rows += [(10, "short text of but a few more than fifty characters or so"), (11, "short texts of but a few more than fifty characters or so")]
     found = {(r["a"], r["b"]): r["edits"] for r in ee.near_pairs(make(rows)).collect()}
-    assert {(1, 2), (1, 4)} <= set(found) <= {(1, 2), (1, 4), (2, 4)}
+    assert found == true_pairs(rows, 0.02) and {(1, 2), (1, 4), (2, 4), (10, 11)} == set(found)
     assert found[1, 2] == slow_distance(base, rows[1][1])
-    assert ee.near_pairs(empty_docs).count() == 0
+    assert ee.near_pairs(empty_docs).count() == 0 and ee.near_classes(empty_docs).count() == 0
+    classes = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in ee.near_classes(make(rows)).collect()}
+    assert classes == {
+        1: (1, 2), 2: (1, 2), 3: (1, 2), 4: (1, 2), 5: (5, 0), 6: (6, 0), 7: (7, 0), 8: (8, 0), 10: (10, 1), 11: (10, 1)
+    }
 
 
 def test_near_pairs_do_not_need_the_least_of_a_bucket(make):
     template = text(900, 3)
-    rows = [(1, template[:450] + text(450, 40)), (2, template), (3, edit(template, 30, 5)), (4, edit(template, 30, 6)), (5, template)]
-    rows += [(10, "short text of a few"), (11, "short texts of a few"), (12, "sort text of few")]
+    rows = [(1, template[:450] + text(450, 40)), (2, template), (3, edit(template, 8, 5)), (4, edit(template, 8, 6)), (5, template)]
+    found = {(r["a"], r["b"]): r["edits"] for r in ee.near_pairs(make(rows)).collect()}
+    assert set(found) == {(2, 3), (2, 4), (3, 4)} and found == true_pairs(rows, 0.02)
+    assert {tuple(r) for r in ee.copies(make(rows)).collect()} >= {(2, 2), (5, 2)}
+
+
+def test_a_group_of_several_blocks_loses_no_pair(make, monkeypatch):
+    monkeypatch.setattr(ee, "BLOCK", 4)
+    template = text(400, 3)
+    rows = [(i, edit(template, 3, i)) for i in range(24)] + [(100, template), (101, template)]
     found = {(r["a"], r["b"]): r["edits"] for r in ee.near_pairs(make(rows)).collect()}
-    assert {(2, 3), (2, 4), (3, 4), (10, 11), (10, 12)} <= set(found) and (1, 2) not in found
-    assert found[3, 4] == slow_distance(rows[2][1], rows[3][1])
-    assert {tuple(r) for r in ee.copies(make(rows)).collect()} >= {(2, 2), (5, 2), (10, 10)}
+    assert found == true_pairs(rows, 0.02) and len(found) > 250
+
+
+def spread(t, n):
+    """``n`` characters replaced at even distances."""
+    t = list(t)
+    for k in range(n):
+        t[(2 * k + 1) * len(t) // (2 * n)] = "Z"
+    return "".join(t)
 
 
 def test_near_pairs_recall_at_the_default_share(make):
     rows = []
     for k in range(60):
-        base = text(600, 500 + k)
-        rows += [(2 * k, base), (2 * k + 1, edit(base, 118, 900 + k))]
+        n = (120, 600, 1500)[k % 3]
+        base = text(n, 500 + k)
+        other = spread(base, n // 50) if k % 2 else edit(base, n // 50, 900 + k)
+        rows += [(2 * k, base), (2 * k + 1, other)]
     found = {(r["a"], r["b"]) for r in ee.near_pairs(make(rows)).collect()}
-    true = {(2 * k, 2 * k + 1) for k in range(60) if ee.edit_distance(rows[2 * k][1], rows[2 * k + 1][1], 120) is not None}
+    true = set(true_pairs(rows, 0.02))
     assert found <= true and len(true) > 50 and len(found) >= 0.95 * len(true)
+
+
+def test_bands_are_samples_of_the_walks():
+    texts = [text(n, n) for n in (3, 90, 700)]
+    seen = ee.samples(texts)
+    assert ((seen & np.uint64(15)).astype(np.uint8) == ee.fingerprints(texts)).all()
+    assert ee.BANDS * ee.BAND == ee.WALKS * ee.SLOTS and ee.BANDS & (ee.BANDS - 1) == 0

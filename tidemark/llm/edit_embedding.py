@@ -11,10 +11,8 @@ walk whatever the length is, and two texts of like length sample the same steps.
 characters seen from there on it keeps four bits, one hexadecimal digit.  The likeness of two
 fingerprints is the share of equal slots, corrected for equality by chance.
 
-``near_pairs`` has samples of its own, of ``GRAM`` characters wherever they stand: at a fifth of the
-characters edited walks are hardly ever in step, and eight characters in a row are seldom whole.  All
-members of a band's bucket are held against each other, and what is alike is verified by its true
-edit distance.  Short texts are held against all others of like length.
+``near_pairs`` takes its bands from the same walks: two slots of one walk, with all bits of what they
+saw, are a band.  Members of a band's bucket are verified by their true edit distance, each pair once.
 """
 
 from __future__ import annotations
@@ -29,13 +27,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scratch import stored
+from .components import components
 from .words import mix
 
 WALKS, SLOTS = 4, 32
-# Of near_pairs: characters a sample, bands, samples a band.
-GRAM, BANDS, BAND = 6, 240, 2
-# Texts up to this length are compared without bands.
-SHORT = 200
+# Of near_pairs: slots a band, and bands.
+BAND = 2
+BANDS = WALKS * SLOTS // BAND
 # Members of a bucket that one task holds against as many others, on average.
 BLOCK = 96
 SEEN = 8  # characters a slot samples
@@ -78,9 +76,9 @@ def _moves(block: int) -> np.ndarray:
     return bits
 
 
-def fingerprints(texts: list[str]) -> np.ndarray:
-    """One row of ``WALKS * SLOTS`` values from 0 to 15 per text; all 0 for an empty text."""
-    out = np.zeros((len(texts), WALKS * SLOTS), np.uint8)
+def samples(texts: list[str]) -> np.ndarray:
+    """One row per text: what each of ``WALKS * SLOTS`` slots saw, as 64 bits; all 0 for an empty text."""
+    out = np.zeros((len(texts), WALKS * SLOTS), np.uint64)
     if not texts:
         return out
     order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
@@ -110,11 +108,16 @@ def fingerprints(texts: list[str]) -> np.ndarray:
                     seen = np.zeros(len(here), np.uint64)
                     for k in range(SEEN):
                         seen = seen << np.uint64(8) | flat[here + k]
-                    out[row[still], slot] = (mix(seen + np.uint64(slot)) & np.uint64(15)).astype(np.uint8)
+                    out[row[still], slot] = mix(seen + np.uint64(slot))
             at += moves[s][flat[at] + shift]
         block += 1
 
 
+def fingerprints(texts: list[str]) -> np.ndarray:
+    """One row of ``WALKS * SLOTS`` values from 0 to 15 per text: four bits of each sample; all 0 for an empty text."""
+    return (samples(texts) & np.uint64(15)).astype(np.uint8)
+
+
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Share of equal slots of each row, corrected for chance; 1 for equal rows, 0 at least."""
     same = (a == b).mean(axis=-1)
@@ -230,7 +233,9 @@ def compare_with_next(docs: DataFrame) -> DataFrame:
     they are matched afterwards.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    ranged = docs.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # By the text as well, so that rows of one id, or of none, need not meet in one task.
+    order = [F.col("doc_id"), F.xxhash64("text")]
+    ranged = docs.repartitionByRange(*order).sortWithinPartitions(*order)
     found = stored(ranged.mapInArrow(_in_order, _WITH_ENDS), "fingerprints")
     ends = found.filter(F.col("part").isNotNull())
     firsts = ends.filter("is_first").select("part", F.col("text").alias("next_text"))
@@ -303,35 +308,30 @@ def edit_distance(a: str, b: str, most: int) -> int | None:
     return None
 
 
-_FACTORS = mix(np.arange(1, BANDS * BAND + 1, dtype=np.uint64)) | np.uint64(1)
-
-
-def samples(text: str) -> np.ndarray:
-    """16 bits of the least gram of the text in each of ``BANDS * BAND`` orders; equal as often as gram sets overlap."""
-    points = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    width = min(GRAM, len(points))
-    grams = np.full(len(points) - width + 1, width, np.uint64)
-    for k in range(width):
-        grams = mix(grams ^ points[k : k + len(grams)])
-    grams, least = np.unique(grams), np.full(BANDS * BAND, np.iinfo(np.uint64).max, np.uint64)
-    for x in range(0, len(grams), 4096):
-        for i, factor in enumerate(_FACTORS):
-            least[i] = min(least[i], (grams[x : x + 4096] * factor).min())
-    return (mix(least) >> np.uint64(48)).astype(np.uint16)
-
-
 def _sample_batches(batches):
     for batch in batches:
-        rows = [samples(t).tobytes() for t in _strings(batch.column("text"))]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(rows, pa.binary())], names=["doc_id", "samples"])
+        texts = _strings(batch.column("text"))
+        for a, b in _groups([len(t) for t in texts], CHUNK):
+            rows = [r.tobytes() for r in samples(texts[a:b])]
+            ids = batch.column("doc_id").slice(a, b - a)
+            yield pa.RecordBatch.from_arrays([ids, pa.array(rows, pa.binary())], names=["doc_id", "samples"])
+
+
+def _unpacked(column) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint64).reshape(-1, BANDS, BAND)
 
 
 def _band_rows(batches):
+    """A row per document and band; the low bits of a bucket are the number of its band."""
+    numbers = np.arange(BANDS, dtype=np.uint64)
     for batch in batches:
-        rows = np.frombuffer(b"".join(batch.column("samples").to_pylist()), np.uint16).reshape(-1, BANDS, BAND).astype(np.int64)
-        keys = (np.arange(BANDS, dtype=np.int64) << 32) + (rows[:, :, 0] << 16) + rows[:, :, 1]
+        rows = _unpacked(batch.column("samples"))
+        keys = mix(numbers)[None, :]
+        for k in range(BAND):
+            keys = mix(keys ^ rows[:, :, k])
+        keys = (keys & ~np.uint64(BANDS - 1)) | numbers
         ids = np.repeat(np.asarray(batch.column("doc_id")), BANDS)
-        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(ids)], names=["bucket", "doc_id"])
+        yield pa.RecordBatch.from_arrays([pa.array(keys.ravel().view(np.int64)), pa.array(ids)], names=["bucket", "doc_id"])
 
 
 def _in_blocks(rows: DataFrame) -> DataFrame:
@@ -351,37 +351,15 @@ def _meetings(table: pa.Table):
         yield x, np.flatnonzero((ids > ids[x]) & (same | (own != own[x])))
 
 
-def _alike(share: float):
-    """Pairs of a block that share no earlier band and at least half the samples expected at ``share``."""
-    whole = (1 - min(share, 1.0)) ** GRAM
-    least = max(BAND, int(BANDS * BAND * whole / (2 - whole) / 2))
-
-    def run(table: pa.Table) -> pa.Table:
-        ids, band, pairs = np.asarray(table.column("doc_id")), table.column("bucket")[0].as_py() >> 32, []
-        rows = np.frombuffer(b"".join(table.column("samples").to_pylist()), np.uint16).reshape(-1, BANDS * BAND)
-        for x, others in _meetings(table):
-            equal = rows[others] == rows[x]
-            earlier = equal.reshape(-1, BANDS, BAND)[:, :band].all(axis=2).any(axis=1)
-            pairs += [(int(ids[x]), int(ids[y])) for y in others[(equal.sum(axis=1) >= least) & ~earlier]]
-        columns = zip(*pairs) if pairs else ([], [])
-        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip("ab", columns)})
-
-    return run
-
-
-def _short_pairs(share: float):
-    def run(table: pa.Table) -> pa.Table:
-        ids, texts, pairs = np.asarray(table.column("doc_id")), _strings(table.column("text")), []
-        for x, others in _meetings(table):
-            for y in others:
-                if min(len(texts[x]), len(texts[y])) <= SHORT:
-                    edits = edit_distance(texts[x], texts[y], int(share * max(len(texts[x]), len(texts[y]))))
-                    if edits is not None:
-                        pairs.append((int(ids[x]), int(ids[y]), edits))
-        columns = zip(*pairs) if pairs else ([], [], [])
-        return pa.table({n: pa.array(c, pa.int64()) for n, c in zip(("a", "b", "edits"), columns)})
-
-    return run
+def _candidates(table: pa.Table) -> pa.Table:
+    """Pairs of a block that share no earlier band."""
+    ids, band, pairs = np.asarray(table.column("doc_id")), table.column("bucket")[0].as_py() & (BANDS - 1), []
+    rows = _unpacked(table.column("samples"))[:, :band]
+    for x, others in _meetings(table):
+        earlier = (rows[others] == rows[x]).all(axis=2).any(axis=1)
+        pairs += [(int(ids[x]), int(ids[y])) for y in others[~earlier]]
+    columns = zip(*pairs) if pairs else ([], [])
+    return pa.table({n: pa.array(c, pa.int64()) for n, c in zip("ab", columns)})
 
 
 def _verified(share: float):
@@ -406,31 +384,45 @@ def copies(docs: DataFrame) -> DataFrame:
     return docs.join(docs.groupBy("sha").agg(F.min("doc_id").alias("first")), "sha").select("doc_id", "first")
 
 
-def near_pairs(docs: DataFrame, share: float = 0.2) -> DataFrame:
+def near_pairs(docs: DataFrame, share: float = 0.02) -> DataFrame:
     """``a, b, edits``: documents at most ``share`` edits a character apart.
 
     ``a < b``; ids must be unique and not NULL, ``share`` below 1.  Equal texts are represented by the
     least id, so copies and empty texts do not expand into pairs; ``copies`` gives whom each id stands
-    for.  ``edits`` is exact, and divided by the longer text's length it is at most ``share``.
+    for.  NULL text counts as empty, other columns are ignored, and an empty table gives no rows.
+    ``edits`` is exact, and divided by the longer text's length it is at most ``share``.
 
-    Pairs with a text of at most ``SHORT`` characters are all found.  Of longer ones, edits at random
-    places at the default share leave about 15 of 100 grams in common, and one of 240 bands of 2 is
-    then shared with a calculated probability of 0.996; the test asks for 0.95.  Edits spread evenly, so that no ``GRAM`` characters in a
-    row stay whole, are not found.
+    Only what shares a band is verified, and how likely that is falls with the number of edits, wherever
+    they are.  Of pairs of random texts at two edits in a hundred characters, at random places or evenly
+    spread, all of 60 to 600 characters shared one, and of 3,000 characters 97 in a hundred at least; of 20,000
+    characters nine in ten at one edit in a hundred.  Beyond that more and more pairs are missed.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     first = docs.filter("text != ''").groupBy(F.sha2("text", 256).alias("sha")).agg(F.min("doc_id").alias("doc_id"))
     texts = stored(docs.join(first.select("doc_id"), "doc_id", "left_semi"), "texts")
-    # Lengths of a pair lie in one or two neighbouring steps of this ratio; each text is in its own and the next.
-    step = F.floor(F.log(F.char_length("text").cast("double")) / float(-np.log1p(-max(share, 0.01))) + 1e-9).cast("long")
-    short = texts.filter(F.char_length("text") <= SHORT / (1 - share) + 1)
-    lengths = short.select("doc_id", F.explode(F.array(step, step + 1)).alias("bucket"))
-    blocks = _in_blocks(lengths).join(short, "doc_id")
-    near = blocks.groupBy("bucket", "i", "j").applyInArrow(_short_pairs(share), "a long, b long, edits long").distinct()
-    sampled = stored(texts.filter(F.char_length("text") > SHORT).mapInArrow(_sample_batches, "doc_id long, samples binary"), "samples")
+    sampled = stored(texts.mapInArrow(_sample_batches, "doc_id long, samples binary"), "samples")
     blocks = _in_blocks(stored(sampled.mapInArrow(_band_rows, "bucket long, doc_id long"), "bands")).join(sampled, "doc_id")
-    pairs = blocks.groupBy("bucket", "i", "j").applyInArrow(_alike(share), "a long, b long")
+    pairs = blocks.groupBy("bucket", "i", "j").applyInArrow(_candidates, "a long, b long")
     for side in "ab":
-        pairs = pairs.join(texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}")), side)
-    pairs = pairs.select("a", "b", "text_a", "text_b").mapInArrow(_verified(share), "a long, b long, edits long")
-    return pairs.unionByName(near)
+        sides = texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"text_{side}"))
+        pairs = pairs.join(sides.withColumn(f"n_{side}", F.char_length(f"text_{side}")), side)
+    # A difference in length is that many edits at least.
+    pairs = pairs.filter(F.abs(F.col("n_a") - F.col("n_b")) <= share * F.greatest("n_a", "n_b"))
+    return pairs.select("a", "b", "text_a", "text_b").mapInArrow(_verified(share), "a long, b long, edits long")
+
+
+def near_classes(docs: DataFrame, share: float = 0.02) -> DataFrame:
+    """``doc_id, class_id, n_links`` for every document, by the pairs of ``near_pairs``.
+
+    The class is the least id reached over near pairs and equal texts, and ``n_links`` counts the
+    pairs of the text that stands for the document.  Empty texts are classes of their own.
+    """
+    pairs = stored(near_pairs(docs, share), "pairs")
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("first")).groupBy("first").agg(F.count(F.lit(1)).alias("n_links"))
+    roots = components(pairs).select(F.col("vertex").alias("first"), "root")
+    filled = docs.select("doc_id", (F.coalesce("text", F.lit("")) == "").alias("is_empty"))
+    placed = copies(docs).join(filled.withColumn("doc_id", F.col("doc_id").cast("long")), "doc_id")
+    placed = placed.withColumn("first", F.when(F.col("is_empty"), F.col("doc_id")).otherwise(F.col("first")))
+    placed = placed.join(ends, "first", "left").join(roots, "first", "left")
+    links = F.coalesce("n_links", F.lit(0).cast("long")).alias("n_links")
+    return placed.select("doc_id", F.coalesce("root", "first").alias("class_id"), links)
