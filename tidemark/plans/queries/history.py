@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ...operators import history as h
 from ...operators.as_of import facts_as_of
+from ...operators.late import splice
 from ...scratch import new_folder, stored
 from ...sinks.history_store import HistoryStore
 from ...sinks.tables import save_table
@@ -344,6 +345,13 @@ def _scd2_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(h.replay(stacked(spark, sf_dir), KEYS, "snapshot_ts", times=list(TIMES.values())))
 
 
+@query("scd2_splice", f"WITH {ISLAND_SQL} SELECT {HISTORY_SQL} FROM hist_c")
+def _scd2_splice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dump in the middle arrives last."""
+    early = stored(history_after(spark, sf_dir, "ac"), "history")
+    return plain(splice(early, snapshot(spark, sf_dir, "b"), KEYS, TIMES["b"], [TIMES["a"], TIMES["c"]]))
+
+
 @query("scd2_stream", f"WITH {ISLAND_SQL} SELECT {HISTORY_SQL} FROM hist_c")
 def _scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "stream")
