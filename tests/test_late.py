@@ -8,7 +8,9 @@ from conftest import rows
 from tidemark.contracts import SchemaMismatch
 from tidemark.operators import history as h
 from tidemark.operators.late import splice
+from tidemark.operators.quality import RepeatedKey
 from tidemark.scratch import stored
+from tidemark.sinks.history_store import HistoryStore
 
 TIMES = ["2024-01-01", "2024-02-01", "2024-03-01", "2024-04-01"]
 SHOWN = ["k", "v", h.FROM, h.TO, h.CURRENT, h.OPERATION, h.HASH, h.VERSION]
@@ -80,3 +82,62 @@ def test_what_does_not_fit_is_refused(spark):
         spliced([(None, "a")])
     with pytest.raises(Exception, match="not among"):
         spliced([], at=[TIMES[0], "2024-06-01"])
+
+
+@pytest.mark.parametrize("buckets", [None, 3])
+@pytest.mark.parametrize("order", [(3, 0, 2, 1), (1, 3, 0, 2)])
+def test_store_takes_snapshots_in_any_order(spark, tmp_path, order, buckets):
+    frames = snapshots(spark, 21)
+    store = HistoryStore(spark, str(tmp_path / "store"), buckets)
+    for i in order:
+        take = store.splice if store.is_late(TIMES[i]) else store.merge
+        take(frames[i], ["k"], TIMES[i])
+    assert rows(store.read_all(), *SHOWN) == rows(built(frames, TIMES), *SHOWN)
+    assert [str(t.date()) for t in store.times()] == TIMES
+    # Later snapshots are taken as usual, the same one again without writing rows.
+    store.merge(frames[0], ["k"], "2024-05-01")
+    assert rows(store.read_all(), *SHOWN) == rows(built([*frames, frames[0]], [*TIMES, "2024-05-01"]), *SHOWN)
+    store.merge(frames[0], ["k"], "2024-06-01")
+    assert store.last_commit()["rows_gen"] == 5
+
+
+def test_store_gives_up_rows_that_a_splice_replaced(spark, tmp_path):
+    frames = snapshots(spark, 5)
+    store = HistoryStore(spark, str(tmp_path / "store"))
+    for i in (0, 2):
+        store.merge(frames[i], ["k"], TIMES[i])
+    before, seen = store.read_all(), rows(store.read_all())
+    gen = store.splice(frames[1], ["k"], TIMES[1])
+    assert rows(before) == seen  # a reader at work
+    store.merge(frames[3], ["k"], TIMES[3])
+    closed = spark.read.option("basePath", f"{store.path}/rows").parquet(f"{store.path}/rows/gen=*/{h.CURRENT}=false")
+    assert gen == 3 and closed.filter("gen < 3").isEmpty()
+    assert rows(store.read_all(), *SHOWN) == rows(built(frames, TIMES), *SHOWN)
+
+
+def test_a_late_snapshot_that_changes_nothing_writes_no_rows(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "a"), (2, None)], LAYOUT)
+    store = HistoryStore(spark, str(tmp_path / "store"))
+    for ts in (TIMES[0], TIMES[2]):
+        store.merge(frame, ["k"], ts)
+    seen = rows(store.read_all())
+    assert store.splice(frame, ["k"], TIMES[1]) == 3 and store.last_commit()["rows_gen"] == 1
+    assert rows(store.read_all()) == seen and store.has_commit(TIMES[1])
+
+
+def test_store_refuses_what_is_not_late_or_does_not_fit(spark, tmp_path):
+    frame = spark.createDataFrame([(1, "a")], LAYOUT)
+    store = HistoryStore(spark, str(tmp_path / "store"))
+    with pytest.raises(ValueError, match="no snapshot later"):
+        store.splice(frame, ["k"], TIMES[0])
+    for ts in (TIMES[1], TIMES[2]):
+        store.merge(frame, ["k"], ts)
+    with pytest.raises(ValueError, match="no snapshot later"):
+        store.splice(frame, ["k"], TIMES[3])
+    with pytest.raises(ValueError, match="already"):
+        store.splice(frame, ["k"], TIMES[1])
+    with pytest.raises(RepeatedKey):
+        store.splice(frame.union(frame), ["k"], TIMES[0])
+    with pytest.raises(SchemaMismatch):
+        store.splice(frame.withColumn("w", h.F.lit(1)), ["k"], TIMES[0])
+    assert store.last_commit()["gen"] == 2

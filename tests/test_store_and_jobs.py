@@ -261,12 +261,13 @@ def test_fk_report(spark):
     assert jobs.fk_report(child, CARS, {}) == {}
 
 
-def test_stream_restarts_and_refuses_late_folders(spark, tmp_path):
+def test_stream_restarts_and_sets_late_folders_aside(spark, tmp_path):
     base, layers = str(tmp_path / "landing"), jobs.Layers(str(tmp_path), "cars")
     store = HistoryStore(spark, layers.silver)
 
     def run(checkpoint="ckpt"):
-        start_history_stream(spark, CARS, base, layers, str(tmp_path / checkpoint), CHECKS).awaitTermination()
+        at = str(tmp_path / checkpoint)
+        start_history_stream(spark, CARS, base, layers, at, CHECKS, splice_late=False).awaitTermination()
 
     land(base, "2024-01-01T9-0", ["A,Audi,4,00", "B,BMW,4,99"])
     land(base, "2024-01-01T10-0", ["A,Alfa,4,00", "C,Citroen,4,07"])

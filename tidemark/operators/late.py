@@ -21,7 +21,11 @@ def _complete(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def touched_keys(history: DataFrame, snapshot: DataFrame, keys: Sequence[str], ts: datetime | str, compared: Sequence[str]) -> DataFrame:
-    """Keys of which the history holds another state at ``ts`` than the snapshot; one join on hashes."""
+    """Keys of which the history holds another state at ``ts`` than the snapshot; one join on hashes.
+
+    Columns and types must be the history's, keys complete and unique in the snapshot.
+    """
+    assert_compatible(snapshot, history.select(*[c for c in history.columns if c not in h.META]).schema)
     own = row_hash_of([F.col(c) for c in compared])
     repeated = F.raise_error(F.lit(f"{h.REPEATED}: a snapshot repeats a key: {', '.join(keys)}")).cast("string")
     # Grouped by the join's keys, so the guard needs no shuffle of its own.
@@ -48,6 +52,7 @@ def splice(
     tracking: Sequence[str] | None = None,
     exclude: Sequence[str] = (),
     processed_time: Column | datetime | str | None = None,
+    touched: DataFrame | None = None,
 ) -> DataFrame:
     """The history as if the late snapshot of ``ts`` had been applied in its turn.
 
@@ -60,16 +65,18 @@ def splice(
     the history's, keys complete and unique in the snapshot; anything else is an error.  Of
     columns that are not compared a history knows the value at the start of a version only, and so
     does the result.  An empty snapshot ends every version that was valid then.
+
+    Who has the ``touched_keys`` stored already passes them.
     """
     spark = history.sparkSession
     data = [c for c in history.columns if c not in h.META]
-    assert_compatible(snapshot, history.select(*data).schema)
     known = F.array(*[as_timestamp(t) for t in times]).cast("array<timestamp>")
     if spark.range(1).select(F.array_contains(known, as_timestamp(ts))).first()[0]:
         raise ValueError(f"the history holds a snapshot of {ts} already")
-    compared = h.comparison_columns(data, keys, tracking, exclude)
-    # Written, so that its true size decides how the three joins with it are done.
-    touched = stored(touched_keys(history, snapshot, keys, ts, compared), "touched")
+    if touched is None:
+        compared = h.comparison_columns(data, keys, tracking, exclude)
+        # Written, so that its true size decides how the three joins with it are done.
+        touched = stored(touched_keys(history, snapshot, keys, ts, compared), "touched")
     kept = history.join(touched, list(keys), "left_anti")
     before = _in_snapshots(history.join(touched, list(keys), "left_semi"), data, known)
     late = snapshot.join(touched, list(keys), "left_semi").select(*data, as_timestamp(ts).alias("__at"))

@@ -122,6 +122,7 @@ def job_silver(
     buckets: int | None = None,
     quarantine: str | None = None,
     parents: Mapping[str, DataFrame] | None = None,
+    splice_late: bool = False,
 ) -> SilverRun:
     """Quality split, then history for tracked tables, or plain overwrite.
 
@@ -131,7 +132,8 @@ def job_silver(
     Bronze is read once: rows are dealt into valid and rejected ones by one write, which also counts
     them, and tells whether a tracked table's valid rows are those that its history holds already.
     Rows that share a key are found by the history's join; only then they are set aside, and
-    the join runs again.
+    the join runs again.  With ``splice_late``, a snapshot older than the last one takes its place in the
+    history, where it is an error otherwise.
     """
     folder = new_folder(spark, "dealt")
     bronze = spark.read.parquet(layers.bronze)
@@ -146,15 +148,22 @@ def job_silver(
     if contract.tracked:
         store = HistoryStore(spark, layers.silver, buckets)
         options = {"exclude": INGESTION_COLUMNS, "processed_time": processed_time}
+        in_turn = not (splice_late and store.is_late(ts))
         try:
-            gen = store.merge(valid, keys, ts, found=dealt.observed, **options)
+            if in_turn:
+                gen = store.merge(valid, keys, ts, found=dealt.observed, **options)
+            else:
+                gen = store.splice(valid, keys, ts, **options)
         except quality.RepeatedKey:
             keys_unique = False
             valid, repeated = quality.split_unique(valid, keys)
             repeated = stored(repeated, "repeated")
             rejected = rejected.unionByName(quality.annotate_with(repeated, quality.KEY_REPEATED, keys))
             n_rejected += repeated.count()
-            gen = store.merge(valid, keys, ts, keys_unique=True, **options)
+            if in_turn:
+                gen = store.merge(valid, keys, ts, keys_unique=True, **options)
+            else:
+                gen = store.splice(valid, keys, ts, **options)
     else:
         save_table(valid, layers.silver)
     save_quarantine(rejected, quarantine or layers.quarantine, n_rejected)

@@ -361,6 +361,17 @@ def _scd2_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(HistoryStore(spark, layers.silver).read_all())
 
 
+@query("scd2_stream_late", f"WITH {ISLAND_SQL} SELECT {HISTORY_SQL} FROM hist_c")
+def _scd2_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Folders land in the order C, A, B; each takes its place."""
+    folder = new_folder(spark, "stream")
+    layers = Layers(folder, ORDERS.name)
+    for which in "cab":
+        landing = write_landing(spark, sf_dir, f"{folder}/landing", which)
+        start_history_stream(spark, ORDERS, landing, layers, f"{folder}/checkpoint").awaitTermination()
+    return plain(HistoryStore(spark, layers.silver).read_all())
+
+
 @query(
     "new_keys",
     f"""

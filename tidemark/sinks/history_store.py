@@ -2,9 +2,12 @@
 
 A run writes ``rows/gen=N`` once, partitioned by ``__is_current``, and then adds a line to
 ``commits``.  Readers take the open rows of the last committed run and the closed rows of
-all runs up to it, and list no other folders.  No path is read and overwritten in one job, closed
-rows are never rewritten, and a run that died before its commit line is invisible: the
-next try overwrites it.  One writer at a time.
+all runs up to it, and list no other folders.  No path is read and overwritten in one job, and a
+run that died before its commit line is invisible: the next try overwrites it.  One writer at a time.
+
+Closed rows are never rewritten but for a snapshot that comes late (``splice``): versions closed long ago
+may end at another time then.  Such a run holds the whole history, and its commit line, like
+all later ones, names it as the first run whose closed rows count.
 
 Each commit line holds a fingerprint of the open rows, counted while they were written.  A snapshot
 with the same one changes nothing: its commit line refers to the rows of the run before, and no rows
@@ -19,7 +22,8 @@ from __future__ import annotations
 import hashlib
 import re
 import uuid
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -31,11 +35,13 @@ from ..contracts import SchemaMismatch, TableContract, empty_table
 from ..functions.hashing import row_hash_of
 from ..functions.typing import as_timestamp
 from ..operators import history as h
+from ..operators import late
 from ..operators.quality import RepeatedKey, require_unique
+from ..scratch import stored
 from .tables import existing_schema
 
 _PRINT = "n_open bigint, n_keyless bigint, print_1 string, print_2 string"
-_COMMIT = f"gen int, at timestamp, buckets int, keys array<string>, hashed array<string>, rows_gen int, {_PRINT}"
+_COMMIT = f"gen int, at timestamp, buckets int, keys array<string>, hashed array<string>, rows_gen int, closed_from int, {_PRINT}"
 _PRINT_NAMES = [c.split()[0] for c in _PRINT.split(", ")]
 
 
@@ -48,12 +54,29 @@ def _rows_gen(commit: Row) -> int:
     return commit["gen"] if commit["rows_gen"] is None else commit["rows_gen"]
 
 
+def _closed_from(commit: Row | None) -> int:
+    """The first run whose closed rows count."""
+    return 0 if commit is None else commit["closed_from"] or 0
+
+
+@contextmanager
+def _repeated_key() -> Iterator[None]:
+    """The error of a task that met a repeated key, as the driver's own."""
+    try:
+        yield
+    except Exception as error:
+        message = re.search(rf"{h.REPEATED}: (.*?)(?: SQLSTATE|\n|$)", str(error))
+        if message is None:
+            raise
+        raise RepeatedKey(message[1]) from error
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
 class HistoryStore:
-    """The last ``keep`` runs keep their open rows: two at least, for readers at work; None keeps all."""
+    """The last ``keep`` runs keep their rows: two at least, for readers at work; None keeps all."""
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None, keep: int | None = 2):
         if keep is not None and keep < 2:
@@ -83,6 +106,18 @@ class HistoryStore:
         commits = self._commits()
         return commits is not None and not commits.filter(F.col("at") == as_timestamp(ts)).isEmpty()
 
+    def times(self) -> list[datetime]:
+        """The times of all snapshots in the history, in order; one value per snapshot."""
+        commits = self._commits()
+        if commits is None:
+            return []
+        return [r["at"] for r in commits.filter(F.col("at").isNotNull()).select("at").distinct().orderBy("at").collect()]
+
+    def is_late(self, ts: datetime | str) -> bool:
+        """Whether the history holds a later snapshot."""
+        commits = self._commits()
+        return commits is not None and not commits.filter(F.col("at") > as_timestamp(ts)).isEmpty()
+
     def exists(self) -> bool:
         return self.last_commit() is not None
 
@@ -94,6 +129,7 @@ class HistoryStore:
         hashed: Sequence[str] = (),
         rows_gen: int | None = None,
         found: Mapping[str, object] | None = None,
+        closed_from: int = 0,
     ) -> None:
         kinds = dict(c.split() for c in _PRINT.split(", "))
         prints = [F.lit((found or {}).get(n)).cast(kind).alias(n) for n, kind in kinds.items()]
@@ -104,6 +140,7 @@ class HistoryStore:
             _texts(keys).alias("keys"),
             _texts(hashed).alias("hashed"),
             F.lit(gen if rows_gen is None else rows_gen).alias("rows_gen"),
+            F.lit(closed_from).alias("closed_from"),
             *prints,
         )
         line.coalesce(1).write.mode("append").parquet(f"{self.path}/commits")
@@ -127,7 +164,7 @@ class HistoryStore:
             return self.spark.createDataFrame([], layout)
 
     def _read(self, last: Row | None, open_only: bool) -> DataFrame:
-        """Open rows of the last run and closed rows up to it; other open rows are not even listed."""
+        """Open rows of the last run and the closed rows up to it; other open rows are not even listed."""
         if last is None:
             raise LookupError(f"no history at {self.path}")
         fields = self._data_fields(last)
@@ -140,7 +177,8 @@ class HistoryStore:
         open_rows = shaped(self._rows_in(f"gen={_rows_gen(last)}/{h.CURRENT}=true", layout), True)
         if open_only:
             return open_rows
-        closed = self._rows_in(f"gen=*/{h.CURRENT}=false", layout).filter(F.col("gen") <= last["gen"])
+        closed = self._rows_in(f"gen=*/{h.CURRENT}=false", layout)
+        closed = closed.filter(F.col("gen").between(_closed_from(last), last["gen"]))
         return open_rows.unionByName(shaped(closed, False))
 
     def read_open(self) -> DataFrame:
@@ -196,6 +234,7 @@ class HistoryStore:
         keys: Sequence[str],
         hashed: Sequence[str] = (),
         in_buckets: bool = False,
+        closed_from: int = 0,
     ) -> None:
         folder = f"{self.path}/rows/gen={gen}"
         counted = Observation()
@@ -215,21 +254,25 @@ class HistoryStore:
                 self.spark.sql(f"DROP TABLE {name}")
         else:
             rows.write.mode("overwrite").partitionBy(h.CURRENT).parquet(folder)
-        self._add_commit(gen, as_timestamp(ts), keys, hashed, found=counted.get)
+        self._add_commit(gen, as_timestamp(ts), keys, hashed, found=counted.get, closed_from=closed_from)
         self._free_before(gen)
 
     def _free_before(self, gen: int) -> None:
-        """Give up open rows that none of the last ``keep`` runs up to ``gen`` refers to."""
+        """Give up rows that none of the last ``keep`` runs up to ``gen`` refers to."""
         if self.keep is not None and gen > self.keep:
             kept = self._commits().filter(F.col("gen") > gen - self.keep)
-            self._empty_open_rows(kept.agg(F.min(F.coalesce("rows_gen", "gen"))).first()[0] - 1)
-
-    def _empty_open_rows(self, last: int) -> None:
-        """Give up the open rows of all runs up to ``last``, which later runs hold; every closed row stays."""
+            opened, closed = F.min(F.coalesce("rows_gen", "gen")), F.min(F.coalesce("closed_from", F.lit(0)))
+            opened, closed = kept.agg(opened, closed).first()
+            self._empty_rows("true", opened - 1)
+            if closed:
+                self._empty_rows("false", closed - 1)
+
+    def _empty_rows(self, flag: str, last: int) -> None:
+        """Give up the open or closed rows of all runs up to ``last``, which later runs hold."""
         layout = T.StructType().add("gen", T.IntegerType()).add(h.CURRENT, T.StringType())
-        held = self._rows_in(f"gen=*/{h.CURRENT}=true", layout).filter(F.col("gen") <= last)
+        held = self._rows_in(f"gen=*/{h.CURRENT}={flag}", layout).filter(F.col("gen") <= last)
         for row in held.select("gen").distinct().toLocalIterator():  # usually the one that has just become old
-            folder = self._open_folder(row["gen"])
+            folder = f"{self.path}/rows/gen={row['gen']}/{h.CURRENT}={flag}"
             schema = existing_schema(self.spark, folder)
             self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(folder)
 
@@ -250,7 +293,7 @@ class HistoryStore:
             if left is not None:
                 self.spark.createDataFrame([], left).write.mode("overwrite").parquet(f"{folder}/{h.CURRENT}={flag}")
         found = {n: last[n] for n in _PRINT_NAMES}
-        self._add_commit(gen, as_timestamp(ts), last["keys"], last["hashed"], _rows_gen(last), found)
+        self._add_commit(gen, as_timestamp(ts), last["keys"], last["hashed"], _rows_gen(last), found, _closed_from(last))
         self._free_before(gen)
 
     def create(self, contract: TableContract) -> bool:
@@ -324,21 +367,51 @@ class HistoryStore:
             return gen
         rows = self.next_rows(last, new, keys, ts, tracking, exclude, keys_unique=keys_unique, **options)
         in_buckets = self._same_layout(last, keys)
-        try:
-            self._commit(rows, gen, ts, keys, hashed, in_buckets)
-        except Exception as error:
-            message = re.search(rf"{h.REPEATED}: (.*?)(?: SQLSTATE|\n|$)", str(error))
-            if message is None:
-                raise
-            raise RepeatedKey(message[1]) from error
+        with _repeated_key():
+            self._commit(rows, gen, ts, keys, hashed, in_buckets, _closed_from(last))
         if in_buckets:
             # The files stay; only the name for reading them in buckets goes.
             self.spark.sql(f"DROP TABLE IF EXISTS {self._open_table(last)}")
         return gen
 
+    def splice(
+        self,
+        new: DataFrame,
+        keys: list[str],
+        ts: datetime | str,
+        tracking: Sequence[str] | None = None,
+        exclude: Sequence[str] = (),
+        processed_time: Column | datetime | str | None = None,
+    ) -> int:
+        """Apply a snapshot that comes late as if it had come in its turn; return the run's number.
+
+        One join of hashes finds the keys that it changes.  If there are none, only a commit line is
+        added; otherwise the versions of those keys are replayed (``late.splice``, whose conditions
+        hold) and the history is written once as this run, in one scan.  The rows of earlier runs are
+        given up when ``keep`` runs no longer need them.  A history taken over by ``append`` does not
+        know all its times; a version that begins at an unknown one is an error.
+        """
+        last = self.last_commit()
+        if last is None or not self.is_late(ts):
+            raise ValueError(f"the history at {self.path} holds no snapshot later than {ts}")
+        if self.has_commit(ts):
+            raise ValueError(f"the history at {self.path} holds a snapshot of {ts} already")
+        gen, before = last["gen"] + 1, self._read(last, open_only=False)
+        hashed = h.comparison_columns([c for c in before.columns if c not in h.META], keys, tracking, exclude)
+        with _repeated_key():
+            touched = stored(late.touched_keys(before, new, keys, ts, hashed), "touched")
+        if touched.isEmpty():
+            self._commit_unchanged(last, gen, ts)
+            return gen
+        spliced = late.splice(before, new, keys, ts, self.times(), tracking, exclude, processed_time, touched)
+        # Hashes of untouched rows are as they were, over the columns of the run before.
+        self._commit(spliced, gen, ts, keys, hashed if last["hashed"] == hashed else (), closed_from=gen)
+        if self._same_layout(last, keys):
+            self.spark.sql(f"DROP TABLE IF EXISTS {self._open_table(last)}")
+        return gen
+
     def _guard(self, new: DataFrame, ts: datetime | str, last: Row | None) -> None:
-        commits = self._commits()
-        if commits is not None and not commits.filter(F.col("at") > as_timestamp(ts)).isEmpty():
+        if self.is_late(ts):
             raise ValueError(f"a snapshot of {ts} is older than the history at {self.path}")
         if last is not None:
             known = {f.name: f.dataType.simpleString() for f in self._data_fields(last)}

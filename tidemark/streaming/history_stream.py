@@ -19,7 +19,7 @@ _FILE = "path string, modificationTime timestamp, length bigint, content binary"
 
 
 def late_folders(layers: Layers) -> str:
-    """Where the stream lists folders that came after a later one; read ``<this>/*``."""
+    """Where the stream lists late folders that it sets aside; read ``<this>/*``."""
     return f"{layers.quarantine}_late"
 
 
@@ -33,6 +33,7 @@ def start_history_stream(
     processed_time: str | None = None,
     buckets: int | None = None,
     parents: Mapping[str, DataFrame] | None = None,
+    splice_late: bool = True,
 ) -> StreamingQuery:
     """Take every landing folder that is not in the history yet, in time order, then stop.
 
@@ -42,8 +43,9 @@ def start_history_stream(
     skips the folders already committed.  Rejected rows are kept per folder, and so are the numbers
     of rows without a parent, of the ``parents`` given, in ``<quarantine>_orphans``.
 
-    A folder older than the history is set aside: its name and time go to ``late_folders``, and later
-    folders are taken as usual.  ``history.replay`` over all folders builds a history that holds it.
+    A folder older than the history takes its place in it (``HistoryStore.splice``), so that folders in any
+    order make the same history.  With ``splice_late`` off it is set aside instead: its name and
+    time go to ``late_folders``, and later folders are taken as usual.
     """
     files = spark.readStream.format("binaryFile").schema(_FILE).load(f"{landing}/*/{contract.name}.csv")
     folder = F.regexp_extract("path", rf"/([^/]+)/{re.escape(contract.name)}\.csv(/.*)?$", 1)
@@ -56,15 +58,16 @@ def start_history_stream(
         for name, ts in folders.toLocalIterator():  # one row per dump, a partition at a time
             if store.has_commit(ts):
                 continue
-            last = store.last_commit()
-            if last is not None and last["at"] is not None and ts < last["at"]:
+            if not splice_late and store.is_late(ts):
                 line = session.createDataFrame([(name, str(ts))], "folder string, at string")
                 # Each under its own name, so that a batch that is tried again lists it once.
                 line.write.mode("overwrite").parquet(f"{late_folders(layers)}/{name}")
                 continue
             job_bronze(session, contract, landing, layers, name)
             rejected = f"{layers.quarantine}/{name}"
-            found = job_silver(session, contract, checks, layers, ts, processed_time, buckets, rejected, parents)
+            found = job_silver(
+                session, contract, checks, layers, ts, processed_time, buckets, rejected, parents, splice_late
+            )
             if found.n_orphans:
                 told = session.createDataFrame(list(found.n_orphans.items()), "column string, n_rows long")
                 told.write.mode("overwrite").parquet(f"{layers.quarantine}_orphans/{name}")
