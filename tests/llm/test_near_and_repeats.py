@@ -6,7 +6,7 @@ import pytest
 
 from tidemark.llm import hyperminhash as hm
 from tidemark.llm import substrings as sub
-from tidemark.llm.components import components
+from tidemark.llm.components import components, with_least
 from tidemark.llm.words import window_hashes, words_of
 
 
@@ -115,6 +115,39 @@ def test_components_follow_long_paths(spark):
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_a_root_with_many_ends_is_split(spark):
+    forced = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+    }
+    before = {k: spark.conf.get(k, None) for k in forced}
+    star = spark.range(1, 20000, numPartitions=8).selectExpr("id % 50 DIV 49 * id AS u", "id AS v")
+    for k, v in forced.items():
+        spark.conf.set(k, v)
+    try:
+        out = with_least(star)
+        assert out.groupBy("u").agg({"m": "max"}).filter("u = 0").collect()[0][1] == 0
+        rows = out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert len(rows) == 19999 and "SortMergeJoin(skew=true)" in plan
+
+
+def test_the_second_hash_of_windows_is_another():
+    texts = [" ".join(w(60, s)) for s in (1, 2)]
+    words = words_of([t.encode() for t in texts], False)
+    first, second = window_hashes(words.hashes, 50), window_hashes(sub.mix(words.hashes ^ sub._SECOND), 50)
+    assert not set(first.tolist()) & set(second.tolist())
+    # Equal windows agree in both, wherever they are.
+    again = words_of([b"q " + texts[1].encode()], False).hashes
+    assert window_hashes(sub.mix(again ^ sub._SECOND), 50)[1] == second[60] and window_hashes(again, 50)[1] == first[60]
+
+
 def test_difference_covers_hold_every_distance():
     for period in (1, 2, 5, 12, 30, 31, 47):
         cover = sub.difference_cover(period)

@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 from ..scratch import stored
 
 
-def _least(edges: DataFrame) -> DataFrame:
-    """For every vertex ``u``, the least of itself and its neighbours ``v``."""
-    return edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+def with_least(edges: DataFrame) -> DataFrame:
+    """The edges with ``m``, the least of ``u`` and all its neighbours ``v``.
+
+    The least ones are written first: by their true size they are broadcast or shuffled, and then adaptive
+    execution splits the edges of a vertex that has very many, such as the root of a large component.
+    """
+    least = edges.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
+    return edges.join(stored(least, "least"), "u")
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -25,9 +30,8 @@ def components(links: DataFrame) -> DataFrame:
     down, before = stored(down, "stars"), None
     while True:
         both = down.unionByName(down.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = both.join(_least(both), "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.filter("u > v").distinct()
-        small = large.join(_least(large), "u")
+        large = with_least(both).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        small = with_least(stored(large.filter("u > v").distinct(), "stars"))
         ends = small.select(F.col("v").alias("u"), F.col("m").alias("v"))
         tied = ends.unionByName(small.select("u", F.col("m").alias("v"))).filter("u > v").distinct()
         down = stored(tied, "stars")
