@@ -8,7 +8,7 @@ their starts, whatever their remainders are, though only a fifth of all position
 1. Anchors that occur once in the corpus are dropped; the others come back to their documents.
 2. From each repeated anchor the text is extended to both sides: every long window around it is a
    candidate and hashed in full.  A shared window has an anchor in common, so none is missed.
-3. Of each full window the least document is found; words covered by a window that a smaller
+3. Of each full window, told by two hashes of 64 bits, the least document is found; words covered by a window that a smaller
    document holds too are removed.
 
 Documents whose whole text is a copy of a smaller one need no windows.  No step makes pairs.
@@ -25,7 +25,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..scratch import stored
-from .words import Words, as_long, chunks, window_hashes, words_of
+from .words import Words, as_long, chunks, mix, window_hashes, words_of
+
+# Any constant gives the words other values, and their windows a second hash.
+_SECOND = np.uint64(0x5851F42D4C957F2D)
 
 #: A perfect difference set, every distance modulo 31 comes exactly once.
 PERFECT_31 = (0, 1, 3, 8, 12, 18)
@@ -78,13 +81,13 @@ class _Anchors:
         return start[marked[start + self.period] > marked[start]]
 
 
-def _pairs(owner: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct hashes of each owner."""
+def _distinct(owner: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Where each owner's distinct hashes are, one place for each."""
     order = np.lexsort((hashes, owner))
     owner, hashes = owner[order], hashes[order]
     keep = np.ones(len(owner), bool)
     keep[1:] = (owner[1:] != owner[:-1]) | (hashes[1:] != hashes[:-1])
-    return owner[keep], hashes[keep]
+    return order[keep]
 
 
 def _anchor_counts(width: int):
@@ -104,9 +107,10 @@ def _anchor_rows(width: int):
             texts, ids = _texts(batch), np.asarray(batch.column("doc_id"))
             for a, b in chunks(texts):
                 anchors = _Anchors(words_of(texts[a:b], False), width)
-                owner, hashes = _pairs(anchors.owner, anchors.hashes)
+                one = _distinct(anchors.owner, anchors.hashes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(as_long(hashes)), pa.array(ids[a:b][owner])], names=["hash", "doc_id"]
+                    [pa.array(as_long(anchors.hashes[one])), pa.array(ids[a:b][anchors.owner[one]])],
+                    names=["hash", "doc_id"],
                 )
 
     return run
@@ -195,9 +199,12 @@ def _window_rows(width: int):
             for a, b in chunks(texts):
                 words = words_of(texts[a:b], False)
                 owner, start = _windows(words, batch.column("runs"), a, width)
-                owner, hashes = _pairs(owner, window_hashes(words.hashes, width)[start])
+                hashes = window_hashes(words.hashes, width)[start]
+                second = window_hashes(mix(words.hashes ^ _SECOND), width)[start]
+                one = _distinct(owner, hashes)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(as_long(hashes)), pa.array(ids[a:b][owner])], names=["hash", "doc_id"]
+                    [pa.array(as_long(hashes[one])), pa.array(as_long(second[one])), pa.array(ids[a:b][owner[one]])],
+                    names=["hash", "second", "doc_id"],
                 )
 
     return run
@@ -278,9 +285,10 @@ def remove_repeats(docs: DataFrame, width: int = 50) -> DataFrame:
     first = stored(joined.mapInArrow(_first_pass(width), _FIRST), "passages")
     settled = first.filter(F.col("n_removed").isNotNull()).select("doc_id", "n_words", "n_removed", "kept_sha256")
     open_ = first.filter(F.col("n_removed").isNull()).select("doc_id", "text", "runs")
-    windows = open_.mapInArrow(_window_rows(width), "hash long, doc_id long")
-    sources = windows.groupBy("hash").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
-    sources = sources.filter("least < most").select("hash", "least")
-    held = windows.join(sources, "hash").filter("doc_id > least").groupBy("doc_id").agg(F.collect_set("hash").alias("held"))
+    windows = open_.mapInArrow(_window_rows(width), "hash long, second long, doc_id long")
+    # Documents are compared by both hashes; within one, the first tells its windows apart.
+    sources = windows.groupBy("hash", "second").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    sources = sources.filter("least < most").select("hash", "second", "least")
+    held = windows.join(sources, ["hash", "second"]).filter("doc_id > least").groupBy("doc_id").agg(F.collect_set("hash").alias("held"))
     last = open_.join(held, "doc_id", "left").select("doc_id", "text", "runs", "held")
     return settled.unionByName(last.mapInArrow(_last_pass(width), _RESULT))
