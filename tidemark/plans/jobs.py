@@ -10,13 +10,12 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..contracts import TableContract
-from ..functions.hashing import row_hash_of
 from ..operators import quality
 from ..operators.gold import transform_gold
-from ..operators.history import comparison_columns, fingerprint, process
+from ..operators.history import HASH, comparison_columns, fingerprint, process, row_hash
 from ..operators.metrics import MetricView
 from ..operators.typing import transform_bronze
-from ..scratch import new_folder, stored
+from ..scratch import stored
 from ..sinks.history_store import HistoryStore
 from ..sinks.tables import (
     create_if_missing,
@@ -129,21 +128,22 @@ def job_silver(
     Ingestion columns never count as a change.  Valid rows whose foreign key has no parent, of the
     parent tables given by name, stay valid and are counted by column.
 
-    Bronze is read once: rows are dealt into valid and rejected ones by one write, which also counts
-    them, and tells whether a tracked table's valid rows are those that its history holds already.
+    Bronze is a table, so it is not written again: one aggregate counts valid and rejected rows, and tells
+    whether a tracked table's valid rows are those that its history holds already; each side is then read
+    where it is used, by a filter, and rejected rows only if there are any.
     Rows that share a key are found by the history's join; only then they are set aside, and
     the join runs again.  With ``splice_late``, a snapshot older than the last one takes its place in the
     history, where it is an error otherwise.
     """
-    folder = new_folder(spark, "dealt")
     bronze = spark.read.parquet(layers.bronze)
     keys = contract.primary_keys()
-    prints = {}
+    hashed, prints = bronze, {}
     if contract.tracked:
-        compared = comparison_columns(bronze, keys, exclude=INGESTION_COLUMNS)
-        prints = fingerprint(keys, row_hash_of([F.col(c) for c in compared]), ~F.col(quality.REJECTED))
-    dealt = quality.save_split(bronze, checks, folder, observe=prints)
-    valid, rejected, n_rejected = dealt.valid, dealt.quarantined, dealt.n_quarantined
+        hashed = row_hash(bronze, comparison_columns(bronze, keys, exclude=INGESTION_COLUMNS))
+        prints = fingerprint(keys, F.col(HASH), ~F.col(quality.REJECTED))
+    dealt = quality.counted_split(hashed, checks, observe=prints)
+    # The sides without the hash, which the history computes in its own scan.
+    valid, rejected, n_rejected = dealt.valid.drop(HASH), dealt.quarantined.drop(HASH), dealt.n_quarantined
     gen, keys_unique = None, True
     if contract.tracked:
         store = HistoryStore(spark, layers.silver, buckets)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -32,17 +32,26 @@ def new_folder(spark: SparkSession, label: str) -> str:
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+# How many files a task may write at once, so that rows need no sort by partition.
+_WRITERS = "spark.sql.maxConcurrentOutputFileWriters"
+
+
 @contextmanager
-def _shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+def _setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         if before is None:
-            spark.conf.unset(_CLEANUP)
+            spark.conf.unset(name)
         else:
-            spark.conf.set(_CLEANUP, before)
+            spark.conf.set(name, before)
+
+
+def open_together(spark: SparkSession, files: int) -> AbstractContextManager[None]:
+    """A partitioned write of that many files a task keeps them all open; beyond it, Spark sorts the rest."""
+    return _setting(spark, _WRITERS, str(files))
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -53,6 +62,6 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_folder(spark, label)
-    with _shuffles_removed(spark):
+    with _setting(spark, _CLEANUP, "true"):
         df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

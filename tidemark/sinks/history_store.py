@@ -32,12 +32,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..contracts import SchemaMismatch, TableContract, empty_table
-from ..functions.hashing import row_hash_of
 from ..functions.typing import as_timestamp
 from ..operators import history as h
 from ..operators import late
 from ..operators.quality import RepeatedKey, require_unique
-from ..scratch import stored
+from ..scratch import open_together, stored
 from .tables import existing_schema
 
 _PRINT = "n_open bigint, n_keyless bigint, print_1 string, print_2 string"
@@ -249,11 +248,13 @@ class HistoryStore:
             name = f"tidemark_write_{uuid.uuid4().hex}"
             self._declare(name, fields, keys, self.buckets, folder, partitioned=True)
             try:
-                rows.select(*[f.name for f in fields]).write.insertInto(name, overwrite=True)
+                with open_together(self.spark, 2):
+                    rows.select(*[f.name for f in fields]).write.insertInto(name, overwrite=True)
             finally:
                 self.spark.sql(f"DROP TABLE {name}")
         else:
-            rows.write.mode("overwrite").partitionBy(h.CURRENT).parquet(folder)
+            with open_together(self.spark, 2):
+                rows.write.mode("overwrite").partitionBy(h.CURRENT).parquet(folder)
         self._add_commit(gen, as_timestamp(ts), keys, hashed, found=counted.get, closed_from=closed_from)
         self._free_before(gen)
 
@@ -281,8 +282,8 @@ class HistoryStore:
         if last["print_1"] is None or last["keys"] != list(keys) or last["hashed"] != hashed:
             return False
         if found is None:
-            prints = h.fingerprint(keys, row_hash_of([F.col(c) for c in hashed]))
-            found = new.agg(*[c.alias(n) for n, c in prints.items()]).first().asDict()
+            prints = h.fingerprint(keys, F.col(h.HASH))
+            found = h.row_hash(new, hashed).agg(*[c.alias(n) for n, c in prints.items()]).first().asDict()
         # Rows without a key are replaced by every snapshot.
         return found["n_keyless"] == 0 and all(found[n] == last[n] for n in _PRINT_NAMES)
 
