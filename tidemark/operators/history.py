@@ -437,6 +437,7 @@ def replay(
     tracking: Sequence[str] | None = None,
     exclude: Sequence[str] = (),
     processed_time: Column | datetime | str | None = None,
+    stored_hash: bool = False,
 ) -> DataFrame:
     """The history of stacked snapshots in one pass, as if each had been applied in turn.
 
@@ -445,7 +446,7 @@ def replay(
     a snapshot is an error, and ``quality.split_unique(snapshots, [*keys, ts_col])`` sets such rows
     aside.  Pass the times if they are known, such as from the landing folders; an empty snapshot
     is only seen that way, and the pass over the time column is saved.  A row whose time is NULL or
-    not among the given ones is an error.
+    not among the given ones is an error.  ``stored_hash`` trusts the rows' ``__row_hash`` instead of computing it.
     """
     spark = snapshots.sparkSession
     instant = F.unix_micros(F.col(ts_col).cast("timestamp"))
@@ -456,11 +457,11 @@ def replay(
         instants = given.select(F.unix_micros(F.col("t").cast("timestamp")).alias("__us")).distinct()
     # Written, so that its true size decides how it is joined.
     calendar = stored(_calendar(instants), "calendar")
-    data = [c for c in snapshots.columns if c != ts_col]
+    data = [c for c in snapshots.columns if c != ts_col and not (stored_hash and c == HASH)]
     compared = comparison_columns(data, keys, tracking, exclude)
     unknown = _fail(f"a row's {ts_col} is NULL or not one of the snapshots' times", "bigint")
     placed = (
-        row_hash(snapshots, compared)
+        (snapshots if stored_hash else row_hash(snapshots, compared))
         .withColumn("__us", instant)
         .join(calendar, F.col("__us") == F.col("__known_us"), "left")
         .withColumn("__us", F.coalesce("__known_us", unknown))

@@ -53,6 +53,7 @@ def splice(
     exclude: Sequence[str] = (),
     processed_time: Column | datetime | str | None = None,
     touched: DataFrame | None = None,
+    stored_hash: bool = False,
 ) -> DataFrame:
     """The history as if the late snapshot of ``ts`` had been applied in its turn.
 
@@ -66,19 +67,23 @@ def splice(
     columns that are not compared a history knows the value at the start of a version only, and so
     does the result.  An empty snapshot ends every version that was valid then.
 
-    Who has the ``touched_keys`` stored already passes them.
+    Who has the ``touched_keys`` stored already passes them.  ``stored_hash`` trusts the history's
+    ``__row_hash`` to be over the same columns; then it is computed for the late rows alone.
     """
     spark = history.sparkSession
     data = [c for c in history.columns if c not in h.META]
     known = F.array(*[as_timestamp(t) for t in times]).cast("array<timestamp>")
     if spark.range(1).select(F.array_contains(known, as_timestamp(ts))).first()[0]:
         raise ValueError(f"the history holds a snapshot of {ts} already")
+    compared = h.comparison_columns(data, keys, tracking, exclude)
     if touched is None:
-        compared = h.comparison_columns(data, keys, tracking, exclude)
         # Written, so that its true size decides how the three joins with it are done.
         touched = stored(touched_keys(history, snapshot, keys, ts, compared), "touched")
     kept = history.join(touched, list(keys), "left_anti")
-    before = _in_snapshots(history.join(touched, list(keys), "left_semi"), data, known)
-    late = snapshot.join(touched, list(keys), "left_semi").select(*data, as_timestamp(ts).alias("__at"))
-    replayed = h.replay(before.unionByName(late), keys, "__at", [*times, ts], tracking, exclude, processed_time)
+    carried = [*data, h.HASH] if stored_hash else data
+    before = _in_snapshots(history.join(touched, list(keys), "left_semi"), carried, known)
+    late = snapshot.join(touched, list(keys), "left_semi")
+    late = (h.row_hash(late, compared) if stored_hash else late).select(*carried, as_timestamp(ts).alias("__at"))
+    stacked = before.unionByName(late)
+    replayed = h.replay(stacked, keys, "__at", [*times, ts], tracking, exclude, processed_time, stored_hash)
     return kept.unionByName(replayed.select(*history.columns))
