@@ -12,6 +12,7 @@ from tidemark.operators import history as h
 from tidemark.operators import quality
 from tidemark.plans import jobs
 from tidemark.scratch import shared_dir
+from tidemark.sinks import history_store
 from tidemark.sinks.history_store import HistoryStore
 from tidemark.sources import files
 
@@ -81,3 +82,40 @@ def test_plain_lines_are_split_as_the_parser_does(spark, tmp_path, monkeypatch):
     got = rows(files.read_csv(spark, f"{tmp_path}/t.csv"))
     monkeypatch.setattr(files, "_PARSED", ("",))  # every line holds it
     assert got == rows(files.read_csv(spark, f"{tmp_path}/t.csv")) and len(got) > 2500
+
+
+def test_buckets_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    """A task's share is bounded, and every layout is read as it was written."""
+    monkeypatch.setattr(history_store, "BUCKET_ROWS", 20)
+    history, sizes = None, []
+    times = [T1, T2, T3, "2024-04-01", "2024-05-01"]
+    for i, n in enumerate([30, 70, 70, 75, 30]):
+        # A new store each time, as a job has it; the third snapshot is the second.
+        store = HistoryStore(spark, f"{tmp_path}/store", buckets=2)
+        new = things(spark, [(k, "ab"[(k + min(i, 1) + i // 3) % 2], k) for k in range(n)])
+        store.merge(new, ["id"], times[i], processed_time=T1)
+        sizes.append(store.last_commit()["buckets"])
+        history = h.apply_snapshot(history, new, ["id"], times[i], processed_time=T1)
+        assert rows(store.read_all()) == rows(history)
+    assert sizes == [2, 4, 4, 4, 4]
+    late = things(spark, [(k, "a", 0) for k in range(40)])
+    store = HistoryStore(spark, f"{tmp_path}/store", buckets=2)
+    store.splice(late, ["id"], "2024-01-15", processed_time=T1)
+    store.merge(things(spark, [(1, "a", 5)]), ["id"], "2024-06-01", processed_time=T1)
+    assert store.read_open().count() == 1
+
+
+def test_a_late_snapshot_hashes_its_own_rows_only(spark, tmp_path, monkeypatch):
+    a, b, c = [things(spark, [(k, "ab"[(k * m) % 2], k % (m + 1)) for k in range(9 - m)]) for m in range(3)]
+    store = HistoryStore(spark, f"{tmp_path}/store")
+    store.merge(a, ["id"], T1, processed_time=T1)
+    store.merge(c, ["id"], T3, processed_time=T1)
+    seen = []
+    original = h.replay
+    monkeypatch.setattr(h, "replay", lambda df, *rest: seen.append(df.columns) or original(df, *rest))
+    store.splice(b, ["id"], T2, processed_time=T1)
+    assert len(seen) == 1 and h.HASH in seen[0]
+    in_turn = None
+    for new, ts in ((a, T1), (b, T2), (c, T3)):
+        in_turn = h.apply_snapshot(in_turn, new, ["id"], ts, processed_time=T1)
+    assert rows(store.read_all().drop(h.PROCESSED)) == rows(in_turn.drop(h.PROCESSED))

@@ -14,7 +14,9 @@ with the same one changes nothing: its commit line refers to the rows of the run
 are read, joined or written.
 
 With ``buckets`` set, runs are written as Spark bucketed tables over the same folders.  The
-open rows then join the next snapshot where they are, and only the snapshot is shuffled.
+open rows then join the next snapshot where they are, and only the snapshot is shuffled.  A bucket
+is one task's work, so a snapshot of more than ``BUCKET_ROWS`` rows a bucket doubles their number, as often as
+need be; that run reads the open rows as plain files, and later ones find them in buckets again.
 """
 
 from __future__ import annotations
@@ -39,6 +41,9 @@ from ..operators.quality import RepeatedKey, require_unique
 from ..scratch import open_together, stored
 from .tables import existing_schema
 
+# The most rows of a snapshot that a bucket is to hold.
+BUCKET_ROWS = 500_000
+
 _PRINT = "n_open bigint, n_keyless bigint, print_1 string, print_2 string"
 _COMMIT = f"gen int, at timestamp, buckets int, keys array<string>, hashed array<string>, rows_gen int, closed_from int, {_PRINT}"
 _PRINT_NAMES = [c.split()[0] for c in _PRINT.split(", ")]
@@ -83,6 +88,7 @@ class HistoryStore:
         self.spark = spark
         self.path = path.rstrip("/")
         self.buckets = buckets
+        self.least_buckets = buckets
         self.keep = keep
 
     # --- commits -----------------------------------------------------------------------
@@ -129,13 +135,14 @@ class HistoryStore:
         rows_gen: int | None = None,
         found: Mapping[str, object] | None = None,
         closed_from: int = 0,
+        buckets: int | None = None,
     ) -> None:
         kinds = dict(c.split() for c in _PRINT.split(", "))
         prints = [F.lit((found or {}).get(n)).cast(kind).alias(n) for n, kind in kinds.items()]
         line = self.spark.range(1).select(
             F.lit(gen).alias("gen"),
             at.alias("at"),
-            F.lit(self.buckets or 0).alias("buckets"),
+            F.lit((self.buckets if buckets is None else buckets) or 0).alias("buckets"),
             _texts(keys).alias("keys"),
             _texts(hashed).alias("hashed"),
             F.lit(gen if rows_gen is None else rows_gen).alias("rows_gen"),
@@ -277,13 +284,12 @@ class HistoryStore:
             schema = existing_schema(self.spark, folder)
             self.spark.createDataFrame([], schema).write.mode("overwrite").parquet(folder)
 
-    def _unchanged(self, last: Row, new: DataFrame, keys: list[str], hashed: list[str], found: Mapping | None) -> bool:
-        """Whether the open rows have the snapshot's keys and hashes over the same columns."""
-        if last["print_1"] is None or last["keys"] != list(keys) or last["hashed"] != hashed:
-            return False
-        if found is None:
-            prints = h.fingerprint(keys, F.col(h.HASH))
-            found = h.row_hash(new, hashed).agg(*[c.alias(n) for n, c in prints.items()]).first().asDict()
+    def _comparable(self, last: Row, keys: list[str], hashed: list[str]) -> bool:
+        """Whether the last run's fingerprint is over these keys and columns."""
+        return last["print_1"] is not None and last["keys"] == list(keys) and last["hashed"] == hashed
+
+    def _unchanged(self, last: Row, found: Mapping[str, object]) -> bool:
+        """Whether the open rows have the snapshot's keys and hashes."""
         # Rows without a key are replaced by every snapshot.
         return found["n_keyless"] == 0 and all(found[n] == last[n] for n in _PRINT_NAMES)
 
@@ -294,7 +300,10 @@ class HistoryStore:
             if left is not None:
                 self.spark.createDataFrame([], left).write.mode("overwrite").parquet(f"{folder}/{h.CURRENT}={flag}")
         found = {n: last[n] for n in _PRINT_NAMES}
-        self._add_commit(gen, as_timestamp(ts), last["keys"], last["hashed"], _rows_gen(last), found, _closed_from(last))
+        # The rows stay as the last run laid them out.
+        self._add_commit(
+            gen, as_timestamp(ts), last["keys"], last["hashed"], _rows_gen(last), found, _closed_from(last), last["buckets"]
+        )
         self._free_before(gen)
 
     def create(self, contract: TableContract) -> bool:
@@ -308,6 +317,15 @@ class HistoryStore:
         self._add_commit(0, F.lit(None).cast("timestamp"))
         return True
 
+    def _fit_buckets(self, last: Row | None, n_new: int | None, new: DataFrame | None = None) -> None:
+        """The buckets asked for, doubled until the greater of the open rows and the snapshot fits them."""
+        if self.least_buckets:
+            n_new = new.count() if n_new is None else n_new
+            n_rows = max(n_new, 0 if last is None else last["n_open"] or 0)
+            self.buckets = self.least_buckets
+            while n_rows > self.buckets * BUCKET_ROWS:
+                self.buckets *= 2
+
     def _same_layout(self, last: Row, keys: list[str]) -> bool:
         return bool(self.buckets) and last["buckets"] == self.buckets and last["keys"] == list(keys)
 
@@ -329,9 +347,11 @@ class HistoryStore:
         # Rows without a key would all meet in one bucket; they belong in quarantine.
         missing = F.raise_error(F.lit(f"a bucketed history needs complete keys: {', '.join(keys)}"))
         new = new.withColumns({k: F.coalesce(F.col(k), missing.cast(new.schema[k].dataType)) for k in keys})
-        if not options.get("keys_unique"):
+        same = self._same_layout(last, keys)
+        if not (same and options.get("keys_unique")):
             new = new.repartition(self.buckets, *keys)  # the partitioning of the join, for the key guard too
-        old = self._read_open_bucketed(last) if self._same_layout(last, keys) else self._read(last, open_only=True)
+        # In another layout the open rows move as well, so that the join gives the new buckets.
+        old = self._read_open_bucketed(last) if same else self._read(last, open_only=True).repartition(self.buckets, *keys)
         return h.next_versions(old, new, keys, ts, complete_keys=True, **options)
 
     def merge(
@@ -357,20 +377,27 @@ class HistoryStore:
         last = self.last_commit()
         self._guard(new, ts, last)
         hashed = h.comparison_columns(new, keys, tracking, exclude)
+        n_new = None if found is None else found["n_open"]
         if last is None:
             if not keys_unique:
                 require_unique(new, keys)
+            self._fit_buckets(last, n_new, new)
             self._commit(h.initial_load(new, keys, ts, tracking, exclude, **options), 1, ts, keys, hashed)
             return 1
         gen = last["gen"] + 1
-        if options.get("compare", "hash") == "hash" and self._unchanged(last, new, keys, hashed, found):
-            self._commit_unchanged(last, gen, ts)
-            return gen
+        if options.get("compare", "hash") == "hash" and self._comparable(last, keys, hashed):
+            if found is None:
+                prints = h.fingerprint(keys, F.col(h.HASH))
+                found = h.row_hash(new, hashed).agg(*[c.alias(n) for n, c in prints.items()]).first().asDict()
+            if self._unchanged(last, found):
+                self._commit_unchanged(last, gen, ts)
+                return gen
+            n_new = found["n_open"]
+        self._fit_buckets(last, n_new, new)
         rows = self.next_rows(last, new, keys, ts, tracking, exclude, keys_unique=keys_unique, **options)
-        in_buckets = self._same_layout(last, keys)
         with _repeated_key():
-            self._commit(rows, gen, ts, keys, hashed, in_buckets, _closed_from(last))
-        if in_buckets:
+            self._commit(rows, gen, ts, keys, hashed, bool(self.buckets), _closed_from(last))
+        if self._same_layout(last, keys):
             # The files stay; only the name for reading them in buckets goes.
             self.spark.sql(f"DROP TABLE IF EXISTS {self._open_table(last)}")
         return gen
@@ -404,9 +431,13 @@ class HistoryStore:
         if touched.isEmpty():
             self._commit_unchanged(last, gen, ts)
             return gen
-        spliced = late.splice(before, new, keys, ts, self.times(), tracking, exclude, processed_time, touched)
+        same_columns = last["hashed"] == hashed
+        spliced = late.splice(
+            before, new, keys, ts, self.times(), tracking, exclude, processed_time, touched, stored_hash=same_columns
+        )
+        self._fit_buckets(last, 0)
         # Hashes of untouched rows are as they were, over the columns of the run before.
-        self._commit(spliced, gen, ts, keys, hashed if last["hashed"] == hashed else (), closed_from=gen)
+        self._commit(spliced, gen, ts, keys, hashed if same_columns else (), closed_from=gen)
         if self._same_layout(last, keys):
             self.spark.sql(f"DROP TABLE IF EXISTS {self._open_table(last)}")
         return gen
