@@ -68,12 +68,11 @@ def _bucket_for_null_keys(keys: Sequence[str], columns: Sequence[str]) -> Column
 
 
 def _side(
-    df: DataFrame, prefix: str, keys: Sequence[str], hashed: Sequence[str], stored_hash: bool = False
+    df: DataFrame, prefix: str, keys: Sequence[str], hashed: Sequence[str], with_hash: bool = True
 ) -> DataFrame:
-    row_hash_ = F.col(HASH) if stored_hash else row_hash_of([F.col(c) for c in hashed])
     return df.select(
         *[F.col(c).alias(f"{prefix}{c}") for c in df.columns],
-        row_hash_.alias(f"{prefix}hash"),
+        *([row_hash_of([F.col(c) for c in hashed]).alias(f"{prefix}hash")] if with_hash else []),
         _bucket_for_null_keys(keys, [*keys, *hashed]).alias(f"{prefix}bucket"),
         F.lit(True).alias(f"{prefix}here"),
     )
@@ -91,15 +90,40 @@ def _full_join(
     """One row per key, with ``old_`` and ``new_`` columns side by side.
 
     Plain columns, not structs, so that columns nobody asks for are pruned on both sides.
+    A stored hash travels once.  If equal values also mean equal hashes, the new hash is not computed
+    before the join but after it, and only where a compared value differs or there is no old row.
     When no key is NULL, the keys alone decide the partitioning, which a bucketed table
     may already have.
     """
     matched = keys if complete_keys else [*keys, "bucket"]
     same = [F.col(f"old_{c}") == F.col(f"new_{c}") for c in matched]
-    right = _side(new, "new_", keys, hashed)
+    late_hash = stored_hash and _equal_hashes(old, new, hashed)
+    right = _side(new, "new_", keys, hashed, with_hash=not late_hash)
     if not keys_unique:
         right = _refuse_repeated(right, [f"new_{k}" for k in keys], [f"new_{c}" for c in matched])
-    return _side(old, "old_", keys, hashed, stored_hash).join(right, same, "full_outer")
+    joined = _side(old, "old_", keys, hashed, with_hash=not stored_hash).join(right, same, "full_outer")
+    if stored_hash:
+        joined = joined.withColumn("old_hash", F.col(f"old_{HASH}"))
+    if late_hash:
+        alike = [F.col(f"old_{c}").eqNullSafe(F.col(f"new_{c}")) for c in hashed]
+        both = F.col("old_here") & F.col("new_here")
+        fresh = F.when(F.col("new_here"), row_hash_of([F.col(f"new_{c}") for c in hashed]))
+        joined = joined.withColumn("new_hash", F.when(reduce(and_, alike, both), F.col("old_hash")).otherwise(fresh))
+    return joined
+
+
+def _equal_hashes(old: DataFrame, new: DataFrame, hashed: Sequence[str]) -> bool:
+    """Whether equal values of these columns always have equal texts, and so equal hashes.
+
+    Not so for floats (zero has two texts), for collated text, and for columns of two types.
+    """
+    before, now = _types(old), _types(new)
+    return all(before[c] == now[c] and _one_text(now[c]) for c in hashed)
+
+
+def _one_text(kind: T.DataType) -> bool:
+    plain = (T.IntegralType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType, T.BooleanType)
+    return kind == T.StringType() or isinstance(kind, plain)
 
 
 def _refuse_repeated(df: DataFrame, keys: Sequence[str], partitioned: Sequence[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..contracts import TableContract
 from ..operators import quality
 from ..operators.gold import transform_gold
-from ..operators.history import HASH, comparison_columns, fingerprint, process, row_hash
+from ..operators.history import process
 from ..operators.metrics import MetricView
 from ..operators.typing import transform_bronze
 from ..scratch import stored
@@ -128,22 +128,18 @@ def job_silver(
     Ingestion columns never count as a change.  Valid rows whose foreign key has no parent, of the
     parent tables given by name, stay valid and are counted by column.
 
-    Bronze is a table, so it is not written again: one aggregate counts valid and rejected rows, and tells
-    whether a tracked table's valid rows are those that its history holds already; each side is then read
-    where it is used, by a filter, and rejected rows only if there are any.
+    Bronze is a table, so it is not written again: one aggregate over the checked columns counts valid and
+    rejected rows; each side is then read where it is used, by a filter, and rejected rows only if there are
+    any.  Only where a tracked table has as many valid rows as its history has open ones, their hashes tell
+    whether they are the same.
     Rows that share a key are found by the history's join; only then they are set aside, and
     the join runs again.  With ``splice_late``, a snapshot older than the last one takes its place in the
     history, where it is an error otherwise.
     """
     bronze = spark.read.parquet(layers.bronze)
     keys = contract.primary_keys()
-    hashed, prints = bronze, {}
-    if contract.tracked:
-        hashed = row_hash(bronze, comparison_columns(bronze, keys, exclude=INGESTION_COLUMNS))
-        prints = fingerprint(keys, F.col(HASH), ~F.col(quality.REJECTED))
-    dealt = quality.counted_split(hashed, checks, observe=prints)
-    # The sides without the hash, which the history computes in its own scan.
-    valid, rejected, n_rejected = dealt.valid.drop(HASH), dealt.quarantined.drop(HASH), dealt.n_quarantined
+    dealt = quality.counted_split(bronze, checks)
+    valid, rejected, n_rejected = dealt.valid, dealt.quarantined, dealt.n_quarantined
     gen, keys_unique = None, True
     if contract.tracked:
         store = HistoryStore(spark, layers.silver, buckets)
@@ -151,7 +147,7 @@ def job_silver(
         in_turn = not (splice_late and store.is_late(ts))
         try:
             if in_turn:
-                gen = store.merge(valid, keys, ts, found=dealt.observed, **options)
+                gen = store.merge(valid, keys, ts, n_new=dealt.n_total - n_rejected, **options)
             else:
                 gen = store.splice(valid, keys, ts, **options)
         except quality.RepeatedKey:

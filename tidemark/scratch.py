@@ -54,6 +54,11 @@ def open_together(spark: SparkSession, files: int) -> AbstractContextManager[Non
     return _setting(spark, _WRITERS, str(files))
 
 
+def short_timestamps(spark: SparkSession) -> AbstractContextManager[None]:
+    """Parquet files get timestamps as 64-bit numbers, Spark's own precision, instead of 96 bits."""
+    return _setting(spark, "spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The same rows from a table in the shared folder, with the lineage cut.
 

@@ -38,7 +38,7 @@ from ..functions.typing import as_timestamp
 from ..operators import history as h
 from ..operators import late
 from ..operators.quality import RepeatedKey, require_unique
-from ..scratch import open_together, stored
+from ..scratch import open_together, short_timestamps, stored
 from .tables import existing_schema
 
 # The most rows of a snapshot that a bucket is to hold.
@@ -255,13 +255,16 @@ class HistoryStore:
             name = f"tidemark_write_{uuid.uuid4().hex}"
             self._declare(name, fields, keys, self.buckets, folder, partitioned=True)
             try:
-                with open_together(self.spark, 2):
+                with open_together(self.spark, 2), short_timestamps(self.spark):
                     rows.select(*[f.name for f in fields]).write.insertInto(name, overwrite=True)
             finally:
                 self.spark.sql(f"DROP TABLE {name}")
         else:
-            with open_together(self.spark, 2):
-                rows.write.mode("overwrite").partitionBy(h.CURRENT).parquet(folder)
+            # A dictionary of values that are all different is built in vain.
+            distinct = [h.HASH, *keys] if len(keys) == 1 else [h.HASH]
+            plain = {f"parquet.enable.dictionary#{c}": "false" for c in distinct}
+            with open_together(self.spark, 2), short_timestamps(self.spark):
+                rows.write.options(**plain).mode("overwrite").partitionBy(h.CURRENT).parquet(folder)
         self._add_commit(gen, as_timestamp(ts), keys, hashed, found=counted.get, closed_from=closed_from)
         self._free_before(gen)
 
@@ -326,6 +329,17 @@ class HistoryStore:
             while n_rows > self.buckets * BUCKET_ROWS:
                 self.buckets *= 2
 
+    def _only_created(self, last: Row) -> bool:
+        """Whether there are no rows to join yet; in buckets, the join also asks for complete keys."""
+        return last["gen"] == 0 and not self.buckets
+
+    def _in_layout(self, rows: DataFrame, last: Row) -> DataFrame:
+        """The columns of the last run, NULL where absent, then the others, then those of the history."""
+        known = {f.name: f.dataType for f in self._data_fields(last) if f.name not in h.META}
+        added = [c for c in rows.columns if c not in known and c not in h.META]
+        absent = [F.lit(None).cast(t).alias(c) for c, t in known.items() if c not in rows.columns]
+        return rows.select("*", *absent).select(*known, *added, *h.META)
+
     def _same_layout(self, last: Row, keys: list[str]) -> bool:
         return bool(self.buckets) and last["buckets"] == self.buckets and last["keys"] == list(keys)
 
@@ -362,7 +376,7 @@ class HistoryStore:
         tracking: Sequence[str] | None = None,
         exclude: Sequence[str] = (),
         keys_unique: bool = False,
-        found: Mapping[str, object] | None = None,
+        n_new: int | None = None,
         **options,
     ) -> int:
         """Apply a snapshot and return the run's number.
@@ -372,27 +386,28 @@ class HistoryStore:
         join.  Who knows that there is none passes ``keys_unique``.
 
         A snapshot that changes nothing only adds a commit line.  It is known by ``history.fingerprint``,
-        which takes a scan of keys and compared columns; pass its values as ``found`` where they are known.
+        which takes a scan of keys and compared columns, and is computed only for a snapshot of as many rows
+        as are open; pass their number as ``n_new`` where it is known.
         """
         last = self.last_commit()
         self._guard(new, ts, last)
         hashed = h.comparison_columns(new, keys, tracking, exclude)
-        n_new = None if found is None else found["n_open"]
-        if last is None:
+        if last is None or self._only_created(last):
             if not keys_unique:
                 require_unique(new, keys)
             self._fit_buckets(last, n_new, new)
-            self._commit(h.initial_load(new, keys, ts, tracking, exclude, **options), 1, ts, keys, hashed)
+            first = h.initial_load(new, keys, ts, tracking, exclude, options.get("processed_time"))
+            self._commit(first if last is None else self._in_layout(first, last), 1, ts, keys, hashed)
             return 1
         gen = last["gen"] + 1
         if options.get("compare", "hash") == "hash" and self._comparable(last, keys, hashed):
-            if found is None:
+            n_new = new.count() if n_new is None else n_new
+            if n_new == last["n_open"]:
                 prints = h.fingerprint(keys, F.col(h.HASH))
                 found = h.row_hash(new, hashed).agg(*[c.alias(n) for n, c in prints.items()]).first().asDict()
-            if self._unchanged(last, found):
-                self._commit_unchanged(last, gen, ts)
-                return gen
-            n_new = found["n_open"]
+                if self._unchanged(last, found):
+                    self._commit_unchanged(last, gen, ts)
+                    return gen
         self._fit_buckets(last, n_new, new)
         rows = self.next_rows(last, new, keys, ts, tracking, exclude, keys_unique=keys_unique, **options)
         with _repeated_key():
